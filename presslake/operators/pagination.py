@@ -79,7 +79,7 @@ def romanian_date(text) -> Column:
     d = F.lpad(F.get(parts, 0), 2, "0")
     m = F.try_element_at(inv, F.lower(F.get(parts, 1)))
     y = F.get(parts, 2)
-    return F.try_to_date(F.concat_ws("-", y, m, d), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.concat_ws("-", y, m, d), "yyyy-MM-dd")
 
 
 def follow_next(spark, edges_view: str, start_view: str, max_depth: int = 100) -> DataFrame:
