@@ -32,8 +32,11 @@ def tokens(text) -> Column:
 
 def marker_counts(text) -> dict[str, Column]:
     t = tokens(text)
-    return {lang: F.size(F.filter(t, lambda w, ws=ws: w.isin(ws))).cast("bigint")
-            for lang, ws in PROFILES.items()}
+
+    def in_profile(words):
+        return lambda w: w.isin(words)
+
+    return {lang: F.size(F.filter(t, in_profile(ws))).cast("bigint") for lang, ws in PROFILES.items()}
 
 
 def detect_lang(df: DataFrame, text_col: str = "text") -> DataFrame:
