@@ -10,7 +10,8 @@ lets descendant and child selectors run as plain filters with no join.
 Schema: page_id, pre, end, parent, depth, kind ('element' | 'text' |
 'error'), tag, attrs MAP, path ARRAY<STRUCT<pre, tag, id, klass>>, text
 (``get_text()`` of the node: descendant text, script/style excluded),
-own_text (the node's direct text children).
+own_text (the node's direct text children), src_start / src_end (character
+span of an element's markup in the page, for outer HTML).
 """
 
 from __future__ import annotations
@@ -40,18 +41,28 @@ RAW_TEXT = frozenset(("script", "style"))
 
 NODE_SCHEMA = ("page_id long, pre int, `end` int, parent int, depth int, kind string, tag string, "
                "attrs map<string,string>, path array<struct<pre:int,tag:string,id:string,klass:string>>, "
-               "text string, own_text string")
+               "text string, own_text string, src_start int, src_end int")
 
 
 class _Tree(HTMLParser):
     """Builds node rows for one page (pre-order numbering)."""
 
-    def __init__(self):
+    def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.rows = []      # [pre, end, parent, depth, kind, tag, attrs, path, text_start, text_end, own]
+        self.html = html
+        self.line_starts = [0]
+        for i, ch in enumerate(html):
+            if ch == "\n":
+                self.line_starts.append(i + 1)
+        # [pre, end, parent, depth, kind, tag, attrs, path, text_start, text_end, own, src_start, src_end]
+        self.rows = []
         self.stack = []     # indices into rows of open elements
         self.pieces = []    # document text stream (script/style excluded)
 
+    def _abs(self):
+        line, col = self.getpos()
+        return self.line_starts[line - 1] + col
+
     # -- helpers ---------------------------------------------------------
     def _path(self):
         out = []
@@ -60,36 +71,39 @@ class _Tree(HTMLParser):
             out.append({"pre": r[0], "tag": r[5], "id": r[6].get("id"), "klass": r[6].get("class")})
         return out
 
-    def _close_top(self):
+    def _close_top(self, at):
         i = self.stack.pop()
         r = self.rows[i]
         r[1] = len(self.rows) - 1
         r[9] = len(self.pieces)
+        r[12] = at
 
-    def _close_until(self, tag, scope):
+    def _close_until(self, tag, scope, at):
         for j in range(len(self.stack) - 1, -1, -1):
             t = self.rows[self.stack[j]][5]
             if t == tag:
                 while len(self.stack) > j:
-                    self._close_top()
+                    self._close_top(at)
                 return
             if t in scope:
                 return
 
     # -- parser callbacks ------------------------------------------------
     def handle_starttag(self, tag, attrs):
+        at = self._abs()
         if tag in CLOSES_P:
-            self._close_until("p", P_SCOPE)
+            self._close_until("p", P_SCOPE, at)
         if tag == "li":
-            self._close_until("li", LI_SCOPE)
+            self._close_until("li", LI_SCOPE, at)
         a = {}
         for k, v in attrs:
             if k not in a:
                 a[k] = "" if v is None else v
         parent = self.rows[self.stack[-1]][0] if self.stack else -1
         pre = len(self.rows)
+        start_text = self.get_starttag_text() or ""
         self.rows.append([pre, pre, parent, len(self.stack), "element", tag, a, self._path(),
-                          len(self.pieces), len(self.pieces), []])
+                          len(self.pieces), len(self.pieces), [], at, at + len(start_text)])
         if self.stack:
             self.rows[self.stack[-1]][10].append(pre)
         if tag in VOID:
@@ -100,13 +114,17 @@ class _Tree(HTMLParser):
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID and self.stack and self.rows[self.stack[-1]][5] == tag:
-            self._close_top()
+            self._close_top(self.rows[self.stack[-1]][12])
 
     def handle_endtag(self, tag):
+        start = self._abs()
+        gt = self.html.find(">", start)
+        at = len(self.html) if gt < 0 else gt + 1
         for j in range(len(self.stack) - 1, -1, -1):
             if self.rows[self.stack[j]][5] == tag:
-                while len(self.stack) > j:
-                    self._close_top()
+                while len(self.stack) > j + 1:
+                    self._close_top(start)
+                self._close_top(at)
                 return
 
     def handle_data(self, data):
@@ -117,23 +135,23 @@ class _Tree(HTMLParser):
         pre = len(self.rows)
         self.pieces.append(data)
         self.rows.append([pre, pre, parent, len(self.stack), "text", None, {}, self._path(),
-                          len(self.pieces) - 1, len(self.pieces), []])
+                          len(self.pieces) - 1, len(self.pieces), [], None, None])
         if top is not None:
             top[10].append(pre)
 
     def finish(self):
         self.close()
         while self.stack:
-            self._close_top()
+            self._close_top(len(self.html))
 
 
 def _shred_one(page_id, html):
-    t = _Tree()
+    t = _Tree(html or "")
     try:
         t.feed(html or "")
         t.finish()
     except Exception as e:  # a page that breaks the tokenizer becomes an error row
-        return [(page_id, -1, -1, -1, 0, "error", None, {}, [], f"{type(e).__name__}: {e}", None)]
+        return [(page_id, -1, -1, -1, 0, "error", None, {}, [], f"{type(e).__name__}: {e}", None, None, None)]
     out = []
     pieces = t.pieces
     rows = t.rows
@@ -143,12 +161,13 @@ def _shred_one(page_id, html):
             own = None
         else:
             own = "".join(pieces[rows[c][8]] for c in r[10] if rows[c][4] == "text")
-        out.append((page_id, r[0], r[1], r[2], r[3], r[4], r[5], r[6], r[7], text, own))
+        out.append((page_id, r[0], r[1], r[2], r[3], r[4], r[5], r[6], r[7], text, own, r[11], r[12]))
     return out
 
 
 def _shred_batches(it):
-    cols = ["page_id", "pre", "end", "parent", "depth", "kind", "tag", "attrs", "path", "text", "own_text"]
+    cols = ["page_id", "pre", "end", "parent", "depth", "kind", "tag", "attrs", "path", "text", "own_text",
+            "src_start", "src_end"]
     for pdf in it:
         rows = []
         for pid, html in zip(pdf["page_id"].tolist(), pdf["html"].tolist()):

@@ -235,7 +235,7 @@ def _path_chain(chain, last_comb) -> Column:
     path = F.col("path")
     n = F.size(path)
     if last_comb == ">" and len(chain) == 1:
-        return F.coalesce(path_pred(chain[0][1])(F.element_at(path, -1)), F.lit(False)) & (n > 0)
+        return F.coalesce(path_pred(chain[0][1])(F.try_element_at(path, F.lit(-1))), F.lit(False)) & (n > 0)
     if all(comb in (None, " ") for comb, _ in chain) and last_comb == " ":
         if len(chain) == 1:
             return F.exists(path, path_pred(chain[0][1]))
@@ -248,42 +248,39 @@ def _path_chain(chain, last_comb) -> Column:
                 nxt = F.when((state == i) & preds[i](a), F.lit(i + 1)).otherwise(nxt)
             return nxt
         return F.aggregate(path, F.lit(0), step) == len(preds)
-    # general child/descendant mix: positional scan over path indices
+    # general child/descendant mix: exact DP over the path
     preds = [path_pred(c) for _, c in chain]
     combs = [comb for comb, _ in chain[1:]] + [last_comb]
-    return _match_path_general(path, preds, combs)
+    return _match_path_dp(path, preds, combs)
 
 
-def _match_path_general(path, preds, combs) -> Column:
-    """Backtracking-free check: try every end position for the last ancestor
-    compound (the one adjacent to the node) and match the rest greedily
-    leftwards.  Exact for chains of ≤ 3 compounds, which covers every
-    selector in the site specs."""
-    k = len(preds)
-    n = F.size(path)
+def _match_path_dp(path, preds, combs) -> Column:
+    """Exact match of compounds ``preds[0..k-1]`` along the ancestor path.
 
-    def ok_at(idx_col, i):
-        return preds[i](F.element_at(path, idx_col))
+    One ``aggregate`` over the path (root → parent) with boolean state per
+    compound i: ``e_i`` = compounds 0..i match with i at the previous path
+    element, ``a_i`` = ... with i at any earlier element.  At element x:
+    ``e_i' = pred_i(x) and (i == 0 or (e_{i-1} if combs[i-1] == '>' else
+    a_{i-1}))``, ``a_i' = a_i or e_i'``.  The node itself follows compound
+    k-1 with ``combs[k-1]``: '>' needs ``e_{k-1}``, ' ' needs ``a_{k-1}``.
+    """
+    k = len(preds)
+    init = F.struct(*[F.lit(False).alias(f"e{i}") for i in range(k)],
+                    *[F.lit(False).alias(f"a{i}") for i in range(k)])
+
+    def step(acc, x):
+        e_new = []
+        for i in range(k):
+            if i == 0:
+                prev_ok = F.lit(True)
+            else:
+                prev_ok = acc[f"e{i - 1}"] if combs[i - 1] == ">" else acc[f"a{i - 1}"]
+            e_new.append(F.coalesce(preds[i](x), F.lit(False)) & prev_ok)
+        return F.struct(*[e.alias(f"e{i}") for i, e in enumerate(e_new)],
+                        *[(acc[f"a{i}"] | e_new[i]).alias(f"a{i}") for i in range(k)])
 
-    # position of compound k-1
-    if combs[-1] == ">":
-        last_positions = [n]
-    else:
-        last_positions = None
-    if k == 1:
-        if last_positions:
-            return (n > 0) & ok_at(n, 0)
-        return F.exists(path, preds[0])
-    if k == 2:
-        # compound 0 then (comb1) compound 1 then (combs[-1]) node
-        def pair_ok(j):  # j = 1-based index of compound 1
-            left = ((j > 1) & ok_at(j - 1, 0)) if combs[0] == ">" else \
-                F.exists(F.slice(path, 1, F.greatest(j - 1, F.lit(0))), preds[0])
-            return (j >= 1) & ok_at(j, 1) & left
-        if last_positions:
-            return (n > 1) & pair_ok(n)
-        return F.exists(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda j: (n > 0) & pair_ok(j))
-    raise NotImplementedError("selector chains with child steps are limited to 2 ancestor compounds")
+    final = F.aggregate(path, init, step)
+    return final[f"e{k - 1}"] if combs[-1] == ">" else final[f"a{k - 1}"]
 
 
 def first_per_page(matches: DataFrame, value: str = "text") -> DataFrame:
