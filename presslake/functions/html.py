@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from presslake.functions.text import col_, decode_entities, py_strip, strip_tags
+from presslake.functions.text import PY_SPACE, col_, decode_entities, py_strip, strip_tags
 
 # ---- fixed values -------------------------------------------------------
 CLEAN_RE = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
@@ -78,12 +78,24 @@ def paragraphs(article_markup, drop_blank: bool = False) -> Column:
     A ``<p>`` starts a paragraph and ends at the next ``<p>``, ``</p>`` or the
     end of the fragment (implied end tags), which is how a browser closes the
     unclosed ``<p><b>…<br><p>`` pattern.  Missing body → empty array (Q6).
+
+    Written as whole-string regex steps (no per-element lambda), so it stays
+    inside whole-stage codegen: each ``<p>`` becomes a separator, text after a
+    ``</p>`` up to the next separator is cut, tags are stripped, entities
+    decoded, white space stripped around separators, then one ``split``.
     """
-    parts = F.split(F.coalesce(col_(article_markup), F.lit("")), r"(?i)<p\b[^>]*>")
-    body = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-    texts = F.transform(body, lambda s: py_strip(text_of(F.split_part(s, F.lit("</p>"), F.lit(1)))))
+    sep = "\u0001"
+    a = F.regexp_replace(F.coalesce(col_(article_markup), F.lit("")), "\\x{01}", "")
+    s = F.regexp_replace(a, r"(?i)<p\b[^>]*>", sep)
+    s = F.regexp_replace(s, r"^[^\x{01}]*", "")             # before the first <p>
+    s = F.regexp_replace(s, r"</p>[^\x{01}]*", "")          # after a </p>
+    s = F.regexp_replace(s, r"<[^>\x{01}]*>", "")           # tags inside a paragraph
+    s = decode_entities(s)
+    s = F.regexp_replace(s, f"{PY_SPACE}*\\x{{01}}{PY_SPACE}*", sep)
+    s = py_strip(F.substring(s, 2, 1 << 30))
+    texts = F.when(a.rlike(r"(?i)<p\b"), F.split(s, "\\x{01}")).otherwise(F.array().cast("array<string>"))
     if drop_blank:
-        texts = F.filter(texts, lambda s: s != "")
+        texts = F.array_remove(texts, "")
     return texts
 
 

@@ -31,12 +31,15 @@ def tokens(text) -> Column:
 
 
 def marker_counts(text) -> dict[str, Column]:
-    t = tokens(text)
-
-    def in_profile(words):
-        return lambda w: w.isin(words)
-
-    return {lang: F.size(F.filter(t, in_profile(ws))).cast("bigint") for lang, ws in PROFILES.items()}
+    """Marker-word hits per language.  The text is normalised once to
+    ``' tok tok … '`` (lower case, runs of non-letters → one space); a
+    language's hits are one ``regexp_count`` of its words between spaces
+    (look-ahead, so adjacent hits both count).  No per-token lambda: the
+    projection stays in whole-stage codegen."""
+    t = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(col_(text), F.lit(""))), TOKEN_SPLIT, " "),
+                 F.lit(" "))
+    return {lang: F.regexp_count(t, F.lit(" (?:" + "|".join(ws) + ")(?= )")).cast("bigint")
+            for lang, ws in PROFILES.items()}
 
 
 def detect_lang(df: DataFrame, text_col: str = "text") -> DataFrame:

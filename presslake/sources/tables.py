@@ -13,10 +13,36 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+# Tables whose rows carry whole pages / documents: per-row work is CPU-heavy.
+HEAVY = ("pages", "documents", "conversations")
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool | None = None) -> DataFrame:
+    """Lazy scan of one table.  For the text-heavy tables the scan is spread
+    over the cluster's cores when the files yield fewer splits than cores
+    (see :func:`spread`)."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread_rows if spread_rows is not None else name in HEAVY:
+        df = spread(df)
+    return df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy per-row work (regex extraction, shredding, tokenising)
+    at least one task per core.
+
+    A scan yields one task per file split; a few large row groups leave most
+    cores idle.  Only then is the scan round-robin repartitioned to the
+    session's parallelism — a one-off shuffle of the input.  A scan that
+    already has at least that many splits (any large input) is returned
+    unchanged, so at scale this adds no shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
