@@ -39,10 +39,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     already has at least that many splits (any large input) is returned
     unchanged, so at scale this adds no shuffle.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the scan as is
         return df
-    return df.repartition(target)
+    return df if have >= target else df.repartition(target)
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
