@@ -118,3 +118,14 @@ SELECT page_id, {S.outer_first(_C, 'h1')} AS h1_html,
 """, op="O-X19")
 def q_article_outer_html(spark, sf):
     return X.article_outer_html(table(spark, sf, "pages"))
+
+
+@query("sql_links", f"""
+SELECT page_id, CAST(u.pos - 1 AS BIGINT) AS pos, u.href
+FROM pages, LATERAL (SELECT unnest({S.hrefs(_C)}) AS href, generate_subscripts({S.hrefs(_C)}, 1) AS pos) u
+""", op="O-Y2 O-Y4 (SQL table function)")
+def q_sql_links(spark, sf):
+    from presslake.sqlapi import register_sql_functions
+    register_sql_functions(spark)
+    return spark.sql("SELECT p.page_id, CAST(l.pos AS BIGINT) AS pos, l.href FROM {pages} p, LATERAL pl_links(p.html) l",
+                     pages=table(spark, sf, "pages"))

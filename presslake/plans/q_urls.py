@@ -251,3 +251,9 @@ def q_harvest_summary(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", F.col("source").alias("site"))
     lab = table(spark, sf, "labels").select("doc_id", F.when(F.col("quality") == 1, 200).otherwise(500).alias("status"))
     return Q.harvest_summary(d.join(lab, "doc_id", "left"), "site", "status")
+
+
+@query("synthetic_urls", None, op="O-S10 O-F24 (rows-only: hash-based pick)")
+def q_synthetic_urls(spark, sf):
+    from presslake.sources.readers import synthetic_urls
+    return synthetic_urls(table(spark, sf, "events").select("event_id"), "event_id")

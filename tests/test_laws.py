@@ -124,3 +124,31 @@ def test_versioned_upsert_table(spark, scratch):
     assert sinks.upsert_table(spark, path, b2) == 2
     cur = {r["url"]: r["status"] for r in sinks.read_versioned(spark, path).collect()}
     assert cur == {"u1": "OKK", "u2": "NEW"}
+
+
+def test_sql_functions_and_named_statements(spark, scratch):
+    from presslake.sqlapi import UrlTable, register_sql_functions
+    names = register_sql_functions(spark)
+    assert "pl_links" in names
+    r = spark.sql("SELECT pl_page_count('Page 1 of 7') AS a, pl_page_count('') AS b, "
+                  "pl_has_next('Afisare stiri de la 811 la 825 din 840') AS c, pl_strip('\\n x \\t') AS d").first()
+    assert (r.a, r.b, r.c, r.d) == (7, 0, True, "x")
+    t = UrlTable(spark, os.path.join(scratch, "urls"))
+    t.bulk_insert_urls(spark.createDataFrame([("u1", "new"), ("u2", "error")], "url string, status string"))
+    with pytest.raises(ValueError):
+        t.bulk_insert_urls(spark.createDataFrame([("u1", "new")], "url string, status string"))
+    t.upsert_url("u1", "done")
+    cur = {x.url: x.status for x in t.get_urls().collect()}
+    assert cur == {"u1": "OKK", "u2": "ERR"}
+    assert [x.url for x in t.get_urls_by_status("ERR").collect()] == ["u2"]
+
+
+def test_synthetic_urls_unique_and_in_domain(spark):
+    import __spark_entry__ as E
+    df = E.queries()["synthetic_urls"](spark, SF_SMALL)
+    n = df.count()
+    assert df.select("url").distinct().count() == n == table(spark, SF_SMALL, "events").count()
+    assert {r.status for r in df.select("status").distinct().collect()} <= {"new", "error", "done"}
+    # partition-independent: same result after repartition
+    again = E.queries()["synthetic_urls"](spark, SF_SMALL)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, df.collect()))
