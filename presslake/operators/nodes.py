@@ -179,3 +179,17 @@ def shred(pages: DataFrame) -> DataFrame:
     """``pages(page_id, html)`` → node table.  Narrow (no shuffle): every page
     is shredded inside the task that read it."""
     return pages.select("page_id", "html").mapInPandas(_shred_batches, NODE_SCHEMA)
+
+
+def materialize_nodes(pages: DataFrame, path: str) -> DataFrame:
+    """Shred once, write the node table, read it back.
+
+    A job that runs many selectors (a site spec has 4–7) or combinators
+    that reference the node table twice (``+``, positional ancestors,
+    children) should shred each page once: the written table cuts the
+    lineage, survives executor loss, and is re-read by column (parquet
+    pruning keeps ``path``/``text`` out of scans that do not need them).
+    ``path`` must be a shared folder on a cluster.
+    """
+    shred(pages).write.mode("overwrite").parquet(path)
+    return pages.sparkSession.read.parquet(path)

@@ -179,3 +179,14 @@ SELECT tag, CAST(count(*) AS BIGINT) AS n FROM t GROUP BY tag
 def q_node_inventory(spark, sf):
     n = _nodes(spark, sf).where(F.col("kind") == "element")
     return n.groupBy("tag").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@query("sel_interval_join", f"""
+WITH {_BASE}
+SELECT page_id, {S.strip(S.text_of(f'{_LI}[1]'))} AS text FROM b WHERE len({_LI}) >= 1
+""", op="O-J6 (interval join: positional ancestor)")
+def q_sel_interval_join(spark, sf):
+    # ``li:nth-child(1)`` needs sibling positions, so the ``a`` inside it is
+    # found with the interval join (page_id equi-key + pre/end range).
+    m = SL.select(_nodes(spark, sf), Sel.tag("ul").child(Sel.tag("li").nth_child(1)).descendant(Sel.tag("a")))
+    return m.select("page_id", py_strip("text").alias("text"))
