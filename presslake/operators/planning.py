@@ -14,33 +14,32 @@ from pyspark.sql import functions as F
 from presslake.operators.windows import dense_index, lag_by_index
 
 
-def _with_total(df: DataFrame) -> DataFrame:
-    # One-row total joined on a constant key; broadcast (size proven: one row).
-    total = df.agg(F.count(F.lit(1)).cast("bigint").alias("_total")).withColumn("_k", F.lit(0))
-    return df.withColumn("_k", F.lit(0)).join(F.broadcast(total), "_k").drop("_k")
-
-
 def chunk_assign(df: DataFrame, order_col: str, workers: int) -> DataFrame:
     """O-W2 / Q12: ``chunk_size = max(1, n // workers)``; row i → chunk
     ``i // chunk_size`` (so the chunk count may exceed ``workers``, as in the
-    reference).  ``workers < 1`` is rejected."""
+    reference).  ``workers < 1`` is rejected.  Adds ``idx``, ``chunk`` and
+    ``chunk_pos`` (position inside the chunk)."""
     if workers < 1:
         raise ValueError("workers must be >= 1")
-    idx = _with_total(dense_index(df, order_col))
+    idx = dense_index(df, order_col, total_col="_total")
     size = F.greatest(F.lit(1).cast("bigint"), F.floor(F.col("_total") / F.lit(workers)).cast("bigint"))
-    return idx.withColumn("chunk", F.floor(F.col("idx") / size).cast("bigint")).drop("_total")
+    chunk = F.floor(F.col("idx") / size).cast("bigint")
+    return (idx.withColumn("chunk", chunk).withColumn("chunk_pos", F.col("idx") - F.col("chunk") * size)
+            .drop("_total"))
 
 
 def remainder_split(df: DataFrame, order_col: str, workers: int) -> DataFrame:
     """O-W3 / Q13: near-equal split, the remainder goes to the last worker:
     chunk = ``min(i // (n // k), k - 1)``; every row is assigned (totals
-    conserve, unlike the reference's remainder bug)."""
+    conserve, unlike the reference's remainder bug).  Adds ``idx``,
+    ``chunk`` and ``chunk_pos``."""
     if workers < 1:
         raise ValueError("workers must be >= 1")
-    idx = _with_total(dense_index(df, order_col))
+    idx = dense_index(df, order_col, total_col="_total")
     per = F.greatest(F.lit(1).cast("bigint"), F.floor(F.col("_total") / F.lit(workers)).cast("bigint"))
-    return idx.withColumn("chunk", F.least(F.floor(F.col("idx") / per).cast("bigint"),
-                                           F.lit(workers - 1).cast("bigint"))).drop("_total")
+    chunk = F.least(F.floor(F.col("idx") / per).cast("bigint"), F.lit(workers - 1).cast("bigint"))
+    return (idx.withColumn("chunk", chunk).withColumn("chunk_pos", F.col("idx") - F.col("chunk") * per)
+            .drop("_total"))
 
 
 def host_waves(df: DataFrame, host_col: str, order_col: str, per_host: int) -> DataFrame:

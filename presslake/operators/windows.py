@@ -16,11 +16,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _auto_buckets(df: DataFrame) -> int:
+    """Sub-buckets scale with the input: ~4 per input partition (≥ 64), so a
+    window task holds ~1/4 of an input split even when one group has most rows."""
+    try:
+        return max(64, 4 * df.rdd.getNumPartitions())
+    except Exception:  # no RDD access (e.g. Spark Connect)
+        return 1024
+
+
 def dense_index(df: DataFrame, order_col: str, group_cols=(), out: str = "idx",
-                sub_buckets: int = 64) -> DataFrame:
+                sub_buckets: int | None = None, total_col: str | None = None) -> DataFrame:
     """Add ``out`` = 0-based position of each row inside its group ordered by
-    ``order_col`` (which should be unique inside a group, e.g. an id)."""
+    ``order_col`` (which should be unique inside a group, e.g. an id).
+    ``total_col`` also adds the group's row count (from the small count
+    table, no extra pass over the input)."""
     g = list(group_cols)
+    sub_buckets = sub_buckets or _auto_buckets(df)
     global_ = not g
     if global_:
         df = df.withColumn("_g", F.lit(0))
@@ -35,9 +47,13 @@ def dense_index(df: DataFrame, order_col: str, group_cols=(), out: str = "idx",
                         F.lit(sub_buckets - 1))).drop("_mn", "_mx")
     counts = with_b.groupBy(*g, "_sub").agg(F.count(F.lit(1)).alias("_n"))
     w_off = Window.partitionBy(*g).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w_off), F.lit(0))).drop("_n")
-    # offsets has ≤ sub_buckets rows per group; with no group that is a
-    # fixed bound, so it is broadcast.
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w_off), F.lit(0)))
+    if total_col:
+        offsets = offsets.withColumn(total_col, F.sum("_n").over(Window.partitionBy(*g)).cast("bigint"))
+    offsets = offsets.drop("_n")
+    # offsets has ≤ min(rows, groups × sub_buckets) rows; with no group it is
+    # ≤ sub_buckets rows (a bound fixed by the input's partition count, a few
+    # MB even for a million partitions), so it is broadcast.
     joined = with_b.join(F.broadcast(offsets) if global_ else offsets, [*g, "_sub"], "inner")
     w = Window.partitionBy(*g, "_sub").orderBy(o)
     res = joined.withColumn(out, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint")).drop("_sub", "_off")

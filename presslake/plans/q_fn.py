@@ -22,6 +22,11 @@ def _pages(spark, sf):
     return table(spark, sf, "pages")
 
 
+def _urls(spark, sf):
+    # URL-only functions: no per-page heavy work, no need to spread the scan
+    return table(spark, sf, "pages", spread_rows=False).select("page_id", "url")
+
+
 def _links(spark, sf):
     p = _pages(spark, sf).select("page_id", "url", H.hrefs(H.clean_html("html")).alias("h"))
     return p.select("page_id", "url", F.posexplode("h").alias("pos", "href")).withColumn("pos", F.col("pos").cast("bigint"))
@@ -29,12 +34,12 @@ def _links(spark, sf):
 
 @query("fn_split_last", "SELECT page_id, string_split(url, '/')[-1] AS last_part FROM pages", op="O-F1")
 def q_fn_split_last(spark, sf):
-    return _pages(spark, sf).select("page_id", T.split_last("url", "/").alias("last_part"))
+    return _urls(spark, sf).select("page_id", T.split_last("url", "/").alias("last_part"))
 
 
 @query("fn_split_get", "SELECT page_id, string_split(url, '/')[5] AS part4 FROM pages", op="O-F2")
 def q_fn_split_get(spark, sf):
-    return _pages(spark, sf).select("page_id", T.split_get("url", "/", 4).alias("part4"))
+    return _urls(spark, sf).select("page_id", T.split_get("url", "/", 4).alias("part4"))
 
 
 @query("fn_path_join", """
@@ -42,7 +47,7 @@ SELECT page_id, CASE WHEN len(string_split(url, '/')) > 3 THEN array_to_string(s
 FROM pages
 """, op="O-F3")
 def q_fn_path_join(spark, sf):
-    return _pages(spark, sf).select("page_id", T.path_tail_name("url", 3, strip_query=False).alias("file_name"))
+    return _urls(spark, sf).select("page_id", T.path_tail_name("url", 3, strip_query=False).alias("file_name"))
 
 
 @query("fn_strip_query", """
@@ -50,7 +55,7 @@ SELECT page_id, split_part(CASE WHEN len(string_split(url, '/')) > 3 THEN array_
 FROM pages
 """, op="O-F4 Q9")
 def q_fn_strip_query(spark, sf):
-    return _pages(spark, sf).select("page_id", T.path_tail_name("url", 3, strip_query=True).alias("file_name"))
+    return _urls(spark, sf).select("page_id", T.path_tail_name("url", 3, strip_query=True).alias("file_name"))
 
 
 @query("fn_strip", f"""
@@ -77,7 +82,7 @@ def q_fn_strip_currency(spark, sf):
 
 @query("fn_lower", "SELECT page_id, lower(url) AS url_lower FROM pages", op="O-F7")
 def q_fn_lower(spark, sf):
-    return _pages(spark, sf).select("page_id", F.lower("url").alias("url_lower"))
+    return _urls(spark, sf).select("page_id", F.lower("url").alias("url_lower"))
 
 
 @query("fn_remove_prefix", f"""
@@ -100,7 +105,7 @@ SELECT page_id, printf('https://%s/page/%d', {S.host('url')}, page_id) AS listin
 """, op="O-F10")
 def q_fn_format_url(spark, sf):
     from presslake.functions.urls import host
-    return _pages(spark, sf).select("page_id", F.format_string("https://%s/page/%d", host("url"), "page_id").alias("listing_url"))
+    return _urls(spark, sf).select("page_id", F.format_string("https://%s/page/%d", host("url"), "page_id").alias("listing_url"))
 
 
 @query("fn_lpad", """
@@ -118,7 +123,7 @@ FROM pages
 """, op="O-F12")
 def q_fn_try_int(spark, sf):
     last = T.split_last("url", "/")
-    return _pages(spark, sf).select("page_id", T.try_int(F.regexp_replace(last, r"[?#].*$", "")).alias("n"),
+    return _urls(spark, sf).select("page_id", T.try_int(F.regexp_replace(last, r"[?#].*$", "")).alias("n"),
                                     T.try_int(last).alias("n_raw"))
 
 

@@ -31,7 +31,7 @@ SELECT base, CAST(i AS BIGINT) AS page_no,
 FROM h, range(1, n + 1) t(i)
 """, op="O-S4 O-F10")
 def q_page_url_range(spark, sf):
-    p = table(spark, sf, "pages")
+    p = table(spark, sf, "pages", spread_rows=False)
     h = p.groupBy(scheme_host("url").alias("base")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
     e = h.withColumn("page_no", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))))
     return e.select("base", "page_no", PG.page_url("base", "page_no").alias("url"))
@@ -44,7 +44,7 @@ SELECT conv_id, CAST(i AS BIGINT) AS page_no,
 FROM c, range(2, n + 1) t(i)
 """, op="O-S5 O-J8 Q3")
 def q_expand_pages(spark, sf):
-    c = table(spark, sf, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    c = table(spark, sf, "conversations", spread_rows=False).groupBy("conv_id").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
     base = F.concat(F.lit("https://example.org/c/"), F.col("conv_id").cast("string"))
     e = PG.expand_pages(c, "n")
     return e.select("conv_id", "page_no", PG.page_url(base, "page_no").alias("url"))
@@ -124,7 +124,7 @@ SELECT conv_id, turn, counter,
 FROM t
 """, op="O-X25 O-P10 Q17")
 def q_is_last_page(spark, sf):
-    c = table(spark, sf, "conversations")
+    c = table(spark, sf, "conversations", spread_rows=False)
     n = c.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
     t = c.join(n, "conv_id")
     k = COUNTER_PAGE_SIZE
@@ -147,7 +147,7 @@ SELECT conv_id, CAST(max(depth) AS BIGINT) AS last_depth, CAST(count(*) AS BIGIN
 FROM walk GROUP BY conv_id
 """, op="O-T1")
 def q_follow_next(spark, sf):
-    c = table(spark, sf, "conversations")
+    c = table(spark, sf, "conversations", spread_rows=False)
     c.select(F.col("conv_id").alias("src_key"), F.col("turn").alias("src"),
              (F.col("turn") + 1).alias("dst")).createOrReplaceTempView("_pl_next_edges")
     # an edge exists only where the next turn exists
@@ -248,7 +248,7 @@ t AS (SELECT page_id, v, sh, query, regexp_replace(path, '(.)/$', '\\1') AS path
 SELECT page_id, v AS raw, lower(sh) || CASE WHEN path = '/' THEN '' ELSE path END || query AS url_key FROM t
 """, op="O-F14 Q20")
 def q_url_normalize(spark, sf):
-    p = table(spark, sf, "pages")
+    p = table(spark, sf, "pages", spread_rows=False)
     sh = scheme_host("url")
     doubled = F.concat(F.upper(sh), F.lit("//"), F.substring(F.col("url"), F.length(sh) + 2, 1 << 30), F.lit("/"))
     u = p.select("page_id", F.col("url").alias("raw")).unionByName(p.select("page_id", doubled.alias("raw")))

@@ -46,7 +46,7 @@ SELECT page_id, {S.host('url')} AS host,
 FROM pages
 """, op="O-W6")
 def q_host_waves(spark, sf):
-    p = table(spark, sf, "pages").select("page_id", host("url").alias("host"))
+    p = table(spark, sf, "pages", spread_rows=False).select("page_id", host("url").alias("host"))
     return P.host_waves(p, "host", "page_id", HOST_SLOTS).select("page_id", "host", "wave")
 
 
@@ -76,7 +76,7 @@ def q_running_count(spark, sf):
 
 @query("url_total", "SELECT CAST(count(*) AS BIGINT) AS n_urls FROM pages", op="O-A1")
 def q_url_total(spark, sf):
-    return table(spark, sf, "pages").agg(F.count(F.lit(1)).cast("bigint").alias("n_urls"))
+    return table(spark, sf, "pages", spread_rows=False).agg(F.count(F.lit(1)).cast("bigint").alias("n_urls"))
 
 
 @query("distinct_urls", """
@@ -85,8 +85,8 @@ SELECT CAST(count(*) AS BIGINT) AS n_urls, CAST(count(DISTINCT url) AS BIGINT) A
 FROM (SELECT p.url, NULL AS source FROM pages p UNION ALL SELECT NULL, d.source FROM documents d)
 """, op="O-A3 O-L1 O-M4")
 def q_distinct_urls(spark, sf):
-    p = table(spark, sf, "pages").select("url", F.lit(None).cast("string").alias("source"))
-    d = table(spark, sf, "documents").select(F.lit(None).cast("string").alias("url"), "source")
+    p = table(spark, sf, "pages", spread_rows=False).select("url", F.lit(None).cast("string").alias("source"))
+    d = table(spark, sf, "documents", spread_rows=False).select(F.lit(None).cast("string").alias("url"), "source")
     u = p.unionByName(d)
     return u.agg(F.count(F.lit(1)).cast("bigint").alias("n_urls"),
                  F.count_distinct("url").cast("bigint").alias("n_distinct"),
@@ -97,7 +97,7 @@ def q_distinct_urls(spark, sf):
 SELECT {S.host('url')} AS host, CAST(count(*) AS BIGINT) AS n_pages FROM pages GROUP BY 1
 """, op="O-A2")
 def q_pages_per_host(spark, sf):
-    p = table(spark, sf, "pages")
+    p = table(spark, sf, "pages", spread_rows=False)
     return p.groupBy(host("url").alias("host")).agg(F.count(F.lit(1)).cast("bigint").alias("n_pages"))
 
 
@@ -116,7 +116,7 @@ SELECT conv_id, CAST(max(turn) + 1 AS BIGINT) AS n_pages, CAST(count(*) AS BIGIN
 FROM conversations GROUP BY conv_id
 """, op="O-A5")
 def q_pages_per_category(spark, sf):
-    c = table(spark, sf, "conversations")
+    c = table(spark, sf, "conversations", spread_rows=False)
     return c.groupBy("conv_id").agg((F.max("turn") + 1).cast("bigint").alias("n_pages"),
                                     F.count(F.lit(1)).cast("bigint").alias("n_rows"))
 
@@ -142,8 +142,7 @@ FROM r GROUP BY chunk, pos // {TITLES_PER_LINE}
 """, op="O-K4 O-A7 O-F15")
 def q_titles_by_chunk(spark, sf):
     p = table(spark, sf, "pages").select("page_id", H.first_text(H.clean_html("html"), "title").alias("title"))
-    ch = P.remainder_split(p, "page_id", TITLE_WORKERS)
-    pos = dense_index(ch.drop("idx"), "page_id", ["chunk"], out="pos")
+    pos = P.remainder_split(p, "page_id", TITLE_WORKERS).withColumnRenamed("chunk_pos", "pos")
     # Ordered concat in groups of at most TITLES_PER_LINE rows: no group is
     # unbounded, whatever the chunk size.
     g = pos.groupBy("chunk", F.floor(F.col("pos") / TITLES_PER_LINE).cast("bigint").alias("line_no"))

@@ -94,7 +94,7 @@ SELECT d.doc_id, l.quality, l.toxic, l.doc_id IS NOT NULL AS matched
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """, op="O-J1")
 def q_url_lookup(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id")
+    d = table(spark, sf, "documents", spread_rows=False).select("doc_id")
     lab = table(spark, sf, "labels").select("doc_id", "quality", "toxic", F.lit(True).alias("matched"))
     return U.lookup(d, lab, "doc_id").select(
         "doc_id", "quality", "toxic", F.coalesce("matched", F.lit(False)).alias("matched"))
@@ -104,7 +104,7 @@ def q_url_lookup(spark, sf):
 SELECT d.doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
 """, op="O-J3")
 def q_resume_pending(spark, sf):
-    return U.pending(table(spark, sf, "documents").select("doc_id"),
+    return U.pending(table(spark, sf, "documents", spread_rows=False).select("doc_id"),
                      table(spark, sf, "labels"), "doc_id")
 
 
@@ -121,7 +121,7 @@ def q_resume_pending_orders(spark, sf):
 SELECT d.doc_id FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
 """, op="O-J4")
 def q_already_done(spark, sf):
-    return U.already_done(table(spark, sf, "documents").select("doc_id"),
+    return U.already_done(table(spark, sf, "documents", spread_rows=False).select("doc_id"),
                           table(spark, sf, "labels"), "doc_id")
 
 
@@ -248,7 +248,7 @@ SELECT d.source AS site,
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.source
 """, op="O-A8")
 def q_harvest_summary(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.col("source").alias("site"))
+    d = table(spark, sf, "documents", spread_rows=False).select("doc_id", F.col("source").alias("site"))
     lab = table(spark, sf, "labels").select("doc_id", F.when(F.col("quality") == 1, 200).otherwise(500).alias("status"))
     return Q.harvest_summary(d.join(lab, "doc_id", "left"), "site", "status")
 
