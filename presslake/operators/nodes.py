@@ -1,7 +1,7 @@
 """Node path: shred pages into a node table, once, inside the executors.
 
 ``shred(pages)`` runs the standard-library HTML tokenizer per page in a
-``mapInPandas`` task (Arrow batches of pages in, node rows out) and applies
+``mapInArrow`` task (Arrow batches of pages in, node rows out) and applies
 HTML's implied end tags.  Each node row carries its pre-order number ``pre``,
 the last descendant number ``end`` (so "A contains B" is ``A.pre < B.pre <=
 A.end``), its ``parent``, and the ancestor ``path`` root→parent — which
@@ -16,10 +16,10 @@ span of an element's markup in the page, for outer HTML).
 
 from __future__ import annotations
 
+import re
 import sys
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
@@ -38,6 +38,7 @@ P_SCOPE = frozenset("applet caption html table td th marquee object template but
 LI_SCOPE = P_SCOPE | {"ol", "ul"}
 RAW_TEXT = frozenset(("script", "style"))
 # -------------------------------------------------------------------------
+_NL = re.compile("\n")
 
 NODE_SCHEMA = ("page_id long, pre int, `end` int, parent int, depth int, kind string, tag string, "
                "attrs map<string,string>, path array<struct<pre:int,tag:string,id:string,klass:string>>, "
@@ -50,10 +51,7 @@ class _Tree(HTMLParser):
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.html = html
-        self.line_starts = [0]
-        for i, ch in enumerate(html):
-            if ch == "\n":
-                self.line_starts.append(i + 1)
+        self.line_starts = [0] + [m.end() for m in _NL.finditer(html)]
         # [pre, end, parent, depth, kind, tag, attrs, path, text_start, text_end, own, src_start, src_end]
         self.rows = []
         self.stack = []     # indices into rows of open elements
@@ -134,7 +132,8 @@ class _Tree(HTMLParser):
         parent = top[0] if top is not None else -1
         pre = len(self.rows)
         self.pieces.append(data)
-        self.rows.append([pre, pre, parent, len(self.stack), "text", None, {}, self._path(),
+        # text nodes carry no ancestor path: selectors only match elements
+        self.rows.append([pre, pre, parent, len(self.stack), "text", None, {}, None,
                           len(self.pieces) - 1, len(self.pieces), [], None, None])
         if top is not None:
             top[10].append(pre)
@@ -145,40 +144,68 @@ class _Tree(HTMLParser):
             self._close_top(len(self.html))
 
 
-def _shred_one(page_id, html):
+def _shred_one(page_id, html, cols):
+    """Append the node rows of one page to the column lists ``cols``."""
     t = _Tree(html or "")
     try:
         t.feed(html or "")
         t.finish()
     except Exception as e:  # a page that breaks the tokenizer becomes an error row
-        return [(page_id, -1, -1, -1, 0, "error", None, {}, [], f"{type(e).__name__}: {e}", None, None, None)]
-    out = []
+        row = (page_id, -1, -1, -1, 0, "error", None, [], [], f"{type(e).__name__}: {e}", None, None, None)
+        for c, v in zip(cols, row):
+            c.append(v)
+        return
     pieces = t.pieces
     rows = t.rows
+    (c_pid, c_pre, c_end, c_par, c_dep, c_kind, c_tag, c_attrs, c_path, c_text, c_own, c_s, c_e) = cols
     for r in rows:
-        text = "".join(pieces[r[8]:r[9]])
-        if r[4] == "text":
-            own = None
-        else:
-            own = "".join(pieces[rows[c][8]] for c in r[10] if rows[c][4] == "text")
-        out.append((page_id, r[0], r[1], r[2], r[3], r[4], r[5], r[6], r[7], text, own, r[11], r[12]))
-    return out
-
-
-def _shred_batches(it):
-    cols = ["page_id", "pre", "end", "parent", "depth", "kind", "tag", "attrs", "path", "text", "own_text",
-            "src_start", "src_end"]
-    for pdf in it:
-        rows = []
-        for pid, html in zip(pdf["page_id"].tolist(), pdf["html"].tolist()):
-            rows.extend(_shred_one(pid, html))
-        yield pd.DataFrame(rows, columns=cols)
+        c_pid.append(page_id)
+        c_pre.append(r[0])
+        c_end.append(r[1])
+        c_par.append(r[2])
+        c_dep.append(r[3])
+        c_kind.append(r[4])
+        c_tag.append(r[5])
+        c_attrs.append(list(r[6].items()))
+        c_path.append(r[7])
+        c_text.append("".join(pieces[r[8]:r[9]]))
+        c_own.append(None if r[4] == "text" else "".join(pieces[rows[c][8]] for c in r[10] if rows[c][4] == "text"))
+        c_s.append(r[11])
+        c_e.append(r[12])
+
+
+_COLS = ["page_id", "pre", "end", "parent", "depth", "kind", "tag", "attrs", "path", "text", "own_text",
+         "src_start", "src_end"]
+
+
+def _arrow_schema():
+    import pyarrow as pa
+    path_t = pa.list_(pa.struct([("pre", pa.int32()), ("tag", pa.string()), ("id", pa.string()),
+                                 ("klass", pa.string())]))
+    return pa.schema([("page_id", pa.int64()), ("pre", pa.int32()), ("end", pa.int32()), ("parent", pa.int32()),
+                      ("depth", pa.int32()), ("kind", pa.string()), ("tag", pa.string()),
+                      ("attrs", pa.map_(pa.string(), pa.string())), ("path", path_t), ("text", pa.string()),
+                      ("own_text", pa.string()), ("src_start", pa.int32()), ("src_end", pa.int32())])
+
+
+def _shred_arrow(it):
+    """Arrow batches of pages in, Arrow batches of nodes out (no pandas
+    object columns in between)."""
+    import pyarrow as pa
+    schema = _arrow_schema()
+    for batch in it:
+        ids = batch.column("page_id").to_pylist()
+        htmls = batch.column("html").to_pylist()
+        cols = [[] for _ in _COLS]
+        for pid, html in zip(ids, htmls):
+            _shred_one(pid, html, cols)
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema)], schema=schema)
 
 
 def shred(pages: DataFrame) -> DataFrame:
     """``pages(page_id, html)`` → node table.  Narrow (no shuffle): every page
-    is shredded inside the task that read it."""
-    return pages.select("page_id", "html").mapInPandas(_shred_batches, NODE_SCHEMA)
+    is shredded inside the task that read it (``mapInArrow``)."""
+    return pages.select("page_id", "html").mapInArrow(_shred_arrow, NODE_SCHEMA)
 
 
 def materialize_nodes(pages: DataFrame, path: str) -> DataFrame:
