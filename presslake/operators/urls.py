@@ -76,13 +76,18 @@ def insert_or_raise(target: DataFrame, batch: DataFrame, key: str = "url") -> Da
 
 
 def pending(urls: DataFrame, done: DataFrame, key: str = "url") -> DataFrame:
-    """O-J3: rows of ``urls`` whose key is not in ``done`` (left anti)."""
-    return urls.join(done.select(key), key, "left_anti")
+    """O-J3: rows of ``urls`` whose key is not in ``done`` (left anti).
+
+    ``done`` is reduced to distinct keys first (a harvest log repeats URLs);
+    the distinct is map-side combined and hash-partitioned on the key, so the
+    join reuses that partitioning.  A hot key on the ``urls`` side is split
+    by AQE's skew-join handling (left anti / semi are supported)."""
+    return urls.join(done.select(key).distinct(), key, "left_anti")
 
 
 def already_done(urls: DataFrame, done: DataFrame, key: str = "url") -> DataFrame:
     """O-J4: rows of ``urls`` whose key is in ``done`` (left semi)."""
-    return urls.join(done.select(key), key, "left_semi")
+    return urls.join(done.select(key).distinct(), key, "left_semi")
 
 
 def lookup(urls: DataFrame, pages: DataFrame, key: str = "url") -> DataFrame:

@@ -59,3 +59,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", cur)
     spark.sparkContext.setCheckpointDir(cur)
     return cur
+
+
+def cluster_conf(total_cores: int, input_bytes: int | None = None) -> dict:
+    """Starting settings for a cluster run (pass to ``get_spark(extra=...)``).
+
+    Shuffle partitions start at 3× the cores (AQE coalesces small ones to the
+    advisory size and splits skewed ones); scan splits stay at 128 MB so a
+    split of pages fits an executor task together with its node rows.
+    """
+    parts = 3 * total_cores
+    if input_bytes:
+        parts = max(parts, input_bytes // (128 << 20))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+    }

@@ -68,6 +68,14 @@ def progress(stream: DataFrame, group: str, event_time: str, every: str = "1 hou
             .select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), group, "n"))
 
 
+def live_counts(stream: DataFrame, group: str, query_name: str, every: str = "3 seconds"):
+    """O-T4 live: running row count per group, re-emitted every ``every``
+    (complete mode: the state is one counter per group)."""
+    agg = stream.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    return (agg.writeStream.outputMode("complete").format("memory").queryName(query_name)
+            .trigger(processingTime=every).start())
+
+
 def status_events(events: DataFrame) -> DataFrame:
     """URL-status changes from events (error → ERR, purchase → OKK, else NEW)."""
     return events.select(
@@ -113,11 +121,12 @@ def upsert_each_batch(changes: DataFrame, table_path: str, checkpoint: str, avai
 
 
 class ProgressLog(StreamingQueryListener):
-    """O-Y5: completion callback — keeps (batch id, input rows) per progress
-    event on the driver (one small record per micro-batch)."""
+    """O-Y5: completion callback — keeps (batch id, input rows) of the last
+    ``keep`` micro-batches on the driver (bounded, one tuple per batch)."""
 
-    def __init__(self):
-        self.batches = []
+    def __init__(self, keep: int = 10000):
+        from collections import deque
+        self.batches = deque(maxlen=keep)
 
     def onQueryStarted(self, event):
         pass

@@ -71,3 +71,13 @@ def test_foreach_batch_upsert(spark, scratch):
     got = read_versioned(spark, tbl).select("url", "status")
     want = U.latest(U.url_events(table(spark, SF_SMALL, "events")), "url", "seq", keep=["status"])
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select("url", "status").collect()))
+
+
+def test_live_counts(spark, scratch):
+    src = _land(spark, scratch, "events")
+    q = J.live_counts(J.events_stream(spark, src), "event_type", "live_t", every="1 second")
+    q.processAllAvailable()
+    q.stop()
+    got = {r.event_type: r.n for r in spark.table("live_t").collect()}
+    want = {r.event_type: r["count"] for r in table(spark, SF_SMALL, "events").groupBy("event_type").count().collect()}
+    assert got == want
