@@ -62,3 +62,10 @@ def plateau_stop(df: DataFrame, group_col: str, order_col: str, height_col: str)
         F.min_by(F.struct("pos", order_col, height_col), F.col("pos")).alias("_s")).select(
         group_col, F.col("_s.pos").alias("stop_pos"), F.col("_s")[order_col].alias("stop_" + order_col),
         F.col("_s")[height_col].alias("stop_height"))
+
+
+def sample_n(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
+    """O-L5: n rows picked by a seeded hash of the id — the same rows on every
+    run, retry and partitioning (``rand()`` would not be); planned as a
+    top-k (each task keeps n candidates), never a full sort."""
+    return df.orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), F.col(id_col)).limit(n)

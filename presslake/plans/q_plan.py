@@ -203,3 +203,9 @@ def q_progress_buckets(spark, sf):
     w = F.window(F.col("ts").cast("timestamp"), "1 hour")
     return ev.groupBy(w.alias("w"), "event_type").agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(
         F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "n")
+
+
+@query("sample_rows", None, op="O-L5 (rows-only: seeded hash order)")
+def q_sample_rows(spark, sf):
+    d = table(spark, sf, "documents", spread_rows=False).select("doc_id", "lang", "source")
+    return P.sample_n(d, "doc_id", 20, seed=42)

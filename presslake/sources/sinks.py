@@ -22,8 +22,13 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_partitioned(df: DataFrame, path: str, keys, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """O-K2: one folder per key value (edition, year/month, run time) — later
-    reads prune partitions by those keys."""
-    w = df.repartition(*keys).write.mode(mode).partitionBy(*keys)
+    reads prune partitions by those keys.
+
+    ``rebalance`` (not ``repartition``) clusters rows by key so each key
+    gets few files, and lets AQE split a hot key's partition (one edition
+    may hold a third of all rows) into advisory-size pieces for parallel
+    writers while coalescing the small ones."""
+    w = df.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys)
     getattr(w, fmt)(path)
 
 

@@ -152,3 +152,11 @@ def test_synthetic_urls_unique_and_in_domain(spark):
     # partition-independent: same result after repartition
     again = E.queries()["synthetic_urls"](spark, SF_SMALL)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_sample_n_stable_under_repartition(spark):
+    from presslake.operators.planning import sample_n
+    d = table(spark, SF_SMALL, "documents").select("doc_id")
+    a = sorted(r.doc_id for r in sample_n(d, "doc_id", 7).collect())
+    b = sorted(r.doc_id for r in sample_n(d.repartition(5), "doc_id", 7).collect())
+    assert a == b and len(a) == 7
