@@ -253,3 +253,30 @@ def q_url_normalize(spark, sf):
     doubled = F.concat(F.upper(sh), F.lit("//"), F.substring(F.col("url"), F.length(sh) + 2, 1 << 30), F.lit("/"))
     u = p.select("page_id", F.col("url").alias("raw")).unionByName(p.select("page_id", doubled.alias("raw")))
     return u.select("page_id", "raw", normalize_url("raw").alias("url_key"))
+
+
+_HARVEST_SQL = f"""
+WITH {_LINKS},
+u AS (SELECT url, page_id * 100000 AS pos FROM pages
+      UNION ALL SELECT {_abs_sql('href', 'url')} AS url, page_id * 100000 + pos + 1 AS pos FROM links),
+n AS (SELECT url, pos, {S.normalize_url('url')} AS url_key FROM u),
+f AS (SELECT url_key, arg_min(url, pos) AS url FROM n GROUP BY url_key),
+p AS (SELECT {S.normalize_url('url')} AS url_key, page_id, html FROM pages),
+j AS (SELECT f.url, p.page_id,
+             {S.first_text(S.inner_first(S.clean('p.html'), 'article'), 'h1')} AS title
+      FROM f LEFT JOIN p ON f.url_key = p.url_key)
+SELECT {S.host('url')} AS site, CAST(count(*) AS BIGINT) AS n_urls,
+       CAST(count(page_id) AS BIGINT) AS n_ok, CAST(count(*) - count(page_id) AS BIGINT) AS n_lost,
+       CAST(count(*) FILTER (WHERE page_id IS NOT NULL AND title IS NOT NULL) AS BIGINT) AS n_with_title
+FROM j GROUP BY 1
+"""
+
+
+@query("harvest_run", _HARVEST_SQL, op="§3.1 article harvest: O-S1 O-W1 O-J1 O-X23 O-P1 O-A8 Q8")
+def q_harvest_run(spark, sf):
+    from presslake.operators.harvest import harvest, harvest_report
+    pages = table(spark, sf, "pages")
+    links = X.page_links(pages, absolute=True)
+    urls = pages.select("url", (F.col("page_id") * 100000).alias("pos")).unionByName(
+        links.select(F.col("abs_url").alias("url"), (F.col("page_id") * 100000 + F.col("pos") + 1).alias("pos")))
+    return harvest_report(harvest(urls, pages))

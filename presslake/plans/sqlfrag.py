@@ -71,3 +71,14 @@ def host(url: str) -> str:
 
 def scheme_host(url: str) -> str:
     return f"regexp_extract({url}, {lit(SCHEME_HOST_RE)}, 1)"
+
+
+def normalize_url(x: str) -> str:
+    """SQL twin of ``functions.urls.normalize_url`` (single expression)."""
+    s = f"regexp_replace({strip(x)}, '#.*$', '')"
+    sh = f"regexp_extract({s}, {lit(SCHEME_HOST_RE)}, 1)"
+    rest = f"substring({s}, length({sh}) + 1)"
+    path = f"regexp_replace(regexp_extract({rest}, '^([^?]*)', 1), '/{{2,}}', '/', 'g')"
+    path = f"regexp_replace({path}, '(.)/$', '\\1')"
+    query = f"regexp_extract({rest}, '(\\?.*)$', 1)"
+    return f"(lower({sh}) || CASE WHEN {path} = '/' THEN '' ELSE {path} END || {query})"
