@@ -80,7 +80,7 @@ def test_splitlines_extra_breaks(spark):
 
 
 @pytest.mark.parametrize("raw,key", [
-    ("https://bzb.example//arhiva/x/", "https://bzb.example/arhiva/x"),
+    ("https://press.example//arhiva/x/", "https://press.example/arhiva/x"),
     ("HTTPS://H.Example/a#frag", "https://h.example/a"),
     ("  https://h.example/list?page=2  ", "https://h.example/list?page=2"),
     ("https://h.example/", "https://h.example"),
