@@ -88,7 +88,7 @@ def paragraphs(article_markup, drop_blank: bool = False) -> Column:
     a = F.regexp_replace(F.coalesce(col_(article_markup), F.lit("")), "\\x{01}", "")
     s = F.regexp_replace(a, r"(?i)<p\b[^>]*>", sep)
     s = F.regexp_replace(s, r"^[^\x{01}]*", "")             # before the first <p>
-    s = F.regexp_replace(s, r"</p>[^\x{01}]*", "")          # after a </p>
+    s = F.regexp_replace(s, r"(?i)</p>[^\x{01}]*", "")      # after a </p>
     s = F.regexp_replace(s, r"<[^>\x{01}]*>", "")           # tags inside a paragraph
     s = decode_entities(s)
     s = F.regexp_replace(s, f"{PY_SPACE}*\\x{{01}}{PY_SPACE}*", sep)

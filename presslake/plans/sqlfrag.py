@@ -62,7 +62,7 @@ def hrefs(x: str) -> str:
 
 def paragraphs(article: str) -> str:
     parts = f"regexp_split_to_array(coalesce({article}, ''), '(?i)<p\\b[^>]*>')"
-    return f"list_transform(({parts})[2:], lambda s: {strip(text_of("split_part(s, '</p>', 1)"))})"
+    return f"list_transform(({parts})[2:], lambda s: {strip(text_of("regexp_extract(s, '(?is)^(.*?)(?:</p>|$)', 1)"))})"
 
 
 def host(url: str) -> str:
