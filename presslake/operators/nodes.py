@@ -144,7 +144,7 @@ class _Tree(HTMLParser):
             self._close_top(len(self.html))
 
 
-def _shred_one(page_id, html, cols):
+def _shred_one(page_id, html, cols, with_text=True):
     """Append the node rows of one page to the column lists ``cols``."""
     t = _Tree(html or "")
     try:
@@ -168,8 +168,13 @@ def _shred_one(page_id, html, cols):
         c_tag.append(r[5])
         c_attrs.append(list(r[6].items()))
         c_path.append(r[7])
-        c_text.append("".join(pieces[r[8]:r[9]]))
-        c_own.append(None if r[4] == "text" else "".join(pieces[rows[c][8]] for c in r[10] if rows[c][4] == "text"))
+        if with_text or r[4] == "text":
+            c_text.append("".join(pieces[r[8]:r[9]]))
+            c_own.append(None if r[4] == "text" else
+                         "".join(pieces[rows[c][8]] for c in r[10] if rows[c][4] == "text"))
+        else:
+            c_text.append(None)
+            c_own.append(None)
         c_s.append(r[11])
         c_e.append(r[12])
 
@@ -188,24 +193,31 @@ def _arrow_schema():
                       ("own_text", pa.string()), ("src_start", pa.int32()), ("src_end", pa.int32())])
 
 
-def _shred_arrow(it):
-    """Arrow batches of pages in, Arrow batches of nodes out (no pandas
-    object columns in between)."""
-    import pyarrow as pa
-    schema = _arrow_schema()
-    for batch in it:
-        ids = batch.column("page_id").to_pylist()
-        htmls = batch.column("html").to_pylist()
-        cols = [[] for _ in _COLS]
-        for pid, html in zip(ids, htmls):
-            _shred_one(pid, html, cols)
-        yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema)], schema=schema)
-
-
-def shred(pages: DataFrame) -> DataFrame:
+def _shred_arrow_fn(with_text: bool):
+    def _shred_arrow(it):
+        """Arrow batches of pages in, Arrow batches of nodes out (no pandas
+        object columns in between)."""
+        import pyarrow as pa
+        schema = _arrow_schema()
+        for batch in it:
+            ids = batch.column("page_id").to_pylist()
+            htmls = batch.column("html").to_pylist()
+            cols = [[] for _ in _COLS]
+            for pid, html in zip(ids, htmls):
+                _shred_one(pid, html, cols, with_text)
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema)],
+                                             schema=schema)
+    return _shred_arrow
+
+
+def shred(pages: DataFrame, with_text: bool = True) -> DataFrame:
     """``pages(page_id, html)`` → node table.  Narrow (no shuffle): every page
-    is shredded inside the task that read it (``mapInArrow``)."""
-    return pages.select("page_id", "html").mapInArrow(_shred_arrow, NODE_SCHEMA)
+    is shredded inside the task that read it (``mapInArrow``).
+
+    Columns produced in Python cannot be pruned by Catalyst, so a caller
+    that reads no element text (counts, attributes, positions) passes
+    ``with_text=False`` and the shredder skips building it."""
+    return pages.select("page_id", "html").mapInArrow(_shred_arrow_fn(with_text), NODE_SCHEMA)
 
 
 def materialize_nodes(pages: DataFrame, path: str) -> DataFrame:

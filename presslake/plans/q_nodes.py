@@ -25,8 +25,8 @@ def _cnt(x: str, pat: str) -> str:
     return f"CAST(len(regexp_extract_all(coalesce({x}, ''), {S.lit(pat)})) AS BIGINT)"
 
 
-def _nodes(spark, sf):
-    return N.shred(table(spark, sf, "pages"))
+def _nodes(spark, sf, with_text: bool = True):
+    return N.shred(table(spark, sf, "pages"), with_text=with_text)
 
 
 def _pages(spark, sf):
@@ -55,7 +55,7 @@ def q_sel_descendant(spark, sf):
 WITH {_BASE} SELECT page_id, {_cnt('nav', '(?i)<a\\b')} AS n_links FROM b
 """, op="O-X5 (3-step chain)")
 def q_sel_nav_links(spark, sf):
-    m = SL.select(_nodes(spark, sf), Sel.tag("nav").descendant(Sel.tag("li")).descendant(Sel.tag("a")))
+    m = SL.select(_nodes(spark, sf, with_text=False), Sel.tag("nav").descendant(Sel.tag("li")).descendant(Sel.tag("a")))
     return _count_per_page(spark, sf, m, "n_links")
 
 
@@ -63,7 +63,7 @@ def q_sel_nav_links(spark, sf):
 WITH {_BASE} SELECT page_id, {_cnt('nav', '(?i)<li\\b')} AS n_li FROM b
 """, op="O-X6")
 def q_sel_child(spark, sf):
-    m = SL.select(_nodes(spark, sf), Sel.tag("nav").child(Sel.tag("ul")).child(Sel.tag("li")))
+    m = SL.select(_nodes(spark, sf, with_text=False), Sel.tag("nav").child(Sel.tag("ul")).child(Sel.tag("li")))
     return _count_per_page(spark, sf, m, "n_li")
 
 
@@ -102,7 +102,7 @@ WITH {_BASE}
 SELECT page_id, {_cnt('art', '(?i)<h1\\b')} + {_cnt('art', '(?i)<p\\b')} AS n_blocks FROM b
 """, op="O-X10 O-X6")
 def q_sel_is(spark, sf):
-    m = SL.select(_nodes(spark, sf), Sel.tag("article").child(Sel.any().is_("h1", "p")))
+    m = SL.select(_nodes(spark, sf, with_text=False), Sel.tag("article").child(Sel.any().is_("h1", "p")))
     return _count_per_page(spark, sf, m, "n_blocks")
 
 
@@ -113,7 +113,7 @@ SELECT page_id, {_cnt('c', '(?i)<div\\b')} - {_cnt('c', '(?i)<div\\b[^>]*\\bclas
 FROM b
 """, op="O-X11")
 def q_sel_not_attr(spark, sf):
-    nodes = _nodes(spark, sf)
+    nodes = _nodes(spark, sf, with_text=False)
     d = _count_per_page(spark, sf, SL.select(nodes, Sel.tag("div").without_attr("class")), "n_div_plain")
     p = _count_per_page(spark, sf, SL.select(nodes, Sel.tag("article").descendant(Sel.tag("p").without_attr("class"))),
                         "n_p_plain")
@@ -124,7 +124,7 @@ def q_sel_not_attr(spark, sf):
 WITH {_BASE} SELECT page_id, {_cnt('c', '<[aA]\\b[^>]*\\bhref="/t')} AS n_t_links FROM b
 """, op="O-X12")
 def q_sel_attr_prefix(spark, sf):
-    m = SL.select(_nodes(spark, sf), Sel.tag("a").attr_prefix("href", "/t"))
+    m = SL.select(_nodes(spark, sf, with_text=False), Sel.tag("a").attr_prefix("href", "/t"))
     return _count_per_page(spark, sf, m, "n_t_links")
 
 
@@ -152,7 +152,7 @@ def q_sel_class(spark, sf):
 WITH {_BASE} SELECT page_id, {_cnt('nav', '(?i)<a\\b')} + {_cnt('art', '(?i)<p\\b')} AS n_matches FROM b
 """, op="O-X13")
 def q_sel_list(spark, sf):
-    m = SL.select_union(_nodes(spark, sf), Sel.tag("nav").descendant(Sel.tag("a")),
+    m = SL.select_union(_nodes(spark, sf, with_text=False), Sel.tag("nav").descendant(Sel.tag("a")),
                         Sel.tag("article").descendant(Sel.tag("p")))
     return _count_per_page(spark, sf, m, "n_matches")
 
@@ -177,7 +177,7 @@ WITH t AS (SELECT lower(unnest(regexp_extract_all(regexp_replace(html, '(?s)<!--
 SELECT tag, CAST(count(*) AS BIGINT) AS n FROM t GROUP BY tag
 """, op="node shred")
 def q_node_inventory(spark, sf):
-    n = _nodes(spark, sf).where(F.col("kind") == "element")
+    n = _nodes(spark, sf, with_text=False).where(F.col("kind") == "element")
     return n.groupBy("tag").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
