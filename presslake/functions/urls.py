@@ -51,25 +51,36 @@ def normalize_url(c, keep_query: bool = True) -> Column:
     return F.concat(F.lower(sh), path, query)
 
 
-def absolutize(href, base_url) -> Column:
-    """O-X15: browser-style ``a.href`` for the href shapes that occur.
+def base_parts(base_url) -> Column:
+    """The parts of a base URL that link resolution needs, as one struct —
+    computed once per page, before its links are exploded."""
+    b = col_(base_url)
+    sh = scheme_host(b)
+    nofrag = strip_fragment(b)
+    path = strip_query(nofrag)
+    bdir = F.regexp_replace(path, r"[^/]*$", "")
+    bdir = F.when(bdir == sh, F.concat(sh, F.lit("/"))).otherwise(bdir)
+    return F.struct(sh.alias("sh"), F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1).alias("scheme"),
+                    nofrag.alias("nofrag"), path.alias("path"), bdir.alias("dir"))
+
+
+def absolutize_with(href, parts) -> Column:
+    """O-X15 with precomputed :func:`base_parts`: browser-style ``a.href``.
 
     absolute → as is; ``//h/x`` → base scheme; ``/x`` → scheme+host; ``#f`` →
     base without fragment + ``#f``; ``?q`` → base path + ``?q``; relative →
-    base directory + href.
-    """
-    h, b = col_(href), col_(base_url)
-    sh = scheme_host(b)
-    scheme = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
-    base_nofrag = strip_fragment(b)
-    base_path = strip_query(base_nofrag)
-    base_dir = F.regexp_replace(base_path, r"[^/]*$", "")
-    base_dir = F.when(base_dir == F.concat(sh, F.lit("")), F.concat(sh, F.lit("/"))).otherwise(base_dir)
+    base directory + href."""
+    h, p = col_(href), col_(parts)
     return (F.when(h.isNull(), F.lit(None).cast("string"))
             .when(h.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), h)
-            .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-            .when(h.startswith("/"), F.concat(sh, h))
-            .when(h.startswith("#"), F.concat(base_nofrag, h))
-            .when(h.startswith("?"), F.concat(base_path, h))
-            .when(h == "", base_nofrag)
-            .otherwise(F.concat(base_dir, h)))
+            .when(h.startswith("//"), F.concat(p["scheme"], F.lit(":"), h))
+            .when(h.startswith("/"), F.concat(p["sh"], h))
+            .when(h.startswith("#"), F.concat(p["nofrag"], h))
+            .when(h.startswith("?"), F.concat(p["path"], h))
+            .when(h == "", p["nofrag"])
+            .otherwise(F.concat(p["dir"], h)))
+
+
+def absolutize(href, base_url) -> Column:
+    """O-X15 for a single (href, base) pair; see :func:`absolutize_with`."""
+    return absolutize_with(href, base_parts(base_url))

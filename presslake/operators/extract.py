@@ -12,7 +12,19 @@ from pyspark.sql import functions as F
 
 from presslake.functions import html as H
 from presslake.functions.text import py_strip
-from presslake.functions.urls import absolutize, host
+from presslake.functions.urls import absolutize_with, base_parts, host
+
+
+def explode_items(df: DataFrame, keep, array_col, pos: str = "pos", val: str = "value") -> DataFrame:
+    """One row per array element with its 0-based position; empty / NULL
+    arrays give no row.
+
+    Uses ``posexplode_outer`` + a NULL filter instead of ``posexplode``: for
+    the plain generator Catalyst infers ``size(array) > 0`` and pushes it to
+    the scan, which would evaluate the (expensive) array expression twice —
+    once below any repartition, i.e. without its parallelism."""
+    out = df.select(*keep, F.posexplode_outer(array_col).alias(pos, val))
+    return out.where(F.col(pos).isNotNull())
 
 
 def cleaned(pages: DataFrame, cols=("page_id", "url")) -> DataFrame:
@@ -76,16 +88,18 @@ def extract_articles_full(pages: DataFrame, sentinels: dict | None = None) -> Da
 def page_links(pages: DataFrame, absolute: bool = False) -> DataFrame:
     """O-X14/O-X20: one row per link ``(page_id, url, pos, href)`` in page order."""
     c = pages.select("page_id", "url", H.hrefs(H.clean_html("html")).alias("hrefs"))
-    out = c.select("page_id", "url", F.posexplode("hrefs").alias("pos", "href"))
-    if absolute:
-        out = out.withColumn("abs_url", absolutize("href", "url"))
-    return out
+    if not absolute:
+        return explode_items(c, ["page_id", "url"], "hrefs", "pos", "href")
+    # base-URL parts once per page, then explode the page's links
+    c = c.withColumn("_base", base_parts("url"))
+    out = explode_items(c, ["page_id", "url", "_base"], "hrefs", "pos", "href")
+    return out.withColumn("abs_url", absolutize_with("href", "_base")).drop("_base")
 
 
 def article_paragraphs(pages: DataFrame, drop_blank: bool = False) -> DataFrame:
     """O-X16: ``(page_id, pos, text)`` one row per paragraph."""
     c = cleaned(pages)
-    return c.select("page_id", F.posexplode(H.paragraphs(F.col("article"), drop_blank)).alias("pos", "text"))
+    return explode_items(c, ["page_id"], H.paragraphs(F.col("article"), drop_blank), "pos", "text")
 
 
 def article_text(pages: DataFrame) -> DataFrame:

@@ -19,17 +19,19 @@ from presslake.operators.urls import first_occurrence, lookup
 
 def harvest(urls: DataFrame, pages: DataFrame, order_col: str = "pos") -> DataFrame:
     """``urls(url, <order_col>)`` + ``pages(page_id, url, html[, status])`` →
-    one article record per distinct URL with ``outcome`` ok / error / lost."""
+    one article record per distinct URL with ``outcome`` ok / error / lost.
+
+    Extraction runs on the pages first (narrow); only the extracted record,
+    never the HTML, goes through the lookup join."""
     keyed = urls.select(normalize_url("url").alias("url_key"), "url", order_col)
     first = first_occurrence(keyed, "url_key", order_col, keep=["url"])
-    got = pages.select(normalize_url("url").alias("url_key"), "page_id", "html",
-                       *(["status"] if "status" in pages.columns else []))
-    if "status" not in got.columns:
+    if "status" not in pages.columns:
         # a landed page without a recorded status was fetched successfully
-        got = got.withColumn("status", F.lit(200))
-    joined = lookup(first, got, "url_key")
-    arts = extract_articles_full(joined.select("page_id", "url", "status", "html"))
-    return arts.withColumn("outcome", outcome("status")).withColumn("site", host("url"))
+        pages = pages.withColumn("status", F.lit(200))
+    arts = (extract_articles_full(pages.select("page_id", "url", "status", "html"))
+            .withColumn("url_key", normalize_url("url")).drop("url", "site"))
+    joined = lookup(first.drop(order_col), arts, "url_key")
+    return joined.withColumn("outcome", outcome("status")).withColumn("site", host("url"))
 
 
 def harvest_report(articles: DataFrame) -> DataFrame:

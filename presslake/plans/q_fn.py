@@ -29,7 +29,8 @@ def _urls(spark, sf):
 
 def _links(spark, sf):
     p = _pages(spark, sf).select("page_id", "url", H.hrefs(H.clean_html("html")).alias("h"))
-    return p.select("page_id", "url", F.posexplode("h").alias("pos", "href")).withColumn("pos", F.col("pos").cast("bigint"))
+    from presslake.operators.extract import explode_items
+    return explode_items(p, ["page_id", "url"], "h", "pos", "href").withColumn("pos", F.col("pos").cast("bigint"))
 
 
 @query("fn_split_last", "SELECT page_id, string_split(url, '/')[-1] AS last_part FROM pages", op="O-F1")

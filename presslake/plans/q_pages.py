@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from presslake.functions import html as H
 from presslake.functions.text import path_tail_name, split_last
-from presslake.functions.urls import absolutize, host, normalize_url, scheme_host
+from presslake.functions.urls import absolutize, absolutize_with, base_parts, host, normalize_url, scheme_host
 from presslake.operators import extract as X
 from presslake.operators import pagination as PG
 from presslake.plans import sqlfrag as S
@@ -148,12 +148,10 @@ FROM walk GROUP BY conv_id
 """, op="O-T1")
 def q_follow_next(spark, sf):
     c = table(spark, sf, "conversations", spread_rows=False)
-    c.select(F.col("conv_id").alias("src_key"), F.col("turn").alias("src"),
-             (F.col("turn") + 1).alias("dst")).createOrReplaceTempView("_pl_next_edges")
-    # an edge exists only where the next turn exists
-    spark.sql("""SELECT e.src_key, e.src, e.dst FROM _pl_next_edges e
-                 JOIN _pl_next_edges f ON f.src_key = e.src_key AND f.src = e.dst""").createOrReplaceTempView(
-        "_pl_edges")
+    # the "next" link into every existing turn (from the turn before it): a
+    # projection, so each recursion step joins the frontier with one scan
+    c.where(F.col("turn") >= 1).select(F.col("conv_id").alias("src_key"), (F.col("turn") - 1).alias("src"),
+                                       F.col("turn").alias("dst")).createOrReplaceTempView("_pl_edges")
     c.where(F.col("turn") == 0).select(F.col("conv_id").alias("src_key"), F.col("turn").alias("src")) \
         .createOrReplaceTempView("_pl_start")
     w = PG.follow_next(spark, "_pl_edges", "_pl_start")
@@ -174,8 +172,9 @@ SELECT lang AS section_title, {S.host('url')} AS edition, page_id, pos AS link_p
 def q_section_links(spark, sf):
     p = table(spark, sf, "pages").select("page_id", "url", H.clean_html("html").alias("c"))
     # sections (here: the page language) → links, parent columns carried down
-    s = p.select("page_id", host("url").alias("edition"), H.html_lang("c").alias("section_title"),
-                 F.posexplode(H.hrefs("c")).alias("link_pos", "href"))
+    s = X.explode_items(p.select("page_id", host("url").alias("edition"), H.html_lang("c").alias("section_title"),
+                                 H.hrefs("c").alias("_h")),
+                        ["page_id", "edition", "section_title"], "_h", "link_pos", "href")
     return s.select("section_title", "edition", "page_id", F.col("link_pos").cast("bigint").alias("link_pos"), "href")
 
 
@@ -201,9 +200,11 @@ def q_listing_links(spark, sf):
     # the spec table is a fixed handful of rows: broadcast of proven size
     s = p.join(F.broadcast(spec), "site_key")
     scope = F.when(F.col("scope") == "nav", H.inner_first("c", "nav")).otherwise(H.inner_first("c", "article"))
-    s = s.select("page_id", "url", "site_key", F.posexplode(H.hrefs(F.coalesce(scope, F.lit("")))).alias("pos", "href"))
+    s = X.explode_items(s.select("page_id", base_parts("url").alias("_base"), "site_key",
+                                 H.hrefs(F.coalesce(scope, F.lit(""))).alias("_h")),
+                        ["page_id", "_base", "site_key"], "_h", "pos", "href")
     return s.select("page_id", "site_key", F.col("pos").cast("bigint").alias("pos"),
-                    absolutize("href", "url").alias("link"))
+                    absolutize_with("href", "_base").alias("link"))
 
 
 @query("asset_manifest", f"""

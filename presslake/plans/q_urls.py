@@ -157,8 +157,9 @@ _HREFS = f"""links AS (
 def _links(spark, sf):
     p = table(spark, sf, "pages")
     c = p.select("page_id", "url", H.clean_html("html").alias("c"))
-    return c.select("page_id", host("url").alias("host"), H.html_lang("c").alias("lang"),
-                    F.posexplode(H.hrefs("c")).alias("pos", "href")).withColumn("pos", F.col("pos").cast("bigint"))
+    c = c.select("page_id", host("url").alias("host"), H.html_lang("c").alias("lang"), H.hrefs("c").alias("_h"))
+    return X.explode_items(c, ["page_id", "host", "lang"], "_h", "pos", "href").withColumn(
+        "pos", F.col("pos").cast("bigint"))
 
 
 _FIRST_PAGE = """first_page AS (SELECT host, min(page_id) AS page_id FROM links GROUP BY host)"""
