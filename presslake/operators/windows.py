@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 
 
 def _auto_buckets(df: DataFrame) -> int:
-    """Sub-buckets scale with the input: ~4 per input partition (≥ 64), so a
-    window task holds ~1/4 of an input split even when one group has most rows."""
+    """Sub-buckets scale with the input: ~4 per input partition (64 .. 65,536),
+    so a window task holds ~1/4 of an input split even when one group has most
+    rows, and the global offsets table stays a few MB."""
     try:
-        return max(64, 4 * df.rdd.getNumPartitions())
+        return min(max(64, 4 * df.rdd.getNumPartitions()), 1 << 16)
     except Exception:  # no RDD access (e.g. Spark Connect)
         return 1024
 
