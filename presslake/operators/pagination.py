@@ -82,20 +82,22 @@ def romanian_date(text) -> Column:
     return F.try_to_date(F.concat_ws("-", y, m, d), "yyyy-MM-dd")
 
 
-def follow_next(spark, edges_view: str, start_view: str, max_depth: int = 100) -> DataFrame:
+def follow_next(spark, edges: DataFrame, start: DataFrame, max_depth: int = 100) -> DataFrame:
     """O-T1: follow ``next`` links from each start until there is none.
 
-    ``edges_view(src_key, src, dst)`` and ``start_view(src_key, src)`` are
-    temp views; the traversal is a recursive CTE (one join per level) and
-    returns ``(src_key, node, depth)``.
+    ``edges(src_key, src, dst)`` and ``start(src_key, src)``; the traversal
+    is a recursive CTE (one join per level, depth ≤ ``max_depth`` and
+    ``spark.sql.cteRecursionLevelLimit``) and returns ``(src_key, node,
+    depth)``.  The DataFrames are passed as SQL arguments, so no named
+    views are created in the session.
     """
     return spark.sql(f"""
         WITH RECURSIVE walk(src_key, node, depth) AS (
-          SELECT src_key, src, 0 FROM {start_view}
+          SELECT src_key, src, 0 FROM {{start}}
           UNION ALL
           SELECT w.src_key, e.dst, w.depth + 1
-          FROM walk w JOIN {edges_view} e ON e.src_key = w.src_key AND e.src = w.node
+          FROM walk w JOIN {{edges}} e ON e.src_key = w.src_key AND e.src = w.node
           WHERE w.depth < {int(max_depth)}
         )
         SELECT src_key, node, depth FROM walk
-    """)
+    """, edges=edges, start=start)

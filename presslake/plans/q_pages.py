@@ -150,11 +150,10 @@ def q_follow_next(spark, sf):
     c = table(spark, sf, "conversations", spread_rows=False)
     # the "next" link into every existing turn (from the turn before it): a
     # projection, so each recursion step joins the frontier with one scan
-    c.where(F.col("turn") >= 1).select(F.col("conv_id").alias("src_key"), (F.col("turn") - 1).alias("src"),
-                                       F.col("turn").alias("dst")).createOrReplaceTempView("_pl_edges")
-    c.where(F.col("turn") == 0).select(F.col("conv_id").alias("src_key"), F.col("turn").alias("src")) \
-        .createOrReplaceTempView("_pl_start")
-    w = PG.follow_next(spark, "_pl_edges", "_pl_start")
+    edges = c.where(F.col("turn") >= 1).select(F.col("conv_id").alias("src_key"), (F.col("turn") - 1).alias("src"),
+                                               F.col("turn").alias("dst"))
+    start = c.where(F.col("turn") == 0).select(F.col("conv_id").alias("src_key"), F.col("turn").alias("src"))
+    w = PG.follow_next(spark, edges, start)
     return w.groupBy(F.col("src_key").alias("conv_id")).agg(
         F.max("depth").cast("bigint").alias("last_depth"), F.count(F.lit(1)).cast("bigint").alias("n_visited"))
 
