@@ -57,6 +57,20 @@ def read_url_list(spark: SparkSession, path: str, keep_blank: bool = False) -> D
     return lines.select(site.alias("site"), "file", pos.alias("pos"), "url")
 
 
+def read_categories(spark: SparkSession, path: str, slug_part: int | None = 4) -> DataFrame:
+    """O-S2: category seed pages — a URL list plus ``category_slug``: path
+    part ``slug_part`` (``url.split("/")[4]``), or, when ``slug_part`` is
+    None, the last path part without ``.html``; query-string seeds keep
+    their ``catid`` value."""
+    df = read_url_list(spark, path)
+    if slug_part is not None:
+        slug = F.get(F.split(F.regexp_replace("url", r"[?#].*$", ""), "/"), slug_part)
+    else:
+        slug = F.regexp_extract("url", r"([^/?#]+?)(?:\.html)?(?:[?#].*)?$", 1)
+    catid = F.regexp_extract("url", r"[?&]catid=([^&#]*)", 1)
+    return df.withColumn("category_slug", F.when(catid != "", catid).otherwise(slug))
+
+
 def read_articles_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """O-S9: JSON lines back with the fixed article schema (never inferred:
     rows drift between sites and between ok and error records)."""

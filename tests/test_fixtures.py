@@ -108,3 +108,20 @@ def test_expand_pages_guard(spark):
     assert [(r.k, r.page_no) for r in out] == [(2, 2), (2, 3)]
     skip = PG.expand_pages(df, "n", skip_last=True).collect()
     assert [(r.k, r.page_no) for r in skip] == [(2, 2)]
+
+
+def test_read_categories(spark, scratch):
+    import os
+    from presslake.sources.readers import read_categories
+    p = os.path.join(scratch, "categories-demo.txt")
+    with open(p, "w") as f:
+        f.write("https://site.example/categorie/actualitate/\nhttps://site.example/categorie/sport\n"
+                "https://m.example/index.php?option=x&limit=36&catid=12:local&Itemid=7\n")
+    rows = {r.url: r.category_slug for r in read_categories(spark, p).collect()}
+    assert rows["https://site.example/categorie/actualitate/"] == "actualitate"
+    assert rows["https://site.example/categorie/sport"] == "sport"
+    assert rows["https://m.example/index.php?option=x&limit=36&catid=12:local&Itemid=7"] == "12:local"
+    q = os.path.join(scratch, "categories-html.txt")
+    with open(q, "w") as f:
+        f.write("https://b.example/stiri/politica.html\n")
+    assert read_categories(spark, q, slug_part=None).first().category_slug == "politica"
