@@ -7,8 +7,6 @@ is what makes a retried job idempotent.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,28 +54,38 @@ def check_url_lengths(df: DataFrame, col: str = "url") -> DataFrame:
     return df.where(F.when(bad, F.raise_error(F.lit(f"url longer than {MAX_URL_LEN}"))).isNull())
 
 
-def _versions(path: str):
-    if not os.path.isdir(path):
-        return []
-    return sorted(int(d[2:]) for d in os.listdir(path) if d.startswith("v=") and d[2:].isdigit())
+def _current_version(spark: SparkSession, path: str) -> int | None:
+    """Highest committed version of the table at ``path`` (a partition value,
+    so any storage Spark can list works — no local-filesystem calls)."""
+    try:
+        return spark.read.parquet(path).agg(F.max("v")).first()[0]
+    except Exception:  # no table yet
+        return None
 
 
 def read_versioned(spark: SparkSession, path: str) -> DataFrame | None:
-    v = _versions(path)
-    return spark.read.parquet(os.path.join(path, f"v={v[-1]}")) if v else None
+    """The current version of a versioned table (partition pruning on ``v``)."""
+    v = _current_version(spark, path)
+    if v is None:
+        return None
+    return spark.read.parquet(path).where(F.col("v") == v).drop("v")
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: str = "url", seq: str = "seq") -> int:
     """O-K9 persisted: insert-or-replace ``batch`` into the table at ``path``.
 
-    Each upsert writes a new version folder ``v=<n>`` (the old version stays
-    readable until the write succeeds, so a failed or retried run never
-    leaves a half-written table).  Returns the new version number.
+    Each upsert appends a new version (partition ``v=<n>``) through Spark's
+    commit protocol; readers take the highest version, so a failed or
+    retried run never exposes a half-written table, and the previous
+    version stays readable.  (A table format with MERGE would update in
+    place; none is available here, so this is the portable form.)
+    Returns the new version number.
     """
-    cur = read_versioned(spark, path)
+    prev = _current_version(spark, path)
+    cur = None if prev is None else spark.read.parquet(path).where(F.col("v") == prev).drop("v")
     merged = batch if cur is None else cur.unionByName(batch)
     keep = [c for c in batch.columns if c not in (key, seq)]
     out = latest(merged, key, seq, keep=keep)
-    v = (_versions(path) or [0])[-1] + 1
-    out.write.mode("overwrite").parquet(os.path.join(path, f"v={v}"))
+    v = (prev or 0) + 1
+    out.withColumn("v", F.lit(v)).write.mode("append").partitionBy("v").parquet(path)
     return v
