@@ -42,3 +42,39 @@ def harvest_report(articles: DataFrame) -> DataFrame:
         F.count_if(o == "ok").cast("bigint").alias("n_ok"),
         F.count_if(o == "lost").cast("bigint").alias("n_lost"),
         F.count_if((o == "ok") & F.col("title").isNotNull()).cast("bigint").alias("n_with_title"))
+
+
+def listing_harvest(seeds: DataFrame, pages: DataFrame, counter_tag: str = "span",
+                    counter_class: str = "pages", page_pattern: str = "{base}/page/{n}",
+                    skip_last: bool = False) -> DataFrame:
+    """The listing-harvest job of SURVEY §3.2 composed from the operators.
+
+    ``seeds(url)`` are first listing pages (editions / categories);
+    ``pages(page_id, url, html)`` is everything fetched.  Per seed: page count
+    from the ``Page x of y`` label (O-X24, lenient: unparsable → first page
+    only, Q2), page URLs 2..n (O-S5, ``skip_last`` = Q3), lookup of those
+    pages (O-J1), their links (O-X14/15), union with the seed's own links
+    (O-U1, Q1) and order-preserving distinct (O-W1).  Output
+    ``(seed_url, page_no, pos, link)``, one row per distinct link per seed.
+    """
+    from presslake.functions import html as H
+    from presslake.operators.extract import page_links
+    from presslake.operators.pagination import expand_pages, page_count, page_url
+
+    keyed_pages = pages.select(normalize_url("url").alias("url_key"), "page_id", "url", "html")
+    seed = seeds.select(F.col("url").alias("seed_url"), normalize_url("url").alias("url_key"))
+    first = seed.join(keyed_pages, "url_key", "inner")
+    label_re = f'(?is)<{counter_tag}\\b[^>]*\\bclass="[^"]*\\b{counter_class}\\b[^"]*"[^>]*>(.*?)</{counter_tag}>'
+    n = page_count(F.regexp_extract(H.clean_html("html"), label_re, 1))
+    counts = first.select("seed_url", F.greatest(n, F.lit(1)).alias("n"))
+    more = expand_pages(counts, "n", skip_last=skip_last).select(
+        "seed_url", "page_no", normalize_url(page_url(F.col("seed_url"), "page_no", page_pattern)).alias("url_key"))
+    listing = first.select("seed_url", F.lit(1).cast("bigint").alias("page_no"), "url_key").unionByName(more)
+    got = listing.join(keyed_pages.select("url_key", "page_id", "url", "html"), "url_key", "inner")
+    links = page_links(got.select("page_id", "url", "html"), absolute=True).join(
+        got.select("page_id", "seed_url", "page_no"), "page_id")
+    ordered = links.select("seed_url", "page_no", "pos", F.col("abs_url").alias("link"),
+                           (F.col("page_no") * F.lit(1 << 20) + F.col("pos")).alias("_order"))
+    firsts = first_occurrence(ordered.withColumn("_k", F.concat_ws("\u0001", "seed_url", "link")),
+                              "_k", "_order", keep=["seed_url", "page_no", "pos", "link"])
+    return firsts.drop("_k", "_order")

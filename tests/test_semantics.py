@@ -97,3 +97,23 @@ def test_url_length_check(spark):
     bad = spark.createDataFrame([("https://a/" + "x" * 3000,)], "url string")
     with pytest.raises(Exception):
         sinks.check_url_lengths(bad).collect()
+
+
+def test_listing_harvest_follows_page_count(spark):
+    from presslake.operators.harvest import listing_harvest
+    base = "https://ed.example/numere/nr-01-ianuarie-2014"
+    p1 = ('<span class="pages">Page 1 of 3</span><h3><a href="/a1">a1</a></h3><h3><a href="/a2">a2</a></h3>')
+    p2 = '<h3><a href="/a3">a3</a></h3><h3><a href="/a1">dup</a></h3>'
+    p3 = '<h3><a href="/a4">a4</a></h3>'
+    bad = '<span class="pages">Page 1 of x</span><a href="/only">o</a>'
+    pages = spark.createDataFrame(
+        [(1, base, p1), (2, base + "/page/2", p2), (3, base + "/page/3", p3),
+         (4, "https://ed.example/numere/nr-02", bad), (5, "https://ed.example/numere/nr-02/page/2", p3)],
+        "page_id long, url string, html string")
+    seeds = spark.createDataFrame([(base,), ("https://ed.example/numere/nr-02",)], "url string")
+    out = listing_harvest(seeds, pages).orderBy("seed_url", "page_no", "pos").collect()
+    got = [(r.seed_url[-6:], r.page_no, r.link.rsplit("/", 1)[-1]) for r in out]
+    assert got == [("e-2014", 1, "a1"), ("e-2014", 1, "a2"), ("e-2014", 2, "a3"), ("e-2014", 3, "a4"),
+                   ("nr-02", 1, "only")]                                   # unparsable count → first page only
+    skip = listing_harvest(seeds.limit(1), pages, skip_last=True).count()
+    assert skip == 3                                                        # range(2, n) never visits page n
