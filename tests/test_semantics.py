@@ -114,6 +114,6 @@ def test_listing_harvest_follows_page_count(spark):
     out = listing_harvest(seeds, pages).orderBy("seed_url", "page_no", "pos").collect()
     got = [(r.seed_url[-6:], r.page_no, r.link.rsplit("/", 1)[-1]) for r in out]
     assert got == [("e-2014", 1, "a1"), ("e-2014", 1, "a2"), ("e-2014", 2, "a3"), ("e-2014", 3, "a4"),
-                   ("nr-02", 1, "only")]                                   # unparsable count → first page only
+                   ("/nr-02", 1, "only")]                                  # unparsable count → first page only
     skip = listing_harvest(seeds.limit(1), pages, skip_last=True).count()
     assert skip == 3                                                        # range(2, n) never visits page n
