@@ -117,3 +117,24 @@ def test_listing_harvest_follows_page_count(spark):
                    ("/nr-02", 1, "only")]                                  # unparsable count → first page only
     skip = listing_harvest(seeds.limit(1), pages, skip_last=True).count()
     assert skip == 3                                                        # range(2, n) never visits page n
+
+
+def test_cli_commands(spark, scratch):
+    from presslake.__main__ import main
+    from presslake.sources.tables import table
+    from conftest import SF_SMALL
+    urls = os.path.join(scratch, "articles-demo.txt")
+    with open(urls, "w") as f:
+        for r in table(spark, SF_SMALL, "pages").select("url").collect():
+            f.write(r.url + "\n")
+        f.write("https://lost.example/x\n")
+    out = os.path.join(scratch, "out")
+    main(["harvest", "--urls", urls, "--pages", f"{SF_SMALL}/pages.parquet", "--out", out])
+    arts = spark.read.json(os.path.join(out, "articles"))
+    assert arts.where("outcome = 'lost'").count() == 1
+    assert arts.where("outcome = 'ok'").count() == table(spark, SF_SMALL, "pages").count()
+    main(["links", "--pages", f"{SF_SMALL}/pages.parquet", "--out", os.path.join(scratch, "links")])
+    assert spark.read.text(os.path.join(scratch, "links")).count() > 0
+    main(["report", "--pages", f"{SF_SMALL}/pages.parquet", "--docs", f"{SF_SMALL}/documents.parquet",
+          "--out", os.path.join(scratch, "rep")])
+    assert spark.read.json(os.path.join(scratch, "rep", "languages")).count() >= 1
