@@ -131,7 +131,7 @@ SELECT url FROM ue EXCEPT ALL SELECT url FROM ue WHERE status = 'OKK'
 """, op="O-U4")
 def q_urls_minus_done(spark, sf):
     ue = _ue(spark, sf)
-    return ue.select("url").exceptAll(ue.where(F.col("status") == U.STATUS_OKK).select("url"))
+    return U.minus_all(ue.select("url"), ue.where(F.col("status") == U.STATUS_OKK).select("url"))
 
 
 @query("ordered_distinct", """

@@ -160,3 +160,11 @@ def test_sample_n_stable_under_repartition(spark):
     a = sorted(r.doc_id for r in sample_n(d, "doc_id", 7).collect())
     b = sorted(r.doc_id for r in sample_n(d.repartition(5), "doc_id", 7).collect())
     assert a == b and len(a) == 7
+
+
+def test_minus_all_matches_except_all_with_hot_row(spark):
+    left = spark.createDataFrame([("hot",)] * 500 + [("a",), ("a",), (None,), (None,), ("b",)], "url string")
+    right = spark.createDataFrame([("hot",)] * 120 + [("a",), (None,), ("c",)], "url string")
+    got = sorted((r.url or "") for r in U.minus_all(left, right, chunk=7).collect())
+    want = sorted((r.url or "") for r in left.exceptAll(right).collect())
+    assert got == want and len(got) == 380 + 1 + 1 + 1
