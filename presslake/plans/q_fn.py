@@ -200,12 +200,14 @@ def q_fn_title_preview(spark, sf):
 
 
 @query("fn_splitlines", """
-SELECT conv_id, turn, CAST(len(string_split_regex(regexp_replace(text, '(\\r\\n|[\\n\\r\\x{0b}\\x{0c}\\x{1c}\\x{1d}\\x{1e}\\x{85}\\x{2028}\\x{2029}])\\z', ''),
-       '\\r\\n|[\\n\\r\\x{0b}\\x{0c}\\x{1c}\\x{1d}\\x{1e}\\x{85}\\x{2028}\\x{2029}]')) AS BIGINT) AS n_lines
-FROM conversations WHERE text <> ''
+SELECT conv_id, turn,
+       CAST(CASE WHEN text = '' THEN 0 ELSE len(string_split_regex(
+              regexp_replace(text, '(\\r\\n|[\\n\\r\\x{0b}\\x{0c}\\x{1c}\\x{1d}\\x{1e}\\x{85}\\x{2028}\\x{2029}])\\z', ''),
+              '\\r\\n|[\\n\\r\\x{0b}\\x{0c}\\x{1c}\\x{1d}\\x{1e}\\x{85}\\x{2028}\\x{2029}]')) END AS BIGINT) AS n_lines
+FROM conversations
 """, op="O-S1 Q14")
 def q_fn_splitlines(spark, sf):
-    c = table(spark, sf, "conversations").where(F.col("text") != "")
+    c = table(spark, sf, "conversations")
     return c.select("conv_id", "turn", F.size(T.splitlines("text")).cast("bigint").alias("n_lines"))
 
 
