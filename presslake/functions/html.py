@@ -17,7 +17,12 @@ from presslake.functions.text import PY_SPACE, col_, decode_entities, py_strip,
 
 # ---- fixed values -------------------------------------------------------
 CLEAN_RE = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
-HREF_RE = r"""(?i)<a\b[^>]*?\bhref="([^"]*)\""""
+# attribute value: double-quoted, single-quoted or bare (same text in Java
+# regex and RE2: explicit white-space class, no \s)
+_WS = "[ \\t\\n\\f\\r]"
+_VAL = f"""{_WS}*={_WS}*("[^"]*"|'[^']*'|[^"'\\t\\n\\f\\r >]+)"""
+UNQUOTE_RE = """^"(.*)"$|^'(.*)'$"""  # (?s) not needed: values hold no newline ends
+HREF_RE = r"(?i)<a\b[^>]*?\bhref" + _VAL
 # Tags whose start closes an open paragraph (subset of HTML's implied end tags
 # that occurs in harvested article bodies).
 # -------------------------------------------------------------------------
@@ -60,16 +65,29 @@ def first_text(c, tag: str, default: str | None = None, strip: bool = True) -> C
     return F.coalesce(t, F.lit(default)) if default is not None else t
 
 
+def attr_pattern(tag: str, attr: str) -> str:
+    return f"(?is)<{tag}\\b[^>]*?\\b{attr}{_VAL}"
+
+
+def unquote(v) -> Column:
+    """Drop the quotes around an attribute value (``"x"`` / ``'x'`` → ``x``)."""
+    return F.regexp_replace(col_(v), "(?s)" + UNQUOTE_RE, "$1$2")
+
+
 def attr_first(c, tag: str, attr: str) -> Column:
-    """Value of ``attr`` on the first ``tag`` carrying it (NULL when none)."""
-    pat = f'(?is)<{tag}\\b[^>]*?\\b{attr}="([^"]*)"'
+    """Value of ``attr`` on the first ``tag`` carrying it (NULL when none);
+    the value may be double-, single- or un-quoted."""
+    pat = attr_pattern(tag, attr)
     c = col_(c)
-    return F.when(c.rlike(pat), F.regexp_extract(c, pat, 1))
+    return F.when(c.rlike(pat), unquote(F.regexp_extract(c, pat, 1)))
 
 
 def hrefs(c) -> Column:
-    """O-X14: every ``href`` of ``<a>`` in document order (array)."""
-    return F.regexp_extract_all(col_(c), F.lit(HREF_RE), 1)
+    """O-X14: every ``href`` of ``<a>`` in document order (array); values may
+    be double-, single- or un-quoted."""
+    raw = F.regexp_extract_all(col_(c), F.lit(HREF_RE), 1)
+    # one pass over the page; only values that start with a quote need work
+    return F.transform(raw, lambda v: F.when(v.rlike("^[\"']"), unquote(v)).otherwise(v))
 
 
 def paragraphs(article_markup, drop_blank: bool = False) -> Column:

@@ -6,7 +6,7 @@ independently of Catalyst, so a Spark result can be checked against them.
 
 from __future__ import annotations
 
-from presslake.functions.html import CLEAN_RE, HREF_RE
+from presslake.functions.html import CLEAN_RE, HREF_RE, UNQUOTE_RE, attr_pattern
 from presslake.functions.text import ENTITIES, PY_STRIP_RE
 from presslake.functions.urls import HOST_RE, SCHEME_HOST_RE
 
@@ -51,13 +51,17 @@ def first_text(x: str, tag: str) -> str:
     return strip(text_of(inner_first(x, tag)))
 
 
+def unquote(v: str) -> str:
+    return f"regexp_replace({v}, {lit('(?s)' + UNQUOTE_RE)}, '\\1\\2')"
+
+
 def attr_first(x: str, tag: str, attr: str) -> str:
-    pat = f'(?is)<{tag}\\b[^>]*?\\b{attr}="([^"]*)"'
-    return f"CASE WHEN regexp_matches({x}, {lit(pat)}) THEN regexp_extract({x}, {lit(pat)}, 1) END"
+    pat = attr_pattern(tag, attr)
+    return f"CASE WHEN regexp_matches({x}, {lit(pat)}) THEN {unquote(f'regexp_extract({x}, {lit(pat)}, 1)')} END"
 
 
 def hrefs(x: str) -> str:
-    return f"regexp_extract_all({x}, {lit(HREF_RE)}, 1)"
+    return f"list_transform(regexp_extract_all({x}, {lit(HREF_RE)}, 1), lambda v: {unquote('v')})"
 
 
 def paragraphs(article: str) -> str:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.functions.html import CLEAN_RE, HREF_RE
+from presslake.functions.html import CLEAN_RE, HREF_RE, UNQUOTE_RE
 from presslake.functions.text import PY_STRIP_RE
 from presslake.operators.pagination import COUNTER_CURRENT_WORD, COUNTER_TOTAL_WORD
 from presslake.operators.urls import insert_or_raise, normalize_status
@@ -32,7 +32,8 @@ def _lit(s: str) -> str:
 def register_sql_functions(spark: SparkSession) -> list[str]:
     defs = {
         "pl_clean_html": f"(html STRING) RETURNS STRING RETURN regexp_replace(html, {_lit(CLEAN_RE)}, '')",
-        "pl_hrefs": f"(html STRING) RETURNS ARRAY<STRING> RETURN regexp_extract_all(html, {_lit(HREF_RE)}, 1)",
+        "pl_hrefs": (f"(html STRING) RETURNS ARRAY<STRING> RETURN transform(regexp_extract_all(html, {_lit(HREF_RE)}, 1), "
+                     f"v -> regexp_replace(v, {_lit('(?s)' + UNQUOTE_RE)}, '$1$2'))"),
         "pl_strip": f"(x STRING) RETURNS STRING RETURN regexp_replace(x, {_lit(PY_STRIP_RE)}, '')",
         "pl_page_count": ("(label STRING) RETURNS INT RETURN "
                           "coalesce(try_cast(element_at(split(coalesce(label, ''), ' '), -1) AS INT), 0)"),
@@ -45,8 +46,9 @@ def register_sql_functions(spark: SparkSession) -> list[str]:
     spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION pl_links(html STRING)
                   RETURNS TABLE(pos INT, href STRING)
                   RETURN SELECT pos, col AS href FROM
-                    (SELECT posexplode(regexp_extract_all(regexp_replace(html, {_lit(CLEAN_RE)}, ''),
-                                                          {_lit(HREF_RE)}, 1)))""")
+                    (SELECT posexplode(transform(regexp_extract_all(regexp_replace(html, {_lit(CLEAN_RE)}, ''),
+                                                                    {_lit(HREF_RE)}, 1),
+                                                 v -> regexp_replace(v, {_lit('(?s)' + UNQUOTE_RE)}, '$1$2'))))""")
     return [*defs, "pl_links"]
 
 

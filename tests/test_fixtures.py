@@ -125,3 +125,11 @@ def test_read_categories(spark, scratch):
     with open(q, "w") as f:
         f.write("https://b.example/stiri/politica.html\n")
     assert read_categories(spark, q, slug_part=None).first().category_slug == "politica"
+
+
+def test_href_and_attr_quoting(spark):
+    from presslake.functions import html as H
+    page = """<a href="/d">d</a><A HREF='/s'>s</A><a class=x href=/u>u</a><a name=n>no</a><img src='/i.png'>"""
+    assert _one(spark, H.hrefs, page) == ["/d", "/s", "/u"]
+    assert _one(spark, lambda c: H.attr_first(c, "img", "src"), page) == "/i.png"
+    assert _one(spark, lambda c: H.attr_first(c, "img", "alt"), page) is None
