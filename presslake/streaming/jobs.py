@@ -48,11 +48,14 @@ def append_articles(pages: DataFrame, out_path: str, checkpoint: str, available_
     return w.start()
 
 
-def dedup_urls(stream: DataFrame, key: str = "url", event_time: str | None = None,
+def dedup_urls(stream: DataFrame, key: str = "url", event_time: str | None = "ts",
                delay: str = "1 day") -> DataFrame:
-    """O-T3: each URL processed once.  With ``event_time`` the state is
-    bounded (``dropDuplicatesWithinWatermark``); without it the state keeps
-    every key ever seen."""
+    """O-T3: each URL processed once.
+
+    Default: bounded state — ``dropDuplicatesWithinWatermark`` keeps a key
+    only until the event-time watermark (``delay`` behind the newest event)
+    passes it, so a URL seen again after ``delay`` is processed again.
+    ``event_time=None`` keeps every key ever seen (exact, unbounded state)."""
     if event_time:
         return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
     return stream.dropDuplicates([key])
@@ -82,7 +85,8 @@ def status_events(events: DataFrame) -> DataFrame:
         F.concat(F.lit("https://example.org/u/"), F.col("user_id").cast("string")).alias("url"),
         F.when(F.col("event_type") == "error", STATUS_ERR)
          .when(F.col("event_type") == "purchase", STATUS_OKK).otherwise(STATUS_NEW).alias("status"),
-        F.col("event_id").alias("seq"))
+        F.col("event_id").alias("seq"),
+        F.col("ts"))
 
 
 def _latest_status(key, pdfs, state):

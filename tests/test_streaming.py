@@ -30,7 +30,7 @@ def test_append_stream_equals_batch(spark, scratch):
 def test_dedup_stream_equals_batch(spark, scratch):
     src = _land(spark, scratch, "events")
     changes = J.status_events(J.events_stream(spark, src))
-    d = J.dedup_urls(changes, "url")
+    d = J.dedup_urls(changes, "url", event_time=None)   # exact: unbounded state
     q = d.writeStream.format("memory").queryName("dedup_t").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination(300)
     assert spark.table("dedup_t").select("url").distinct().count() == spark.table("dedup_t").count()
@@ -81,3 +81,14 @@ def test_live_counts(spark, scratch):
     got = {r.event_type: r.n for r in spark.table("live_t").collect()}
     want = {r.event_type: r["count"] for r in table(spark, SF_SMALL, "events").groupBy("event_type").count().collect()}
     assert got == want
+
+
+def test_bounded_dedup(spark, scratch):
+    src = _land(spark, scratch, "events")
+    changes = J.status_events(J.events_stream(spark, src, max_files=1))
+    # a delay longer than the data's time span behaves like the exact dedup
+    d = J.dedup_urls(changes, "url", event_time="ts", delay="3650 days")
+    q = d.writeStream.format("memory").queryName("bdedup_t").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    want = U.url_events(table(spark, SF_SMALL, "events")).select("url").distinct().count()
+    assert spark.table("bdedup_t").count() == want
