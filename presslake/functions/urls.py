@@ -58,8 +58,9 @@ def base_parts(base_url) -> Column:
     sh = scheme_host(b)
     nofrag = strip_fragment(b)
     path = strip_query(nofrag)
-    bdir = F.regexp_replace(path, r"[^/]*$", "")
-    bdir = F.when(bdir == sh, F.concat(sh, F.lit("/"))).otherwise(bdir)
+    # directory of the base path, taken after scheme+host ("" → "/")
+    rest_dir = F.regexp_replace(F.substring(path, F.length(sh) + 1, 1 << 30), r"[^/]*$", "")
+    bdir = F.concat(sh, F.when(rest_dir == "", F.lit("/")).otherwise(rest_dir))
     return F.struct(sh.alias("sh"), F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1).alias("scheme"),
                     nofrag.alias("nofrag"), path.alias("path"), bdir.alias("dir"))
 

@@ -74,8 +74,8 @@ def _abs_sql(h: str, b: str) -> str:
     sh = S.scheme_host(b)
     nofrag = f"regexp_replace({b}, '#.*$', '')"
     path = f"regexp_replace({nofrag}, '\\?.*$', '')"
-    bdir = f"regexp_replace({path}, '[^/]*$', '')"
-    bdir = f"CASE WHEN {bdir} = {sh} THEN {sh} || '/' ELSE {bdir} END"
+    rest_dir = f"regexp_replace(substring({path}, length({sh}) + 1), '[^/]*$', '')"
+    bdir = f"{sh} || CASE WHEN {rest_dir} = '' THEN '/' ELSE {rest_dir} END"
     return f"""CASE WHEN {h} IS NULL THEN NULL
       WHEN regexp_matches({h}, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN {h}
       WHEN starts_with({h}, '//') THEN regexp_extract({b}, '^([a-zA-Z][a-zA-Z0-9+.-]*):', 1) || ':' || {h}

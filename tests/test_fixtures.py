@@ -133,3 +133,25 @@ def test_href_and_attr_quoting(spark):
     assert _one(spark, H.hrefs, page) == ["/d", "/s", "/u"]
     assert _one(spark, lambda c: H.attr_first(c, "img", "src"), page) == "/i.png"
     assert _one(spark, lambda c: H.attr_first(c, "img", "alt"), page) is None
+
+
+@pytest.mark.parametrize("href,expected", [
+    ("https://other.example/x", "https://other.example/x"),
+    ("mailto:a@b.example", "mailto:a@b.example"),
+    ("//cdn.example/i.png", "https://cdn.example/i.png"),
+    ("/root", "https://h.example/root"),
+    ("#frag", "https://h.example/dir/page?q=1#frag"),
+    ("?p=2", "https://h.example/dir/page?p=2"),
+    ("", "https://h.example/dir/page?q=1"),
+    ("rel/x.html", "https://h.example/dir/rel/x.html"),
+])
+def test_absolutize_shapes(spark, href, expected):
+    from presslake.functions.urls import absolutize
+    df = spark.createDataFrame([(href, "https://h.example/dir/page?q=1#top")], "h string, b string")
+    assert df.select(absolutize("h", "b").alias("u")).first().u == expected
+
+
+def test_absolutize_host_only_base(spark):
+    from presslake.functions.urls import absolutize
+    df = spark.createDataFrame([("x", "https://h.example")], "h string, b string")
+    assert df.select(absolutize("h", "b").alias("u")).first().u == "https://h.example/x"
