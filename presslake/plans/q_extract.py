@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from presslake.functions import html as H
-from presslake.functions.text import py_strip
-from presslake.functions.urls import absolutize, host
 from presslake.operators import extract as X
 from presslake.plans import sqlfrag as S
 from presslake.plans.registry import query

@@ -86,8 +86,8 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
 def synthetic_urls(df: DataFrame, id_col: str, seed: int = 42,
                    statuses=("new", "error", "done")) -> DataFrame:
     """O-S10: one unique URL per input row with a status picked by hash —
-    ``xxhash64(id, seed)``, not ``rand()``, so the result does not depend on
-    partitioning or retries."""
+    ``xxhash64(id, seed)`` (the seed is hashed as a second value), not
+    ``rand()``, so the result does not depend on partitioning or retries."""
     h = F.xxhash64(F.col(id_col), F.lit(seed))
     arr = F.array(*[F.lit(s) for s in statuses])
     return df.select(
