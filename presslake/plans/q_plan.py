@@ -127,8 +127,9 @@ FROM events GROUP BY user_id
 """, op="O-A6 O-F19")
 def q_run_elapsed(spark, sf):
     ev = table(spark, sf, "events")
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
-    return ev.groupBy("user_id").agg(F.round((F.max(us) - F.min(us)) / F.lit(1e6), 2).alias("elapsed_s"))
+    # difference of wall-clock (NTZ) times: no session time zone involved
+    us = F.timestamp_diff("MICROSECOND", F.min("ts"), F.max("ts"))
+    return ev.groupBy("user_id").agg(F.round(us / F.lit(1e6), 2).alias("elapsed_s"))
 
 
 @query("titles_by_chunk", f"""
@@ -200,7 +201,7 @@ FROM events GROUP BY 1, 2
 """, op="O-T4 (batch twin)")
 def q_progress_buckets(spark, sf):
     ev = table(spark, sf, "events")
-    w = F.window(F.col("ts").cast("timestamp"), "1 hour")
+    w = F.window("ts", "1 hour")  # on the NTZ column: independent of the session time zone
     return ev.groupBy(w.alias("w"), "event_type").agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(
         F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "n")
 
