@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from presslake.functions.text import PY_SPACE, col_, decode_entities, py_strip, strip_tags
+from presslake.functions.text import col_, decode_entities, py_strip, strip_tags
 
 # ---- fixed values -------------------------------------------------------
 CLEAN_RE = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
@@ -103,15 +103,15 @@ def paragraphs(article_markup, drop_blank: bool = False) -> Column:
     decoded, white space stripped around separators, then one ``split``.
     """
     sep = "\u0001"
-    a = F.regexp_replace(F.coalesce(col_(article_markup), F.lit("")), "\\x{01}", "")
+    a = F.replace(F.coalesce(col_(article_markup), F.lit("")), F.lit(sep), F.lit(""))
     s = F.regexp_replace(a, r"(?i)<p\b[^>]*>", sep)
-    s = F.regexp_replace(s, r"^[^\x{01}]*", "")             # before the first <p>
-    s = F.regexp_replace(s, r"(?i)</p>[^\x{01}]*", "")      # after a </p>
-    s = F.regexp_replace(s, r"<[^>\x{01}]*>", "")           # tags inside a paragraph
-    s = decode_entities(s)
-    s = F.regexp_replace(s, f"{PY_SPACE}*\\x{{01}}{PY_SPACE}*", sep)
-    s = py_strip(F.substring(s, 2, 1 << 30))
-    texts = F.when(a.rlike(r"(?i)<p\b"), F.split(s, "\\x{01}")).otherwise(F.array().cast("array<string>"))
+    s = F.substr(s, F.instr(s, sep))                           # drop text before the first <p>
+    # one pass: text after a </p> (up to the next paragraph) and tags inside a paragraph
+    s = F.regexp_replace(s, r"(?i)</p>[^\x{01}]*|<[^>\x{01}]*>", "")
+    s = decode_entities(F.substr(s, F.lit(2)))                  # drop the leading separator
+    # split, then strip each paragraph (btrim looks only at its two ends)
+    texts = F.when(a.rlike(r"(?i)<p\b"), F.transform(F.split(s, "\\x{01}"), py_strip)).otherwise(
+        F.array().cast("array<string>"))
     if drop_blank:
         texts = F.array_remove(texts, "")
     return texts
