@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from presslake.functions.text import col_, decode_entities, py_strip, strip_tags
 
 # ---- fixed values -------------------------------------------------------
-CLEAN_RE = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
+# common "<" prefix factored out: only "<" positions try the alternatives
+# (no repeated groups: Java's regex engine recurses on those and overflows
+# its stack on multi-MB pages)
+CLEAN_RE = r"(?is)<(?:script\b.*?</script>|style\b.*?</style>|!--.*?-->)"
 # attribute value: double-quoted, single-quoted or bare (same text in Java
 # regex and RE2: explicit white-space class, no \s)
 _WS = "[ \\t\\n\\f\\r]"

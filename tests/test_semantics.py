@@ -138,3 +138,17 @@ def test_cli_commands(spark, scratch):
     main(["report", "--pages", f"{SF_SMALL}/pages.parquet", "--docs", f"{SF_SMALL}/documents.parquet",
           "--out", os.path.join(scratch, "rep")])
     assert spark.read.json(os.path.join(scratch, "rep", "languages")).count() >= 1
+
+
+def test_multi_megabyte_page_does_not_overflow(spark):
+    """Token path and shredder on one 4 MB page: no regex stack overflow,
+    the whole text is processed (no prefix)."""
+    body = "<p>" + ("word &amp; more text " * 40 + "<b>bold</b> ") * 4000
+    html = ("<html><head><title>Big</title><script>var t='</p>';</script></head><body><nav><a href='/x'>x</a></nav>"
+            "<article><h1>H</h1>" + body + "<p>last</p></article></body></html>")
+    pages = pages_df(spark, html)
+    r = X.extract_articles(pages).first()
+    assert (r.n_paragraphs, r.n_links, r.headline, r.title) == (2, 1, "H", "Big")
+    one = ("word & more text " * 40 + "bold ") * 4000
+    assert r.content_chars == len(one.strip()) + len("last")
+    assert N.shred(pages).where("tag = 'b'").count() == 4000
