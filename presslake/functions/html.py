@@ -24,10 +24,8 @@ CLEAN_RE = r"(?is)<(?:script\b.*?</script>|style\b.*?</style>|!--.*?-->)"
 # regex and RE2: explicit white-space class, no \s)
 _WS = "[ \\t\\n\\f\\r]"
 _VAL = f"""{_WS}*={_WS}*("[^"]*"|'[^']*'|[^"'\\t\\n\\f\\r >]+)"""
-UNQUOTE_RE = """^"(.*)"$|^'(.*)'$"""  # (?s) not needed: values hold no newline ends
+UNQUOTE_RE = """^"(.*)"$|^'(.*)'$"""  # used with (?s): quoted values may span lines
 HREF_RE = r"(?i)<a\b[^>]*?\bhref" + _VAL
-# Tags whose start closes an open paragraph (subset of HTML's implied end tags
-# that occurs in harvested article bodies).
 # -------------------------------------------------------------------------
 
 
@@ -36,10 +34,6 @@ def clean_html(c) -> Column:
     return F.regexp_replace(col_(c), CLEAN_RE, "")
 
 
-def has_tag(c, tag: str) -> Column:
-    return col_(c).rlike(f"(?i)<{tag}\\b")
-
-
 def inner_first(c, tag: str, attrs: str = r"[^>]*") -> Column:
     """Raw inner markup of the first ``<tag …>`` up to its close tag or the end
     of the text (cut-off pages), NULL when the tag is absent."""

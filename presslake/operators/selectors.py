@@ -170,8 +170,8 @@ def path_pred(c: Compound):
 
 def with_positions(nodes: DataFrame) -> DataFrame:
     """Adds ``sib`` (1-based position among element siblings), ``n_sib`` and
-    ``prev_tag`` / ``prev_pre`` (previous element sibling).  Window over
-    (page_id, parent): bounded by one element's child list."""
+    ``prev_pre`` (the previous element sibling).  Window over (page_id,
+    parent): bounded by one element's child list."""
     el = nodes.where(F.col("kind") == "element")
     w = Window.partitionBy("page_id", "parent").orderBy("pre")
     return (el.withColumn("sib", F.row_number().over(w))
