@@ -39,6 +39,8 @@ LI_SCOPE = P_SCOPE | {"ol", "ul"}
 RAW_TEXT = frozenset(("script", "style"))
 # -------------------------------------------------------------------------
 _NL = re.compile("\n")
+# output batch bounds of the shredder (pages / input characters per batch)
+FLUSH_PAGES, FLUSH_BYTES = 64, 8 << 20
 
 NODE_SCHEMA = ("page_id long, pre int, `end` int, parent int, depth int, kind string, tag string, "
                "attrs map<string,string>, path array<struct<pre:int,tag:string,id:string,klass:string>>, "
@@ -199,14 +201,24 @@ def _shred_arrow_fn(with_text: bool):
         object columns in between)."""
         import pyarrow as pa
         schema = _arrow_schema()
+        def emit(cols):
+            return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema)],
+                                              schema=schema)
+
         for batch in it:
             ids = batch.column("page_id").to_pylist()
             htmls = batch.column("html").to_pylist()
-            cols = [[] for _ in _COLS]
+            cols, n_pages, n_bytes = [[] for _ in _COLS], 0, 0
             for pid, html in zip(ids, htmls):
                 _shred_one(pid, html, cols, with_text)
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema)],
-                                             schema=schema)
+                n_pages += 1
+                n_bytes += len(html or "")
+                # node rows are several times the page size: flush in bounded pieces
+                if n_pages >= FLUSH_PAGES or n_bytes >= FLUSH_BYTES:
+                    yield emit(cols)
+                    cols, n_pages, n_bytes = [[] for _ in _COLS], 0, 0
+            if n_pages:
+                yield emit(cols)
     return _shred_arrow
 
 

@@ -16,8 +16,10 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Rows of the node shred carry whole pages: keep Arrow batches small.
+    # Rows of the node shred carry whole pages: keep Arrow batches small, by
+    # records and by bytes (whichever is reached first).
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.ansi.enabled": "true",
