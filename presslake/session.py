@@ -20,6 +20,11 @@ BASE_CONF = {
     # records and by bytes (whichever is reached first).
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    # Streaming state (dedup keys, per-URL status) off-heap in RocksDB, with
+    # changelog checkpointing: large state does not pressure the JVM heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.ansi.enabled": "true",
