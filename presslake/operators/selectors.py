@@ -20,7 +20,9 @@ How each piece runs on Spark:
   (:func:`contained_in`);
 * ``:nth-child`` / ``:last-child`` / ``+`` use ``row_number`` / ``count`` /
   ``lag`` over the (page_id, parent) sibling window — per-page work, hashed
-  on page_id.
+  on page_id; ``A + B`` tests ``A`` on the lagged sibling columns, so it is a
+  filter too (siblings share their ancestors, so anything left of ``A`` is
+  tested on the node's own path).
 """
 
 from __future__ import annotations
@@ -170,13 +172,54 @@ def path_pred(c: Compound):
 
 def with_positions(nodes: DataFrame) -> DataFrame:
     """Adds ``sib`` (1-based position among element siblings), ``n_sib`` and
-    ``prev_pre`` (the previous element sibling).  Window over (page_id,
-    parent): bounded by one element's child list."""
+    the previous element sibling's ``prev_pre`` / ``prev_tag`` /
+    ``prev_attrs`` (``lag``).  Window over (page_id, parent): bounded by one
+    element's child list."""
     el = nodes.where(F.col("kind") == "element")
     w = Window.partitionBy("page_id", "parent").orderBy("pre")
     return (el.withColumn("sib", F.row_number().over(w))
             .withColumn("n_sib", F.count(F.lit(1)).over(Window.partitionBy("page_id", "parent")))
-            .withColumn("prev_pre", F.lag("pre").over(w)))
+            .withColumn("prev_pre", F.lag("pre").over(w))
+            .withColumn("prev_tag", F.lag("tag").over(w))
+            .withColumn("prev_attrs", F.lag("attrs").over(w)))
+
+
+def _prev_sibling_pred(c: Compound) -> Column:
+    """``c`` tested on the previous element sibling (the lag columns)."""
+    attrs = F.col("prev_attrs")
+    p = F.col("prev_pre").isNotNull() & _node_pred(
+        c, F.col("prev_tag"), F.try_element_at(attrs, F.lit("id")), F.try_element_at(attrs, F.lit("class")), attrs)
+    if c.nth is not None:
+        p = p & (F.col("sib") - 1 == c.nth)
+    if c.last:
+        p = p & F.lit(False)          # a last child has no next sibling
+    return p
+
+
+def _single_pass(steps):
+    """A predicate over the positioned node rows when the whole selector can
+    be tested on the node itself: its own compound, its ancestor path, and —
+    for one trailing ``+`` — its previous sibling (siblings share every
+    ancestor, so the part left of the ``+`` is checked on the node's path).
+    None when an ancestor needs positions or ``+`` is chained."""
+    combs = [comb for comb, _ in steps[1:]]
+    if "+" in combs[:-1]:
+        return None
+    *head, (last_comb, target) = steps
+    if last_comb == "+":
+        *anc, (b_comb, left) = head
+        if any(c.positional for _, c in anc):
+            return None
+        pred = node_pred(target) & _pos_pred(target) & _prev_sibling_pred(left)
+        if anc:
+            pred = pred & _path_chain(anc, b_comb or " ")
+        return pred
+    if any(c.positional for _, c in head):
+        return None
+    pred = node_pred(target) & _pos_pred(target)
+    if head:
+        pred = pred & _path_chain(head, last_comb)
+    return pred
 
 
 def _pos_pred(c: Compound) -> Column:
@@ -208,6 +251,11 @@ def select(nodes: DataFrame, sel: Sel) -> DataFrame:
     needs_pos = any(c.positional for _, c in steps) or any(comb == "+" for comb, _ in steps)
     base = with_positions(nodes) if needs_pos else nodes.where(F.col("kind") == "element")
 
+    single = _single_pass(steps)
+    if single is not None:
+        # one filter over one shred of the pages: no join
+        return base.where(single)
+
     cur = base.where(node_pred(steps[0][1]) & _pos_pred(steps[0][1]))
     plain_prefix = not steps[0][1].positional  # can the chain so far be tested on the path?
     chain = [steps[0]]

@@ -149,3 +149,15 @@ def test_two_paths_agree(spark):
                   | (F.col("n_p") != F.coalesce(F.col("n_p_n"), F.lit(0))))
     assert bad.count() == 0
     nodes.unpersist()
+
+
+def test_adjacent_with_ancestors_single_pass(spark):
+    html = ('<div class="x"><h1>A</h1><p>p1</p><h1>B</h1><span>s</span><p>p2</p></div>'
+            '<div class="y"><h1>C</h1><p>p3</p></div><section><div class="x"><h2>D</h2><p>p4</p></div></section>')
+    assert _sel(spark, html, Sel.tag("div", cls="x").child(Sel.tag("h1")).adjacent(Sel.tag("p"))) == ["p1"]
+    assert _sel(spark, html, Sel.tag("div").child(Sel.tag("h1")).adjacent(Sel.tag("p"))) == ["p1", "p3"]
+    assert _sel(spark, html, Sel.tag("section").descendant(Sel.any()).adjacent(Sel.tag("p"))) == ["p4"]
+    assert _sel(spark, html, Sel.tag("span").adjacent(Sel.tag("p"))) == ["p2"]
+    assert _sel(spark, html, Sel.any().nth_child(1).adjacent(Sel.tag("p"))) == ["p1", "p3", "p4"]
+    # chained "+" falls back to the join path
+    assert _sel(spark, html, Sel.tag("h1").adjacent(Sel.tag("span")).adjacent(Sel.tag("p"))) == ["p2"]
