@@ -153,20 +153,20 @@ def q_titles_by_chunk(spark, sf):
 
 @query("field_completeness", f"""
 WITH a AS (
-  SELECT {S.attr_first(S.clean('html'), 'html', 'lang')} AS lang,
+  SELECT {S.host('url')} AS site,
          {S.first_text(S.clean('html'), 'title')} AS title,
          {S.first_text(S.inner_first(S.clean('html'), 'article'), 'h1')} AS headline,
          {S.paragraphs(S.inner_first(S.clean('html'), 'article'))}[1] AS first_paragraph
   FROM pages),
 l AS (FROM a UNPIVOT INCLUDE NULLS (value FOR field IN (title, headline, first_paragraph)))
-SELECT lang, field, CAST(count(*) AS BIGINT) AS n_total,
+SELECT site, field, CAST(count(*) AS BIGINT) AS n_total,
        CAST(count(*) FILTER (WHERE value IS NULL OR {S.strip('value')} = '') AS BIGINT) AS n_missing
 FROM l
-GROUP BY lang, field
+GROUP BY site, field
 """, op="O-A9 Q5")
 def q_field_completeness(spark, sf):
     a = X.extract_articles(table(spark, sf, "pages"))
-    return Q.field_completeness(a, "lang", ["title", "headline", "first_paragraph"])
+    return Q.field_completeness(a, "site", ["title", "headline", "first_paragraph"])
 
 
 @query("first_n", """
