@@ -57,14 +57,22 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; it is used as is.  Only when the
-    setting is unset (local tests) is a private scratch folder created.
+    On a cluster the folder comes from the session's configuration (it cannot
+    be changed at run time) and is used as is.  Only when nothing is
+    configured (local tests) does the SparkContext get a private scratch
+    folder.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
-    if not cur:
-        cur = tempfile.mkdtemp(prefix="presslake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", cur)
-    spark.sparkContext.setCheckpointDir(cur)
+    sc = spark.sparkContext
+    if cur:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(cur)
+        return cur
+    existing = sc.getCheckpointDir()
+    if existing:
+        return existing
+    cur = tempfile.mkdtemp(prefix="presslake-ckpt-")
+    sc.setCheckpointDir(cur)
     return cur
 
 

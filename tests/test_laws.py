@@ -192,3 +192,16 @@ def test_rows_only_queries_match_brute_force(spark):
     want_s = {f"https://u{i}.example.net/": statuses[_spark_xxhash64_long(i, 42) % 3] for i in ev}
     got_s = {r.url: r.status for r in E.queries()["synthetic_urls"](spark, SF_SMALL).collect()}
     assert got_s == want_s
+
+
+def test_checkpoint_dir_is_read_not_overridden(spark):
+    from presslake.session import cluster_conf, ensure_checkpoint_dir
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    got = ensure_checkpoint_dir(spark)
+    if configured:
+        assert got == configured                                  # the session's setting is used as is
+    assert spark.sparkContext.getCheckpointDir()
+    df = spark.range(10).checkpoint()                             # lineage cut into that folder
+    assert df.count() == 10
+    conf = cluster_conf(1000 * 8, input_bytes=100 << 40)
+    assert int(conf["spark.sql.shuffle.partitions"]) >= 100 * 1024 * 8  # ≥ one partition per 128 MB
