@@ -190,3 +190,36 @@ def q_sel_interval_join(spark, sf):
     # found with the interval join (page_id equi-key + pre/end range).
     m = SL.select(_nodes(spark, sf), Sel.tag("ul").child(Sel.tag("li").nth_child(1)).descendant(Sel.tag("a")))
     return m.select("page_id", py_strip("text").alias("text"))
+
+
+# A spec for the landed test pages, evaluated like any site spec (node path).
+GENERIC_SPEC = {
+    "title": ("first", Sel.tag("title")),
+    "headline": ("first", Sel.tag("article").child(Sel.tag("h1"))),
+    "content": ("all", Sel.tag("article").child(Sel.tag("p"))),
+    "lang": ("attr:lang", Sel.tag("html")),
+    "first_link": ("attr:href", Sel.tag("nav").descendant(Sel.tag("a"))),
+}
+
+
+@query("spec_articles", f"""
+WITH {_BASE},
+p AS (SELECT page_id, c, art, nav, {S.paragraphs('art')} AS paras FROM b)
+SELECT page_id,
+       {S.first_text('c', 'title')} AS title,
+       {S.first_text('art', 'h1')} AS headline,
+       CAST(len(paras) AS BIGINT) AS n_paragraphs,
+       CAST(list_sum(list_transform(paras, lambda x: length(x))) AS BIGINT) AS content_chars,
+       {S.attr_first('c', 'html', 'lang')} AS lang,
+       {S.hrefs('nav')}[1] AS first_link
+FROM p
+""", op="O-X23 O-Y1 (spec-driven, node path)")
+def q_spec_articles(spark, sf):
+    from presslake.operators import sites
+    pages = table(spark, sf, "pages")
+    a = sites.extract_with_spec(pages, N.shred(pages), GENERIC_SPEC)
+    paras = F.transform("content", py_strip)
+    return a.select("page_id", py_strip("title").alias("title"), py_strip("headline").alias("headline"),
+                    F.size(paras).cast("bigint").alias("n_paragraphs"),
+                    F.length(F.array_join(paras, "")).cast("bigint").alias("content_chars"),
+                    "lang", "first_link")
