@@ -336,8 +336,23 @@ def first_per_page(matches: DataFrame, value: str = "text") -> DataFrame:
     return matches.groupBy("page_id").agg(F.min_by(value, "pre").alias(value))
 
 
+def _base_for(nodes: DataFrame, sels) -> DataFrame:
+    needs_pos = any(c.positional or comb == "+" for s in sels for comb, c in s.steps)
+    return with_positions(nodes) if needs_pos else nodes.where(F.col("kind") == "element")
+
+
 def select_union(nodes: DataFrame, *sels: Sel) -> DataFrame:
-    """O-X13: ``A, B`` — each node once, in document order by ``pre``."""
+    """O-X13: ``A, B`` — each node once, in document order by ``pre``.
+
+    When every selector is a single filter, the union is one filter with OR
+    over one shred (each node is one row, so it is distinct by
+    construction)."""
+    preds = [_single_pass(list(s.steps)) for s in sels]
+    if all(p is not None for p in preds):
+        any_p = preds[0]
+        for p in preds[1:]:
+            any_p = any_p | p
+        return _base_for(nodes, sels).where(any_p).select("page_id", "pre", "tag", "text")
     parts = [select(nodes, s).select("page_id", "pre", "tag", "text") for s in sels]
     u = parts[0]
     for p in parts[1:]:
@@ -354,3 +369,19 @@ def children_text(nodes: DataFrame, parent_sel: Sel, drop_blank: bool = False) -
     if drop_blank:
         out = out.where(F.regexp_replace("text", r"\s", "") != "")
     return out
+
+
+def count_matches(nodes: DataFrame, sels: dict) -> DataFrame:
+    """Per page, how many nodes match each named selector:
+    ``(page_id, <name>...)``.  Single-filter selectors are counted together
+    in one aggregate over one shred (``count_if`` per name); pages without
+    any match produce no row."""
+    preds = {k: _single_pass(list(s.steps)) for k, s in sels.items()}
+    if any(p is None for p in preds.values()):
+        out = None
+        for k, s in sels.items():
+            c = select(nodes, s).groupBy("page_id").agg(F.count(F.lit(1)).cast("bigint").alias(k))
+            out = c if out is None else out.join(c, "page_id", "full")
+        return out.fillna(0, subset=list(sels))
+    return (_base_for(nodes, list(sels.values())).groupBy("page_id")
+            .agg(*[F.count_if(F.coalesce(p, F.lit(False))).cast("bigint").alias(k) for k, p in preds.items()]))

@@ -113,11 +113,11 @@ SELECT page_id, {_cnt('c', '(?i)<div\\b')} - {_cnt('c', '(?i)<div\\b[^>]*\\bclas
 FROM b
 """, op="O-X11")
 def q_sel_not_attr(spark, sf):
-    nodes = _nodes(spark, sf, with_text=False)
-    d = _count_per_page(spark, sf, SL.select(nodes, Sel.tag("div").without_attr("class")), "n_div_plain")
-    p = _count_per_page(spark, sf, SL.select(nodes, Sel.tag("article").descendant(Sel.tag("p").without_attr("class"))),
-                        "n_p_plain")
-    return d.join(p, "page_id")
+    counts = SL.count_matches(_nodes(spark, sf, with_text=False), {
+        "n_div_plain": Sel.tag("div").without_attr("class"),
+        "n_p_plain": Sel.tag("article").descendant(Sel.tag("p").without_attr("class"))})
+    return _pages(spark, sf).join(counts, "page_id", "left").select(
+        "page_id", *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in ("n_div_plain", "n_p_plain")])
 
 
 @query("sel_attr_prefix", f"""

@@ -161,3 +161,14 @@ def test_adjacent_with_ancestors_single_pass(spark):
     assert _sel(spark, html, Sel.any().nth_child(1).adjacent(Sel.tag("p"))) == ["p1", "p3", "p4"]
     # chained "+" falls back to the join path
     assert _sel(spark, html, Sel.tag("h1").adjacent(Sel.tag("span")).adjacent(Sel.tag("p"))) == ["p2"]
+
+
+def test_count_matches_one_pass_and_fallback(spark):
+    html = ('<ul><li>a</li><li class="k">b</li></ul><div><p>x</p><p class="c">y</p></div>')
+    nodes = N.shred(pages_df(spark, html))
+    fast = SL.count_matches(nodes, {"li": Sel.tag("li"), "plain_p": Sel.tag("p").without_attr("class")}).first()
+    assert (fast.li, fast.plain_p) == (2, 1)
+    # a positional ancestor forces the per-selector path; same answer shape
+    slow = SL.count_matches(nodes, {"a": Sel.tag("ul").child(Sel.tag("li").nth_child(2)).descendant(Sel.any()),
+                                    "li": Sel.tag("li")}).first()
+    assert (slow.a, slow.li) == (0, 2)
