@@ -134,8 +134,10 @@ class _Tree(HTMLParser):
         parent = top[0] if top is not None else -1
         pre = len(self.rows)
         self.pieces.append(data)
-        # text nodes carry no ancestor path: selectors only match elements
-        self.rows.append([pre, pre, parent, len(self.stack), "text", None, {}, None,
+        # text nodes carry only their parent as path (selectors match elements;
+        # "children of X" needs the parent of bare text too)
+        parent_path = self._path()[-1:] if top is not None else []
+        self.rows.append([pre, pre, parent, len(self.stack), "text", None, {}, parent_path,
                           len(self.pieces) - 1, len(self.pieces), [], None, None])
         if top is not None:
             top[10].append(pre)

@@ -166,6 +166,13 @@ def node_pred(c: Compound) -> Column:
         c, F.col("tag"), F.try_element_at(attrs, F.lit("id")), F.try_element_at(attrs, F.lit("class")), attrs)
 
 
+def path_ok(c: Compound) -> bool:
+    """Can ``c`` be tested on an ancestor path entry (tag, id, class only)?"""
+    names = [k for k, _ in c.attr_eq] + [k for k, _ in c.attr_prefix] + list(c.has_attr) + list(c.lacks_attr)
+    pref_ok = all(k == "class" for k, _ in c.attr_prefix)
+    return all(k in ("class", "id") for k in names) and pref_ok and not c.positional
+
+
 def path_pred(c: Compound):
     return lambda a: _node_pred(c, a["tag"], a["id"], a["klass"], None)
 
@@ -208,13 +215,13 @@ def _single_pass(steps):
     *head, (last_comb, target) = steps
     if last_comb == "+":
         *anc, (b_comb, left) = head
-        if any(c.positional for _, c in anc):
+        if not all(path_ok(c) for _, c in anc):
             return None
         pred = node_pred(target) & _pos_pred(target) & _prev_sibling_pred(left)
         if anc:
             pred = pred & _path_chain(anc, b_comb or " ")
         return pred
-    if any(c.positional for _, c in head):
+    if not all(path_ok(c) for _, c in head):
         return None
     pred = node_pred(target) & _pos_pred(target)
     if head:
@@ -257,7 +264,7 @@ def select(nodes: DataFrame, sel: Sel) -> DataFrame:
         return base.where(single)
 
     cur = base.where(node_pred(steps[0][1]) & _pos_pred(steps[0][1]))
-    plain_prefix = not steps[0][1].positional  # can the chain so far be tested on the path?
+    plain_prefix = path_ok(steps[0][1])  # can the chain so far be tested on the path?
     chain = [steps[0]]
     for comb, c in steps[1:]:
         target = base.where(node_pred(c) & _pos_pred(c))
@@ -268,7 +275,7 @@ def select(nodes: DataFrame, sel: Sel) -> DataFrame:
             cur = target.join(prev, ["page_id", "prev_pre"], "left_semi")
         else:
             cur = contained_in(cur, target, direct=(comb == ">"))
-        plain_prefix = plain_prefix and not c.positional and comb != "+"
+        plain_prefix = plain_prefix and path_ok(c) and comb != "+"
         chain.append((comb, c))
     return cur
 
@@ -363,8 +370,15 @@ def select_union(nodes: DataFrame, *sels: Sel) -> DataFrame:
 def children_text(nodes: DataFrame, parent_sel: Sel, drop_blank: bool = False) -> DataFrame:
     """O-X17: text of each direct child of the matched parents, bare text
     included, in document order: ``(page_id, parent_pre, pre, kind, text)``."""
-    parents = select(nodes, parent_sel).select("page_id", F.col("pre").alias("parent"))
-    kids = nodes.where(F.col("kind").isin("element", "text")).join(parents, ["page_id", "parent"], "left_semi")
+    steps = list(parent_sel.steps)
+    if len(steps) == 1 and path_ok(steps[0][1]):
+        # one filter: the last path entry of a child (element or text) is its parent
+        last = F.try_element_at("path", F.lit(-1))
+        kids = nodes.where(F.col("kind").isin("element", "text") & last.isNotNull()
+                           & F.coalesce(path_pred(steps[0][1])(last), F.lit(False)))
+    else:
+        parents = select(nodes, parent_sel).select("page_id", F.col("pre").alias("parent"))
+        kids = nodes.where(F.col("kind").isin("element", "text")).join(parents, ["page_id", "parent"], "left_semi")
     out = kids.select("page_id", F.col("parent").alias("parent_pre"), "pre", "kind", "text")
     if drop_blank:
         out = out.where(F.regexp_replace("text", r"\s", "") != "")

@@ -172,3 +172,13 @@ def test_count_matches_one_pass_and_fallback(spark):
     slow = SL.count_matches(nodes, {"a": Sel.tag("ul").child(Sel.tag("li").nth_child(2)).descendant(Sel.any()),
                                     "li": Sel.tag("li")}).first()
     assert (slow.a, slow.li) == (0, 2)
+
+
+def test_attribute_ancestors_fall_back_to_join(spark):
+    html = ('<div target="x"><p>in</p></div><div><p>out</p></div>'
+            '<section data-k="1"><span>t</span> bare </section>')
+    assert _sel(spark, html, Sel.tag("div").attr_equals("target", "x").descendant(Sel.tag("p"))) == ["in"]
+    assert _sel(spark, html, Sel.tag("div").with_attr("target").child(Sel.tag("p"))) == ["in"]
+    nodes = N.shred(pages_df(spark, html))
+    kids = SL.children_text(nodes, Sel.tag("section").attr_equals("data-k", "1")).orderBy("pre").collect()
+    assert [r.text for r in kids] == ["t", " bare "]
