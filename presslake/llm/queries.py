@@ -21,6 +21,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslake.llm.langid import identify_documents
+    return identify_documents(read(spark, sf_dir, "documents"))
+
+
 def op3_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     from presslake.llm.hostrank import judge_urls
     return judge_urls(read(spark, sf_dir, "pages"))
@@ -37,6 +42,6 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_host_trust, op7_token_counts, op10_rendezvous_shards)}
+    f.__name__: f for f in (op1_rank_order_language, op3_host_trust, op7_token_counts, op10_rendezvous_shards)}
 
 ORACLE_SQL: dict[str, str] = {}
