@@ -36,12 +36,17 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op8_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslake.llm.quality import judge_documents
+    return judge_documents(read(spark, sf_dir, "documents"))
+
+
 def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from presslake.llm.sharding import shard_documents
     return shard_documents(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_rank_order_language, op3_host_trust, op7_token_counts, op10_rendezvous_shards)}
+    f.__name__: f for f in (op1_rank_order_language, op3_host_trust, op7_token_counts, op8_robust_outliers, op10_rendezvous_shards)}
 
 ORACLE_SQL: dict[str, str] = {}
