@@ -26,11 +26,21 @@ def op1_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_documents(read(spark, sf_dir, "documents"))
 
 
+def op2_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslake.llm.simhash import near_duplicate_documents
+    return near_duplicate_documents(read(spark, sf_dir, "documents"))
+
+
 def op3_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     from presslake.llm.hostrank import judge_urls
     return judge_urls(read(spark, sf_dir, "pages"))
 
 
+def op6_first_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslake.llm.packing import pack_documents
+    return pack_documents(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from presslake.llm.tokencount import count_tokens
     return count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
@@ -47,6 +57,6 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_rank_order_language, op3_host_trust, op7_token_counts, op8_robust_outliers, op10_rendezvous_shards)}
+    f.__name__: f for f in (op1_rank_order_language, op2_simhash_components, op3_host_trust, op6_first_fit_packing, op7_token_counts, op8_robust_outliers, op10_rendezvous_shards)}
 
 ORACLE_SQL: dict[str, str] = {}
