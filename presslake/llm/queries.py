@@ -36,6 +36,11 @@ def op3_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read(spark, sf_dir, "pages"))
 
 
+def op4_pruned_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslake.llm.ann import search_embeddings
+    return search_embeddings(read(spark, sf_dir, "embeddings"))
+
+
 def op5_consensus_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from presslake.llm.htmltext import extract_pages
     return extract_pages(read(spark, sf_dir, "pages"))
@@ -62,6 +67,6 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_rank_order_language, op2_simhash_components, op3_host_trust, op5_consensus_text, op6_first_fit_packing, op7_token_counts, op8_robust_outliers, op10_rendezvous_shards)}
+    f.__name__: f for f in (op1_rank_order_language, op2_simhash_components, op3_host_trust, op4_pruned_graph_search, op5_consensus_text, op6_first_fit_packing, op7_token_counts, op8_robust_outliers, op10_rendezvous_shards)}
 
 ORACLE_SQL: dict[str, str] = {}
