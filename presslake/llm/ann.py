@@ -53,7 +53,7 @@ def _beam(x: np.ndarray, graph: np.ndarray, start: int, q: np.ndarray, width: in
         done[rows, first] = True
         near = graph[at]
         valid = near >= 0
-        near = np.where(valid, near, 0)
+        near = np.where(valid, near, start)   # the start is always seen
         new = valid & ~seen[rows[:, None], near]
         seen[rows[:, None], near] |= new
         d = 2 - 2 * np.einsum("brd,bd->br", x[near], q[rows])
