@@ -61,12 +61,17 @@ def op8_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(read(spark, sf_dir, "documents"))
 
 
+def op9_transducer_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslake.llm.transducer import encode
+    return encode(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from presslake.llm.sharding import shard_documents
     return shard_documents(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_rank_order_language, op2_simhash_components, op3_host_trust, op4_pruned_graph_search, op5_consensus_text, op6_first_fit_packing, op7_token_counts, op8_robust_outliers, op10_rendezvous_shards)}
+    f.__name__: f for f in (op1_rank_order_language, op2_simhash_components, op3_host_trust, op4_pruned_graph_search, op5_consensus_text, op6_first_fit_packing, op7_token_counts, op8_robust_outliers, op9_transducer_pieces, op10_rendezvous_shards)}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -26,7 +26,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from presslake.llm.common import blocks, stage, utf8
@@ -195,25 +195,61 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return roots.unionByName(own)
 
 
+def grouped(rows: DataFrame, key: str, max_bits: int = MAX_BITS) -> DataFrame:
+    """Staged table of the distinct ``fp`` of ``rows`` (staged; key and fp):
+    low (smallest key), rows, copies (rows of that key), linked, and of its
+    component ``root``, component_id (smallest key) and best (the fingerprint,
+    smallest if several, that has it)."""
+    pairs = rows.groupBy("fp", F.col(f"`{key}`").alias("k")).agg(F.count("*").alias("n"))
+    # Null keys come last.
+    fps = stage(pairs.groupBy("fp").agg(F.min(F.struct(F.col("k").isNull().alias("none"), "k", "n")).alias("m"), F.sum("n").alias("rows"))
+                .select("fp", F.col("m.k").alias("low"), F.col("m.n").alias("copies"), "rows"), "distinct-fingerprints")
+    roots = components(links(fps.select("fp"), max_bits))
+    named = stage(fps.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "low", "copies", "rows", F.col("node").isNotNull().alias("linked"), F.coalesce("root", "fp").alias("root")), "roots")
+    best = named.groupBy(F.col("root").alias("r")).agg(F.min(F.struct(F.col("low").isNull().alias("none"), "low", "fp")).alias("b"))
+    return stage(named.join(best, F.col("root") == F.col("r")).select("fp", "low", "copies", "rows", "linked", "root", F.col("b.low").alias("component_id"), F.col("b.fp").alias("best")), "components")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS,
-                    shingle: int = SHINGLE, seed: int = SEED, keep: tuple = ()) -> DataFrame:
-    """One row per row of ``docs``: key, fp (long), component_id (the smallest
-    key that links reach) and the columns ``keep``.
+                    shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """One row per row of ``docs``: key, fp (long) and component_id (the
+    smallest key that links reach).
 
     Equal fingerprints are one node, so copies are never paired.  Null keys are
     reached like others but never name a component (a component of null keys
     only has a null id).  Texts without words have fingerprint 0 and link as
     any other; an empty table gives none."""
-    rows = stage(add_fingerprint(docs.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").alias("text"), *[c for c in keep if c != key]), "text", "fp", shingle, seed).drop("text"), "fingerprints")
-    fps = stage(rows.groupBy("fp").agg(F.min(F.col(f"`{key}`")).alias("low")), "distinct-fingerprints")
-    roots = components(links(fps.select("fp"), max_bits))
-    named = fps.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    named = stage(named, "roots")
-    ids = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = stage(named.join(ids, "root").select(F.col("fp").alias("f"), "component_id"), "components")
+    rows = docs.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").alias("_text"))
+    rows = stage(add_fingerprint(rows, "_text", "fp", shingle, seed).drop("_text"), "fingerprints")
+    of = grouped(rows, key, max_bits).select(F.col("fp").alias("f"), "component_id")
     return rows.join(of, F.col("fp") == F.col("f")).drop("f")
 
 
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS,
+             shingle: int = SHINGLE, seed: int = SEED, broadcast_rows: int = 500_000) -> DataFrame:
+    """The rows of ``docs`` that near-dedup keeps: of each component the one
+    with the smallest key (of repeated rows of that key and fingerprint one,
+    the least by a hash of the row).  Null keys count as largest.
+
+    Rows whose fingerprint is alone need no lookup.  The other fingerprints are
+    broadcast while they are at most ``broadcast_rows`` (three numbers each),
+    else joined by a shuffle."""
+    kept = docs.columns
+    fp, low, copies = "_simhash_fp", "_simhash_low", "_simhash_copies"
+    rows = stage(add_fingerprint(docs, text, fp, shingle, seed), "with-fingerprints")
+    all_fps = grouped(rows.select(F.col(f"`{key}`"), F.col(fp).alias("fp")), key, max_bits)
+    some = stage(all_fps.where("linked or rows > 1").select(F.col("fp").alias("_f"), F.col("low").alias(low), F.when(F.col("fp") == F.col("best"), F.col("copies")).otherwise(F.lit(0)).alias(copies)), "crowded")
+    side = F.broadcast(some) if some.count() <= broadcast_rows else some
+    judged = rows.join(side, F.col(fp) == F.col("_f"), "left")
+    mine = judged.where(F.col("_f").isNull() | ((F.col(copies) > 0) & F.col(f"`{key}`").eqNullSafe(F.col(low))))
+    if some.where(F.col(copies) > 1).isEmpty():
+        return mine.select(*[F.col(f"`{c}`") for c in kept])
+    least = Window.partitionBy(F.col(f"`{key}`"), F.col(fp)).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in kept]))
+    single = mine.where(F.coalesce(F.col(copies), F.lit(1)) == 1)
+    several = mine.where(F.col(copies) > 1).withColumn("_i", F.row_number().over(least)).where("_i = 1")
+    return single.select(*[F.col(f"`{c}`") for c in kept]).unionByName(several.select(*[F.col(f"`{c}`") for c in kept]))
+
+
 def fingerprint_text(fp: Column) -> Column:
     """16 lowercase hexadecimal digits."""
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
