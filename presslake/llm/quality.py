@@ -258,8 +258,10 @@ def fit_groups(stats: DataFrame, lang: str = "lang", source: str = "source"):
     rows = stage(stats.where(~base_failed()).select(own.alias("label"), by_lang.alias("pool"), *STATS, *_vector()), "vectors")
     sizes = rows.groupBy("label", "pool").agg(F.count("*").alias("n"))
     pooled = F.sum(F.when(F.col("n") < MIN_GROUP, F.col("n"))).over(Window.partitionBy("pool"))
-    names = sizes.withColumn("pooled", pooled).select("label", F.when(F.col("n") >= MIN_GROUP, F.col("label")).when(F.col("pooled") >= MIN_GROUP, F.col("pool")).otherwise(F.lit("*")).alias("g"))
+    names = sizes.withColumn("pooled", pooled).select("label", "n", F.when(F.col("n") >= MIN_GROUP, F.col("label")).when(F.col("pooled") >= MIN_GROUP, F.col("pool")).otherwise(F.lit("*")).alias("g"))
     names = stage(names, "group-names")
+    left_over = names.where("g = '*'").agg(F.sum("n")).first()[0]  # one number
+    names = names.where(F.lit((left_over or 0) >= MIN_GROUP) | (F.col("g") != "*")).select("label", "g")
     n_names = names.count()
     if n_names <= BROADCAST_ROWS:
         vectors = rows.join(F.broadcast(names), "label")
