@@ -157,7 +157,7 @@ class Page:
         own = [0] * len(self.tags)
         for r in self.runs:
             if r and not r[2]:
-                own[r[0]] += len(r[1]) - r[1].count(" ")
+                own[r[0]] += sum(map(len, r[1].split()))
         total = sum(own)
         if not total:
             return {}
