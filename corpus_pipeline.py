@@ -25,8 +25,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     profiles = langid.learn_profiles(docs.where(~langid.held_out(F.col("doc_id"))))
     if not profiles[0]:  # nothing is labelled: nothing to judge by but letters
         return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    found = langid.predict(docs, profiles, lang_out="_lang_pred", score_out="_score")
-    return found.where((F.col("_lang_pred") != "und") & (F.col("_score") >= MIN_LANGUAGE_SCORE)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "text")
+    found = langid.predict(rows, profiles)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("_doc.*")
 
 
 def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +35,9 @@ def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     language and source (operator 8)."""
     counted = quality.add_statistics(docs.select("text", "lang", "source"))
     estimates = quality.fit_groups(counted.drop("text"))
-    judged = quality.judge(quality.add_statistics(docs), estimates)
-    return judged.where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # The row travels as one column: its own columns may have any names.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "text", "lang", "source")
+    return quality.judge(quality.add_statistics(rows), estimates).where("kept").select("_doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

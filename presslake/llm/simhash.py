@@ -235,18 +235,18 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", max_bits:
     broadcast while they are at most ``broadcast_rows`` (three numbers each),
     else joined by a shuffle."""
     kept = docs.columns
-    fp, low, copies = "_simhash_fp", "_simhash_low", "_simhash_copies"
+    fp, other, low, copies = "_simhash_fp", "_simhash_other", "_simhash_low", "_simhash_copies"
     rows = stage(add_fingerprint(docs, text, fp, shingle, seed), "with-fingerprints")
     all_fps = grouped(rows.select(F.col(f"`{key}`"), F.col(fp).alias("fp")), key, max_bits)
-    some = stage(all_fps.where("linked or rows > 1").select(F.col("fp").alias("_f"), F.col("low").alias(low), F.when(F.col("fp") == F.col("best"), F.col("copies")).otherwise(F.lit(0)).alias(copies)), "crowded")
+    some = stage(all_fps.where("linked or rows > 1").select(F.col("fp").alias(other), F.col("low").alias(low), F.when(F.col("fp") == F.col("best"), F.col("copies")).otherwise(F.lit(0)).alias(copies)), "crowded")
     side = F.broadcast(some) if some.count() <= broadcast_rows else some
-    judged = rows.join(side, F.col(fp) == F.col("_f"), "left")
-    mine = judged.where(F.col("_f").isNull() | ((F.col(copies) > 0) & F.col(f"`{key}`").eqNullSafe(F.col(low))))
+    judged = rows.join(side, F.col(fp) == F.col(other), "left")
+    mine = judged.where(F.col(other).isNull() | ((F.col(copies) > 0) & F.col(f"`{key}`").eqNullSafe(F.col(low))))
     if some.where(F.col(copies) > 1).isEmpty():
         return mine.select(*[F.col(f"`{c}`") for c in kept])
     least = Window.partitionBy(F.col(f"`{key}`"), F.col(fp)).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in kept]))
     single = mine.where(F.coalesce(F.col(copies), F.lit(1)) == 1)
-    several = mine.where(F.col(copies) > 1).withColumn("_i", F.row_number().over(least)).where("_i = 1")
+    several = mine.where(F.col(copies) > 1).withColumn("_simhash_row", F.row_number().over(least)).where("_simhash_row = 1")
     return single.select(*[F.col(f"`{c}`") for c in kept]).unionByName(several.select(*[F.col(f"`{c}`") for c in kept]))
 
 
