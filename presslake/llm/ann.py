@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from presslake.llm.common import stage
+from presslake.llm.common import importable, stage
 
 SHARD_ROWS = 8192     #: vectors of a shard, about
 DEGREE = 32           #: neighbours that pruning keeps
@@ -199,6 +199,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int = S
                         out["score"].append(c)
         return pd.DataFrame(out)
 
+    importable(rows.sparkSession)
     parts = 4 * shards
     found = (dealt.repartition(parts, "dim", "shard").groupBy("dim", "shard")
              .cogroup(asked.repartition(parts, "dim", "shard").groupBy("dim", "shard"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -13,6 +14,17 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 50_000
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers that share this file system import this package (on
+    a cluster it is shipped or installed like any other).  Modules are not
+    pickled: what workers remember between tasks lives in them."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which driver and executors
     share.  Only a local session without that setting (tests) gets a temporary

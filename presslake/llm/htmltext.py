@@ -20,7 +20,7 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from presslake.llm.common import BROADCAST_ROWS, stage
+from presslake.llm.common import BROADCAST_ROWS, importable, stage
 from presslake.llm.hostrank import host_of
 
 HOLDS = 0.7         #: share of a page's text that a winning path holds on average
@@ -214,6 +214,7 @@ def vote(pages: DataFrame) -> DataFrame:
                     shares.append(round(v * 1_000_000))  # whole numbers: the sum is the same in any order
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(shares, pa.int64())], names=["host", "path", "share"])
 
+    importable(pages.sparkSession)
     ballots = pages.select(host_of(F.coalesce(F.col("url"), F.lit(""))).alias("host"), "html").mapInArrow(run, "host string, path string, share long")
     return ballots.groupBy("host", "path").agg((F.sum("share") / 1e6).alias("votes"), F.count("*").alias("pages"))
 

@@ -19,6 +19,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from presslake.llm.common import importable
+
 PROFILE = 400         #: K, n-grams of a profile and of a document
 TRAIN_DOCS = 20_000   #: about so many labelled documents per language are learned from
 MAX_LANGS = 1_000     #: most languages that profiles may be learned for
@@ -167,6 +169,7 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", key:
                     grams, counts = _runs(np.concatenate((grams, g)), np.concatenate((counts, c)))
                 yield pa.RecordBatch.from_arrays([pa.array([la] * len(grams), pa.string()), pa.array(grams), pa.array(counts)], names=["lang", "gram", "n"])
 
+    importable(docs.sparkSession)
     counted = taken.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = counted.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < k).select("lang", "gram", "rank").collect()
@@ -201,6 +204,7 @@ def predict(docs: DataFrame, profiles, text: str = "text", k: int = PROFILE,
                 names=[*kept, lang_out, score_out])
 
     from pyspark.sql.types import DoubleType, StringType, StructType
+    importable(docs.sparkSession)
     schema = StructType([docs.schema[c] for c in kept]).add(lang_out, StringType()).add(score_out, DoubleType())
     return docs.mapInArrow(run, schema)
 

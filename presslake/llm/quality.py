@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from presslake.llm.common import BROADCAST_ROWS, stage, utf8
+from presslake.llm.common import BROADCAST_ROWS, importable, stage, utf8
 
 MIN_WORDS = 20          #: fewer words fail
 MAX_REPEAT = 30         #: more per cent of the words in repeated windows fail
@@ -171,6 +171,7 @@ def add_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
             rows = np.concatenate(rows) if rows else np.zeros((0, len(STATS)), np.int64)
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in kept), *(pa.array(rows[:, k]) for k in range(len(STATS)))], names=[*kept, *STATS])
 
+    importable(docs.sparkSession)
     schema = StructType([docs.schema[c] for c in kept])
     for c in STATS:
         schema = schema.add(c, LongType())
@@ -226,6 +227,7 @@ def _fit(sums: DataFrame, factor: float = 1.0) -> DataFrame:
             inv = np.linalg.inv(cov * factor + np.eye(p) * FLOOR**2)
             yield pd.DataFrame({"g": t["g"], **{f"m{k}": mean[:, k] for k in range(p)}, **{f"i{a}{b}": inv[:, a, b] for a, b in pairs}})
 
+    importable(sums.sparkSession)
     return sums.mapInPandas(run, "g string, " + ", ".join(f"{c} double" for c in names))
 
 

@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from presslake.llm.common import blocks, stage, utf8
+from presslake.llm.common import blocks, importable, stage, utf8
 
 SHINGLE = 3
 SEED = 42
@@ -107,6 +107,7 @@ def add_fingerprint(docs: DataFrame, text: str = "text", out: str = "fp",
             fp = np.concatenate(fp) if fp else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in kept), pa.array(fp.view(np.int64))], names=[*kept, out])
 
+    importable(docs.sparkSession)
     return docs.mapInArrow(run, StructType([docs.schema[c] for c in kept]).add(out, LongType()))
 
 

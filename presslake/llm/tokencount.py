@@ -26,6 +26,8 @@ from bisect import bisect_left
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from presslake.llm.common import importable
+
 CHUNK = 32_768     #: characters of a chunk
 OVERLAP = 256      #: characters that neighbouring chunks share at first
 BATCH = 1 << 20    #: characters that are encoded in one call
@@ -139,6 +141,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, chunk: int = CHU
                 [b.column(0), b.column(2), pa.array(counts, pa.int64()), pa.array([c > limit for c in counts], pa.bool_())],
                 names=["key", "n_bytes", "n_tokens", "over_limit"])
 
+    importable(docs.sparkSession)
     src = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"),
                       F.coalesce(F.octet_length(F.col(f"`{text}`")), F.lit(0)).cast("long").alias("n_bytes"))
     kind = src.schema["key"].dataType.simpleString()

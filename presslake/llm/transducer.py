@@ -31,6 +31,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from presslake.llm.common import importable
+
 MARK = "▁"
 MEMORY = 1_000_000     #: stretches whose path a worker remembers
 PAIRS = 2_000_000      #: pairs whose weight a worker remembers
@@ -189,6 +191,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple = ("doc_i
     as little-endian 32-bit numbers) and round_trip (decoding gives the text)
     of every whole text.  Null text is as empty: no ids.  No shuffle."""
     from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructType
+    importable(docs.sparkSession)
     src = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text"))
 
     def run(batches):
@@ -217,6 +220,7 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", keep: tuple = ("doc_id"
     """The columns ``keep`` with the ``text`` that each row's ids spell (null
     ids: null)."""
     from pyspark.sql.types import StringType, StructType
+    importable(rows.sparkSession)
     src = rows.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{ids}`").alias("_ids"))
 
     def run(batches):
