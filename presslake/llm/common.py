@@ -25,6 +25,19 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+_STORE: dict = {}
+
+
+def worker_store(owner: str) -> dict:
+    """What this Python worker remembers for an operator between tasks.  A
+    worker remembers for one operator at a time: asking for another's store
+    drops what was there, so stages of one job don't add up their memory."""
+    if _STORE.get("owner") != owner:
+        _STORE.clear()
+        _STORE["owner"] = owner
+    return _STORE
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which driver and executors
     share.  Only a local session without that setting (tests) gets a temporary

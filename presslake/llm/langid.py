@@ -19,12 +19,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from presslake.llm.common import importable
+from presslake.llm.common import importable, worker_store
 
 PROFILE = 400         #: K, n-grams of a profile and of a document
 TRAIN_DOCS = 20_000   #: about so many labelled documents per language are learned from
 MAX_LANGS = 1_000     #: most languages that profiles may be learned for
-BLOCK = 1 << 20       #: code points that are counted at once
+BLOCK = 1 << 18       #: code points that are counted at once
 
 _LETTERS: list[np.ndarray] = []
 
@@ -158,6 +158,7 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", key:
 
     def run(batches):
         import pyarrow as pa
+        worker_store("langid")
         for b in batches:
             by: dict[str, list[str]] = {}
             for la, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -193,7 +194,8 @@ def predict(docs: DataFrame, profiles, text: str = "text", k: int = PROFILE,
 
     def run(batches):
         import pyarrow as pa
-        for b in batches:
+        worker_store("langid")
+        for b in (b.slice(i, 1024) for b in batches for i in range(0, max(b.num_rows, 1), 1024)):
             pred, score = [], []
             for part in _text_runs([t or "" for t in b.column(at).to_pylist()]):
                 p, s = nearest(part, langs, grams, ranks, k)

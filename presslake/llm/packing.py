@@ -13,22 +13,28 @@ size and are packed independently, so nothing is ever gathered in one place.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslake.llm.common import stage
+from presslake.llm.common import blocks, importable, stage, utf8, worker_store
 
 CAPACITY = 2048
 END_ID = 1
 GROUP = 8192             #: pieces of a group, about
 BLOCK = 1 << 16          #: a group beyond this (identical rows only) is packed in blocks
 CACHE_WORDS = 1_000_000  #: words whose ids a Python worker remembers
-TEXT = 1 << 20           #: characters whose words are looked up at once
+TEXT = 1 << 22           #: bytes of text whose words are looked up at once
 
-_WORKER: dict[str, tuple] = {}
+#: Words that the normaliser leaves as they are and that are one pre-token, before a stop that is another.
+_PLAIN = re.compile("([a-z\u00e0-\u00f6\u00f8-\u00ff]+)([.,]?)")
+_STOPS = (".", ",")
+_BLANKS = np.arange(256, dtype=np.uint8)
+_BLANKS[[0x09, 0x0A, 0x0D]] = 0x20
 
 
 class WordEncoder:
@@ -38,50 +44,87 @@ class WordEncoder:
 
     (Its normaliser changes no character because of a blank beside it, its
     pre-tokens hold no white space, its special strings none either.  Other
-    white space stays inside a word and is left to the tokenizer.)"""
+    white space stays inside a word and is left to the tokenizer.  Latin-1
+    texts that can't hold a special string are lower-cased before, as the
+    normaliser does anyway, and words of plain letters go to the same model
+    without the normaliser and the pattern, which would change nothing.)"""
 
     def __init__(self, path: str, words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(path)
-        self.tok.no_truncation()
-        self.tok.no_padding()
+        from tokenizers import Tokenizer, pre_tokenizers
+        self.tok, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for t in (self.tok, self.bare):
+            t.no_truncation()
+            t.no_padding()
+        self.bare.normalizer = None
+        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.words = words
         self.ids: dict[str, bytes] = {}
 
+    def _learn(self, tok, words: list[str], here: dict[str, bytes]) -> None:
+        for i in range(0, len(words), 50_000):
+            part = words[i:i + 50_000]
+            for w, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                here[w] = self.ids[w] = array("I", e.ids).tobytes()
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        """The ids of different words."""
+        ids, here = self.ids, {}
+        bare, other, stopped = [], [], []
+        for w in (*_STOPS, *words):
+            known = ids.get(w)
+            if known is not None:
+                here[w] = known
+            elif (m := _PLAIN.fullmatch(w)) is None:
+                other.append(w)
+            elif m[2]:
+                stopped.append(m)
+            else:
+                bare.append(w)
+        here.update((w, b"") for w in bare)
+        for c in {m[1] for m in stopped if m[1] not in here}:
+            if c in ids:
+                here[c] = ids[c]
+            else:
+                bare.append(c)
+        if len(ids) + len(bare) + len(other) > self.words:
+            self.ids = {}
+        self._learn(self.bare, bare, here)
+        self._learn(self.tok, other, here)
+        here.update((m[0], here[m[1]] + here[m[2]]) for m in stopped)
+        return [here[w] for w in words]
+
+    def encode_column(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of an Arrow string array without nulls, in order, and the
+        offsets of each text's."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        as_is = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, "[^\\x{00}-\\x{ff}]"))
+        data, off = utf8(pc.if_else(as_is, texts, pc.utf8_lower(texts)))
+        plain = pa.StringArray.from_buffers(len(texts), pa.py_buffer(off.astype(np.int32)), pa.py_buffer(_BLANKS[data]))
+        words = pc.split_pattern(plain, " ")
+        coded = words.flatten().dictionary_encode()
+        known = self._known(coded.dictionary.to_pylist())
+        size = np.array([len(x) // 4 for x in known], np.int64)
+        flat = np.frombuffer(b"".join(known), "<u4")
+        which = coded.indices.to_numpy()
+        n = size[which]
+        end = np.cumsum(n)
+        ids = flat[np.repeat((np.cumsum(size) - size)[which] - (end - n), n) + np.arange(end[-1] if len(end) else 0)]
+        return ids, np.concatenate(([0], end))[words.offsets.to_numpy() - words.offsets[0].as_py()]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        used: set[str] = set()
-        for w in split:
-            used.update(w)
-        new = [w for w in used if w not in self.ids]
-        if len(self.ids) + len(new) > self.words:
-            self.ids = {w: self.ids[w] for w in used if w in self.ids}
-        for i in range(0, len(new), 50_000):
-            part = new[i:i + 50_000]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.ids[w] = np.array(e.ids, "<u4").tobytes()
-        get = self.ids.__getitem__
-        return [b"".join(map(get, w)) for w in split]
+        import pyarrow as pa
+        ids, off = self.encode_column(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(off[:-1], off[1:], strict=True)]
 
 
 def _encoder(path: str) -> WordEncoder:
-    if path not in _WORKER:
-        _WORKER[path] = WordEncoder(path)
-    return _WORKER[path]
-
-
-def _runs(texts: list[str]):
-    run, size = [], 0
-    for t in texts:
-        run.append(t)
-        size += len(t)
-        if size >= TEXT:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
+    store = worker_store("packing")
+    if path not in store:
+        store[path] = WordEncoder(path)
+    return store[path]
 
 
 def cut_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID,
@@ -95,14 +138,16 @@ def cut_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id:
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
         enc = _encoder(path)
         tail = np.array([end_id], "<u4").tobytes()
         for b in batches:
             row, cols, ids = [], [[], [], [], []], []
-            at = 0
-            for part in _runs([t or "" for t in b.column(len(keep)).to_pylist()]):
-                for k, data in enumerate(enc.encode(part), at):
-                    data += tail
+            texts = pc.fill_null(b.column(len(keep)), "")
+            for i, j in blocks(utf8(texts)[1], TEXT):
+                all_ids, off = enc.encode_column(texts.slice(i, j - i))
+                for k in range(i, j):
+                    data = all_ids[off[k - i]:off[k - i + 1]].tobytes() + tail
                     n = len(data) // 4
                     for s in range(0, n, capacity):
                         piece = data[4 * s:4 * (s + capacity)]
@@ -111,13 +156,13 @@ def cut_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id:
                             c.append(v)
                         if with_ids:
                             ids.append(np.frombuffer(piece, "<u4").astype(np.int32))
-                at += len(part)
             took = pa.array(row, pa.int64())
             out = [*(b.column(i).take(took) for i in range(len(keep))), *(pa.array(c, pa.int64()) for c in cols)]
             if with_ids:
                 out.append(pa.array(ids, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(out, names=[*keep, *names, *(["ids"] if with_ids else [])])
 
+    importable(docs.sparkSession)
     schema = StructType([src.schema[c] for c in keep])
     for c in names:
         schema = schema.add(c, LongType())
@@ -200,6 +245,7 @@ def pack(pieces: DataFrame, content: tuple, capacity: int = CAPACITY, group: int
         if held:
             yield from flush()[0]
 
+    importable(pieces.sparkSession)
     schema = StructType(list(pieces.schema.fields)).add("sequence_id", LongType()).add("offset", LongType())
     order = ["_g", F.desc("length"), *[F.col(f"`{c}`") for c in content]]
     return hashed.repartition("_g").sortWithinPartitions(*order).mapInArrow(run, schema)

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from presslake.llm.common import BROADCAST_ROWS, importable, stage, utf8
+from presslake.llm.common import BROADCAST_ROWS, importable, stage, utf8, worker_store
 
 MIN_WORDS = 20          #: fewer words fail
 MAX_REPEAT = 30         #: more per cent of the words in repeated windows fail
@@ -32,7 +32,7 @@ STEPS = 6               #: concentration steps
 FLOOR = 0.05            #: added to every standard deviation (squares add up), so that constant statistics can't reject
 CUTOFF = 12.0           #: Mahalanobis distance beyond which a text is rejected
 SALTS = 16
-SEGMENT = 1 << 21       #: bytes that are hashed at once
+SEGMENT = 1 << 19       #: bytes that are hashed at once
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stutters")
 VECTOR = ("v_length", "v_word", "v_symbols", "v_lines", "v_repeat", "v_stutter")
@@ -165,6 +165,7 @@ def add_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches):
         import pyarrow as pa
+        worker_store("quality")
         for b in batches:
             data, off = utf8(b.column(b.schema.get_field_index(text)))
             rows = [text_statistics(data[off[i]:off[j]], off[i:j + 1] - off[i]) for i, j in blocks(off, SEGMENT)]

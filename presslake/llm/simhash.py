@@ -29,13 +29,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from presslake.llm.common import blocks, importable, stage, utf8
+from presslake.llm.common import blocks, importable, stage, utf8, worker_store
 
 SHINGLE = 3
 SEED = 42
 MAX_BITS = 2
 GROUP = 48              #: largest candidate group that is paired
-BLOCK = 1 << 20         #: bytes of text that are fingerprinted at once
+BLOCK = 1 << 19         #: bytes of text that are fingerprinted at once
 BASE_PIVOT = 0x5DEECE66D1234567
 #: Unrelated pivots.
 OTHER_PIVOTS = tuple((0x9E3779B97F4A7C15 * (k + 1) ^ 0xC2B2AE3D27D4EB4F) & (1 << 64) - 1 for k in range(16))
@@ -101,6 +101,7 @@ def add_fingerprint(docs: DataFrame, text: str = "text", out: str = "fp",
 
     def run(batches):
         import pyarrow as pa
+        worker_store("simhash")
         for b in batches:
             data, off = utf8(b.column(b.schema.get_field_index(text)))
             fp = [fingerprints(data[off[i]:off[j]], off[i:j + 1] - off[i], shingle, seed) for i, j in blocks(off, BLOCK)]

@@ -26,25 +26,24 @@ from bisect import bisect_left
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslake.llm.common import importable
+from presslake.llm.common import importable, worker_store
 
 CHUNK = 32_768     #: characters of a chunk
 OVERLAP = 256      #: characters that neighbouring chunks share at first
 BATCH = 1 << 20    #: characters that are encoded in one call
 
-_LOADED: dict[str, object] = {}
-
 
 def load(path: str):
     """The tokenizer of a ``.json`` file, loaded once per Python worker."""
-    if path not in _LOADED:
+    store = worker_store("tokencount")
+    if path not in store:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         tok = Tokenizer.from_file(path)
         tok.no_truncation()
         tok.no_padding()
-        _LOADED[path] = tok
-    return _LOADED[path]
+        store[path] = tok
+    return store[path]
 
 
 def proven(text: str, p: int) -> bool:

@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslake.llm.common import importable
+from presslake.llm.common import importable, worker_store
 
 MARK = "▁"
 MEMORY = 1_000_000     #: stretches whose path a worker remembers
@@ -40,7 +40,6 @@ LETTERS = "".join(c for c in map(chr, range(0x24F)) if c.isalpha())
 LONG = 64              #: longer stretches are not remembered
 
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE, _UNUSED = 1, 2, 3, 4, 6, 5
-_WORKER: dict[str, Transducer] = {}
 
 
 class Transducer:
@@ -181,9 +180,10 @@ class Transducer:
 
 def compiled(path: str) -> Transducer:
     """The transducer of a model file, compiled once per Python worker."""
-    if path not in _WORKER:
-        _WORKER[path] = Transducer(path)
-    return _WORKER[path]
+    store = worker_store("transducer")
+    if path not in store:
+        store[path] = Transducer(path)
+    return store[path]
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple = ("doc_id",)) -> DataFrame:
