@@ -24,6 +24,7 @@ def _spark(args):
 def cmd_harvest(args):
     from pyspark.sql import functions as F
 
+    from presslake.functions.text import path_tail_name
     from presslake.operators import nodes as N
     from presslake.operators import sites
     from presslake.operators.harvest import harvest, harvest_report
@@ -39,14 +40,19 @@ def cmd_harvest(args):
         got = pages.select("page_id", "url", "html")
         spec = sites.render_sentinels(sites.site_articles(got, N.shred(got), args.site), args.site)
         arts = arts.select("url", "status", "outcome", "page_id").join(spec.drop("url"), "page_id", "left")
-    sinks.write_jsonl(arts.drop("page_id"), os.path.join(args.out, "articles"))
-    manifest = arts.where(F.col("image_url").isNotNull()).select("url", "image_url") if "image_url" in arts.columns \
-        else None
-    if manifest is not None:
+    # Extraction runs once: the manifest and the summary read the written records.
+    arts = arts.drop("page_id", "url_key")
+    path = os.path.join(args.out, "articles")
+    sinks.write_jsonl(arts, path)
+    arts = spark.read.schema(arts.schema).json(path)
+    written = ["articles", "summary"]
+    if "image_url" in arts.columns:
+        manifest = arts.where(F.col("image_url").isNotNull()).select("url", "image_url", path_tail_name("image_url", 3).alias("file_name"))
         manifest.write.mode("overwrite").parquet(os.path.join(args.out, "asset_manifest"))
+        written.append("asset_manifest")
     report = harvest_report(arts) if not args.site else arts.groupBy("outcome").count()
     report.write.mode("overwrite").json(os.path.join(args.out, "summary"))
-    print(json.dumps({"out": args.out, "written": ["articles", "asset_manifest", "summary"]}))
+    print(json.dumps({"out": args.out, "written": sorted(written)}))
 
 
 def cmd_links(args):

@@ -19,7 +19,7 @@ from presslake.functions.text import col_, decode_entities, py_strip, strip_tags
 # common "<" prefix factored out: only "<" positions try the alternatives
 # (no repeated groups: Java's regex engine recurses on those and overflows
 # its stack on multi-MB pages)
-CLEAN_RE = r"(?is)<(?:script\b.*?</script>|style\b.*?</style>|!--.*?-->)"
+CLEAN_RE = r"(?is)<(?:script\b.*?(?:</script>|\z)|style\b.*?(?:</style>|\z)|!--.*?(?:-->|\z))"
 # attribute value: double-quoted, single-quoted or bare (same text in Java
 # regex and RE2: explicit white-space class, no \s)
 _WS = "[ \\t\\n\\f\\r]"
@@ -76,15 +76,15 @@ def attr_first(c, tag: str, attr: str) -> Column:
     the value may be double-, single- or un-quoted."""
     pat = attr_pattern(tag, attr)
     c = col_(c)
-    return F.when(c.rlike(pat), unquote(F.regexp_extract(c, pat, 1)))
+    return F.when(c.rlike(pat), decode_entities(unquote(F.regexp_extract(c, pat, 1))))
 
 
 def hrefs(c) -> Column:
     """O-X14: every ``href`` of ``<a>`` in document order (array); values may
-    be double-, single- or un-quoted."""
+    be double-, single- or un-quoted, character references are decoded."""
     raw = F.regexp_extract_all(col_(c), F.lit(HREF_RE), 1)
     # one pass over the page; only values that start with a quote need work
-    return F.transform(raw, lambda v: F.when(v.rlike("^[\"']"), unquote(v)).otherwise(v))
+    return F.transform(raw, lambda v: decode_entities(F.when(v.rlike("^[\"']"), unquote(v)).otherwise(v)))
 
 
 def paragraphs(article_markup, drop_blank: bool = False) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import cache
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,19 +19,8 @@ PY_STRIP_RE = f"^{PY_SPACE}+|{PY_SPACE}+\\z"
 PY_SPACE_CHARS = (" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
                   + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
 
-# HTML entities decoded by the text extractors, applied in this order;
-# '&amp;' must come last so '&amp;lt;' yields '&lt;' and not '<'.
-ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-)
+# Character references by number that HTML reads as Windows-1252 (or replaces).
+C1_BYTES = range(0x80, 0xA0)
 # Line separators of Python's str.splitlines() beyond \n, \r, \r\n.
 SPLITLINES_RE = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}\x{1d}\x{1e}\x{85}\x{2028}\x{2029}]"
 # -------------------------------------------------------------------------
@@ -47,12 +39,47 @@ def py_strip(c) -> Column:
     return F.btrim(col_(c), F.lit(PY_SPACE_CHARS))
 
 
+REFERENCE_RE = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+@cache
+def _named() -> str:
+    """Name and text of every HTML entity that ends in ``;`` (the standard
+    library's table), as one constant for ``str_to_map``."""
+    return "\x01".join(f"{k[:-1]}\x02{v}" for k, v in html5.items() if k.endswith(";"))
+
+
+@cache
+def _c1() -> str:
+    """What the numbers 128 to 159 stand for in HTML, likewise."""
+    return "\x01".join(f"{b}\x02{bytes([b]).decode('cp1252', 'ignore') or chr(b)}" for b in C1_BYTES)
+
+
+def _in_map(table: str, key: Column) -> Column:
+    return F.try_element_at(F.str_to_map(F.lit(table), F.lit("\x01"), F.lit("\x02")), key)
+
+
+def _referred(ref: Column) -> Column:
+    """The text of one reference (without ``&`` and ``;``); unknown names stay."""
+    hexed = F.when(F.substr(ref, F.lit(2), F.lit(1)).isin("x", "X"), F.substr(ref, F.lit(3)))
+    code = F.coalesce(F.conv(hexed, 16, 10), F.substr(ref, F.lit(2))).try_cast("int")
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    number = (F.when(code.between(0x80, 0x9F), _in_map(_c1(), code.cast("string")))
+              .when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit("\ufffd")).otherwise(char))
+    name = (F.when(ref == "amp", F.lit("&")).when(ref == "quot", F.lit('"')).when(ref == "lt", F.lit("<")).when(ref == "gt", F.lit(">"))
+            .when(ref == "nbsp", F.lit("\u00a0")).otherwise(_in_map(_named(), ref)))
+    return F.when(ref.startswith("#"), number).otherwise(F.coalesce(name, F.concat(F.lit("&"), ref, F.lit(";"))))
+
+
 def decode_entities(c) -> Column:
-    """O-F21: decode the entities that occur in harvested pages."""
-    out = col_(c)
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    """O-F21: decode every character reference that ends in ``;`` — all named
+    ones of HTML and those by decimal or hexadecimal number — in one pass
+    (``&amp;lt;`` gives ``&lt;``).  Text without one is returned as it is."""
+    t = col_(c)
+    refs = F.transform(F.regexp_extract_all(t, F.lit(REFERENCE_RE), 1), _referred)
+    pieces = F.split(t, REFERENCE_RE)
+    joined = F.array_join(F.zip_with(pieces, refs, lambda p, r: F.concat(p, F.coalesce(r, F.lit("")))), "")
+    return F.when(t.rlike(REFERENCE_RE), joined).otherwise(t)
 
 
 def strip_tags(c) -> Column:
@@ -84,7 +111,7 @@ def path_tail_name(c, start: int = 5, strip_query: bool = True) -> Column:
 def remove_prefix(c, prefix: str) -> Column:
     """O-F8: ``x.removeprefix(prefix)``."""
     c = col_(c)
-    return F.when(c.startswith(prefix), F.substring(c, len(prefix) + 1, 1 << 30)).otherwise(c)
+    return F.when(c.startswith(prefix), F.substr(c, F.lit(len(prefix) + 1))).otherwise(c)
 
 
 def strip_chars(c, chars: str) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from presslake.functions import html as H
 from presslake.functions.text import py_strip
-from presslake.functions.urls import absolutize_with, base_parts, host
+from presslake.functions.urls import absolutize_with, host, normalize_url, with_page_base
 
 
 def explode_items(df: DataFrame, keep, array_col, pos: str = "pos", val: str = "value") -> DataFrame:
@@ -87,15 +87,31 @@ def extract_articles_full(pages: DataFrame, sentinels: dict | None = None) -> Da
 
 def page_links(pages: DataFrame, absolute: bool = False) -> DataFrame:
     """O-X14/O-X20: one row per link ``(page_id, url, pos, href)`` in page order."""
-    c = pages.select("page_id", "url", H.hrefs(H.clean_html("html")).alias("hrefs"))
     if not absolute:
+        c = pages.select("page_id", "url", H.hrefs(H.clean_html("html")).alias("hrefs"))
         return explode_items(c, ["page_id", "url"], "hrefs", "pos", "href")
     # base-URL parts once per page, then explode the page's links
-    c = c.withColumn("_base", base_parts("url"))
+    c = with_page_base(pages.select("page_id", "url", H.clean_html("html").alias("_clean")), "url", "_clean")
+    c = c.select("page_id", "url", "_base", H.hrefs("_clean").alias("hrefs"))
     out = explode_items(c, ["page_id", "url", "_base"], "hrefs", "pos", "href")
     return out.withColumn("abs_url", absolutize_with("href", "_base")).drop("_base")
 
 
+def download_manifest(listing: DataFrame, details: DataFrame) -> DataFrame:
+    """O-K7 / O-J5: listing link → detail page → its first download link.
+
+    ``listing`` has ``detail_url`` (and any columns that name the entry);
+    ``details(url, html)`` are the landed detail pages.  Download links are
+    read where the pages are read; the lookup joins URLs only.  An entry whose
+    detail page did not land, or has no link, stays as ``skipped``."""
+    d = with_page_base(details.select(normalize_url("url").alias("_key"), H.clean_html("html").alias("c"), "url"), "url", "c")
+    d = d.select("_key", "_base", F.get(H.hrefs("c"), 0).alias("_href"))
+    one = d.select("_key", absolutize_with("_href", "_base").alias("pdf_url")).groupBy("_key").agg(F.min("pdf_url").alias("pdf_url"))
+    out = listing.withColumn("_k", normalize_url("detail_url")).join(one, F.col("_k") == F.col("_key"), "left").drop("_k", "_key")
+    name = F.regexp_extract("pdf_url", r"([^/?#]*)(?:[?#].*)?$", 1)
+    return out.withColumn("skipped", F.col("pdf_url").isNull()).withColumn("file_name", F.when(F.col("pdf_url").isNotNull(), name))
+
+
 def article_paragraphs(pages: DataFrame, drop_blank: bool = False) -> DataFrame:
     """O-X16: ``(page_id, pos, text)`` one row per paragraph."""
     c = cleaned(pages)

@@ -1,7 +1,7 @@
 """Pagination, editions and listing-page plans (O-S4..S6, O-X22, O-X24..26, O-T1).
 
 Page fan-out is ``explode(sequence(...))`` — a narrow, per-row expansion —
-and a traversal of unknown depth is a recursive CTE (one join per level).
+and a traversal of unknown depth doubles its reach with each round of joins.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presslake.functions.text import col_, py_strip
+from presslake.session import stage
 
 # ---- fixed values -------------------------------------------------------
 # Romanian month names, month number "01".."12" → name (edition calendar).
@@ -82,22 +83,27 @@ def romanian_date(text) -> Column:
     return F.try_to_date(F.concat_ws("-", y, m, d), "yyyy-MM-dd")
 
 
-def follow_next(spark, edges: DataFrame, start: DataFrame, max_depth: int = 100) -> DataFrame:
+def follow_next(edges: DataFrame, start: DataFrame) -> DataFrame:
     """O-T1: follow ``next`` links from each start until there is none.
 
-    ``edges(src_key, src, dst)`` and ``start(src_key, src)``; the traversal
-    is a recursive CTE (one join per level, depth ≤ ``max_depth`` and
-    ``spark.sql.cteRecursionLevelLimit``) and returns ``(src_key, node,
-    depth)``.  The DataFrames are passed as SQL arguments, so no named
-    views are created in the session.
+    ``edges(src_key, src, dst)`` (one next page at most per page) and
+    ``start(src_key, src)`` give ``(src_key, node, depth)`` for every page of
+    every walk, however long.  Pointer doubling: round k extends each walk by
+    the jumps of 2^k links and joins the jumps with themselves, so a walk of n
+    pages takes about log2(n) rounds of joins keyed by page, and ends when no
+    jump is left.  A cycle (jumps longer than there are links) is an error.
     """
-    return spark.sql(f"""
-        WITH RECURSIVE walk(src_key, node, depth) AS (
-          SELECT src_key, src, 0 FROM {{start}}
-          UNION ALL
-          SELECT w.src_key, e.dst, w.depth + 1
-          FROM walk w JOIN {{edges}} e ON e.src_key = w.src_key AND e.src = w.node
-          WHERE w.depth < {int(max_depth)}
-        )
-        SELECT src_key, node, depth FROM walk
-    """, edges=edges, start=start)
+    jumps = stage(edges.select("src_key", "src", "dst"), "jumps")
+    walk = start.select("src_key", F.col("src").alias("node"), F.lit(0).cast("bigint").alias("depth"))
+    links, step = jumps.count(), 1
+    while not jumps.isEmpty():
+        if step > links:
+            raise ValueError("the next links of some pages form a cycle")
+        hop = jumps.select(F.col("src_key").alias("_k"), F.col("src").alias("_s"), F.col("dst").alias("_d"))
+        more = walk.join(hop, F.col("src_key").eqNullSafe(F.col("_k")) & (F.col("node") == F.col("_s"))).select(
+            "src_key", F.col("_d").alias("node"), (F.col("depth") + step).alias("depth"))
+        walk = stage(walk.unionByName(more), "walk")
+        jumps = stage(jumps.join(hop, F.col("src_key").eqNullSafe(F.col("_k")) & (F.col("dst") == F.col("_s"))).select(
+            "src_key", "src", F.col("_d").alias("dst")), "jumps")
+        step *= 2
+    return walk

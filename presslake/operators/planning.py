@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslake.operators.windows import dense_index, lag_by_index
+from presslake.operators.windows import dense_index
 
 
 def chunk_assign(df: DataFrame, order_col: str, workers: int) -> DataFrame:
@@ -53,11 +53,10 @@ def host_waves(df: DataFrame, host_col: str, order_col: str, per_host: int) -> D
 def plateau_stop(df: DataFrame, group_col: str, order_col: str, height_col: str) -> DataFrame:
     """O-W5 / O-T7: per group, the first position whose height equals the
     previous height (the scroll loop's stop point).  Groups without a
-    plateau produce no row.  ``lag`` is an index self-join, so a hot group
-    does not land in one task."""
-    idx = dense_index(df, order_col, [group_col], out="pos")
-    with_prev = lag_by_index(idx, "pos", [group_col], [height_col])
-    hit = with_prev.where(F.col(height_col) == F.col("prev_" + height_col))
+    plateau produce no row.  The previous height comes with the position,
+    so a hot group does not land in one task."""
+    idx = dense_index(df, order_col, [group_col], out="pos", lag_cols=[height_col])
+    hit = idx.where(F.col(height_col) == F.col("prev_" + height_col))
     return hit.groupBy(group_col).agg(
         F.min_by(F.struct("pos", order_col, height_col), F.col("pos")).alias("_s")).select(
         group_col, F.col("_s.pos").alias("stop_pos"), F.col("_s")[order_col].alias("stop_" + order_col),

@@ -44,8 +44,8 @@ def field_completeness(df: DataFrame, group_col: str, fields) -> DataFrame:
 
 
 def nonempty(text) -> Column:
-    """O-P8 / O-M2: text with at least one letter left after stripping."""
-    return F.length(F.regexp_replace(F.coalesce(col_(text), F.lit("")), r"[^\p{L}]", "")) > 0
+    """O-P8 / O-M2: text with anything left after stripping white space."""
+    return F.length(py_strip(F.coalesce(col_(text), F.lit("")))) > 0
 
 
 def classify_value(json_text) -> Column:

@@ -2,70 +2,82 @@
 
 ``row_number()`` over a window with no ``partitionBy`` (or over a hot key)
 sorts all of that data in one task.  :func:`dense_index` computes the same
-0-based position without that: each group is split into ``sub_buckets``
-value ranges of the ordering column, rows are numbered inside a
-(group, sub-bucket) window, and a small per-(group, sub-bucket) count table
-supplies the offsets.  The count table has at most ``groups × sub_buckets``
-rows and is aggregated map-side; a hot group is spread over ``sub_buckets``
-tasks instead of one.
+0-based position without that: the ordering column is cut at sampled
+quantiles into about equally full ranges, rows are numbered inside a
+(group, range) window, and a small table with one row per (group, range)
+supplies what came before — how many rows, and the last of them.  A range
+holds about ``1 / ranges`` of all rows, so a hot group spreads over
+``ranges`` tasks, and an outlier cannot drag all rows into one range.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Values sampled for the quantiles: the only thing that reaches the driver.
+SAMPLE = 20_000
 
-def _auto_buckets(df: DataFrame) -> int:
-    """Sub-buckets scale with the input: ~4 per input partition (64 .. 65,536),
-    so a window task holds ~1/4 of an input split even when one group has most
-    rows, and the global offsets table stays a few MB."""
-    try:
-        return min(max(64, 4 * df.rdd.getNumPartitions()), 1 << 16)
-    except Exception:  # no RDD access (e.g. Spark Connect)
-        return 1024
+
+def range_bounds(df: DataFrame, order_col: str, ranges: int, seed: int = 7) -> list:
+    """At most ``ranges - 1`` ascending values that cut ``order_col`` into
+    ranges of about equal size, from a sample of about ``SAMPLE`` values (all
+    of them when there are fewer).  They only balance the work: any bounds
+    give the same positions."""
+    o = df.select(F.col(order_col).alias("o")).where("o is not null")
+    n = o.count()
+    picked = o if n <= SAMPLE else o.sample(fraction=SAMPLE / n, seed=seed)
+    values = sorted(r["o"] for r in picked.collect())
+    return sorted({values[len(values) * k // ranges] for k in range(1, ranges)}) if values else []
+
+
+def range_of(order: Column, bounds: list, kind: str) -> Column:
+    """How many bounds are at most ``order`` (NULL order: -1, first)."""
+    if not bounds:
+        return F.when(order.isNull(), F.lit(-1)).otherwise(F.lit(0))
+    at = F.array(*[F.lit(b).cast(kind) for b in bounds])
+    return F.when(order.isNull(), F.lit(-1)).otherwise(F.size(F.filter(at, lambda b: b <= order)))
+
+
+def _same(a: DataFrame, b: DataFrame, keys, other) -> Column:
+    """Null-safe equality of ``a``'s keys with ``b``'s columns ``other``."""
+    cond = F.lit(True)
+    for k, o in zip(keys, other, strict=True):
+        cond = cond & a[k].eqNullSafe(b[o])
+    return cond
 
 
 def dense_index(df: DataFrame, order_col: str, group_cols=(), out: str = "idx",
-                sub_buckets: int | None = None, total_col: str | None = None) -> DataFrame:
+                ranges: int | None = None, total_col: str | None = None, lag_cols=(),
+                lag_prefix: str = "prev_") -> DataFrame:
     """Add ``out`` = 0-based position of each row inside its group ordered by
-    ``order_col`` (which should be unique inside a group, e.g. an id).
-    ``total_col`` also adds the group's row count (from the small count
-    table, no extra pass over the input)."""
-    g = list(group_cols)
-    sub_buckets = sub_buckets or _auto_buckets(df)
-    global_ = not g
-    if global_:
-        df = df.withColumn("_g", F.lit(0))
-        g = ["_g"]
-    o = F.col(order_col)
-    stats = df.groupBy(*g).agg(F.min(o).alias("_mn"), F.max(o).alias("_mx"))
-    # With no group the stats table is one row: a broadcast of proven size.
-    with_b = df.join(F.broadcast(stats) if global_ else stats, g, "inner")
-    span = (F.col("_mx") - F.col("_mn") + F.lit(1)).cast("double")
-    with_b = with_b.withColumn(
-        "_sub", F.least(F.floor((o - F.col("_mn")).cast("double") * F.lit(sub_buckets) / span).cast("int"),
-                        F.lit(sub_buckets - 1))).drop("_mn", "_mx")
-    counts = with_b.groupBy(*g, "_sub").agg(F.count(F.lit(1)).alias("_n"))
-    w_off = Window.partitionBy(*g).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w_off), F.lit(0)))
-    if total_col:
-        offsets = offsets.withColumn(total_col, F.sum("_n").over(Window.partitionBy(*g)).cast("bigint"))
-    offsets = offsets.drop("_n")
-    # offsets has ≤ min(rows, groups × sub_buckets) rows; with no group it is
-    # ≤ sub_buckets rows (a bound fixed by the input's partition count, a few
-    # MB even for a million partitions), so it is broadcast.
-    joined = with_b.join(F.broadcast(offsets) if global_ else offsets, [*g, "_sub"], "inner")
-    w = Window.partitionBy(*g, "_sub").orderBy(o)
-    res = joined.withColumn(out, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint")).drop("_sub", "_off")
-    return res.drop("_g") if global_ else res
+    ``order_col`` (any orderable type, NULLs first; unique inside a group,
+    e.g. an id).  A NULL group is a group like any other.
 
-
-def lag_by_index(df: DataFrame, idx_col: str, group_cols, value_cols, prefix: str = "prev_") -> DataFrame:
-    """``lag(value) over (partition by group order by idx)`` as an equi-join on
-    (group, idx) = (group, idx + 1): the join key includes the index, so a hot
-    group spreads over all tasks."""
-    g = list(group_cols)
-    prev = df.select(*g, (F.col(idx_col) + 1).alias(idx_col),
-                     *[F.col(v).alias(prefix + v) for v in value_cols])
-    return df.join(prev, [*g, idx_col], "left")
+    ``total_col`` also adds the group's row count, ``lag_cols`` the previous
+    row's values (``lag``), both from the small table of ranges: no second
+    pass over the input and no self-join."""
+    g = [f"_g{k}" for k in range(len(group_cols))]
+    ranges = ranges or max(64, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    kind = df.schema[order_col].dataType.simpleString()
+    order = F.col(order_col)
+    rows = df.withColumn("_range", range_of(order, range_bounds(df, order_col, ranges), kind))
+    last = [F.max_by(F.struct(*[F.col(c).alias(c) for c in lag_cols]), F.struct(order.isNotNull(), order)).alias("_last")] if lag_cols else []
+    table = rows.groupBy(*[F.col(c).alias(k) for c, k in zip(group_cols, g, strict=True)], F.col("_range").alias("_r")).agg(
+        F.count(F.lit(1)).alias("_n"), *last)
+    before = Window.partitionBy(*g).orderBy("_r")
+    upto = before.rowsBetween(Window.unboundedPreceding, -1)
+    table = table.withColumn("_off", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
+    if lag_cols:
+        table = table.withColumn("_last", F.lag("_last").over(before))
+    if total_col:
+        table = table.withColumn(total_col, F.sum("_n").over(Window.partitionBy(*g)).cast("bigint"))
+    table = table.drop("_n")
+    # Without groups the table has at most ranges + 1 rows: a proven bound.
+    joined = rows.join(table if g else F.broadcast(table), _same(rows, table, [*group_cols, "_range"], [*g, "_r"]))
+    w = Window.partitionBy(*group_cols, "_range").orderBy(order)
+    res = joined.withColumn(out, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint"))
+    for c in lag_cols:
+        first = F.row_number().over(w) == 1
+        res = res.withColumn(lag_prefix + c, F.when(first, F.col("_last")[c]).otherwise(F.lag(c).over(w)))
+    return res.drop(*g, "_range", "_r", "_off", "_last")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from presslake.functions import html as H
 from presslake.functions.text import path_tail_name, split_last
-from presslake.functions.urls import absolutize, absolutize_with, base_parts, host, normalize_url, scheme_host
+from presslake.functions.urls import absolutize_all, absolutize_with, base_parts, host, normalize_url, scheme_host
 from presslake.operators import extract as X
 from presslake.operators import pagination as PG
 from presslake.plans import sqlfrag as S
@@ -141,19 +141,17 @@ WITH RECURSIVE walk(conv_id, turn, depth) AS (
   SELECT conv_id, turn, 0 FROM conversations WHERE turn = 0
   UNION ALL
   SELECT w.conv_id, c.turn, w.depth + 1 FROM walk w
-  JOIN conversations c ON c.conv_id = w.conv_id AND c.turn = w.turn + 1
-  WHERE w.depth < 100)
+  JOIN conversations c ON c.conv_id = w.conv_id AND c.turn = w.turn + 1)
 SELECT conv_id, CAST(max(depth) AS BIGINT) AS last_depth, CAST(count(*) AS BIGINT) AS n_visited
 FROM walk GROUP BY conv_id
 """, op="O-T1")
 def q_follow_next(spark, sf):
     c = table(spark, sf, "conversations", spread_rows=False)
-    # the "next" link into every existing turn (from the turn before it): a
-    # projection, so each recursion step joins the frontier with one scan
+    # the "next" link into every existing turn, from the turn before it
     edges = c.where(F.col("turn") >= 1).select(F.col("conv_id").alias("src_key"), (F.col("turn") - 1).alias("src"),
                                                F.col("turn").alias("dst"))
     start = c.where(F.col("turn") == 0).select(F.col("conv_id").alias("src_key"), F.col("turn").alias("src"))
-    w = PG.follow_next(spark, edges, start)
+    w = PG.follow_next(edges, start)
     return w.groupBy(F.col("src_key").alias("conv_id")).agg(
         F.max("depth").cast("bigint").alias("last_depth"), F.count(F.lit(1)).cast("bigint").alias("n_visited"))
 
@@ -221,19 +219,28 @@ def q_asset_manifest(spark, sf):
     return m.where(F.col("asset_url").isNotNull()).withColumn("file_name", path_tail_name("asset_url", 3))
 
 
+# Detail pages of pdf_manifest: the target of a listing link has a download
+# link, unless the link's length is a multiple of three (no page landed).
 @query("pdf_manifest", f"""
 WITH {_LINKS},
-first AS (SELECT page_id, url, arg_min(href, pos) AS href FROM links GROUP BY page_id, url),
-d AS (SELECT f.url, {_abs_sql('f.href', 'f.url')} AS pdf_url FROM pages p JOIN first f ON p.url = f.url)
-SELECT url, pdf_url, string_split(pdf_url, '/')[-1] AS file_name FROM d
+l AS (SELECT page_id, pos, lang, {_abs_sql('href', 'url')} AS link FROM links),
+d AS (SELECT link AS detail_url, min(lang) AS lang FROM l WHERE length(link) % 3 <> 0 GROUP BY link)
+SELECT l.page_id, l.pos, l.link AS detail_url, d.detail_url IS NULL AS skipped,
+       CASE WHEN d.detail_url IS NOT NULL THEN {S.scheme_host('l.link')} || '/files/' || string_split(l.link, '/')[-1] || '.pdf?v=1&lang=' || d.lang END AS pdf_url,
+       CASE WHEN d.detail_url IS NOT NULL THEN string_split(l.link, '/')[-1] || '.pdf' END AS file_name
+FROM l LEFT JOIN d ON l.link = d.detail_url
 """, op="O-K7 O-J5")
 def q_pdf_manifest(spark, sf):
     pages = table(spark, sf, "pages")
-    listing = pages.select("url")  # the URL list (listing stage output)
-    detail = X.page_links(pages).groupBy("page_id", "url").agg(F.min_by("href", "pos").alias("href"))
-    # level 1: listing URL → its detail page; level 2: first download link
-    d = listing.join(detail, "url").select("url", absolutize("href", "url").alias("pdf_url"))
-    return d.withColumn("file_name", split_last("pdf_url", "/"))
+    lang = pages.select("page_id", "url", H.html_lang(H.clean_html("html")).alias("lang"), H.hrefs(H.clean_html("html")).alias("_h"))
+    listing = X.explode_items(lang.withColumn("_base", base_parts("url")), ["page_id", "lang", "_base"], "_h", "pos", "href").select(
+        "page_id", F.col("pos").cast("bigint").alias("pos"), "lang", absolutize_with("href", "_base").alias("detail_url"))
+    # the landed detail pages, derived from the listing: each shows one download link
+    name = split_last("detail_url", "/")
+    landed = (listing.where(F.length("detail_url") % 3 != 0).groupBy("detail_url").agg(F.min("lang").alias("lang"))
+              .select(F.concat("detail_url", F.lit("/")).alias("url"), F.concat(F.lit('<h1>'), name, F.lit('</h1><a class="dl" href="../files/'), name,
+                                                            F.lit(".pdf?v=1&amp;lang="), "lang", F.lit('">PDF</a>')).alias("html")))
+    return X.download_manifest(listing.drop("lang"), landed)
 
 
 @query("url_normalize", f"""
@@ -250,23 +257,23 @@ SELECT page_id, v AS raw, lower(sh) || CASE WHEN path = '/' THEN '' ELSE path EN
 def q_url_normalize(spark, sf):
     p = table(spark, sf, "pages", spread_rows=False)
     sh = scheme_host("url")
-    doubled = F.concat(F.upper(sh), F.lit("//"), F.substring(F.col("url"), F.length(sh) + 2, 1 << 30), F.lit("/"))
+    doubled = F.concat(F.upper(sh), F.lit("//"), F.substr(F.col("url"), F.length(sh) + 2), F.lit("/"))
     u = p.select("page_id", F.col("url").alias("raw")).unionByName(p.select("page_id", doubled.alias("raw")))
     return u.select("page_id", "raw", normalize_url("raw").alias("url_key"))
 
 
 _HARVEST_SQL = f"""
 WITH {_LINKS},
-u AS (SELECT url, page_id * 100000 AS pos FROM pages
-      UNION ALL SELECT {_abs_sql('href', 'url')} AS url, page_id * 100000 + pos + 1 AS pos FROM links),
-n AS (SELECT url, pos, {S.normalize_url('url')} AS url_key FROM u),
-f AS (SELECT url_key, arg_min(url, pos) AS url FROM n GROUP BY url_key),
-p AS (SELECT {S.normalize_url('url')} AS url_key, page_id, html FROM pages),
+u AS (SELECT url, page_id, -1 AS pos FROM pages
+      UNION ALL SELECT {_abs_sql('href', 'url')} AS url, page_id, pos FROM links),
+n AS (SELECT url, page_id, pos, {S.normalize_url('url')} AS url_key FROM u),
+f AS (SELECT url_key, url FROM n QUALIFY row_number() OVER (PARTITION BY url_key ORDER BY page_id, pos) = 1),
+p AS (SELECT {S.normalize_url('url')} AS url_key, max(page_id) AS page_id, arg_max(html, page_id) AS html FROM pages GROUP BY 1),
 j AS (SELECT f.url, p.page_id,
              {S.first_text(S.inner_first(S.clean('p.html'), 'article'), 'h1')} AS title
       FROM f LEFT JOIN p ON f.url_key = p.url_key)
 SELECT {S.host('url')} AS site, CAST(count(*) AS BIGINT) AS n_urls,
-       CAST(count(page_id) AS BIGINT) AS n_ok, CAST(count(*) - count(page_id) AS BIGINT) AS n_lost,
+       CAST(count(page_id) AS BIGINT) AS n_ok, CAST(0 AS BIGINT) AS n_error, CAST(count(*) - count(page_id) AS BIGINT) AS n_lost,
        CAST(count(*) FILTER (WHERE page_id IS NOT NULL AND title IS NOT NULL) AS BIGINT) AS n_with_title
 FROM j GROUP BY 1
 """
@@ -276,7 +283,65 @@ FROM j GROUP BY 1
 def q_harvest_run(spark, sf):
     from presslake.operators.harvest import harvest, harvest_report
     pages = table(spark, sf, "pages")
-    links = X.page_links(pages, absolute=True)
-    urls = pages.select("url", (F.col("page_id") * 100000).alias("pos")).unionByName(
-        links.select(F.col("abs_url").alias("url"), (F.col("page_id") * 100000 + F.col("pos") + 1).alias("pos")))
-    return harvest_report(harvest(urls, pages))
+    # one pass: each page's own URL, then its links in order (order = (page_id, pos))
+    found = pages.select("page_id", "url", base_parts("url").alias("_base"), H.hrefs(H.clean_html("html")).alias("_h"))
+    urls = found.select("page_id", F.posexplode(F.concat(F.array("url"), absolutize_all("_h", "_base"))).alias("k", "url"))
+    return harvest_report(harvest(urls.select("url", F.struct("page_id", "k").alias("pos")), pages))
+
+
+_STATUS_SQL = "CASE WHEN page_id % 7 = 3 THEN 404 WHEN page_id % 11 = 5 THEN NULL ELSE 200 END"
+
+
+@query("harvest_outcomes", f"""
+WITH landed AS (
+  SELECT page_id, url, CAST({_STATUS_SQL} AS INTEGER) AS status, html FROM pages WHERE page_id % 13 <> 6
+  UNION ALL
+  SELECT page_id + 1000000000, url || '/', 200, html FROM pages
+  WHERE page_id % 5 = 0 AND NOT contains(url, '?') AND NOT contains(url, '#') AND url NOT LIKE '%/'),
+p AS (SELECT {S.normalize_url('url')} AS url_key, max(page_id) AS page_id, arg_max(coalesce(status, 200), page_id) AS status,
+             arg_max(html, page_id) AS html FROM landed GROUP BY 1),
+f AS (SELECT {S.normalize_url('url')} AS url_key, arg_min(url, page_id) AS url FROM pages GROUP BY 1)
+SELECT f.url, p.page_id, p.status,
+       CASE WHEN p.page_id IS NULL THEN 'lost' WHEN p.status = 200 THEN 'ok' ELSE 'error' END AS outcome,
+       CASE WHEN p.status = 200 THEN {S.first_text(S.inner_first(S.clean('p.html'), 'article'), 'h1')} END AS title,
+       CASE WHEN p.status = 200 THEN CAST(len({S.paragraphs(S.inner_first(S.clean('p.html'), 'article'))}) AS BIGINT) END AS n_paragraphs
+FROM f LEFT JOIN p ON f.url_key = p.url_key
+""", op="O-P1 O-J1 O-T8 Q8: status missing, error pages, repeated and missing pages")
+def q_harvest_outcomes(spark, sf):
+    from presslake.operators.harvest import harvest
+    pages = table(spark, sf, "pages")
+    status = F.when(F.col("page_id") % 7 == 3, 404).when(F.col("page_id") % 11 == 5, F.lit(None).cast("int")).otherwise(200)
+    again = pages.where((F.col("page_id") % 5 == 0) & ~F.col("url").contains("?") & ~F.col("url").contains("#") & ~F.col("url").endswith("/"))
+    landed = pages.where("page_id % 13 <> 6").select("page_id", "url", status.alias("status"), "html").unionByName(
+        again.select((F.col("page_id") + 1_000_000_000).alias("page_id"), F.concat("url", F.lit("/")).alias("url"), F.lit(200).alias("status"), "html"))
+    got = harvest(pages.select("url", F.col("page_id").alias("pos")), landed)
+    return got.select("url", "page_id", "status", "outcome", "title", F.when(F.col("content").isNotNull(), F.size("content").cast("bigint")).alias("n_paragraphs"))
+
+
+# Listing pages of listing_harvest: the pages of a site in page_id order are the
+# pages 1, 2, ... of its listing; each shows a counter; some did not land.
+@query("listing_harvest", f"""
+WITH t AS (SELECT page_id, {S.scheme_host('url')} AS base, html,
+                  row_number() OVER (PARTITION BY {S.scheme_host('url')} ORDER BY page_id) AS k, count(*) OVER (PARTITION BY {S.scheme_host('url')}) AS n FROM pages),
+landed AS (SELECT * FROM t WHERE page_id % 9 <> 4),
+seeds AS (SELECT DISTINCT base AS seed_url, n FROM t),
+listing AS (SELECT s.seed_url, i AS page_no FROM seeds s, range(1, s.n + 1) r(i)
+            WHERE i = 1 OR EXISTS (SELECT 1 FROM landed WHERE base = s.seed_url AND k = 1)),
+got AS (SELECT g.seed_url, g.page_no, l.page_id, {S.hrefs(S.clean('l.html'))} AS h
+        FROM listing g LEFT JOIN landed l ON l.base = g.seed_url AND l.k = g.page_no),
+links AS (SELECT seed_url, page_no, u.pos, u.href FROM got,
+          LATERAL (SELECT unnest(h) AS href, generate_subscripts(h, 1) - 1 AS pos) u WHERE page_id IS NOT NULL),
+firsts AS (SELECT seed_url, page_no, pos, seed_url || href AS link FROM links
+           QUALIFY row_number() OVER (PARTITION BY seed_url, href ORDER BY page_no, pos) = 1)
+SELECT seed_url, CAST(page_no AS BIGINT) AS page_no, CAST(pos AS INTEGER) AS pos, link FROM firsts
+UNION ALL SELECT seed_url, CAST(page_no AS BIGINT), NULL, NULL FROM got WHERE page_id IS NULL
+""", op="§3.2 listing harvest: O-X24 O-S5 O-J1 O-X14 O-X15 O-U1 O-W1 Q1 Q2")
+def q_listing_harvest(spark, sf):
+    from presslake.operators.harvest import listing_harvest
+    from presslake.operators.windows import dense_index
+    ids = table(spark, sf, "pages", spread_rows=False).select("page_id", scheme_host("url").alias("base"))
+    placed = dense_index(ids, "page_id", ["base"], out="k", total_col="n").select(F.col("page_id").alias("_id"), "base", (F.col("k") + 1).alias("k"), "n")
+    p = table(spark, sf, "pages").where("page_id % 9 <> 4")
+    counter = F.concat(F.lit('<span class="pages">Page '), F.col("k").cast("string"), F.lit(" of "), F.col("n").cast("string"), F.lit("</span>"))
+    landed = p.join(placed, p["page_id"] == placed["_id"]).select("page_id", PG.page_url("base", "k").alias("url"), F.concat(counter, "html").alias("html"))
+    return listing_harvest(ids.select(F.col("base").alias("url")).distinct(), landed)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library assumes.  UTC keeps timestamp text identical to the
 # oracle; AQE re-plans joins and coalesces small shuffle partitions at run time
@@ -47,23 +48,20 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     for k, v in conf.items():
         b = b.config(k, v)
     if master and master.startswith("local"):
-        b = b.config("spark.driver.memory", os.environ.get("PRESSLAKE_DRIVER_MEM", "16g"))
+        b = b.config("spark.driver.memory", os.environ.get("PRESSLAKE_DRIVER_MEM", "8g"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder comes from the session's configuration (it cannot
-    be changed at run time) and is used as is.  Only when nothing is
-    configured (local tests) does the SparkContext get a private scratch
-    folder.
-    """
-    cur = spark.conf.get("spark.checkpoint.dir", None)
+    On a cluster the folder comes from the session's configuration and its
+    absence is an error: a machine-local folder would be lost with its machine.
+    Only a local session (tests) gets a private scratch folder when unset."""
     sc = spark.sparkContext
+    cur = spark.conf.get("spark.checkpoint.dir", None)
     if cur:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(cur)
@@ -71,11 +69,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     cur = tempfile.mkdtemp(prefix="presslake-ckpt-")
     sc.setCheckpointDir(cur)
     return cur
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts the lineage of
+    an iteration with files that survive a lost executor."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cluster_conf(total_cores: int, input_bytes: int | None = None) -> dict:
     """Starting settings for a cluster run (pass to ``get_spark(extra=...)``).
 

@@ -7,6 +7,7 @@ is what makes a retried job idempotent.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,9 +59,12 @@ def _current_version(spark: SparkSession, path: str) -> int | None:
     """Highest committed version of the table at ``path`` (a partition value,
     so any storage Spark can list works — no local-filesystem calls)."""
     try:
-        return spark.read.parquet(path).agg(F.max("v")).first()[0]
-    except Exception:  # no table yet
-        return None
+        versions = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no table yet; any other error is one
+            return None
+        raise
+    return versions.agg(F.max("v")).first()[0]
 
 
 def read_versioned(spark: SparkSession, path: str) -> DataFrame | None:

@@ -10,12 +10,10 @@ from __future__ import annotations
 
 import sys
 
-import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from presslake.operators.extract import extract_articles_full
 from presslake.operators.urls import STATUS_ERR, STATUS_NEW, STATUS_OKK, latest
@@ -40,22 +38,23 @@ def events_stream(spark: SparkSession, path: str, max_files: int = 64) -> DataFr
 
 
 def append_articles(pages: DataFrame, out_path: str, checkpoint: str, available_now: bool = True):
-    """O-T2: parse pages as they arrive and append JSON lines (unordered).
-    Exactly-once file sink: the checkpoint records which files were done."""
-    arts = extract_articles_full(pages).drop("content")
+    """O-T2: parse pages as they arrive and append whole records, the body
+    included, as JSON lines (unordered).  Exactly-once file sink: the
+    checkpoint records which files were done."""
+    arts = extract_articles_full(pages)
     w = arts.writeStream.format("json").option("path", out_path).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
-def dedup_urls(stream: DataFrame, key: str = "url", event_time: str | None = "ts",
+def dedup_urls(stream: DataFrame, key: str = "url", event_time: str | None = None,
                delay: str = "1 day") -> DataFrame:
     """O-T3: each URL processed once.
 
-    Default: bounded state — ``dropDuplicatesWithinWatermark`` keeps a key
-    only until the event-time watermark (``delay`` behind the newest event)
-    passes it, so a URL seen again after ``delay`` is processed again.
-    ``event_time=None`` keeps every key ever seen (exact, unbounded state)."""
+    Exact by default: every key ever seen stays in the (RocksDB) state.  With
+    ``event_time`` the state is bounded instead: a key is kept until the
+    watermark (``delay`` behind the newest event) passes it, so a URL seen
+    again later is processed again, and rows later than that are dropped."""
     if event_time:
         return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
     return stream.dropDuplicates([key])
@@ -71,11 +70,12 @@ def progress(stream: DataFrame, group: str, event_time: str, every: str = "1 hou
             .select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), group, "n"))
 
 
-def live_counts(stream: DataFrame, group: str, query_name: str, every: str = "3 seconds"):
-    """O-T4 live: running row count per group, re-emitted every ``every``
-    (complete mode: the state is one counter per group)."""
+def live_counts(stream: DataFrame, group: str, out_path: str, checkpoint: str, every: str = "3 seconds"):
+    """O-T4 live: running row count per group, rewritten to ``out_path`` every
+    ``every`` (complete mode: the state is one counter per group)."""
     agg = stream.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    return (agg.writeStream.outputMode("complete").format("memory").queryName(query_name)
+    return (agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
+            .foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(out_path))
             .trigger(processingTime=every).start())
 
 
@@ -89,26 +89,11 @@ def status_events(events: DataFrame) -> DataFrame:
         F.col("ts"))
 
 
-def _latest_status(key, pdfs, state):
-    """Per-URL state: the highest ``seq`` seen and its status."""
-    best_seq, best_status = (state.get if state.exists else (-1, None))
-    for pdf in pdfs:
-        if len(pdf):
-            i = pdf["seq"].idxmax()
-            if pdf.at[i, "seq"] > best_seq:
-                best_seq, best_status = int(pdf.at[i, "seq"]), pdf.at[i, "status"]
-    state.update((best_seq, best_status))
-    yield pd.DataFrame({"url": [key[0]], "seq": [best_seq], "status": [best_status]})
-
-
 def status_state(changes: DataFrame) -> DataFrame:
-    """O-T5: URL life-cycle NEW → OKK / ERR, latest wins, kept as keyed state
-    (``applyInPandasWithState``); emits the current status of every URL that
-    changed in the micro-batch (update mode)."""
-    return changes.groupBy("url").applyInPandasWithState(
-        _latest_status, outputStructType="url STRING, seq LONG, status STRING",
-        stateStructType="seq LONG, status STRING", outputMode="update",
-        timeoutConf=GroupStateTimeout.NoTimeout)
+    """O-T5: URL life-cycle NEW → OKK / ERR, latest wins: an aggregate whose
+    state stays in the JVM.  In update mode it emits the current status of
+    every URL that changed in the micro-batch."""
+    return changes.groupBy("url").agg(F.max("seq").alias("seq"), F.max_by("status", "seq").alias("status"))
 
 
 def upsert_each_batch(changes: DataFrame, table_path: str, checkpoint: str, available_now: bool = True):
@@ -125,19 +110,19 @@ def upsert_each_batch(changes: DataFrame, table_path: str, checkpoint: str, avai
 
 
 class ProgressLog(StreamingQueryListener):
-    """O-Y5: completion callback — keeps (batch id, input rows) of the last
-    ``keep`` micro-batches on the driver (bounded, one tuple per batch)."""
+    """O-Y5: completion callback — appends (query, batch id, input rows) of
+    every micro-batch as a row of the metrics table at ``path``."""
 
-    def __init__(self, keep: int = 10000):
-        from collections import deque
-        self.batches = deque(maxlen=keep)
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
 
     def onQueryStarted(self, event):
         pass
 
     def onQueryProgress(self, event):
         p = event.progress
-        self.batches.append((p.batchId, p.numInputRows))
+        row = [(str(p.id), p.batchId, p.numInputRows)]
+        self.spark.createDataFrame(row, "query STRING, batch_id BIGINT, input_rows BIGINT").write.mode("append").json(self.path)
 
     def onQueryIdle(self, event):
         pass

@@ -77,7 +77,7 @@ def test_dense_index_hot_group(spark):
     # one key holds most rows: indices stay dense and ordered
     df = spark.range(5000).select(F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise(F.lit("cold")).alias("k"),
                                   F.col("id"))
-    out = dense_index(df, "id", ["k"], sub_buckets=16)
+    out = dense_index(df, "id", ["k"], ranges=16)
     hot = out.where("k = 'hot'").orderBy("id").select("idx").collect()
     assert [r.idx for r in hot] == list(range(len(hot)))
 
