@@ -58,6 +58,7 @@ class _Tree(HTMLParser):
         self.rows = []
         self.stack = []     # indices into rows of open elements
         self.pieces = []    # document text stream (script/style excluded)
+        self.in_text = False  # was the last event text of the same parent?
 
     def _abs(self):
         line, col = self.getpos()
@@ -89,7 +90,19 @@ class _Tree(HTMLParser):
                 return
 
     # -- parser callbacks ------------------------------------------------
+    def handle_comment(self, data):
+        self.in_text = False
+
+    handle_decl = handle_pi = unknown_decl = handle_comment
+
+    def parse_marked_section(self, i, report=1):
+        """``<![x[ ... ]]>`` outside XML is a comment up to the next ``>``."""
+        self.in_text = False
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
     def handle_starttag(self, tag, attrs):
+        self.in_text = False
         at = self._abs()
         if tag in CLOSES_P:
             self._close_until("p", P_SCOPE, at)
@@ -117,6 +130,7 @@ class _Tree(HTMLParser):
             self._close_top(self.rows[self.stack[-1]][12])
 
     def handle_endtag(self, tag):
+        self.in_text = False
         start = self._abs()
         gt = self.html.find(">", start)
         at = len(self.html) if gt < 0 else gt + 1
@@ -131,6 +145,10 @@ class _Tree(HTMLParser):
         top = self.rows[self.stack[-1]] if self.stack else None
         if top is not None and top[5] in RAW_TEXT:
             return
+        if self.in_text:            # the tokenizer cuts a run of text at a bare "<"
+            self.pieces[-1] += data
+            return
+        self.in_text = True
         parent = top[0] if top is not None else -1
         pre = len(self.rows)
         self.pieces.append(data)
@@ -154,11 +172,12 @@ def _shred_one(page_id, html, cols, with_text=True):
     try:
         t.feed(html or "")
         t.finish()
-    except Exception as e:  # a page that breaks the tokenizer becomes an error row
+    except Exception as e:  # a page that breaks the tokenizer: an error row, and the nodes read so far
         row = (page_id, -1, -1, -1, 0, "error", None, [], [], f"{type(e).__name__}: {e}", None, None, None)
         for c, v in zip(cols, row):
             c.append(v)
-        return
+        while t.stack:
+            t._close_top(len(html))
     pieces = t.pieces
     rows = t.rows
     (c_pid, c_pre, c_end, c_par, c_dep, c_kind, c_tag, c_attrs, c_path, c_text, c_own, c_s, c_e) = cols

@@ -118,3 +118,29 @@ def test_a_damaged_version_is_an_error_not_a_new_table(spark, scratch):
     with pytest.raises(Exception):
         sinks.upsert_table(spark, path, rows(("c", "NEW", 3)))
     assert sorted(os.listdir(path))[-1] != "v=3"
+
+
+def test_shredder_keeps_text_runs_and_odd_declarations(spark):
+    from presslake.operators.nodes import shred
+    from presslake.operators.selectors import Sel, children_text, select
+    pages = spark.createDataFrame([(1, "u", "<div>3 < 4 &amp; 5<b>x</b>y</div>"), (2, "u", "<p>a</p><![foo[x]]><p>b</p>"), (3, "u", "<div>a<!-- c -->b</div>")], "page_id long, url string, html string")
+    nodes = shred(pages)
+    kids = children_text(nodes, Sel.tag("div")).orderBy("page_id", "pre").collect()
+    assert [(r.page_id, r.text) for r in kids] == [(1, "3 < 4 & 5"), (1, "x"), (1, "y"), (3, "a"), (3, "b")]
+    assert [r.text for r in select(nodes, Sel.tag("p")).orderBy("pre").collect()] == ["a", "b"]
+
+
+def test_a_tokenizer_error_keeps_the_nodes_before_it(monkeypatch):
+    from presslake.operators import nodes as N
+
+    class Broken(N._Tree):
+        def handle_endtag(self, tag):
+            if tag == "i":
+                raise AssertionError("odd")
+            super().handle_endtag(tag)
+
+    monkeypatch.setattr(N, "_Tree", Broken)
+    cols = [[] for _ in N._COLS]
+    N._shred_one(7, "<p>a</p><i>b</i><p>c</p>", cols)
+    kinds, tags = cols[N._COLS.index("kind")], cols[N._COLS.index("tag")]
+    assert kinds.count("error") == 1 and tags.count("p") == 1 and tags.count("i") == 1
