@@ -67,4 +67,4 @@ def sample_n(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
     """O-L5: n rows picked by a seeded hash of the id — the same rows on every
     run, retry and partitioning (``rand()`` would not be); planned as a
     top-k (each task keeps n candidates), never a full sort."""
-    return df.orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), F.col(id_col)).limit(n)
+    return df.orderBy(F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}"))), F.col(id_col)).limit(n)

@@ -111,32 +111,3 @@ def url_events(events: DataFrame) -> DataFrame:
         F.col("event_id").alias("seq"),
         F.col("ts"),
     )
-
-
-def minus_all(left: DataFrame, right: DataFrame, chunk: int = 1 << 16) -> DataFrame:
-    """O-U4: multiset difference (``EXCEPT ALL``) that stays balanced when one
-    row value holds a third of all rows.
-
-    Counts per distinct row are combined map-side on both sides; the surplus
-    ``n = count_left - count_right`` of each row is cut into chunks of at
-    most ``chunk`` copies, the (small) chunk rows are spread round-robin,
-    and each task expands only its chunks — so a hot row's copies are
-    produced by many tasks instead of the one that held its count.
-    """
-    cols = left.columns
-    lc = left.groupBy(*cols).agg(F.count(F.lit(1)).alias("_l"))
-    rc = right.select(*cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("_r"))
-    # null-safe join on every column (EXCEPT ALL treats NULLs as equal)
-    cond = None
-    for c in cols:
-        e = lc[c].eqNullSafe(rc[c])
-        cond = e if cond is None else cond & e
-    j = lc.join(rc, cond, "left").select(*[lc[c] for c in cols],
-                                         (lc["_l"] - F.coalesce(rc["_r"], F.lit(0))).alias("_n"))
-    j = j.where(F.col("_n") > 0)
-    b = F.lit(chunk).cast("bigint")
-    chunks = j.withColumn("_c", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                     F.floor((F.col("_n") - 1) / b).cast("bigint"))))
-    chunks = chunks.withColumn("_k", F.least(b, F.col("_n") - F.col("_c") * b))
-    spread_out = chunks.repartition(F.xxhash64(*cols, "_c"))
-    return spread_out.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_k")))).select(*cols)

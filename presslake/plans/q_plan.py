@@ -206,7 +206,9 @@ def q_progress_buckets(spark, sf):
         F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "n")
 
 
-@query("sample_rows", None, op="O-L5 (rows-only: seeded hash order)")
+@query("sample_rows", """
+SELECT doc_id, lang, source FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR) || ':42'), doc_id LIMIT 20
+""", op="O-L5")
 def q_sample_rows(spark, sf):
     d = table(spark, sf, "documents", spread_rows=False).select("doc_id", "lang", "source")
     return P.sample_n(d, "doc_id", 20, seed=42)

@@ -131,7 +131,7 @@ SELECT url FROM ue EXCEPT ALL SELECT url FROM ue WHERE status = 'OKK'
 """, op="O-U4")
 def q_urls_minus_done(spark, sf):
     ue = _ue(spark, sf)
-    return U.minus_all(ue.select("url"), ue.where(F.col("status") == U.STATUS_OKK).select("url"))
+    return ue.select("url").exceptAll(ue.where(F.col("status") == U.STATUS_OKK).select("url"))
 
 
 @query("ordered_distinct", """
@@ -254,7 +254,11 @@ def q_harvest_summary(spark, sf):
     return Q.harvest_summary(d.join(lab, "doc_id", "left"), "site", "status")
 
 
-@query("synthetic_urls", None, op="O-S10 O-F24 (rows-only: hash-based pick)")
+@query("synthetic_urls", """
+SELECT 'https://u' || CAST(event_id AS VARCHAR) || '.example.net/' AS url,
+       ['new', 'error', 'done'][(instr('0123456789abcdef', substr(md5(CAST(event_id AS VARCHAR) || ':42'), 1, 1)) - 1) % 3 + 1] AS status
+FROM events
+""", op="O-S10 O-F24")
 def q_synthetic_urls(spark, sf):
     from presslake.sources.readers import synthetic_urls
     return synthetic_urls(table(spark, sf, "events").select("event_id"), "event_id")

@@ -85,10 +85,11 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
 
 def synthetic_urls(df: DataFrame, id_col: str, seed: int = 42,
                    statuses=("new", "error", "done")) -> DataFrame:
-    """O-S10: one unique URL per input row with a status picked by hash —
-    ``xxhash64(id, seed)`` (the seed is hashed as a second value), not
-    ``rand()``, so the result does not depend on partitioning or retries."""
-    h = F.xxhash64(F.col(id_col), F.lit(seed))
+    """O-S10: one unique URL per input row with a status picked by the first
+    digit of ``md5("<id>:<seed>")``, not ``rand()``, so the result does not
+    depend on partitioning or retries."""
+    digit = F.substr(F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}"))), F.lit(1), F.lit(1))
+    h = F.position(digit, F.lit("0123456789abcdef")) - 1
     arr = F.array(*[F.lit(s) for s in statuses])
     return df.select(
         F.concat(F.lit("https://u"), F.col(id_col).cast("string"), F.lit(".example.net/")).alias("url"),
