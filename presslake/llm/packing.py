@@ -27,8 +27,8 @@ CAPACITY = 2048
 END_ID = 1
 GROUP = 8192             #: pieces of a group, about
 BLOCK = 1 << 16          #: a group beyond this (identical rows only) is packed in blocks
-CACHE_WORDS = 1_000_000  #: words whose ids a Python worker remembers
-TEXT = 1 << 22           #: bytes of text whose words are looked up at once
+CACHE_WORDS = 700_000    #: words whose ids a Python worker remembers
+TEXT = 1 << 21           #: bytes of text whose words are looked up at once
 
 #: Words that the normaliser leaves as they are and that are one pre-token, before a stop that is another.
 _PLAIN = re.compile("([a-z\u00e0-\u00f6\u00f8-\u00ff]+)([.,]?)")
@@ -52,11 +52,10 @@ class WordEncoder:
     def __init__(self, path: str, words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
-        self.tok, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        for t in (self.tok, self.bare):
-            t.no_truncation()
-            t.no_padding()
-        self.bare.normalizer = None
+        self.tok = Tokenizer.from_file(path)
+        self.tok.no_truncation()
+        self.tok.no_padding()
+        self.bare = Tokenizer(self.tok.model)   # shares the model
         self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.words = words
         self.ids: dict[str, bytes] = {}
@@ -160,6 +159,7 @@ def cut_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id:
             out = [*(b.column(i).take(took) for i in range(len(keep))), *(pa.array(c, pa.int64()) for c in cols)]
             if with_ids:
                 out.append(pa.array(ids, pa.list_(pa.int32())))
+            pa.default_memory_pool().release_unused()
             yield pa.RecordBatch.from_arrays(out, names=[*keep, *names, *(["ids"] if with_ids else [])])
 
     importable(docs.sparkSession)
