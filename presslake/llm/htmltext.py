@@ -3,17 +3,21 @@
 A page's containers (body, article, div and their like) are scored by the share
 of the page's running text that they hold; links, menus and their like don't
 count.  Containers are named by their path of tags and classes, generalised:
-digits become ``0``.  Each page's shares are votes that Spark adds up by host
-and path.  A host's winning paths are those that hold nearly all the text of
-the pages where they occur, deepest first.  Every page is then read again: its
-text is taken from the containers at the first winning path that it has.
+digits become ``0``.  Each page's shares are votes that Spark adds up by host,
+template (the page's outer containers) and path, and by host and path.  Winning
+paths are those that hold most of the text of the pages where they occur,
+deepest first; a template's own come before its host's.  Every page is then
+read again: its text is taken from the containers at the first winning path
+that it has, with the article around them and the headings and paragraphs
+beside them.
 
 Two passes over the pages, without a shuffle of page contents as long as the
-hosts' winning paths are few enough to broadcast (which is checked).
+winning paths are few enough to broadcast (which is checked).
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as _html
 import re
 
@@ -25,7 +29,9 @@ from presslake.llm.hostrank import host_of
 
 HOLDS = 0.7         #: share of a page's text that a winning path holds on average
 SEEN = 0.1          #: share of a host's pages in which it occurs
-WINNERS = 8         #: winning paths of a host that are kept, deepest first
+WINNERS = 8         #: winning paths of a host or template that are kept, deepest first
+OUTER = 4           #: containers down to this depth make up a page's template
+ALIKE = 3           #: pages from which a template's winners come before its host's
 SALTS = 16
 DEPTH = 512         #: elements nested deeper are not told apart
 
@@ -44,6 +50,8 @@ HINTS = frozenset("""ad ads advert adverts advertisement advertising banner spon
 nav navbar navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent gdpr notice notices alert
 comment comments disqus respond reply replies share sharing social related recommended newsletter subscribe subscription
 signup login popup modal overlay search widget pagination pager toolbar complementary contentinfo""".split())
+#: Elements whose text beside the winning containers belongs to the article.
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre li dd dt figcaption caption".split())
 #: Elements that end an open p.
 ENDS_P = BLOCKS - {"body", "html", "head", "title", "option", "optgroup"}
 
@@ -169,25 +177,81 @@ class Page:
                 out[self.paths[i]] = out.get(self.paths[i], 0) + n / total
         return out
 
+    def template(self) -> str:
+        """Names the set of the page's outer containers."""
+        outer = sorted({p for i, p in enumerate(self.paths) if not self.dropped[i] and p.count(">") <= OUTER})
+        return hashlib.blake2b("\n".join(outer).encode("utf-8", "replace"), digest_size=12).hexdigest()
+
     def text(self, path: str) -> str | None:
         """The text under the elements at ``path``; None if there are none."""
-        inside = [False] * len(self.tags)
-        found = False
-        for i, p in enumerate(self.paths):
-            if p == path and (i == 0 or self.tags[i] in CONTAINERS):
-                inside[i] = found = True
-            elif i:
-                inside[i] = inside[self.parents[i]]
-        if not found:
+        inside = self._under([i for i, p in enumerate(self.paths) if p == path and (i == 0 or self.tags[i] in CONTAINERS)])
+        return self._joined(inside) if any(inside) else None
+
+    def article(self, path: str) -> str | None:
+        """The text under the elements at ``path``, under the articles that
+        they are in, and of the headings and paragraphs beside them: those of
+        the containers around, those of other containers in the same one, and
+        first headings in containers further out, but for the body's."""
+        at = [i for i, p in enumerate(self.paths) if p == path and (i == 0 or self.tags[i] in CONTAINERS)]
+        inside = self._under(at)
+        if not any(inside) or not self._joined(inside):
             return None
-        blocks, parts = [], []
+        around: set[int] = set()
+        next_to: set[int] = set()
+        whole = set(at)
+        for i in at:
+            j = self.parents[i]
+            near = True
+            while j >= 0 and j not in around:
+                if self.tags[j] in CONTAINERS:
+                    around.add(j)
+                    if near and self.tags[j] not in ("html", "body"):
+                        next_to.add(j)
+                    near = False
+                    if self.tags[j] == "article":
+                        whole.add(j)
+                j = self.parents[j]
+        inside = self._under(whole)
+        if not around - whole:
+            return self._joined(inside)
+        # What each element is in: prose, a first heading, and the containers around.
+        n = len(self.tags)
+        prose, first, home, near = [False] * n, [False] * n, [0] * n, [False] * n
+        below = [False] * n               # in a container around, but for the page and its body
+        for i in range(1, n):
+            up, tag = self.parents[i], self.tags[i]
+            box = tag in CONTAINERS
+            prose[i] = tag in PROSE or (prose[up] and not box)
+            first[i] = tag == "h1" or (first[up] and not box)
+            home[i] = i if box else home[up]
+            near[i] = near[up] or i in next_to
+            below[i] = below[up] or (i in around and tag not in ("html", "body"))
+        beside = [not inside[i] and prose[i] and (home[i] in around or near[i] or (first[i] and below[i])) for i in range(n)]
+        return self._joined(inside, beside)
+
+    def _under(self, elements) -> list[bool]:
+        inside = [False] * len(self.tags)
+        for i in elements:
+            inside[i] = True
+        for i in range(1, len(inside)):
+            inside[i] = inside[i] or inside[self.parents[i]]
+        return inside
+
+    def _joined(self, inside: list[bool], beside: list[bool] | None = None) -> str:
+        """The blocks of text in the elements ``inside``, and those in elements
+        ``beside`` unless all of the block is links."""
+        blocks, parts, running = [], [], False
         for r in [*self.runs, None]:
             if r is None:
-                if parts and (block := " ".join("".join(parts).split())):
+                if running and (block := " ".join("".join(parts).split())):
                     blocks.append(block)
-                parts = []
+                parts, running = [], False
             elif inside[r[0]]:
                 parts.append(r[1])
+                running = True
+            elif beside and beside[r[0]]:
+                parts.append(r[1])
+                running = running or not (r[2] or r[1].isspace())
         return "\n".join(blocks)
 
 
@@ -195,40 +259,76 @@ def extract(source: str, winners: list[str]) -> str:
     """The text of a page at the first of the paths at which it has text, else
     all its running text."""
     page = Page(source)
-    for path in [*winners, ""]:
-        if text := page.text(path):
+    for path in winners:
+        if text := page.article(path):
             return text
-    return ""
+    return page.text("") or ""
 
 
 def vote(pages: DataFrame) -> DataFrame:
-    """host, path, votes (sum of shares) and pages, added up over all pages."""
+    """host, template, path, votes (sum of shares, in millionths) and pages,
+    added up over all pages."""
     def run(batches):
         import pyarrow as pa
         for b in batches:
-            hosts, paths, shares = [], [], []
+            hosts, kinds, paths, shares = [], [], [], []
             for h, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for p, v in Page(s).shares().items() if s else ():
+                if not s:
+                    continue
+                page = Page(s)
+                kind = page.template()
+                for p, v in page.shares().items():
                     hosts.append(h)
+                    kinds.append(kind)
                     paths.append(p)
                     shares.append(round(v * 1_000_000))  # whole numbers: the sum is the same in any order
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(shares, pa.int64())], names=["host", "path", "share"])
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(kinds, pa.string()), pa.array(paths, pa.string()), pa.array(shares, pa.int64())], names=["host", "template", "path", "share"])
 
     importable(pages.sparkSession)
-    ballots = pages.select(host_of(F.coalesce(F.col("url"), F.lit(""))).alias("host"), "html").mapInArrow(run, "host string, path string, share long")
-    return ballots.groupBy("host", "path").agg((F.sum("share") / 1e6).alias("votes"), F.count("*").alias("pages"))
+    ballots = pages.select(host_of(F.coalesce(F.col("url"), F.lit(""))).alias("host"), "html").mapInArrow(run, "host string, template string, path string, share long")
+    return ballots.groupBy("host", "template", "path").agg(F.sum("share").alias("votes"), F.count("*").alias("pages"))
 
 
 def winning_paths(votes: DataFrame, holds: float = HOLDS, seen: float = SEEN, most: int = WINNERS) -> DataFrame:
-    """host and its winning ``paths``, deepest first (at most ``most``; the
-    page as a whole is always the last resort)."""
-    of = votes.where("path = ''").select(F.col("host").alias("h"), F.col("pages").alias("all"))
-    good = (votes.join(of, F.col("host") == F.col("h"))
-            .where((F.col("votes") >= holds * F.col("pages")) & (F.col("pages") >= seen * F.col("all")) & (F.col("path") != "")))
+    """host, template (null: of all the host's pages) and their winning
+    ``paths``, deepest first (at most ``most``; the page as a whole is always
+    the last resort), and ``alike``: whether the template has ALIKE pages."""
+    of_host = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("pages").alias("pages"))
+    # A template's paths occur on all its pages or are rare in it: none is left out for that.
+    both = votes.select("host", "template", "path", "votes", "pages").unionByName(
+        of_host.select("host", F.lit(None).cast("string").alias("template"), "path", "votes", "pages"))
+    of = both.where("path = ''").select(F.col("host").alias("h"), F.coalesce("template", F.lit("")).alias("t"), F.col("pages").alias("all"))
+    good = (both.withColumn("_k", F.coalesce("template", F.lit(""))).where((F.col("votes") >= holds * 1e6 * F.col("pages")) & (F.col("path") != ""))
+            .join(of, (F.col("host") == F.col("h")) & (F.col("_k") == F.col("t")))
+            .where(F.col("template").isNotNull() | (F.col("pages") >= seen * F.col("all"))))
     depth = F.size(F.split("path", ">"))
-    order = Window.partitionBy("host").orderBy(depth.desc(), F.desc("votes"), "path")
+    order = Window.partitionBy("host", "_k").orderBy(depth.desc(), F.desc("votes"), "path")
     return (good.withColumn("k", F.row_number().over(order)).where(F.col("k") <= most)
-            .groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "path"))), lambda x: x["path"]).alias("paths")))
+            .groupBy("host", "template").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "path"))), lambda x: x["path"]).alias("paths"),
+                                             (F.max("all") >= ALIKE).alias("alike")))
+
+
+def _with_paths(rows: DataFrame, winners: DataFrame, keys: list[str]) -> DataFrame:
+    """Join rows with winners on ``keys``: broadcast if the winners are few,
+    else by a salt too, so that a hot host's pages spread over the salts."""
+    if winners.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(winners), keys, "left")
+    salted = winners.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("_t", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+    return rows.join(salted, [*keys, "_t"], "left").drop("_t")
+
+
+def _templated(pages: DataFrame) -> DataFrame:
+    """page_id, url, html, _host and _template of every page (no html: none)."""
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            kinds = [Page(s).template() if s else None for s in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(kinds, pa.string())], names=[*b.schema.names, "_template"])
+
+    kind = pages.schema["page_id"].dataType.simpleString()
+    return (pages.select("page_id", "url", "html", host_of(F.coalesce(F.col("url"), F.lit(""))).alias("_host"))
+            .mapInArrow(run, f"page_id {kind}, url string, html string, _host string, _template string"))
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
@@ -237,14 +337,14 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     Returns page_id, url, text and n_chars (code points).  Null or empty html
     and pages without running text give empty text; pages without a host vote
     together; repeated rows are read alike; an empty table gives none."""
-    winners = stage(winning_paths(stage(vote(pages), "votes")), "winning-paths").withColumnRenamed("host", "_h")
-    rows = pages.select("page_id", "url", "html", host_of(F.coalesce(F.col("url"), F.lit(""))).alias("_host"))
-    if winners.count() <= BROADCAST_ROWS:
-        rows = rows.join(F.broadcast(winners), F.col("_host") == F.col("_h"), "left")
-    else:
-        salted = winners.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        rows = rows.withColumn("_q", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
-        rows = rows.join(salted, (F.col("_host") == F.col("_h")) & (F.col("_q") == F.col("_t")), "left")
+    winners = stage(winning_paths(stage(vote(pages), "votes")), "winning-paths")
+    of_host = winners.where("template is null").select(F.col("host").alias("_host"), F.col("paths").alias("_h_paths"))
+    of_template = winners.where("template is not null").select(F.col("host").alias("_host"), F.col("template").alias("_template"), F.col("paths").alias("_t_paths"), "alike")
+    rows = _with_paths(_templated(pages), of_host, ["_host"])
+    rows = _with_paths(rows, of_template, ["_host", "_template"])
+    none = F.array().cast("array<string>")
+    host, own = F.coalesce("_h_paths", none), F.coalesce("_t_paths", none)
+    rows = rows.withColumn("paths", F.when(F.col("alike"), F.concat(own, host)).otherwise(F.concat(host, own)))
 
     def run(batches):
         import pyarrow as pa

@@ -154,3 +154,29 @@ def test_page_edge_cases(spark):
     got = htmltext.extract_pages(df).collect()
     assert sorted((r.page_id or 0, r.n_chars) for r in got) == [(0, 0), (1, 1), (2, 0), (2, 0), (3, 0), (4, 1_499_999)]
     assert htmltext.extract_pages(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_headings_beside_the_winner(spark):
+    """Most of the text is in a container within the article."""
+    body = "A long story is told here, word by word. " * 6
+
+    def texts(shape):
+        rows = [(i, f"http://h.com/{i}", f"<html><body><div class='top'>teaser</div>{shape}</body></html>") for i in range(4)]
+        return {r.text for r in htmltext.extract_pages(spark.createDataFrame(rows, SCHEMA)).collect()}
+
+    for shape in ("<article><h1>T</h1><p>lead</p><section><p>{}</p></section></article>", "<article><div class='head'><h1>T</h1></div><div class='l'>lead</div><section>{}</section></article>",
+                  "<div class='post'><h1>T</h1><p>lead</p><p><a href='/'>All stories</a></p><div class='entry'>{}</div></div>", "<h1>T</h1><p>lead</p><div>{}</div>",
+                  "<div class='post'><div><h1>T</h1></div><div class='l'><p>lead</p></div><div class='entry'>{}</div></div>"):
+        assert texts(shape.format(body)) == {f"T\nlead\n{body.strip()}"}, shape
+
+
+def test_every_template_of_a_host_votes(spark):
+    """Twelve templates, each of under a tenth of the host's pages; one page of
+    each has more text in its teaser than in its story."""
+    story, teaser = "A long story is told here, word by word. " * 5, "A teaser that is longer than the story itself, much longer"
+    rows = []
+    for t in "abcdefghijkl":
+        for i in range(5):
+            rows.append((len(rows), "http://h.com/x", f"<body><div class='top'>{teaser if i == 4 else 'short'}</div><div class='t{t}'>{'Brief.' if i == 4 else story}</div></body>"))
+    got = {r.page_id: r.text for r in htmltext.extract_pages(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: "Brief." if i % 5 == 4 else story.strip() for i in range(60)}
