@@ -42,7 +42,9 @@ figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legen
 p pre section select summary table tbody tfoot thead title tr ul""".split())
 #: Elements within which nothing is running text.
 DROPPED = frozenset("""head title script style noscript template iframe object svg math canvas audio video select
-button textarea nav header footer aside form menu dialog""".split())
+button textarea""".split())
+#: Elements that are dropped unless the page has no other text.
+ASIDE = frozenset("nav header footer aside menu dialog".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Words of classes, ids and roles of what isn't the article.
@@ -52,6 +54,11 @@ comment comments disqus respond reply replies share sharing social related recom
 signup login popup modal overlay search widget pagination pager toolbar complementary contentinfo""".split())
 #: Elements whose text beside the winning containers belongs to the article.
 PROSE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre li dd dt figcaption caption".split())
+#: Largest share of the page's text that is dropped with an element whose class,
+#: id or role has a whole word of HINTS; with such an element around a heading or
+#: an article, a hidden one or a form; and with one that only has such a word as
+#: a part of another.
+NAMED, SHARE, PART_SHARE = 0.9, 0.5, 0.2
 #: Elements that end an open p.
 ENDS_P = BLOCKS - {"body", "html", "head", "title", "option", "optgroup"}
 
@@ -61,9 +68,9 @@ _TOKEN = re.compile(
     r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/><]*)(?P<attrs2>[^>]*)>"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|<[a-zA-Z][^>]*\Z", re.S)
-_ATTR = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|[\"'/=>]")
 _WORD = re.compile(r"[a-z]+")
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
+_HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 _DIGITS = re.compile(r"\d+")
 
 
@@ -71,13 +78,44 @@ class Page:
     """One reading of a page: its elements and text runs, in page order.
 
     ``tags``, ``paths`` (of the innermost container), ``parents`` and
-    ``dropped`` describe element i;
+    ``dropped`` describe element i; ``limits`` has the largest share of the
+    page's text with which element i is dropped (0: it isn't);
     ``runs`` holds (element, text, in a link), or None where a block ends."""
 
     def __init__(self, source: str):
         self.tags, self.paths, self.parents, self.dropped = [""], [""], [-1], [False]
+        self.limits = [0.0]
         self.runs: list[tuple[int, str, bool] | None] = []
         self._read(source)
+        if any(self.limits):
+            self._drop()
+
+    def _sizes(self) -> list[int]:
+        """Characters of running text within each element."""
+        own = [0] * len(self.tags)
+        for r in self.runs:
+            if r and not r[2]:
+                own[r[0]] += sum(map(len, r[1].split()))
+        for i in range(len(own) - 1, 0, -1):  # children come after their parents
+            own[self.parents[i]] += own[i]
+        return own
+
+    def _drop(self) -> None:
+        """Drop what isn't the article by its name, unless too much is in it."""
+        every, off = self.runs, list(self.dropped)
+        around = [False] * len(off)           # around a heading or an article
+        for i in range(len(off) - 1, 0, -1):
+            around[self.parents[i]] = around[self.parents[i]] or around[i] or self.tags[i] in ("h1", "main", "article")
+        limits = [min(x, SHARE) if x < 1 and around[i] else x for i, x in enumerate(self.limits)]
+        for least in (1.0, 0.0):              # shares are those of the text outside ASIDE
+            sizes = self._sizes()
+            for i in range(1, len(off)):
+                off[i] = off[i] or off[self.parents[i]] or (limits[i] > 0 and limits[i] >= least and sizes[i] <= limits[i] * sizes[0])
+            self.runs = [r for r in every if r is None or not off[r[0]]]
+        if any(r and not r[1].isspace() for r in self.runs):
+            self.dropped = off
+        else:                                 # nothing would be left
+            self.runs = every
 
     def _read(self, source: str) -> None:
         stack, links, at, runs = [0], 0, 0, self.runs
@@ -131,18 +169,22 @@ class Page:
             attrs = m["attrs"] or m["attrs2"] or ""
             top = stack[-1]
             name, off = tag, self.dropped[top] or tag in DROPPED
+            limit = 1.0 if tag in ASIDE else SHARE if tag == "form" else 0.0
             if attrs:
                 kinds = []
                 for a in _ATTR.finditer(attrs):
-                    value = (a[2] or a[3] or a[4] or "").lower()
-                    if a[1].lower() == "class":
-                        kinds += value.split()
-                    if not off and tag not in ("html", "body", "main", "article") and not HINTS.isdisjoint(_WORD.findall(value)):
-                        off = True
+                    attr = (a[1] or "").lower()
+                    if attr == "hidden" or (attr == "style" and _HIDDEN.search(a[2] or a[3] or a[4] or "")):
+                        if tag not in ("html", "body"):
+                            limit = max(limit, SHARE)
+                    elif attr in ("class", "id", "role"):
+                        words = (a[2] or a[3] or a[4] or "").lower().split()
+                        if attr == "class":
+                            kinds += words
+                        if not off and tag not in ("html", "body", "main", "article"):
+                            limit = max(limit, NAMED if not HINTS.isdisjoint(words) else PART_SHARE if any(not HINTS.isdisjoint(_WORD.findall(w)) for w in words) else 0.0)
                 if kinds:
                     name += "." + ".".join(sorted({_DIGITS.sub("0", k) for k in kinds}))
-                if not off and _HIDDEN.search(attrs) and tag not in ("html", "body"):
-                    off = True
             if attrs.rstrip().endswith("/") and tag not in CONTAINERS and tag not in BLOCKS:
                 continue
             if tag in RAW:
@@ -153,6 +195,7 @@ class Page:
             self.paths.append(f"{self.paths[top]}>{name}" if tag in CONTAINERS else self.paths[top])
             self.parents.append(top)
             self.dropped.append(off)
+            self.limits.append(limit)
             stack.append(len(tags) - 1)
             links += tag == "a"
 
@@ -162,15 +205,10 @@ class Page:
 
     def shares(self) -> dict[str, float]:
         """The share of the page's running text under each container path."""
-        own = [0] * len(self.tags)
-        for r in self.runs:
-            if r and not r[2]:
-                own[r[0]] += sum(map(len, r[1].split()))
-        total = sum(own)
+        own = self._sizes()
+        total = own[0]
         if not total:
             return {}
-        for i in range(len(own) - 1, 0, -1):  # children come after their parents
-            own[self.parents[i]] += own[i]
         out: dict[str, float] = {}
         for i, n in enumerate(own):
             if n and (i == 0 or self.tags[i] in CONTAINERS):
@@ -179,7 +217,7 @@ class Page:
 
     def template(self) -> str:
         """Names the set of the page's outer containers."""
-        outer = sorted({p for i, p in enumerate(self.paths) if not self.dropped[i] and p.count(">") <= OUTER})
+        outer = sorted({p for p in set(self.paths) if p.count(">") <= OUTER})
         return hashlib.blake2b("\n".join(outer).encode("utf-8", "replace"), digest_size=12).hexdigest()
 
     def text(self, path: str) -> str | None:
@@ -257,7 +295,8 @@ class Page:
 
 def extract(source: str, winners: list[str]) -> str:
     """The text of a page at the first of the paths at which it has text, else
-    all its running text."""
+    all its running text; what was dropped by its name counts again if the
+    page would have no text without it."""
     page = Page(source)
     for path in winners:
         if text := page.article(path):

@@ -180,3 +180,25 @@ def test_every_template_of_a_host_votes(spark):
             rows.append((len(rows), "http://h.com/x", f"<body><div class='top'>{teaser if i == 4 else 'short'}</div><div class='t{t}'>{'Brief.' if i == 4 else story}</div></body>"))
     got = {r.page_id: r.text for r in htmltext.extract_pages(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == {i: "Brief." if i % 5 == 4 else story.strip() for i in range(60)}
+
+
+STORY = "A long story is told here, word by word. " * 5
+
+
+@pytest.mark.parametrize("page", [
+    "<form id='aspnetForm'><div class='post'><h1>T</h1><p>{}</p></div></form>", "<div class='content-sidebar-wrap'><article><h1>T</h1><p>{}</p></article></div>",
+    "<div id='header-and-main'><article><h1>T</h1><p>{}</p></article></div>", "<div class='no-sidebar'><h1>T</h1><p>{}</p></div>",
+    "<article title='The hidden coast'><h1>T</h1><p>{}</p></article>", "<article><h1>T</h1><p class='text hidden md:block'>{}</p></article>",
+    "<article data-x='display:none'><h1>T</h1><p>{}</p></article>", "<div class='search'><h1>T</h1><div class='widget'>{}</div></div>"])
+def test_names_of_wrappers_lose_no_article(page):
+    page = f"<html><body><nav>Home</nav>{page.format(STORY)}<div class='sidebar'>Side</div><p style='color:red; display: none'>x</p><p HIDDEN=''>y</p></body></html>"
+    assert htmltext.extract(page, []) == f"T\n{STORY.strip()}"
+
+
+def test_long_comments_are_dropped():
+    assert htmltext.extract(f"<div><p>{STORY}</p></div><div class='comments'><p>{'First! ' * 80}</p></div>", []) == STORY.strip()
+
+
+@pytest.mark.parametrize("page", ["<div class='sidebar'><a href='/'>Only links</a></div>", "<form>a</form>", "<div class='ad'>a</div><div class='menu'>b</div>", "<nav><a href='/'>Home</a></nav>"])
+def test_pages_with_text_are_never_empty(page):
+    assert htmltext.extract(page, []) and htmltext.extract(page, [">div.sidebar", ">nav"])
