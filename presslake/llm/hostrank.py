@@ -23,12 +23,11 @@ from presslake.llm.common import stage
 #: (verdict, rule): the rule's text is host suffix, then path prefix.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 DAMPING = 0.85
+#: Least number of iterations; they go on until no host's rank grows by more than this share of it.
 ITERATIONS = 12
-#: A host is blocked if distrust > RATIO * trust and distrust > FLOOR.
+TOLERANCE = 1e-6
+#: A host is blocked if distrust > RATIO * trust.
 RATIO = 1.0
-FLOOR = 1e-6
-#: A host is a seed if rules of one kind fit at least this share of its pages.
-SEED_SHARE = 0.5
 
 _AZ, _az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -69,33 +68,41 @@ def links_of(html: Column) -> Column:
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING,
-              iterations: int = ITERATIONS) -> DataFrame:
+              iterations: int = ITERATIONS, tolerance: float = TOLERANCE) -> DataFrame:
     """Personalised PageRank of ``kind`` separate walks in the same joins.
 
     ``edges``: kind, src, dst, w (the weights of a source sum to 1 or less);
     ``seeds``: kind, host, s (sum to 1 per kind).  A walk that reaches a host
-    without links ends there.  Returns kind, host, rank of every host reached.
+    without links ends there.  Each iteration adds the walks that are a link
+    longer; the last one added at most ``tolerance`` of its rank to each host,
+    and every host that walks reach was reached.
+    Returns kind, host, rank of every host reached.
     """
     edges = stage(edges, "edges")
     seeds = stage(seeds, "seeds")
-    rank = seeds.select("kind", "host", F.col("s").alias("rank"))
     if edges.isEmpty():
-        return rank
-    start = seeds.select("kind", "host", ((1 - damping) * F.col("s")).alias("r"))
-    for _ in range(iterations):
-        moved = (rank.join(edges, (rank["kind"] == edges["kind"]) & (rank["host"] == edges["src"]))
-                 .select(edges["kind"], F.col("dst").alias("host"), (damping * F.col("rank") * F.col("w")).alias("r")))
-        rank = stage(moved.unionByName(start).groupBy("kind", "host").agg(F.sum("r").alias("rank")), "rank")
-    return rank
+        return seeds.select("kind", "host", F.col("s").alias("rank"))
+    # step: what the walks of the last length add; rank: the sum of all steps.
+    rank = seeds.select("kind", "host", ((1 - damping) * F.col("s")).alias("rank"), ((1 - damping) * F.col("s")).alias("step"))
+    done = 0
+    while True:
+        moved = (rank.where("step > 0").join(edges, (rank["kind"] == edges["kind"]) & (rank["host"] == edges["src"]))
+                 .select(edges["kind"], F.col("dst").alias("host"), (damping * F.col("step") * F.col("w")).alias("step")))
+        rank = stage(moved.withColumn("rank", F.col("step")).unionByName(rank.withColumn("step", F.lit(0.0)))
+                     .groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("step").alias("step")), "rank")
+        done += 1
+        growth = rank.agg(F.max(F.col("step") / F.col("rank"))).first()[0]  # one number
+        if not growth or (done >= iterations and growth <= tolerance):
+            return rank.select("kind", "host", "rank")
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, damping: float = DAMPING,
-               iterations: int = ITERATIONS, ratio: float = RATIO, floor: float = FLOOR) -> DataFrame:
+               iterations: int = ITERATIONS, ratio: float = RATIO) -> DataFrame:
     """Judge every row of ``pages`` (page_id, url, html).
 
-    Returns page_id, host, path, rule, verdict, trust, distrust.  A host of
-    which allow (block) rules fit at least SEED_SHARE of the pages seeds trust
-    (distrust), weighted by the number of those pages.
+    Returns page_id, host, path, rule, verdict, trust, distrust.  Every host
+    of which allow (block) rules fit a page seeds trust (distrust), weighted by
+    the share of its pages that they fit.
     Null or scheme-less urls have host and path empty, fit no rule and are
     allowed, as is a host that no walk reaches.  Null or empty html has no
     links.  Repeated rows are judged alike; an empty table gives none.
@@ -108,7 +115,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, dampi
         F.count("*").alias("pages"), F.count_if(F.col("_r.verdict") == "allow").alias("allow"),
         F.count_if(F.col("_r.verdict") == "block").alias("block")))
     counted = stage(by_host.select("host", "pages", F.expr("stack(2, 'allow', allow, 'block', block) as (kind, n)"))
-                    .where(F.col("n") >= SEED_SHARE * F.col("pages")).where("n > 0").select("kind", "host", "n"), "seed-pages")
+                    .where("n > 0").select("kind", "host", (F.col("n") / F.col("pages")).alias("n")), "seed-pages")
     totals = counted.groupBy(F.col("kind").alias("k")).agg(F.sum("n").alias("t"))  # two rows
     seeds = counted.join(F.broadcast(totals), F.col("kind") == F.col("k")).select("kind", "host", (F.col("n") / F.col("t")).alias("s"))
     pairs = (pages.select(host.alias("src"), F.explode(links_of(F.col("html"))).alias("dst"))
@@ -130,7 +137,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, dampi
     salts = 16
     spread = hosts.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     left = judged.withColumn("_q", F.pmod(F.xxhash64("page_id", "path"), F.lit(salts)).cast("int"))
-    bad = (F.col("distrust") > ratio * F.col("trust")) & (F.col("distrust") > floor)
+    bad = F.col("distrust") > ratio * F.col("trust")
     return (left.join(spread, (F.col("host") == F.col("h")) & (F.col("_q") == F.col("_t")), "left")
             .select("page_id", "host", "path", F.col("_r.rule").alias("rule"),
                     F.coalesce(F.col("_r.verdict"), F.when(bad, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),

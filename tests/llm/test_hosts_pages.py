@@ -202,3 +202,32 @@ def test_long_comments_are_dropped():
 @pytest.mark.parametrize("page", ["<div class='sidebar'><a href='/'>Only links</a></div>", "<form>a</form>", "<div class='ad'>a</div><div class='menu'>b</div>", "<nav><a href='/'>Home</a></nav>"])
 def test_pages_with_text_are_never_empty(page):
     assert htmltext.extract(page, []) and htmltext.extract(page, [">div.sidebar", ">nav"])
+
+
+def test_hosts_that_rules_fit_in_part(spark):
+    """A block rule fits one page of four of a host, an allow rule one of five of another."""
+    rows = [(i, f"http://shop.example.com/{'de' if i == 0 else 'x'}/{i}", page("http://other.com/")) for i in range(4)]
+    rows += [(10 + i, f"http://news.org/{'fr' if i == 0 else 'x'}/{i}", page("http://friend.com/")) for i in range(5)]
+    rows += [(20, "http://fan.com/", page("http://shop.example.com/")), (21, "http://friend.com/", page("http://shop.example.com/")), (22, "http://quiet.com/", None)]
+    got = {r.host: r for r in hostrank.judge_urls(spark.createDataFrame(rows, SCHEMA)).where("rule is null").collect()}
+    assert {h: r.verdict for h, r in got.items()} == {"shop.example.com": "block", "news.org": "allow", "fan.com": "block", "friend.com": "allow", "quiet.com": "allow"}
+    assert got["news.org"].trust == pytest.approx(0.15) and got["shop.example.com"].distrust == pytest.approx(0.15)
+
+
+def test_long_walks(spark):
+    """Distrust fifteen links on, and of a loop."""
+    seeds = spark.createDataFrame([("block", "s0", 0.5), ("block", "s1", 0.5)], "kind string, host string, s double").coalesce(1)
+    links = [("s0", "c0")] + [(f"c{i}", f"c{i + 1}") for i in range(14)] + [("s1", "l0"), ("l0", "l1"), ("l1", "l0")]
+    edges = spark.createDataFrame([("block", a, b, 1.0) for a, b in links], "kind string, src string, dst string, w double").coalesce(1)
+    got = {r.host: r["rank"] for r in hostrank.propagate(edges, seeds, tolerance=0.01).collect()}
+    unit = 0.15 / 2
+    assert got["c14"] == pytest.approx(unit * 0.85 ** 15) and got["l0"] == pytest.approx(unit * 0.85 / (1 - 0.85 ** 2), rel=0.07)
+
+
+def test_weak_distrust_blocks(spark):
+    """A host that links to one blocked host among 40,000 others."""
+    seeds = spark.range(40_000, numPartitions=2).select(F.col("id").alias("page_id"), F.concat(F.lit("http://b"), "id", F.lit(".net/")).alias("url"), F.lit(None).cast("string").alias("html"))
+    ids = [f"http://w{i}.com/" for i in range(8)]
+    rows = [(100_000 + i, u, page("http://b0.net/")) for i, u in enumerate(ids)]
+    got = hostrank.judge_urls(seeds.unionByName(spark.createDataFrame(rows, SCHEMA))).where("host like 'w%'").collect()
+    assert len(got) == 8 and all(r.verdict == "block" and 0 < r.distrust < 1e-6 for r in got)
