@@ -27,7 +27,7 @@ MAX_REPEAT = 30         #: more per cent of the words in repeated windows fail
 WINDOW = 8              #: words of a window
 SYMBOLS = b"#*$%&|<>"
 SCALE = 1024            #: fixed point of the vectors
-MIN_GROUP = 200         #: smaller groups share their language's, then the whole table's estimate
+MIN_GROUP = 200         #: smaller groups share that of their language's small ones, else of all its texts, else of the whole table
 STEPS = 6               #: concentration steps
 FLOOR = 0.05            #: added to every standard deviation (squares add up), so that constant statistics can't reject
 CUTOFF = 12.0           #: Mahalanobis distance beyond which a text is rejected
@@ -254,22 +254,32 @@ def fit_groups(stats: DataFrame, lang: str = "lang", source: str = "source"):
 
     Returns (names, fits, number of groups): ``names`` maps each language and
     source (``label``) to its estimate's group ``g``; ``fits`` has one row per
-    group.  Groups of fewer than MIN_GROUP texts are pooled by language, pools
-    of fewer over the table; what is still smaller has no estimate.
+    group.  Groups of fewer than MIN_GROUP texts are pooled by language; if a
+    language's pool has fewer, its groups take the estimate of all texts of the
+    language, and if these are fewer, that of all texts.  Only a table of fewer
+    than MIN_GROUP texts has no estimate.
     """
     own, by_lang = group_label(lang, source)
     rows = stage(stats.where(~base_failed()).select(own.alias("label"), by_lang.alias("pool"), *STATS, *_vector()), "vectors")
     sizes = rows.groupBy("label", "pool").agg(F.count("*").alias("n"))
-    pooled = F.sum(F.when(F.col("n") < MIN_GROUP, F.col("n"))).over(Window.partitionBy("pool"))
-    names = sizes.withColumn("pooled", pooled).select("label", "n", F.when(F.col("n") >= MIN_GROUP, F.col("label")).when(F.col("pooled") >= MIN_GROUP, F.col("pool")).otherwise(F.lit("*")).alias("g"))
-    names = stage(names, "group-names")
-    left_over = names.where("g = '*'").agg(F.sum("n")).first()[0]  # one number
-    names = names.where(F.lit((left_over or 0) >= MIN_GROUP) | (F.col("g") != "*")).select("label", "g")
+    of_lang = Window.partitionBy("pool")
+    sizes = sizes.withColumn("pooled", F.sum(F.when(F.col("n") < MIN_GROUP, F.col("n"))).over(of_lang)).withColumn("whole", F.sum("n").over(of_lang))
+    g = (F.when(F.col("n") >= MIN_GROUP, F.col("label")).when(F.col("pooled") >= MIN_GROUP, F.col("pool"))
+         .when(F.col("whole") >= MIN_GROUP, F.concat("pool", F.lit("*"))).otherwise(F.lit("*")))
+    sizes = stage(sizes.select("label", "pool", "n", g.alias("g")), "group-names")
+    total = sizes.agg(F.sum("n")).first()[0]  # one number
+    sizes = sizes.where(F.lit((total or 0) >= MIN_GROUP))
+    names = sizes.select("label", "g")
     n_names = names.count()
-    if n_names <= BROADCAST_ROWS:
-        vectors = rows.join(F.broadcast(names), "label")
+    # Estimates of all texts of a language, and of the table, are made if a group takes them.
+    whole = sizes.where(F.col("g") == F.concat("pool", F.lit("*"))).select("pool", "g").distinct()
+    table = sizes.where("g = '*'").select("g").distinct()  # one row or none
+    members = stage(names.unionByName(sizes.select("label", "pool").join(whole, "pool").select("label", "g"))
+                    .unionByName(sizes.select("label").join(F.broadcast(table), F.lit(True)).select("label", "g")).distinct(), "members")
+    if members.count() <= BROADCAST_ROWS:
+        vectors = rows.join(F.broadcast(members), "label")
     else:
-        salted = names.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = members.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         vectors = rows.withColumn("_t", F.pmod(F.xxhash64(*VECTOR, *STATS), F.lit(SALTS)).cast("int")).join(salted, ["label", "_t"]).drop("_t")
     vectors = stage(vectors.select("g", *STATS, *VECTOR), "group-vectors")
     # Start: all rows' medians (from exact histograms of the fixed-point values) and spreads.
@@ -315,8 +325,8 @@ def _start(vectors: DataFrame) -> DataFrame:
 
 
 def judge(stats: DataFrame, estimates, lang: str = "lang", source: str = "source", cutoff: float = CUTOFF) -> DataFrame:
-    """``stats`` (with STATS) with base_failed, distance and kept.  A text whose
-    group has no estimate has a null distance and is kept by the method."""
+    """``stats`` (with STATS) with base_failed, distance and kept.  If the table
+    is too small for an estimate, distances are null and the method keeps all."""
     names, fits, n_names = estimates
     own, _ = group_label(lang, source)
     by_label = names.join(fits, "g").drop("g").withColumnRenamed("label", "g")

@@ -202,3 +202,17 @@ def test_stage_edge_cases(spark):
         assert step(spark, empty, SF).collect() == []
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r.doc_id for r in corpus_pipeline.identify_language(spark, unlabelled, SF).collect()} == {None, 3, 4, 5, 8, 10}
+
+
+def test_small_sources_are_judged(spark):
+    """A source of 30 texts beside one of 300 of its language, one text of a
+    language of its own, at the MIN_GROUP of production; one of the small
+    source's texts, and the single one, are of long words and symbols."""
+    rng = random.Random(5)
+    clean = lambda: " ".join("abcdefgh"[rng.randrange(8)] * rng.randint(2, 7) + str(rng.randrange(10**6)) for _ in range(rng.randint(60, 90)))
+    junk = lambda: " ".join(f"{'x' * 30}{rng.randrange(10**6)}#$%&" for _ in range(70))
+    rows = [(i, clean(), "en", "big") for i in range(300)] + [(1000 + i, clean(), "en", "small") for i in range(29)]
+    rows += [(2000, junk(), "en", "small"), (2001, junk(), "xx", "s"), (2002, clean(), "xx", "s")]
+    got = {r.doc_id: r for r in quality.judge_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").coalesce(2)).collect()}
+    assert all(r.distance is not None for r in got.values())
+    assert {i for i, r in got.items() if not r.kept} == {2000, 2001}
