@@ -31,14 +31,14 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
     """
     if not weights or min(weights) <= 0:
         raise ValueError("weights must be positive numbers")
-    best = None
+    scores = []
     for i, w in enumerate(weights):
         h = F.xxhash64(F.lit(f"shard {i}"), key)
         u = (F.shiftrightunsigned(h, 11).cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
-        cand = F.struct((F.lit(-float(w)) / F.log(u)).alias("score"), F.lit(-i).alias("neg"))
-        best = [cand] if best is None else [*best, cand]
-    top = best[0] if len(best) == 1 else F.greatest(*best)
-    return (-top["neg"]).cast("int")
+        scores.append(F.lit(-float(w)) / F.log(u))
+    # Plain doubles: a struct per row and shard was most of what a task allocated.
+    top = scores[0] if len(scores) == 1 else F.greatest(*scores)
+    return (F.array_position(F.array(*scores), top) - 1).cast("int")
 
 
 def assign_shards(df: DataFrame, key: str, weights: Sequence[float], out: str = "shard") -> DataFrame:
