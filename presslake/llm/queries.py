@@ -10,6 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from presslake.llm.oracle import ORACLE_SQL  # noqa: F401  (registered with the queries)
+
 
 def tokenizer_path(name: str) -> str:
     """Where a public tokenizer's file is installed (on every machine)."""
@@ -71,7 +73,21 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_rank_order_language, op2_simhash_components, op3_host_trust, op4_pruned_graph_search, op5_consensus_text, op6_first_fit_packing, op7_token_counts, op8_robust_outliers, op9_transducer_pieces, op10_rendezvous_shards)}
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslake.llm.spelling import document_variants
+    return document_variants(read(spark, sf_dir, "documents"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslake.llm.decontaminate import contaminated_documents
+    return contaminated_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
-ORACLE_SQL: dict[str, str] = {}
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from presslake.llm.trie import conversation_trie
+    return conversation_trie(read(spark, sf_dir, "conversations"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op1_rank_order_language, op2_simhash_components, op3_host_trust, op4_pruned_graph_search, op5_consensus_text, op6_first_fit_packing, op7_token_counts, op8_robust_outliers, op9_transducer_pieces, op10_rendezvous_shards,
+                            op11_spelling_variants, op12_decontamination, op13_prefix_trie)}
