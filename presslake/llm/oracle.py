@@ -52,10 +52,10 @@ forms AS MATERIALIZED (
          CASE WHEN -b.less >= 10 * w.n THEN b.other END AS form, CASE WHEN -b.less >= 10 * w.n THEN -b.less END AS form_n
   FROM words w LEFT JOIN best USING (word)),
 walk AS (
-  WITH RECURSIVE steps(word, at) AS (
+  WITH RECURSIVE steps(word, here) AS (
     SELECT word, word FROM forms
-    UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON s.at = f.word WHERE f.form IS NOT NULL)
-  SELECT s.word, s.at AS root FROM steps s JOIN forms f ON s.at = f.word WHERE f.form IS NULL)
+    UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON s.here = f.word WHERE f.form IS NOT NULL)
+  SELECT s.word, s.here AS root FROM steps s JOIN forms f ON s.here = f.word WHERE f.form IS NULL)
 SELECT f.word, f.form, walk.root, f.n, f.n_near, f.form_n FROM forms f JOIN walk USING (word)
 """
 
