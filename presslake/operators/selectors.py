@@ -10,28 +10,23 @@ A selector is built from Python combinators, not parsed from text::
     S.tag("div").without_attr("class")               # div:not([class])
     S.tag("a").attr_prefix("href", "/t")             # a[href^="/t"]
 
-How each piece runs on Spark:
-
-* a compound (tag, id, class, attribute tests) is a filter on node columns;
-* descendant / child with a plain ancestor are filters over the node's
-  ``path`` array (``exists`` / last element): no join, no shuffle;
-* an ancestor that itself needs positions (``:nth-child``) uses the interval
-  join ``ctx.pre < n.pre <= ctx.end`` on the equi-key ``page_id``
-  (:func:`contained_in`);
-* ``:nth-child`` / ``:last-child`` / ``+`` use ``row_number`` / ``count`` /
-  ``lag`` over the (page_id, parent) sibling window — per-page work, hashed
-  on page_id; ``A + B`` tests ``A`` on the lagged sibling columns, so it is a
-  filter too (siblings share their ancestors, so anything left of ``A`` is
-  tested on the node's own path).
+How they run on Spark: all selectors of a call are compiled into one automaton
+(:class:`presslake.operators.nodes.Program`) that is run in the task that reads
+and shreds the page, so every combinator, positional ones included, costs one
+pass over the page and no shuffle.  On a node table that was stored and read
+back, its rows are grouped by page first (one shuffle for all selectors).
+:func:`contained_in` is the interval join on the node table itself.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from presslake.operators import nodes as N
+
 
 @dataclass(frozen=True)
 class Compound:
@@ -46,10 +41,6 @@ class Compound:
     nth: int | None = None       # :nth-child(n)
     last: bool = False           # :last-child
 
-    @property
-    def positional(self) -> bool:
-        return self.nth is not None or self.last
-
 
 @dataclass(frozen=True)
 class Sel:
@@ -114,128 +105,9 @@ class Sel:
         return self._join("+", other)
 
 
-# ---------------------------------------------------------------------------
-# predicates
-
-
-def _class_tokens(klass: Column) -> Column:
-    return F.split(F.coalesce(klass, F.lit("")), r"\s+")
-
-
-def _node_pred(c: Compound, tag: Column, node_id: Column, klass: Column, attrs: Column | None) -> Column:
-    p = F.lit(True)
-    if c.tag:
-        p = p & (tag == c.tag)
-    if c.tags_in:
-        p = p & tag.isin(list(c.tags_in))
-    if c.id:
-        p = p & (node_id == c.id)
-    for k in c.classes:
-        p = p & F.array_contains(_class_tokens(klass), k)
-    if attrs is not None:
-        for k, v in c.attr_eq:
-            p = p & (F.try_element_at(attrs, F.lit(k)) == v)
-        for k, v in c.attr_prefix:
-            p = p & F.coalesce(F.try_element_at(attrs, F.lit(k)).startswith(v), F.lit(False))
-        for k in c.has_attr:
-            p = p & F.map_contains_key(attrs, k)
-        for k in c.lacks_attr:
-            p = p & ~F.map_contains_key(attrs, k)
-    else:  # ancestors in the path carry only tag, id and class
-        for k, v in c.attr_eq:
-            if k == "class":
-                p = p & (klass == v)
-            elif k == "id":
-                p = p & (node_id == v)
-            else:
-                raise NotImplementedError("path attributes: class and id only")
-        for k, v in c.attr_prefix:
-            if k != "class":
-                raise NotImplementedError("path attributes: class and id only")
-            p = p & F.coalesce(klass.startswith(v), F.lit(False))
-        for k in c.has_attr:
-            p = p & (klass.isNotNull() if k == "class" else node_id.isNotNull())
-        for k in c.lacks_attr:
-            p = p & (klass.isNull() if k == "class" else node_id.isNull())
-    return p
-
-
-def node_pred(c: Compound) -> Column:
-    attrs = F.col("attrs")
-    return (F.col("kind") == "element") & _node_pred(
-        c, F.col("tag"), F.try_element_at(attrs, F.lit("id")), F.try_element_at(attrs, F.lit("class")), attrs)
-
-
-def path_ok(c: Compound) -> bool:
-    """Can ``c`` be tested on an ancestor path entry (tag, id, class only)?"""
-    names = [k for k, _ in c.attr_eq] + [k for k, _ in c.attr_prefix] + list(c.has_attr) + list(c.lacks_attr)
-    pref_ok = all(k == "class" for k, _ in c.attr_prefix)
-    return all(k in ("class", "id") for k in names) and pref_ok and not c.positional
-
-
-def path_pred(c: Compound):
-    return lambda a: _node_pred(c, a["tag"], a["id"], a["klass"], None)
-
-
-def with_positions(nodes: DataFrame) -> DataFrame:
-    """Adds ``sib`` (1-based position among element siblings), ``n_sib`` and
-    the previous element sibling's ``prev_pre`` / ``prev_tag`` /
-    ``prev_attrs`` (``lag``).  Window over (page_id, parent): bounded by one
-    element's child list."""
-    el = nodes.where(F.col("kind") == "element")
-    w = Window.partitionBy("page_id", "parent").orderBy("pre")
-    return (el.withColumn("sib", F.row_number().over(w))
-            .withColumn("n_sib", F.count(F.lit(1)).over(Window.partitionBy("page_id", "parent")))
-            .withColumn("prev_pre", F.lag("pre").over(w))
-            .withColumn("prev_tag", F.lag("tag").over(w))
-            .withColumn("prev_attrs", F.lag("attrs").over(w)))
-
-
-def _prev_sibling_pred(c: Compound) -> Column:
-    """``c`` tested on the previous element sibling (the lag columns)."""
-    attrs = F.col("prev_attrs")
-    p = F.col("prev_pre").isNotNull() & _node_pred(
-        c, F.col("prev_tag"), F.try_element_at(attrs, F.lit("id")), F.try_element_at(attrs, F.lit("class")), attrs)
-    if c.nth is not None:
-        p = p & (F.col("sib") - 1 == c.nth)
-    if c.last:
-        p = p & F.lit(False)          # a last child has no next sibling
-    return p
-
-
-def _single_pass(steps):
-    """A predicate over the positioned node rows when the whole selector can
-    be tested on the node itself: its own compound, its ancestor path, and —
-    for one trailing ``+`` — its previous sibling (siblings share every
-    ancestor, so the part left of the ``+`` is checked on the node's path).
-    None when an ancestor needs positions or ``+`` is chained."""
-    combs = [comb for comb, _ in steps[1:]]
-    if "+" in combs[:-1]:
-        return None
-    *head, (last_comb, target) = steps
-    if last_comb == "+":
-        *anc, (b_comb, left) = head
-        if not all(path_ok(c) for _, c in anc):
-            return None
-        pred = node_pred(target) & _pos_pred(target) & _prev_sibling_pred(left)
-        if anc:
-            pred = pred & _path_chain(anc, b_comb or " ")
-        return pred
-    if not all(path_ok(c) for _, c in head):
-        return None
-    pred = node_pred(target) & _pos_pred(target)
-    if head:
-        pred = pred & _path_chain(head, last_comb)
-    return pred
-
-
-def _pos_pred(c: Compound) -> Column:
-    p = F.lit(True)
-    if c.nth is not None:
-        p = p & (F.col("sib") == c.nth)
-    if c.last:
-        p = p & (F.col("sib") == F.col("n_sib"))
-    return p
+def plain(sel: Sel) -> list:
+    """The selector as data that tasks compile: (combinator, compound)."""
+    return [(comb, {k: v for k, v in asdict(c).items() if v not in (None, (), False)}) for comb, c in sel.steps]
 
 
 def contained_in(ctx: DataFrame, nodes: DataFrame, direct: bool = False) -> DataFrame:
@@ -243,99 +115,14 @@ def contained_in(ctx: DataFrame, nodes: DataFrame, direct: bool = False) -> Data
     (``ctx.pre < n.pre <= ctx.end``; ``direct`` → ``n.parent = ctx.pre``).
     Equi-key ``page_id`` plus a range residual — never a cartesian product;
     the result is de-duplicated per node."""
-    c = ctx.select("page_id", F.col("pre").alias("_cpre"), F.col("end").alias("_cend"))
-    if direct:
-        j = nodes.join(c, (nodes["page_id"] == c["page_id"]) & (nodes["parent"] == c["_cpre"]), "left_semi")
-    else:
-        j = nodes.join(c, (nodes["page_id"] == c["page_id"]) & (nodes["pre"] > c["_cpre"])
-                       & (nodes["pre"] <= c["_cend"]), "left_semi")
-    return j
+    c = ctx.select(F.col("page_id").alias("_cpage"), F.col("pre").alias("_cpre"), F.col("end").alias("_cend"))
+    within = F.col("parent") == F.col("_cpre") if direct else (F.col("pre") > F.col("_cpre")) & (F.col("pre") <= F.col("_cend"))
+    return nodes.join(c, (F.col("page_id") == F.col("_cpage")) & within, "left_semi")
 
 
 def select(nodes: DataFrame, sel: Sel) -> DataFrame:
     """All nodes matching ``sel`` (each node once)."""
-    steps = list(sel.steps)
-    needs_pos = any(c.positional for _, c in steps) or any(comb == "+" for comb, _ in steps)
-    base = with_positions(nodes) if needs_pos else nodes.where(F.col("kind") == "element")
-
-    single = _single_pass(steps)
-    if single is not None:
-        # one filter over one shred of the pages: no join
-        return base.where(single)
-
-    cur = base.where(node_pred(steps[0][1]) & _pos_pred(steps[0][1]))
-    plain_prefix = path_ok(steps[0][1])  # can the chain so far be tested on the path?
-    chain = [steps[0]]
-    for comb, c in steps[1:]:
-        target = base.where(node_pred(c) & _pos_pred(c))
-        if comb in (" ", ">") and plain_prefix and all(x[0] in (None, " ", ">") for x in chain):
-            cur = target.where(_path_chain(chain, comb))
-        elif comb == "+":
-            prev = cur.select("page_id", F.col("pre").alias("prev_pre"))
-            cur = target.join(prev, ["page_id", "prev_pre"], "left_semi")
-        else:
-            cur = contained_in(cur, target, direct=(comb == ">"))
-        plain_prefix = plain_prefix and path_ok(c) and comb != "+"
-        chain.append((comb, c))
-    return cur
-
-
-def _path_chain(chain, last_comb) -> Column:
-    """Ancestor path test for ``chain`` followed by ``last_comb`` and the node.
-
-    Greedy left-to-right matching over the path (root → parent) is exact for
-    descendant steps; a child step pins the next compound to the following
-    path element; ``last_comb == '>'`` pins the last compound to the parent.
-    """
-    path = F.col("path")
-    n = F.size(path)
-    if last_comb == ">" and len(chain) == 1:
-        return F.coalesce(path_pred(chain[0][1])(F.try_element_at(path, F.lit(-1))), F.lit(False)) & (n > 0)
-    if all(comb in (None, " ") for comb, _ in chain) and last_comb == " ":
-        if len(chain) == 1:
-            return F.exists(path, path_pred(chain[0][1]))
-        # greedy subsequence match: state = number of compounds matched so far
-        preds = [path_pred(c) for _, c in chain]
-
-        def step(state, a):
-            nxt = state
-            for i in range(len(preds) - 1, -1, -1):
-                nxt = F.when((state == i) & preds[i](a), F.lit(i + 1)).otherwise(nxt)
-            return nxt
-        return F.aggregate(path, F.lit(0), step) == len(preds)
-    # general child/descendant mix: exact DP over the path
-    preds = [path_pred(c) for _, c in chain]
-    combs = [comb for comb, _ in chain[1:]] + [last_comb]
-    return _match_path_dp(path, preds, combs)
-
-
-def _match_path_dp(path, preds, combs) -> Column:
-    """Exact match of compounds ``preds[0..k-1]`` along the ancestor path.
-
-    One ``aggregate`` over the path (root → parent) with boolean state per
-    compound i: ``e_i`` = compounds 0..i match with i at the previous path
-    element, ``a_i`` = ... with i at any earlier element.  At element x:
-    ``e_i' = pred_i(x) and (i == 0 or (e_{i-1} if combs[i-1] == '>' else
-    a_{i-1}))``, ``a_i' = a_i or e_i'``.  The node itself follows compound
-    k-1 with ``combs[k-1]``: '>' needs ``e_{k-1}``, ' ' needs ``a_{k-1}``.
-    """
-    k = len(preds)
-    init = F.struct(*[F.lit(False).alias(f"e{i}") for i in range(k)],
-                    *[F.lit(False).alias(f"a{i}") for i in range(k)])
-
-    def step(acc, x):
-        e_new = []
-        for i in range(k):
-            if i == 0:
-                prev_ok = F.lit(True)
-            else:
-                prev_ok = acc[f"e{i - 1}"] if combs[i - 1] == ">" else acc[f"a{i - 1}"]
-            e_new.append(F.coalesce(preds[i](x), F.lit(False)) & prev_ok)
-        return F.struct(*[e.alias(f"e{i}") for i, e in enumerate(e_new)],
-                        *[(acc[f"a{i}"] | e_new[i]).alias(f"a{i}") for i in range(k)])
-
-    final = F.aggregate(path, init, step)
-    return final[f"e{k - 1}"] if combs[-1] == ">" else final[f"a{k - 1}"]
+    return N.matches(nodes, [plain(sel)]).drop("which")
 
 
 def first_per_page(matches: DataFrame, value: str = "text") -> DataFrame:
@@ -343,59 +130,20 @@ def first_per_page(matches: DataFrame, value: str = "text") -> DataFrame:
     return matches.groupBy("page_id").agg(F.min_by(value, "pre").alias(value))
 
 
-def _base_for(nodes: DataFrame, sels) -> DataFrame:
-    needs_pos = any(c.positional or comb == "+" for s in sels for comb, c in s.steps)
-    return with_positions(nodes) if needs_pos else nodes.where(F.col("kind") == "element")
-
-
 def select_union(nodes: DataFrame, *sels: Sel) -> DataFrame:
-    """O-X13: ``A, B`` — each node once, in document order by ``pre``.
-
-    When every selector is a single filter, the union is one filter with OR
-    over one shred (each node is one row, so it is distinct by
-    construction)."""
-    preds = [_single_pass(list(s.steps)) for s in sels]
-    if all(p is not None for p in preds):
-        any_p = preds[0]
-        for p in preds[1:]:
-            any_p = any_p | p
-        return _base_for(nodes, sels).where(any_p).select("page_id", "pre", "tag", "text")
-    parts = [select(nodes, s).select("page_id", "pre", "tag", "text") for s in sels]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.dropDuplicates(["page_id", "pre"])
+    """O-X13: ``A, B`` — each node once, in document order by ``pre``."""
+    return N.matches(nodes, [plain(s) for s in sels]).select("page_id", "pre", "tag", "text")
 
 
 def children_text(nodes: DataFrame, parent_sel: Sel, drop_blank: bool = False) -> DataFrame:
     """O-X17: text of each direct child of the matched parents, bare text
     included, in document order: ``(page_id, parent_pre, pre, kind, text)``."""
-    steps = list(parent_sel.steps)
-    if len(steps) == 1 and path_ok(steps[0][1]):
-        # one filter: the last path entry of a child (element or text) is its parent
-        last = F.try_element_at("path", F.lit(-1))
-        kids = nodes.where(F.col("kind").isin("element", "text") & last.isNotNull()
-                           & F.coalesce(path_pred(steps[0][1])(last), F.lit(False)))
-    else:
-        parents = select(nodes, parent_sel).select("page_id", F.col("pre").alias("parent"))
-        kids = nodes.where(F.col("kind").isin("element", "text")).join(parents, ["page_id", "parent"], "left_semi")
-    out = kids.select("page_id", F.col("parent").alias("parent_pre"), "pre", "kind", "text")
-    if drop_blank:
-        out = out.where(F.regexp_replace("text", r"\s", "") != "")
-    return out
-
-
-def count_matches(nodes: DataFrame, sels: dict) -> DataFrame:
+    out = N.child_rows(nodes, plain(parent_sel))
+    return out.where(F.regexp_replace("text", r"\s", "") != "") if drop_blank else out
+
+
+def count_matches(nodes: DataFrame, sels: dict, every_page: bool = False) -> DataFrame:
     """Per page, how many nodes match each named selector:
-    ``(page_id, <name>...)``.  Single-filter selectors are counted together
-    in one aggregate over one shred (``count_if`` per name); pages without
-    any match produce no row."""
-    preds = {k: _single_pass(list(s.steps)) for k, s in sels.items()}
-    if any(p is None for p in preds.values()):
-        out = None
-        for k, s in sels.items():
-            c = select(nodes, s).groupBy("page_id").agg(F.count(F.lit(1)).cast("bigint").alias(k))
-            out = c if out is None else out.join(c, "page_id", "full")
-        return out.fillna(0, subset=list(sels))
-    return (_base_for(nodes, list(sels.values())).groupBy("page_id")
-            .agg(*[F.count_if(F.coalesce(p, F.lit(False))).cast("bigint").alias(k) for k, p in preds.items()]))
+    ``(page_id, <name>...)``; pages without any match produce no row, or one
+    of zeros if ``every_page``."""
+    return N.match_counts(nodes, [plain(s) for s in sels.values()], list(sels), every_page)

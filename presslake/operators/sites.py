@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslake.functions.text import path_tail_name, py_strip, remove_prefix, split_last, strip_chars
+from presslake.operators import nodes as N
 from presslake.operators import selectors as SL
 from presslake.operators.selectors import Sel
 
@@ -86,83 +87,23 @@ SENTINELS = {
 # -------------------------------------------------------------------------
 
 
-def extract_with_spec(pages: DataFrame, nodes: DataFrame, spec: dict) -> DataFrame:
+def plain_spec(spec: dict) -> list:
+    """A spec as data that tasks compile: (field, kind, selector)."""
+    return [(field, kind, SL.plain(sel)) for field, (kind, sel) in spec.items()]
+
+
+def extract_with_spec(pages: DataFrame, nodes: DataFrame | None, spec: dict) -> DataFrame:
     """Evaluate a spec: one row per page with one column per field.
 
-    Every field whose selector is a single filter over the node rows (plain,
-    child, descendant, positional, one ``+``) is evaluated in **one pass**:
-    the node rows matching any field are kept, and one ``groupBy(page_id)``
-    computes every field with conditional aggregates — ``min_by`` for
-    first / attribute fields, an ordered ``collect_list`` (bounded by one
-    page) for list fields.  One shred, one shuffle, one join back to the
-    pages.  Fields that need a second reference to the node table (a
-    positional ancestor, chained ``+``, outer HTML) are added one by one.
-    """
-    out = pages.select("page_id", "url")
-    fast, slow = {}, {}
-    for field, (kind, sel) in spec.items():
-        pred = None if kind == "outer" else SL._single_pass(list(sel.steps))
-        (fast if pred is not None else slow)[field] = (kind, sel)
-    if fast:
-        needs_pos = any(c.positional or comb == "+" for _, (_, sel) in fast.items() for comb, c in sel.steps)
-        base = SL.with_positions(nodes) if needs_pos else nodes.where(F.col("kind") == "element")
-        preds = {f: SL._single_pass(list(sel.steps)) for f, (_, sel) in fast.items()}
-        hits = base.select("page_id", "pre", "text", "attrs",
-                           *[F.coalesce(p, F.lit(False)).alias(f"_m_{i}") for i, p in enumerate(preds.values())])
-        any_hit = None
-        for i in range(len(preds)):
-            any_hit = F.col(f"_m_{i}") if any_hit is None else any_hit | F.col(f"_m_{i}")
-        hits = hits.where(any_hit)
-        aggs = []
-        for i, (field, (kind, _)) in enumerate(fast.items()):
-            m = F.col(f"_m_{i}")
-            value = (F.try_element_at("attrs", F.lit(kind.split(":", 1)[1])) if kind.startswith("attr:")
-                     else F.col("text"))
-            if kind == "all":
-                aggs.append(F.transform(F.array_sort(F.collect_list(F.when(m, F.struct("pre", value.alias("v"))))),
-                                        lambda x: x["v"]).alias(field))
-            elif kind == "first" or kind.startswith("attr:"):
-                # rows of other fields have a NULL ordering key and are skipped
-                aggs.append(F.min_by(value, F.when(m, F.col("pre"))).alias(field))
-            else:
-                raise ValueError(kind)
-        per_page = hits.groupBy("page_id").agg(*aggs)
-        out = out.join(per_page, "page_id", "left")
-        for field, (kind, _) in fast.items():
-            if kind == "all":
-                out = out.withColumn(field, F.coalesce(F.col(field), F.array().cast("array<string>")))
-    for field, (kind, sel) in slow.items():
-        out = _add_field(out, pages, nodes, field, kind, sel)
-    return out.select("page_id", "url", *spec.keys())
-
-
-def _add_field(out: DataFrame, pages: DataFrame, nodes: DataFrame, field: str, kind: str, sel) -> DataFrame:
-    """One field evaluated on its own (selectors that join the node table)."""
-    m = SL.select(nodes, sel)
-    if kind == "first":
-        f = m.groupBy("page_id").agg(F.min_by("text", "pre").alias(field))
-    elif kind == "all":
-        f = m.groupBy("page_id").agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("pre", "text"))), lambda s: s["text"]).alias(field))
-    elif kind.startswith("attr:"):
-        name = kind.split(":", 1)[1]
-        f = m.groupBy("page_id").agg(F.min_by(F.try_element_at("attrs", F.lit(name)), "pre").alias(field))
-    elif kind == "outer":
-        f = m.groupBy("page_id").agg(F.min_by(F.struct("src_start", "src_end"), "pre").alias("_span"))
-    else:
-        raise ValueError(kind)
-    out = out.join(f, "page_id", "left")
-    if kind == "all":
-        out = out.withColumn(field, F.coalesce(F.col(field), F.array().cast("array<string>")))
-    if kind == "outer":
-        # O-X19 on the node path: re-slice the element's markup from the page
-        html = pages.select("page_id", F.col("html").alias("_html"))
-        out = out.join(html, "page_id", "left").withColumn(
-            field, F.when(F.col("_span").isNotNull(),
-                          F.substring("_html", F.col("_span.src_start") + 1,
-                                      F.col("_span.src_end") - F.col("_span.src_start")))
-        ).drop("_span", "_html")
-    return out
+    All fields are read in one pass over each page, in the task that reads it:
+    no shuffle, no join.  ``nodes`` is not needed; it is taken for calls that
+    have shredded the pages already."""
+    return N.record_rows(pages, {"": plain_spec(spec)}).select("page_id", "url", *[_listed(k, f) for f, (k, _) in spec.items()])
+
+
+def _listed(kind: str, field: str):
+    """List fields are ``[]`` when nothing matches (Q6)."""
+    return F.coalesce(F.col(field), F.array().cast("array<string>")).alias(field) if kind in ("all", "children") else F.col(field)
 
 
 def site_articles(pages: DataFrame, nodes: DataFrame, site: str) -> DataFrame:

@@ -29,15 +29,9 @@ def _nodes(spark, sf, with_text: bool = True):
     return N.shred(table(spark, sf, "pages"), with_text=with_text)
 
 
-def _pages(spark, sf):
-    return table(spark, sf, "pages").select("page_id")
-
-
-def _count_per_page(spark, sf, matches, name):
-    """Per-page match counts, zero for pages without a match."""
-    cnt = matches.groupBy("page_id").agg(F.count(F.lit(1)).cast("bigint").alias(name))
-    return _pages(spark, sf).join(cnt, "page_id", "left").select(
-        "page_id", F.coalesce(F.col(name), F.lit(0).cast("bigint")).alias(name))
+def _counts(spark, sf, **sels):
+    """Matches per page, zero for pages without: one pass, no shuffle."""
+    return SL.count_matches(_nodes(spark, sf, with_text=False), sels, every_page=True)
 
 
 @query("sel_descendant", f"""
@@ -55,16 +49,14 @@ def q_sel_descendant(spark, sf):
 WITH {_BASE} SELECT page_id, {_cnt('nav', '(?i)<a\\b')} AS n_links FROM b
 """, op="O-X5 (3-step chain)")
 def q_sel_nav_links(spark, sf):
-    m = SL.select(_nodes(spark, sf, with_text=False), Sel.tag("nav").descendant(Sel.tag("li")).descendant(Sel.tag("a")))
-    return _count_per_page(spark, sf, m, "n_links")
+    return _counts(spark, sf, n_links=Sel.tag("nav").descendant(Sel.tag("li")).descendant(Sel.tag("a")))
 
 
 @query("sel_child", f"""
 WITH {_BASE} SELECT page_id, {_cnt('nav', '(?i)<li\\b')} AS n_li FROM b
 """, op="O-X6")
 def q_sel_child(spark, sf):
-    m = SL.select(_nodes(spark, sf, with_text=False), Sel.tag("nav").child(Sel.tag("ul")).child(Sel.tag("li")))
-    return _count_per_page(spark, sf, m, "n_li")
+    return _counts(spark, sf, n_li=Sel.tag("nav").child(Sel.tag("ul")).child(Sel.tag("li")))
 
 
 @query("sel_adjacent", f"""
@@ -102,8 +94,7 @@ WITH {_BASE}
 SELECT page_id, {_cnt('art', '(?i)<h1\\b')} + {_cnt('art', '(?i)<p\\b')} AS n_blocks FROM b
 """, op="O-X10 O-X6")
 def q_sel_is(spark, sf):
-    m = SL.select(_nodes(spark, sf, with_text=False), Sel.tag("article").child(Sel.any().is_("h1", "p")))
-    return _count_per_page(spark, sf, m, "n_blocks")
+    return _counts(spark, sf, n_blocks=Sel.tag("article").child(Sel.any().is_("h1", "p")))
 
 
 @query("sel_not_attr", f"""
@@ -113,19 +104,15 @@ SELECT page_id, {_cnt('c', '(?i)<div\\b')} - {_cnt('c', '(?i)<div\\b[^>]*\\bclas
 FROM b
 """, op="O-X11")
 def q_sel_not_attr(spark, sf):
-    counts = SL.count_matches(_nodes(spark, sf, with_text=False), {
-        "n_div_plain": Sel.tag("div").without_attr("class"),
-        "n_p_plain": Sel.tag("article").descendant(Sel.tag("p").without_attr("class"))})
-    return _pages(spark, sf).join(counts, "page_id", "left").select(
-        "page_id", *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in ("n_div_plain", "n_p_plain")])
+    return _counts(spark, sf, n_div_plain=Sel.tag("div").without_attr("class"),
+                   n_p_plain=Sel.tag("article").descendant(Sel.tag("p").without_attr("class")))
 
 
 @query("sel_attr_prefix", f"""
 WITH {_BASE} SELECT page_id, {_cnt('c', '<[aA]\\b[^>]*\\bhref="/t')} AS n_t_links FROM b
 """, op="O-X12")
 def q_sel_attr_prefix(spark, sf):
-    m = SL.select(_nodes(spark, sf, with_text=False), Sel.tag("a").attr_prefix("href", "/t"))
-    return _count_per_page(spark, sf, m, "n_t_links")
+    return _counts(spark, sf, n_t_links=Sel.tag("a").attr_prefix("href", "/t"))
 
 
 @query("sel_attr_equals", f"""
@@ -154,7 +141,8 @@ WITH {_BASE} SELECT page_id, {_cnt('nav', '(?i)<a\\b')} + {_cnt('art', '(?i)<p\\
 def q_sel_list(spark, sf):
     m = SL.select_union(_nodes(spark, sf, with_text=False), Sel.tag("nav").descendant(Sel.tag("a")),
                         Sel.tag("article").descendant(Sel.tag("p")))
-    return _count_per_page(spark, sf, m, "n_matches")
+    every = table(spark, sf, "pages", spread_rows=False).select("page_id", F.lit(0).cast("bigint").alias("n"))
+    return every.unionByName(m.select("page_id", F.lit(1).cast("bigint").alias("n"))).groupBy("page_id").agg(F.sum("n").alias("n_matches"))
 
 
 @query("sel_title_node", f"SELECT page_id, {S.first_text(_C, 'title')} AS title FROM pages", op="O-X1 O-X2 two-path")
@@ -164,11 +152,15 @@ def q_sel_title_node(spark, sf):
 
 
 @query("children_text", f"""
-WITH {_BASE} SELECT page_id, {_cnt('art', '(?i)<h1\\b')} + {_cnt('art', '(?i)<p\\b')} AS n_children FROM b
+WITH {_BASE}
+SELECT page_id, {_cnt('art', '(?i)<h1\\b')} + {_cnt('art', '(?i)<p\\b')} AS n_children,
+       array_to_string(list_concat(list_filter([{S.first_text('art', 'h1')}], lambda x: x IS NOT NULL), {S.paragraphs('art')}), '|') AS texts
+FROM b WHERE art IS NOT NULL
 """, op="O-X17 Q16")
 def q_children_text(spark, sf):
-    kids = SL.children_text(_nodes(spark, sf), Sel.tag("article"), drop_blank=False)
-    return _count_per_page(spark, sf, kids, "n_children")
+    kids = SL.children_text(_nodes(spark, sf), Sel.tag("article"))
+    ordered = F.sort_array(F.collect_list(F.struct("pre", py_strip("text").alias("text"))))
+    return kids.groupBy("page_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_children"), F.array_join(F.transform(ordered, lambda x: x["text"]), "|").alias("texts"))
 
 
 @query("node_inventory", f"""
@@ -184,10 +176,8 @@ def q_node_inventory(spark, sf):
 @query("sel_interval_join", f"""
 WITH {_BASE}
 SELECT page_id, {S.strip(S.text_of(f'{_LI}[1]'))} AS text FROM b WHERE len({_LI}) >= 1
-""", op="O-J6 (interval join: positional ancestor)")
+""", op="O-J6 (links inside a positional ancestor)")
 def q_sel_interval_join(spark, sf):
-    # ``li:nth-child(1)`` needs sibling positions, so the ``a`` inside it is
-    # found with the interval join (page_id equi-key + pre/end range).
     m = SL.select(_nodes(spark, sf), Sel.tag("ul").child(Sel.tag("li").nth_child(1)).descendant(Sel.tag("a")))
     return m.select("page_id", py_strip("text").alias("text"))
 
