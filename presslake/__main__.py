@@ -1,6 +1,7 @@
 """Command line: the reference's scripts as Spark jobs.
 
     python -m presslake harvest --urls input/ --pages landing/pages --out out/ [--site wp_cats]
+    python -m presslake records --pages landing/pages --hosts hosts.json --out out/
     python -m presslake links   --pages landing/pages --out out/links
     python -m presslake report  --pages landing/pages --docs landing/documents --out out/report
 
@@ -55,6 +56,21 @@ def cmd_harvest(args):
     print(json.dumps({"out": args.out, "written": sorted(written)}))
 
 
+def cmd_records(args):
+    from presslake.operators import sites
+    from presslake.sources import sinks
+    from presslake.sources.tables import spread
+    spark = _spark(args)
+    with open(args.hosts) as f:
+        hosts = json.load(f)
+    records, seen = sites.observed(sites.site_records(spread(spark.read.parquet(args.pages)), hosts))
+    path = os.path.join(args.out, "records")
+    sinks.write_jsonl(sites.render_sentinels(records), path)
+    written = spark.read.schema(records.schema).json(path)
+    sites.image_manifest(written).write.mode("overwrite").parquet(os.path.join(args.out, "images"))
+    print(json.dumps({"out": args.out, **seen.get}))
+
+
 def cmd_links(args):
     from presslake.operators.extract import page_links
     from presslake.sources import sinks
@@ -90,6 +106,10 @@ def main(argv=None):
     h.add_argument("--pages", required=True)
     h.add_argument("--out", required=True)
     h.add_argument("--site", default=None, help="site spec name (node path), e.g. wp_cats")
+    rc = sub.add_parser("records", help="landed pages of many sites → records by each host's spec, image manifest, outcome counts")
+    rc.add_argument("--pages", required=True)
+    rc.add_argument("--hosts", required=True, help="JSON file: host → site spec name")
+    rc.add_argument("--out", required=True)
     lk = sub.add_parser("links", help="listing links of landed pages → URL list")
     lk.add_argument("--pages", required=True)
     lk.add_argument("--out", required=True)
@@ -98,7 +118,7 @@ def main(argv=None):
     r.add_argument("--docs", default=None)
     r.add_argument("--out", required=True)
     args = ap.parse_args(argv)
-    {"harvest": cmd_harvest, "links": cmd_links, "report": cmd_report}[args.cmd](args)
+    {"harvest": cmd_harvest, "records": cmd_records, "links": cmd_links, "report": cmd_report}[args.cmd](args)
 
 
 if __name__ == "__main__":

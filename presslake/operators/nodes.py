@@ -41,11 +41,16 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 CLOSES_P = frozenset(("address article aside blockquote details dialog div dl fieldset figcaption "
                       "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre "
                       "section table ul li").split())
-# Elements that bound the search for an open <p> / <li>.
+# Elements that bound the search for an open <p>, and for the other tags that are closed by implication.
 P_SCOPE = frozenset("applet caption html table td th marquee object template button".split())
-LI_SCOPE = P_SCOPE | {"ol", "ul"}
+SCOPES = {"p": P_SCOPE, "li": P_SCOPE | {"ol", "ul"}, "dl": P_SCOPE | {"dl"}, "row": frozenset(("table", "tr")),
+          "table": frozenset(("table",)), "select": frozenset(("select",))}
+# Start tag -> the open elements that it closes, and the scope of the search.
+IMPLIED = {"li": (("li",), "li"), "dd": (("dd", "dt"), "dl"), "dt": (("dd", "dt"), "dl"), "tr": (("tr",), "table"),
+           "td": (("td", "th"), "row"), "th": (("td", "th"), "row"), "option": (("option",), "select")}
 RAW_TEXT = frozenset(("script", "style"))
 # -------------------------------------------------------------------------
+_IN_SCOPES = {tag: [name for name, tags in SCOPES.items() if tag in tags] for tags in SCOPES.values() for tag in tags}
 _NL = re.compile("\n")
 _CLASS_SPACE = re.compile("[ \t\n\x0b\f\r]+")
 # output batch bounds of a task (pages or rows / characters per batch)
@@ -119,7 +124,7 @@ class _Tree(HTMLParser):
         self.nodes = _Nodes()
         self.stack = []       # open elements
         self.places = {}      # tag -> places in the stack
-        self.p_scope, self.li_scope = [], []    # places of elements that bound a search
+        self.scopes = {name: [] for name in SCOPES}    # places of elements that bound a search
         self.in_text = -1     # the text node that the last event belongs to
 
     def _abs(self):
@@ -131,26 +136,23 @@ class _Tree(HTMLParser):
         at = len(self.stack)
         self.stack.append(pre)
         self.places.setdefault(tag, []).append(at)
-        if tag in LI_SCOPE:
-            self.li_scope.append(at)
-            if tag in P_SCOPE:
-                self.p_scope.append(at)
+        for name in _IN_SCOPES.get(tag, ()):
+            self.scopes[name].append(at)
 
     def _close_top(self, at):
         n, i = self.nodes, self.stack.pop()
         tag = n.tag[i]
         self.places[tag].pop()
-        if tag in LI_SCOPE:
-            self.li_scope.pop()
-            if tag in P_SCOPE:
-                self.p_scope.pop()
+        for name in _IN_SCOPES.get(tag, ()):
+            self.scopes[name].pop()
         n.end[i], n.t1[i], n.s1[i] = len(n.tag) - 1, n.length, at
 
-    def _close_open(self, tag, scope, at):
-        """Close the innermost open ``tag`` unless an element of the scope lies within."""
-        of = self.places.get(tag)
-        if of and (not scope or scope[-1] < of[-1]):
-            k = of[-1]
+    def _close_open(self, tags, scope, at):
+        """Close the innermost open one of ``tags``, unless an element of the
+        scope lies within it."""
+        k = max((of[-1] for t in tags if (of := self.places.get(t))), default=-1)
+        bounds = self.scopes[scope]
+        if k >= 0 and (not bounds or bounds[-1] < k):
             while len(self.stack) > k:
                 self._close_top(at)
 
@@ -170,9 +172,9 @@ class _Tree(HTMLParser):
         self.in_text = -1
         at = self._abs()
         if tag in CLOSES_P:
-            self._close_open("p", self.p_scope, at)
-        if tag == "li":
-            self._close_open("li", self.li_scope, at)
+            self._close_open(("p",), "p", at)
+        if tag in IMPLIED:
+            self._close_open(*IMPLIED[tag], at)
         a = {}
         for k, v in attrs:
             if k not in a:
@@ -334,7 +336,7 @@ def _shred_one(page_id, html, cols):
 def _arrow(schema: str):
     """The Arrow schema of a DDL string of the types used here."""
     import pyarrow as pa
-    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(),
+    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(),
              "map<string,string>": pa.map_(pa.string(), pa.string()), "array<string>": pa.list_(pa.string()),
              "array<int>": pa.list_(pa.int32())}
     return pa.schema([(name.strip("`"), kinds[kind]) for name, kind in (x.rsplit(" ", 1) for x in schema.split(", "))])
@@ -495,6 +497,9 @@ def _value(kind: str, n: _Nodes, found: list[int], html):
     """The value of a field from the nodes that its selector matches."""
     if kind == "all":
         return [n.text_of(i) for i in found]
+    if kind.startswith("attrs:"):
+        name = kind.split(":", 1)[1]
+        return [n.attrs[i][name] for i in found if name in n.attrs[i]]
     if kind == "children":
         return [n.text_of(k) for i in found[:1] for k in n.children(i)]
     if not found:
@@ -511,41 +516,60 @@ def _value(kind: str, n: _Nodes, found: list[int], html):
 
 
 def field_type(kind: str) -> str:
-    if kind not in ("first", "all", "children", "outer", "own") and not kind.startswith("attr:"):
+    """A list or a text; ``attrs:x`` are the attributes of all matches."""
+    if kind not in ("first", "all", "children", "outer", "own") and not kind.startswith(("attr:", "attrs:")):
         raise ValueError(f"unknown field kind {kind!r}")
-    return "array<string>" if kind in ("all", "children") else "string"
+    return "array<string>" if kind in ("all", "children") or kind.startswith("attrs:") else "string"
+
+
+class _Fields:
+    """Fields (name, kind, selectors) read from a page with one program; a
+    field with several selectors reads the union of their matches."""
+
+    def __init__(self, fields):
+        self.kinds = [kind for _, kind, _ in fields]
+        self.names = [name for name, _, _ in fields]
+        chains, self.parts = [], []
+        for _, _, alternatives in fields:
+            self.parts.append(range(len(chains), len(chains) + len(alternatives)))
+            chains += alternatives
+        self.program = Program(chains)
+
+    def read(self, n, html) -> dict:
+        got = self.program.run(n)
+        return {name: _value(kind, n, got[part[0]] if len(part) == 1 else sorted({i for k in part for i in got[k]}), html)
+                for name, kind, part in zip(self.names, self.kinds, self.parts, strict=True)}
 
 
 def record_rows(pages: DataFrame, specs: dict, site: str | None = None, carry=("url",)) -> DataFrame:
     """One row per page: page_id, the carried columns, ``parse_error`` and the
     fields of the page's spec.
 
-    ``specs``: {site: [(field, kind, chain)]}; a page's spec is chosen by its
-    column ``site`` (without it there is one spec).  A field that is not in
-    the page's spec, and all fields of a page of an unknown site, are NULL."""
-    fields, programs = {}, {}
-    for name, spec in specs.items():
+    ``specs``: {site: [(field, kind, selectors)]}; a page's spec is chosen by
+    its column ``site`` (without it there is one spec).  A field that is not
+    in the page's spec, and all fields of a page of an unknown site, are NULL."""
+    types = {}
+    for spec in specs.values():
         for field, kind, _ in spec:
-            if fields.setdefault(field, field_type(kind)) != field_type(kind):
+            if types.setdefault(field, field_type(kind)) != field_type(kind):
                 raise ValueError(f"field {field!r} is a list in one spec and a text in another")
-        programs[name] = (Program([chain for _, _, chain in spec]), [(field, kind) for field, kind, _ in spec])
-    names = list(fields)
-    only = next(iter(programs)) if site is None else None
+    readers = {name: _Fields(spec) for name, spec in specs.items()}
+    names = list(types)
+    only = next(iter(readers)) if site is None else None
     carried = [*carry, *([site] if site else [])]
 
     def rows(pid, n, html, more):
-        got = programs.get(more[-1] if site else only)
-        values = {}
-        if got is not None:
-            for (field, kind), found in zip(got[1], got[0].run(n), strict=True):
-                values[field] = _value(kind, n, found, html)
+        reader = readers.get(more[-1] if site else only)
+        values = reader.read(n, html) if reader else {}
         yield (pid, *more, n.error, *(values.get(f) for f in names)), len(html)
-    kinds = {"bigint": "long"}
-    types = [kinds.get(t := pages.schema[c].dataType.simpleString(), t) for c in carried]
-    schema = ", ".join(["page_id long", *(f"`{c}` {t}" for c, t in zip(carried, types, strict=True)), "parse_error string", *(f"`{f}` {t}" for f, t in fields.items())])
+    schema = ", ".join(["page_id long", *_carried(pages, carried), "parse_error string", *(f"`{f}` {t}" for f, t in types.items())])
     return per_page(pages, rows, schema, carried)
 
 
+def _carried(pages: DataFrame, names) -> list[str]:
+    return [f"`{c}` {'long' if (t := pages.schema[c].dataType.simpleString()) == 'bigint' else t}" for c in names]
+
+
 def nested_rows(pages: DataFrame, page_fields: list, scope: list, scope_fields: list, item: list, item_fields: list, carry=("url",)) -> DataFrame:
     """One row per item inside a scope: page_id, carried columns, the page's
     fields, scope_pos and the scope's fields, item_pos and the item's fields.
@@ -583,8 +607,6 @@ def nested_rows(pages: DataFrame, page_fields: list, scope: list, scope_fields:
                 of_item = [None if i is None else _value(kind, n, [i] if f is None else inside(n, f, i), html)
                            for (_, kind, _), f in zip(item_fields, found_of[len(scope_fields):], strict=True)]
                 yield (pid, *more, *page, pos, *of_scope, k, *of_item), 200
-    kinds = {"bigint": "long"}
-    types = [kinds.get(t := pages.schema[c].dataType.simpleString(), t) for c in carry]
     of = lambda fields: [f"`{f}` {field_type(kind)}" for f, kind, _ in fields]
-    schema = ", ".join(["page_id long", *(f"`{c}` {t}" for c, t in zip(carry, types, strict=True)), *of(page_fields), "scope_pos int", *of(scope_fields), "item_pos int", *of(item_fields)])
+    schema = ", ".join(["page_id long", *_carried(pages, carry), *of(page_fields), "scope_pos int", *of(scope_fields), "item_pos int", *of(item_fields)])
     return per_page(pages, rows, schema, tuple(carry))
