@@ -17,6 +17,7 @@ from presslake.functions.urls import absolutize_all, host, normalize_url, with_p
 from presslake.operators.extract import extract_articles_full
 from presslake.operators.pagination import expand_pages, page_count, page_url
 from presslake.operators.urls import first_occurrence, lookup
+from presslake.session import stage
 
 # Fields parsed from the page: an error page has none of them.
 PARSED = ("title", "content", "category", "author", "published_raw", "published", "tags", "image_url")
@@ -82,9 +83,10 @@ def listing_harvest(seeds: DataFrame, pages: DataFrame, counter_tag: str = "span
     """
     label_re = f'(?is)<{counter_tag}\\b[^>]*\\bclass="[^"]*\\b{counter_class}\\b[^"]*"[^>]*>(.*?)</{counter_tag}>'
     read = with_page_base(pages.select("page_id", "url", H.clean_html("html").alias("clean")))
-    read = latest_page(read.select(
+    # Staged: each page is read once, for its counter and its links alike.
+    read = stage(latest_page(read.select(
         normalize_url("url").alias("url_key"), "page_id", page_count(F.regexp_extract("clean", label_re, 1)).alias("n"),
-        absolutize_all(H.hrefs("clean"), "_base").alias("links")))
+        absolutize_all(H.hrefs("clean"), "_base").alias("links"))), "listing-pages")
     seed = seeds.select(F.col("url").alias("seed_url"), normalize_url("url").alias("url_key")).distinct()
     first = seed.join(read.select("url_key", "n"), "url_key", "left")
     more = expand_pages(first.select("seed_url", F.greatest(F.coalesce("n", F.lit(1)), F.lit(1)).alias("n")), "n", skip_last=skip_last)

@@ -91,19 +91,24 @@ def follow_next(edges: DataFrame, start: DataFrame) -> DataFrame:
     every walk, however long.  Pointer doubling: round k extends each walk by
     the jumps of 2^k links and joins the jumps with themselves, so a walk of n
     pages takes about log2(n) rounds of joins keyed by page, and ends when no
-    jump is left.  A cycle (jumps longer than there are links) is an error.
+    walk grows.  A walk that comes to a page for the second time is a cycle, an
+    error: it is found in the round that closes it, when the walk is less than
+    twice as long as the pages it reached.  Cycles that no start leads to don't
+    matter.
     """
     jumps = stage(edges.select("src_key", "src", "dst"), "jumps")
-    walk = start.select("src_key", F.col("src").alias("node"), F.lit(0).cast("bigint").alias("depth"))
-    links, step = jumps.count(), 1
-    while not jumps.isEmpty():
-        if step > links:
-            raise ValueError("the next links of some pages form a cycle")
+    walk = stage(start.select("src_key", F.col("src").alias("start"), F.col("src").alias("node"), F.lit(0).cast("bigint").alias("depth")).distinct(), "walk")
+    step = 1
+    while True:
         hop = jumps.select(F.col("src_key").alias("_k"), F.col("src").alias("_s"), F.col("dst").alias("_d"))
-        more = walk.join(hop, F.col("src_key").eqNullSafe(F.col("_k")) & (F.col("node") == F.col("_s"))).select(
-            "src_key", F.col("_d").alias("node"), (F.col("depth") + step).alias("depth"))
-        walk = stage(walk.unionByName(more), "walk")
+        more = stage(walk.join(hop, F.col("src_key").eqNullSafe(F.col("_k")) & (F.col("node") == F.col("_s"))).select(
+            "src_key", "start", F.col("_d").alias("node"), (F.col("depth") + step).alias("depth")), "walk")
+        if more.isEmpty():
+            return walk.select("src_key", "node", "depth")
+        walk = walk.unionByName(more)      # staged parts: nothing is written twice
+        again = walk.groupBy("src_key", "start", "node").count().where("count > 1").limit(3).collect()
+        if again:
+            raise ValueError(f"the next links of some pages form a cycle: {[(r['src_key'], r['node']) for r in again]}")
         jumps = stage(jumps.join(hop, F.col("src_key").eqNullSafe(F.col("_k")) & (F.col("dst") == F.col("_s"))).select(
             "src_key", "src", F.col("_d").alias("dst")), "jumps")
         step *= 2
-    return walk

@@ -2,12 +2,12 @@
 
 ``row_number()`` over a window with no ``partitionBy`` (or over a hot key)
 sorts all of that data in one task.  :func:`dense_index` computes the same
-0-based position without that: the ordering column is cut at sampled
-quantiles into about equally full ranges, rows are numbered inside a
-(group, range) window, and a small table with one row per (group, range)
-supplies what came before — how many rows, and the last of them.  A range
-holds about ``1 / ranges`` of all rows, so a hot group spreads over
-``ranges`` tasks, and an outlier cannot drag all rows into one range.
+0-based position without that: rows are range-partitioned by (group, order),
+so that a hot group spreads over many tasks and an outlier drags nothing with
+it; each task sorts its range and numbers its rows; and a small table with one
+row per (group, range) says what came before — how many rows, and the last of
+them.  The numbered rows are staged in the shared folder, so the ranges that
+were counted are the ranges that are numbered, even after a lost executor.
 """
 
 from __future__ import annotations
@@ -15,28 +15,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Values sampled for the quantiles: the only thing that reaches the driver.
-SAMPLE = 20_000
+from presslake.session import stage
 
+_ROW_BITS = 33      # monotonically_increasing_id: partition above, row in it below
 
-def range_bounds(df: DataFrame, order_col: str, ranges: int, seed: int = 7) -> list:
-    """At most ``ranges - 1`` ascending values that cut ``order_col`` into
-    ranges of about equal size, from a sample of about ``SAMPLE`` values (all
-    of them when there are fewer).  They only balance the work: any bounds
-    give the same positions."""
-    o = df.select(F.col(order_col).alias("o")).where("o is not null")
-    n = o.count()
-    picked = o if n <= SAMPLE else o.sample(fraction=SAMPLE / n, seed=seed)
-    values = sorted(r["o"] for r in picked.collect())
-    return sorted({values[len(values) * k // ranges] for k in range(1, ranges)}) if values else []
 
-
-def range_of(order: Column, bounds: list, kind: str) -> Column:
-    """How many bounds are at most ``order`` (NULL order: -1, first)."""
-    if not bounds:
-        return F.when(order.isNull(), F.lit(-1)).otherwise(F.lit(0))
-    at = F.array(*[F.lit(b).cast(kind) for b in bounds])
-    return F.when(order.isNull(), F.lit(-1)).otherwise(F.size(F.filter(at, lambda b: b <= order)))
+def in_ranges(df: DataFrame, cols, ranges: int) -> DataFrame:
+    """Staged ``df``, range-partitioned and sorted by ``cols`` (NULLs first),
+    with ``_part`` (its range) and ``_i`` (the row's place in it)."""
+    keys = [F.col(f"`{c}`") for c in cols]
+    rows = df.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id())
+    return stage(rows.withColumn("_part", F.shiftright("_id", _ROW_BITS)).withColumn("_i", F.col("_id").bitwiseAND((1 << _ROW_BITS) - 1)).drop("_id"), "ranges")
 
 
 def _same(a: DataFrame, b: DataFrame, keys, other) -> Column:
@@ -56,28 +45,28 @@ def dense_index(df: DataFrame, order_col: str, group_cols=(), out: str = "idx",
 
     ``total_col`` also adds the group's row count, ``lag_cols`` the previous
     row's values (``lag``), both from the small table of ranges: no second
-    pass over the input and no self-join."""
+    pass over the input and no self-join.  ``ranges``: as many as the session's
+    shuffle partitions, if not given; any number gives the same positions."""
     g = [f"_g{k}" for k in range(len(group_cols))]
-    ranges = ranges or max(64, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    kind = df.schema[order_col].dataType.simpleString()
-    order = F.col(order_col)
-    rows = df.withColumn("_range", range_of(order, range_bounds(df, order_col, ranges), kind))
-    last = [F.max_by(F.struct(*[F.col(c).alias(c) for c in lag_cols]), F.struct(order.isNotNull(), order)).alias("_last")] if lag_cols else []
-    table = rows.groupBy(*[F.col(c).alias(k) for c, k in zip(group_cols, g, strict=True)], F.col("_range").alias("_r")).agg(
-        F.count(F.lit(1)).alias("_n"), *last)
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = in_ranges(df, [*group_cols, order_col], ranges)
+    last = [F.max_by(F.struct(*[F.col(c).alias(c) for c in lag_cols]), F.col("_i")).alias("_last")] if lag_cols else []
+    table = rows.groupBy(*[F.col(c).alias(k) for c, k in zip(group_cols, g, strict=True)], F.col("_part").alias("_r")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_first"), *last)
     before = Window.partitionBy(*g).orderBy("_r")
     upto = before.rowsBetween(Window.unboundedPreceding, -1)
-    table = table.withColumn("_off", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
+    table = table.withColumn("_off", F.coalesce(F.sum("_n").over(upto), F.lit(0)) - F.col("_first"))
     if lag_cols:
         table = table.withColumn("_last", F.lag("_last").over(before))
     if total_col:
         table = table.withColumn(total_col, F.sum("_n").over(Window.partitionBy(*g)).cast("bigint"))
-    table = table.drop("_n")
-    # Without groups the table has at most ranges + 1 rows: a proven bound.
-    joined = rows.join(table if g else F.broadcast(table), _same(rows, table, [*group_cols, "_range"], [*g, "_r"]))
-    w = Window.partitionBy(*group_cols, "_range").orderBy(order)
-    res = joined.withColumn(out, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint"))
-    for c in lag_cols:
+    table = table.drop("_n", "_first")
+    # Without groups the table has at most ``ranges`` rows: a proven bound.
+    joined = rows.join(table if g else F.broadcast(table), _same(rows, table, [*group_cols, "_part"], [*g, "_r"]))
+    res = joined.withColumn(out, (F.col("_i") + F.col("_off")).cast("bigint"))
+    if lag_cols:
+        w = Window.partitionBy(*group_cols, "_part").orderBy("_i")
         first = F.row_number().over(w) == 1
-        res = res.withColumn(lag_prefix + c, F.when(first, F.col("_last")[c]).otherwise(F.lag(c).over(w)))
-    return res.drop(*g, "_range", "_r", "_off", "_last")
+        for c in lag_cols:
+            res = res.withColumn(lag_prefix + c, F.when(first, F.col("_last")[c]).otherwise(F.lag(c).over(w)))
+    return res.drop(*g, "_part", "_i", "_r", "_off", "_last")

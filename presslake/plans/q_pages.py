@@ -293,42 +293,46 @@ _STATUS_SQL = "CASE WHEN page_id % 7 = 3 THEN 404 WHEN page_id % 11 = 5 THEN NUL
 
 
 @query("harvest_outcomes", f"""
-WITH landed AS (
-  SELECT page_id, url, CAST({_STATUS_SQL} AS INTEGER) AS status, html FROM pages WHERE page_id % 13 <> 6
+WITH {_LINKS},
+landed AS (
+  SELECT page_id, url, CAST({_STATUS_SQL} AS INTEGER) AS status, html FROM pages
   UNION ALL
   SELECT page_id + 1000000000, url || '/', 200, html FROM pages
   WHERE page_id % 5 = 0 AND NOT contains(url, '?') AND NOT contains(url, '#') AND url NOT LIKE '%/'),
 p AS (SELECT {S.normalize_url('url')} AS url_key, max(page_id) AS page_id, arg_max(coalesce(status, 200), page_id) AS status,
              arg_max(html, page_id) AS html FROM landed GROUP BY 1),
-f AS (SELECT {S.normalize_url('url')} AS url_key, arg_min(url, page_id) AS url FROM pages GROUP BY 1)
+u AS (SELECT url, page_id, -1 AS pos FROM pages
+      UNION ALL SELECT {_abs_sql('href', 'url')} AS url, page_id, pos FROM links),
+n AS (SELECT url, page_id, pos, {S.normalize_url('url')} AS url_key FROM u),
+f AS (SELECT url_key, url FROM n QUALIFY row_number() OVER (PARTITION BY url_key ORDER BY page_id, pos) = 1)
 SELECT f.url, p.page_id, p.status,
        CASE WHEN p.page_id IS NULL THEN 'lost' WHEN p.status = 200 THEN 'ok' ELSE 'error' END AS outcome,
        CASE WHEN p.status = 200 THEN {S.first_text(S.inner_first(S.clean('p.html'), 'article'), 'h1')} END AS title,
        CASE WHEN p.status = 200 THEN CAST(len({S.paragraphs(S.inner_first(S.clean('p.html'), 'article'))}) AS BIGINT) END AS n_paragraphs
 FROM f LEFT JOIN p ON f.url_key = p.url_key
-""", op="O-P1 O-J1 O-T8 Q8: status missing, error pages, repeated and missing pages")
+""", op="O-P1 O-J1 O-T8 Q8: status missing, error pages, repeated pages, links without a page")
 def q_harvest_outcomes(spark, sf):
     from presslake.operators.harvest import harvest
     pages = table(spark, sf, "pages")
     status = F.when(F.col("page_id") % 7 == 3, 404).when(F.col("page_id") % 11 == 5, F.lit(None).cast("int")).otherwise(200)
     again = pages.where((F.col("page_id") % 5 == 0) & ~F.col("url").contains("?") & ~F.col("url").contains("#") & ~F.col("url").endswith("/"))
-    landed = pages.where("page_id % 13 <> 6").select("page_id", "url", status.alias("status"), "html").unionByName(
+    landed = pages.select("page_id", "url", status.alias("status"), "html").unionByName(
         again.select((F.col("page_id") + 1_000_000_000).alias("page_id"), F.concat("url", F.lit("/")).alias("url"), F.lit(200).alias("status"), "html"))
-    got = harvest(pages.select("url", F.col("page_id").alias("pos")), landed)
+    found = pages.select("page_id", "url", base_parts("url").alias("_base"), H.hrefs(H.clean_html("html")).alias("_h"))
+    urls = found.select("page_id", F.posexplode(F.concat(F.array("url"), absolutize_all("_h", "_base"))).alias("k", "url"))
+    got = harvest(urls.select("url", F.struct("page_id", "k").alias("pos")), landed)
     return got.select("url", "page_id", "status", "outcome", "title", F.when(F.col("content").isNotNull(), F.size("content").cast("bigint")).alias("n_paragraphs"))
 
 
 # Listing pages of listing_harvest: the pages of a site in page_id order are the
-# pages 1, 2, ... of its listing; each shows a counter; some did not land.
+# pages 1, 2, ... of its listing; the counter of each names one page more, which did not land.
 @query("listing_harvest", f"""
 WITH t AS (SELECT page_id, {S.scheme_host('url')} AS base, html,
                   row_number() OVER (PARTITION BY {S.scheme_host('url')} ORDER BY page_id) AS k, count(*) OVER (PARTITION BY {S.scheme_host('url')}) AS n FROM pages),
-landed AS (SELECT * FROM t WHERE page_id % 9 <> 4),
 seeds AS (SELECT DISTINCT base AS seed_url, n FROM t),
-listing AS (SELECT s.seed_url, i AS page_no FROM seeds s, range(1, s.n + 1) r(i)
-            WHERE i = 1 OR EXISTS (SELECT 1 FROM landed WHERE base = s.seed_url AND k = 1)),
+listing AS (SELECT s.seed_url, i AS page_no FROM seeds s, range(1, s.n + 2) r(i)),
 got AS (SELECT g.seed_url, g.page_no, l.page_id, {S.hrefs(S.clean('l.html'))} AS h
-        FROM listing g LEFT JOIN landed l ON l.base = g.seed_url AND l.k = g.page_no),
+        FROM listing g LEFT JOIN t l ON l.base = g.seed_url AND l.k = g.page_no),
 links AS (SELECT seed_url, page_no, u.pos, u.href FROM got,
           LATERAL (SELECT unnest(h) AS href, generate_subscripts(h, 1) - 1 AS pos) u WHERE page_id IS NOT NULL),
 firsts AS (SELECT seed_url, page_no, pos, seed_url || href AS link FROM links
@@ -339,9 +343,10 @@ UNION ALL SELECT seed_url, CAST(page_no AS BIGINT), NULL, NULL FROM got WHERE pa
 def q_listing_harvest(spark, sf):
     from presslake.operators.harvest import listing_harvest
     from presslake.operators.windows import dense_index
+    from presslake.session import stage
     ids = table(spark, sf, "pages", spread_rows=False).select("page_id", scheme_host("url").alias("base"))
-    placed = dense_index(ids, "page_id", ["base"], out="k", total_col="n").select(F.col("page_id").alias("_id"), "base", (F.col("k") + 1).alias("k"), "n")
-    p = table(spark, sf, "pages").where("page_id % 9 <> 4")
-    counter = F.concat(F.lit('<span class="pages">Page '), F.col("k").cast("string"), F.lit(" of "), F.col("n").cast("string"), F.lit("</span>"))
+    placed = stage(dense_index(ids, "page_id", ["base"], out="k", total_col="n").select(F.col("page_id").alias("_id"), "base", (F.col("k") + 1).alias("k"), "n"), "placed")
+    p = table(spark, sf, "pages")
+    counter = F.concat(F.lit('<span class="pages">Page '), F.col("k").cast("string"), F.lit(" of "), (F.col("n") + 1).cast("string"), F.lit("</span>"))
     landed = p.join(placed, p["page_id"] == placed["_id"]).select("page_id", PG.page_url("base", "k").alias("url"), F.concat(counter, "html").alias("html"))
-    return listing_harvest(ids.select(F.col("base").alias("url")).distinct(), landed)
+    return listing_harvest(placed.select(F.col("base").alias("url")).distinct(), landed)

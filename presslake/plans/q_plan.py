@@ -79,6 +79,18 @@ def q_url_total(spark, sf):
     return table(spark, sf, "pages", spread_rows=False).agg(F.count(F.lit(1)).cast("bigint").alias("n_urls"))
 
 
+@query("distinct_sketch", """
+SELECT l_returnflag, CAST(count(DISTINCT l_orderkey) AS BIGINT) AS n_exact, true AS within_error FROM lineitem GROUP BY l_returnflag
+""", op="O-A3: sketches per month, merged per flag, against the exact count")
+def q_distinct_sketch(spark, sf):
+    from presslake.operators.urls import distinct_sketches, merge_sketches
+    li = table(spark, sf, "lineitem").select("l_returnflag", F.date_trunc("month", "l_shipdate").alias("month"), "l_orderkey")
+    merged = merge_sketches(distinct_sketches(li, "l_orderkey", ["l_returnflag", "month"]), ["l_returnflag"])
+    exact = li.groupBy("l_returnflag").agg(F.count_distinct("l_orderkey").cast("bigint").alias("n_exact"))
+    near = F.abs(F.col("n_estimate") - F.col("n_exact")) <= 0.05 * F.col("n_exact")      # three standard errors
+    return exact.join(merged, "l_returnflag").select("l_returnflag", "n_exact", near.alias("within_error"))
+
+
 @query("distinct_urls", """
 SELECT CAST(count(*) AS BIGINT) AS n_urls, CAST(count(DISTINCT url) AS BIGINT) AS n_distinct,
        CAST(count(DISTINCT source) AS BIGINT) AS n_sources

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presslake.operators.urls import MAX_URL_LEN, latest
+from presslake.session import stage
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -68,11 +69,48 @@ def _current_version(spark: SparkSession, path: str) -> int | None:
 
 
 def read_versioned(spark: SparkSession, path: str) -> DataFrame | None:
-    """The current version of a versioned table (partition pruning on ``v``)."""
-    v = _current_version(spark, path)
-    if v is None:
-        return None
-    return spark.read.parquet(path).where(F.col("v") == v).drop("v")
+    """The rows of a keyed table: of a versioned one its current version
+    (partition pruning on ``v``), of a bucketed one all its buckets."""
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no table yet; any other error is one
+            return None
+        raise
+    if "key_bucket" in df.columns:
+        return df.drop("key_bucket")
+    return df.where(F.col("v") == df.agg(F.max("v")).first()[0]).drop("v")
+
+
+def upsert_buckets(spark: SparkSession, path: str, batch: DataFrame, key: str = "url", seq: str = "seq", buckets: int = 64) -> list[str]:
+    """O-K9 persisted: insert-or-replace ``batch`` into the table at ``path``,
+    which holds its rows in ``buckets`` folders by a hash of the key.
+
+    Only the buckets that the batch touches are read, merged (largest ``seq``
+    per key wins) and written, with dynamic partition overwrite: a batch of k
+    keys costs at most k buckets, not the table.  A job that fails before its
+    commit leaves the table as it was; a batch that is run again gives the same
+    table.  The commit replaces one bucket folder after another, so writers
+    must not run at the same time, and readers may see some buckets of a batch
+    before others.  Returns the buckets written.
+
+    ``buckets`` is a property of the table and part of its folders' names: a
+    call with another number is an error."""
+    bucket = F.concat(F.lit("b"), F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(buckets)).cast("string"), F.lit(f"of{buckets}"))
+    keep = [c for c in batch.columns if c not in (key, seq)]
+    new = stage(latest(batch, key, seq, keep=keep).withColumn("key_bucket", bucket), "upsert")
+    touched = sorted(r["key_bucket"] for r in new.select("key_bucket").distinct().collect())     # at most ``buckets``
+    if not touched:
+        return []
+    if read_versioned(spark, path) is not None:
+        table = spark.read.parquet(path)
+        if not all(f"of{buckets}/" in f for f in table.inputFiles()):
+            raise ValueError(f"the table at {path} has another number of buckets than {buckets}")
+        merged = table.where(F.col("key_bucket").isin(touched)).select(*new.columns).unionByName(new)
+        new = latest(merged, key, seq, keep=[*keep, "key_bucket"])
+    out = new.select(key, seq, *keep, "key_bucket").repartition(F.col("key_bucket"))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("key_bucket").parquet(path)
+    return touched
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: str = "url", seq: str = "seq") -> int:

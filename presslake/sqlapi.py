@@ -7,7 +7,7 @@ the same extraction as the DataFrame API::
     SELECT p.page_id, l.pos, l.href FROM pages p, LATERAL pl_links(p.html) l
 
 ``UrlTable`` gives the named statements of a URL-status table (get, get by
-status, upsert one, bulk insert) over the versioned table of
+status, upsert one, bulk insert) over the bucketed table of
 :mod:`presslake.sources.sinks`, each a ``spark.sql`` call with bound
 parameters — no SQL text is parsed by this library.
 """
@@ -75,16 +75,16 @@ class UrlTable:
     def _next_seq(self) -> int:
         return (self._current().agg(F.max("seq")).first()[0] or 0) + 1
 
-    def upsert_url(self, url: str, status: str) -> int:
+    def upsert_url(self, url: str, status: str) -> list[str]:
         row = self.spark.sql("SELECT :url AS url, :status AS status, CAST(:seq AS BIGINT) AS seq",
                              args={"url": url, "status": status, "seq": self._next_seq()})
-        return sinks.upsert_table(self.spark, self.path, row.withColumn("status", normalize_status("status")))
+        return sinks.upsert_buckets(self.spark, self.path, row.withColumn("status", normalize_status("status")))
 
-    def bulk_insert_urls(self, batch: DataFrame) -> int:
+    def bulk_insert_urls(self, batch: DataFrame) -> list[str]:
         """Plain INSERT semantics: fails on a duplicate key (in the batch or
         already stored) before anything is written."""
         base = self._next_seq()
         b = batch.select("url", normalize_status("status").alias("status"),
                          (F.lit(base) + F.monotonically_increasing_id()).alias("seq"))
-        merged = insert_or_raise(self._current(), b)
-        return sinks.upsert_table(self.spark, self.path, merged)
+        insert_or_raise(self._current(), b)
+        return sinks.upsert_buckets(self.spark, self.path, b)

@@ -11,12 +11,12 @@ from __future__ import annotations
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming import StatefulProcessor, StreamingQueryListener
 
 from presslake.operators.extract import extract_articles_full
-from presslake.operators.urls import STATUS_ERR, STATUS_NEW, STATUS_OKK, latest
+from presslake.operators.urls import STATUS_ERR, STATUS_NEW, STATUS_OKK
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -98,17 +98,61 @@ def status_state(changes: DataFrame) -> DataFrame:
 
 def upsert_each_batch(changes: DataFrame, table_path: str, checkpoint: str, available_now: bool = True):
     """O-T5 / O-K9 via ``foreachBatch``: each micro-batch is reduced to its
-    latest row per URL and upserted into the versioned table."""
-    from presslake.sources.sinks import upsert_table
+    latest row per URL and upserted into the buckets of the table that it
+    touches.  A batch that is run again after a failure changes nothing."""
+    from presslake.sources.sinks import upsert_buckets
 
     def fn(batch_df: DataFrame, batch_id: int):
-        upsert_table(batch_df.sparkSession, table_path, latest(batch_df, "url", "seq", keep=["status"]))
+        upsert_buckets(batch_df.sparkSession, table_path, batch_df.select("url", "status", "seq"))
 
     w = changes.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
+class _Plateau(StatefulProcessor):
+    """Per group: how many heights came, the last of them and its order, and
+    whether the group has stopped."""
+
+    def __init__(self, group: str, order: str, height: str):
+        self.group, self.order, self.height = group, order, height
+
+    def init(self, handle) -> None:
+        self.state = handle.getValueState("last", "n bigint, at bigint, height bigint, stopped boolean")
+
+    def handleInputRows(self, key, rows, timerValues):
+        n, at, height, stopped = self.state.get() if self.state.exists() else (0, None, None, False)
+        if stopped:
+            return
+        for r in sorted((r for r in rows if r[self.order] is not None), key=lambda r: r[self.order]):
+            if at is not None and r[self.order] <= at:
+                raise ValueError(f"group {key[0]!r}: {self.order} {r[self.order]} comes after {at}")
+            if n and r[self.height] is not None and r[self.height] == height:
+                self.state.update((n + 1, r[self.order], height, True))
+                yield Row(**{self.group: key[0], "stop_pos": n, f"stop_{self.order}": r[self.order], "stop_height": height})
+                return
+            n, at, height = n + 1, r[self.order], r[self.height]
+        self.state.update((n, at, height, False))
+
+    def close(self) -> None:
+        pass
+
+
+def plateau_stream(heights: DataFrame, group: str, order: str, height: str) -> DataFrame:
+    """O-T7 / O-W5 on a stream: one row per group when a height first equals
+    the one before it — (group, stop_pos, stop_<order>, stop_height), as
+    :func:`presslake.operators.planning.plateau_stop` gives on a whole table.
+
+    State per group (in RocksDB) is the last height and how many came.  A
+    group's rows must arrive in order across micro-batches, in any order
+    within one; a row before one already seen is an error, not dropped.
+    ``group`` keeps its type; order and height are whole numbers."""
+    kind = heights.schema[group].dataType.simpleString()
+    out = f"`{group}` {kind}, stop_pos bigint, `stop_{order}` bigint, stop_height bigint"
+    rows = heights.select(group, F.col(order).cast("bigint").alias(order), F.col(height).cast("bigint").alias(height))
+    return rows.groupBy(group).transformWithState(_Plateau(group, order, height), out, "Append", "None")
+
+
 class ProgressLog(StreamingQueryListener):
     """O-Y5: completion callback — appends (query, batch id, input rows) of
     every micro-batch as a row of the metrics table at ``path``."""

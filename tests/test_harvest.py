@@ -62,6 +62,29 @@ def test_follow_next_cycle_is_an_error(spark):
         follow_next(edges, spark.createDataFrame([("s", 0)], "src_key string, src long"))
 
 
+def test_a_short_cycle_among_many_links_is_found_at_once(spark):
+    import time
+    links = [("s", i, i + 1) for i in range(5000)] + [("c", 0, 1), ("c", 1, 0), ("d", 9, 8), ("d", 8, 9)]
+    edges = spark.createDataFrame(links, "src_key string, src long, dst long")
+    t0 = time.time()
+    with pytest.raises(ValueError, match="cycle.*'c'"):
+        follow_next(edges, spark.createDataFrame([("s", 4990), ("c", 0)], "src_key string, src long"))
+    assert time.time() - t0 < 15
+    # a cycle that no start leads to, two starts that meet, a repeated start
+    got = {(r.src_key, r.node, r.depth) for r in follow_next(edges, spark.createDataFrame([("s", 4997), ("s", 4998), ("s", 4998)], "src_key string, src long")).collect()}
+    assert got == {("s", 4997 + i, i) for i in range(4)} | {("s", 4998 + i, i) for i in range(3)}
+
+
+@pytest.mark.parametrize("kind", ["id", "text", "struct"])
+def test_positions_do_not_depend_on_the_ranges(spark, kind):
+    order = {"id": F.col("id"), "text": F.lpad(F.col("id").cast("string"), 6, "0"), "struct": F.struct((F.col("id") % 7).alias("a"), F.col("id").alias("b"))}[kind]
+    df = spark.range(20_000).select("id", order.alias("o"), F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("g"))
+    got = [sorted((r.id, r.idx, r.n, r.prev_id) for r in dense_index(df, "o", ["g"], ranges=n, total_col="n", lag_cols=["id"]).collect()) for n in (1, 5, 64)]
+    assert got[0] == got[1] == got[2]
+    plan = dense_index(df, "o", ["g"], ranges=64)._jdf.queryExecution().executedPlan().toString()
+    assert len(plan) < 20_000      # no bounds as literals
+
+
 def test_positions_keep_null_groups_and_any_order(spark):
     rows = [(None, "b"), (None, "a"), ("x", "c"), ("x", None), ("y", "d")]
     df = spark.createDataFrame(rows, "g string, o string")
@@ -75,8 +98,8 @@ def test_positions_keep_null_groups_and_any_order(spark):
 
 def test_an_outlier_does_not_fill_one_range(spark):
     df = spark.range(20_000).union(spark.createDataFrame([(1 << 60,)], "id long"))
-    from presslake.operators.windows import range_bounds, range_of
-    sizes = df.groupBy(range_of(F.col("id"), range_bounds(df, "id", 64), "bigint").alias("r")).count().collect()
+    from presslake.operators.windows import in_ranges
+    sizes = in_ranges(df, ["id"], 64).groupBy("_part").count().collect()
     assert len(sizes) == 64 and max(r["count"] for r in sizes) < 1000
     assert dense_index(df, "id", ranges=64).agg(F.max("idx"), F.count_distinct("idx")).first()[:] == (20_000, 20_001)
 
