@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from presslake.llm.common import importable, stage
 
 SHARD_ROWS = 8192     #: vectors of a shard, about
+BLOCK_ROWS = 16_384    #: queries that a task searches for
+TIE = 14               #: decimals to which equal cosines are a tie
 DEGREE = 32           #: neighbours that pruning keeps
 SLACK = 48            #: neighbours that a list may grow to before it is pruned
 ALPHA = 1.2
@@ -142,19 +144,19 @@ def unit(v: np.ndarray) -> np.ndarray:
 
 def search_shard(vectors: np.ndarray, queries: np.ndarray, k: int, beam: int = SEARCH_BEAM):
     """For each query the ``k`` best (or all) of the vectors that beam search
-    finds: row numbers (-1: none) and exact cosines, best first."""
+    finds: row numbers (-1: none), best first; of equal cosines (to TIE
+    decimals) the smaller row comes first."""
     v64, q64 = unit(vectors), unit(queries)
     x, q = v64.astype(np.float32), q64.astype(np.float32)
     graph, start = build_graph(x)
-    found, score = [], []
+    found = []
     for i in range(0, len(q), BATCH):
         ids, _ = _beam(x, graph, start, q[i:i + BATCH], max(beam, k))
-        cos = np.einsum("bkd,bd->bk", v64[np.maximum(ids, 0)], q64[i:i + BATCH])
+        cos = np.round(np.einsum("bkd,bd->bk", v64[np.maximum(ids, 0)], q64[i:i + BATCH]), TIE)
         cos[ids < 0] = -np.inf
-        best = np.argsort(-cos, axis=1, kind="stable")[:, :k]
+        best = np.lexsort((ids, -cos), axis=1)[:, :k]
         found.append(np.take_along_axis(ids, best, 1))
-        score.append(np.take_along_axis(cos, best, 1))
-    return np.concatenate(found), np.concatenate(score)
+    return np.concatenate(found)
 
 
 def _usable(v: Column) -> Column:
@@ -162,50 +164,63 @@ def _usable(v: Column) -> Column:
     return v.isNotNull() & (F.size(v) > 0) & finite & F.exists(v, lambda e: e != 0)
 
 
-def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The ``k`` nearest ``rows`` of each of ``queries`` (both: id, v) by
     cosine, other than rows of the query's own id.
 
-    Returns query_id, rank, vec_id, score, best first, ties to smaller ids.
-    Rows with a null id or a vector that is null, empty, zero or not finite
-    take no part; vectors are compared with those of their own length only;
-    repeated rows count once; a query without candidates has no rows."""
+    Returns query_id, rank, vec_id, score, best first; of cosines equal to TIE
+    decimals the smaller id first.  Rows with a null id or a vector that is
+    null, empty, zero or not finite take no part; vectors are compared with
+    those of their own length only; repeated rows count once; a query without
+    candidates has no rows.
+
+    Vectors of one direction are one node of the graphs, whatever their length.
+    A task holds one shard's vectors and one block of the queries: both have a
+    size that doesn't grow with the table (the shard's graph is built again for
+    each block, which costs about as much as searching half a block)."""
     good = rows.where(_usable(F.col("v")) & F.col("id").isNotNull()).select("id", "v")
-    # Of each vector's copies the k + 1 smallest ids: what any answer can need.
-    first = Window.partitionBy("v").orderBy("id")
-    nodes = (good.withColumn("i", F.dense_rank().over(first)).where(F.col("i") <= k + 1)
-             .groupBy("v").agg(F.array_sort(F.collect_set("id")).alias("ids")))
-    nodes = stage(nodes.withColumn("dim", F.size("v")), "vectors")
+    # Of each direction's members the k + 1 smallest ids: what any answer can need.
+    big = F.array_max(F.transform("v", F.abs))
+    scaled = good.withColumn("_s", F.transform("v", lambda e: e.cast("double") / big.cast("double")))
+    norm = F.sqrt(F.aggregate("_s", F.lit(0.0), lambda t, e: t + e * e))
+    named = scaled.withColumn("_n", norm).withColumn("way", F.transform("_s", lambda e: F.round(e / F.col("_n"), TIE - 1) + F.lit(0.0)))
+    first = Window.partitionBy("way").orderBy("id")
+    nodes = (named.select("id", "v", "way").distinct().withColumn("i", F.dense_rank().over(first)).where(F.col("i") <= k + 1)
+             .groupBy("way").agg(F.array_sort(F.collect_list(F.struct("id", "v"))).alias("of")))
+    nodes = stage(nodes.withColumn("dim", F.size("way")), "vectors")
     shards = max(1, -(-nodes.count() // shard_rows))
-    dealt = nodes.withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), "v"), F.lit(shards)).cast("int"))
-    asked = (queries.where(_usable(F.col("v")) & F.col("id").isNotNull()).select("id", "v").distinct()
-             .withColumn("dim", F.size("v")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
+    asked = queries.where(_usable(F.col("v")) & F.col("id").isNotNull()).select("id", "v").distinct().withColumn("dim", F.size("v"))
+    blocks = max(1, -(-asked.count() // block_rows))
+    dealt = (nodes.withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), "way"), F.lit(shards)).cast("int"))
+             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
+    asked = (asked.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "id", "v"), F.lit(blocks)).cast("int"))
+             .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
     id_type = rows.schema["id"].dataType.simpleString()
 
     def run(vectors, questions):
         import pandas as pd
-        out = {"query_id": [], "ids": [], "score": []}
+        out = {"query_id": [], "vec_id": [], "score": []}
         if len(vectors) and len(questions):
-            vectors = vectors.sort_values("ids", key=lambda c: c.map(min))  # the same graph whatever the order of arrival
-            v = np.stack([np.asarray(e, np.float64) for e in vectors["v"]])
+            members = [[(m["id"], np.asarray(m["v"], np.float64)) for m in of] for of in vectors["of"]]
+            members.sort(key=lambda of: of[0][0])       # the same graph whatever the order of arrival; rows in the order of smallest ids
+            v = np.stack([of[0][1] for of in members])
             q = np.stack([np.asarray(e, np.float64) for e in questions["v"]])
-            found, score = search_shard(v, q, k + 1)
-            members = vectors["ids"].tolist()
-            for qi, row, cos in zip(questions["id"], found.tolist(), score.tolist(), strict=True):
-                for f, c in zip(row, cos, strict=True):
-                    if f >= 0:
+            uq = unit(q)
+            for qi, one, row in zip(questions["id"], uq, search_shard(v, q, k + 1).tolist(), strict=True):
+                for f in row:
+                    for i, vec in members[f] if f >= 0 else ():
                         out["query_id"].append(qi)
-                        out["ids"].append(members[f])
-                        out["score"].append(c)
+                        out["vec_id"].append(i)
+                        out["score"].append(float(one @ unit(vec[None])[0]))
         return pd.DataFrame(out)
 
     importable(rows.sparkSession)
-    parts = 4 * shards
-    found = (dealt.repartition(parts, "dim", "shard").groupBy("dim", "shard")
-             .cogroup(asked.repartition(parts, "dim", "shard").groupBy("dim", "shard"))
-             .applyInPandas(run, f"query_id {id_type}, ids array<{id_type}>, score double"))
-    each = found.select("query_id", F.explode("ids").alias("vec_id"), "score").where("query_id <> vec_id")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    parts = 4 * shards * blocks
+    of = ["dim", "shard", "block"]
+    found = (dealt.repartition(parts, *of).groupBy(*of).cogroup(asked.repartition(parts, *of).groupBy(*of))
+             .applyInPandas(run, f"query_id {id_type}, vec_id {id_type}, score double"))
+    each = found.where("query_id <> vec_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    best = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", TIE)), "vec_id")
     return each.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

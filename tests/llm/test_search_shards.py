@@ -129,3 +129,21 @@ def test_shard_edge_cases(spark):
 def test_shards_are_native(spark):
     plan = sharding.shard_documents(spark.read.parquet(f"{SF}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
+
+
+def test_scaled_copies_are_ties(spark):
+    """Vectors of one direction tie: the smallest ids, however many there are."""
+    rng = np.random.default_rng(4)
+    way = rng.normal(size=16)
+    rows = [(i, [float(x) for x in way * (0.37 + i % 97)]) for i in range(3000)] + [(5000 + i, [float(x) for x in rng.normal(size=16)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, v array<double>").repartition(5)
+    got = ann.nearest(df, df.where("id in (0, 3, 2000)"), shard_rows=100).collect()
+    by = {q: [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] for q in (0, 3, 2000)}
+    assert by == {0: [1, 2, 3, 4, 5], 3: [0, 1, 2, 4, 5], 2000: [0, 1, 2, 3, 4]}
+    assert all(abs(r.score - 1) < 1e-12 for r in got)
+
+
+def test_blocks_of_queries_bound_a_task_and_change_nothing(spark):
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    a, b = ([tuple(r) for r in ann.nearest(rows, rows, shard_rows=200, block_rows=n).orderBy("query_id", "rank").collect()] for n in (10**6, 70))
+    assert a == b and len(a) == 5 * rows.count()
