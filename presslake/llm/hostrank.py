@@ -26,8 +26,12 @@ DAMPING = 0.85
 #: Least number of iterations; they go on until no host's rank grows by more than this share of it.
 ITERATIONS = 12
 TOLERANCE = 1e-6
-#: A host is blocked if distrust > RATIO * trust.
+#: A host is blocked if distrust > RATIO * trust.  The distrust that a host has from blocked pages of
+#: its own counts only if they are at least OWN_SHARE of its pages: a rule for a path is not one for its host.
 RATIO = 1.0
+OWN_SHARE = 0.5
+#: Links of a host are dealt over so many tasks.
+SALTS = 16
 
 _AZ, _az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -78,7 +82,9 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING,
     and every host that walks reach was reached.
     Returns kind, host, rank of every host reached.
     """
-    edges = stage(edges, "edges")
+    # A hub's links are dealt over salts; its one rank row is repeated for each.
+    edges = stage(edges.withColumn("salt", F.pmod(F.xxhash64("dst"), F.lit(SALTS)).cast("int")), "edges")
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     seeds = stage(seeds, "seeds")
     if edges.isEmpty():
         return seeds.select("kind", "host", F.col("s").alias("rank"))
@@ -86,8 +92,9 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING,
     rank = seeds.select("kind", "host", ((1 - damping) * F.col("s")).alias("rank"), ((1 - damping) * F.col("s")).alias("step"))
     done = 0
     while True:
-        moved = (rank.where("step > 0").join(edges, (rank["kind"] == edges["kind"]) & (rank["host"] == edges["src"]))
-                 .select(edges["kind"], F.col("dst").alias("host"), (damping * F.col("step") * F.col("w")).alias("step")))
+        going = rank.where("step > 0").select(F.col("kind").alias("k"), F.col("host").alias("h"), "step", every_salt.alias("t"))
+        moved = (going.join(edges, (F.col("k") == F.col("kind")) & (F.col("h") == F.col("src")) & (F.col("t") == F.col("salt")))
+                 .select("kind", F.col("dst").alias("host"), (damping * F.col("step") * F.col("w")).alias("step")))
         rank = stage(moved.withColumn("rank", F.col("step")).unionByName(rank.withColumn("step", F.lit(0.0)))
                      .groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("step").alias("step")), "rank")
         done += 1
@@ -97,12 +104,14 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING,
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, damping: float = DAMPING,
-               iterations: int = ITERATIONS, ratio: float = RATIO) -> DataFrame:
+               iterations: int = ITERATIONS, ratio: float = RATIO, own_share: float = OWN_SHARE) -> DataFrame:
     """Judge every row of ``pages`` (page_id, url, html).
 
     Returns page_id, host, path, rule, verdict, trust, distrust.  Every host
     of which allow (block) rules fit a page seeds trust (distrust), weighted by
-    the share of its pages that they fit.
+    the share of its pages that they fit.  A host is blocked if its distrust is
+    over ``ratio`` times its trust, not counting what it has from blocked pages
+    of its own that are less than ``own_share`` of its pages.
     Null or scheme-less urls have host and path empty, fit no rule and are
     allowed, as is a host that no walk reaches.  Null or empty html has no
     links.  Repeated rows are judged alike; an empty table gives none.
@@ -125,19 +134,25 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, dampi
     backward = pairs.select(F.lit("block").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
     both = forward.unionByName(backward)
     out_n = both.groupBy(F.col("kind").alias("k"), F.col("src").alias("h")).agg(F.sum("n").alias("t"))
-    edges = (both.join(out_n, (F.col("kind") == F.col("k")) & (F.col("src") == F.col("h")))
+    out_n = out_n.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    both = both.withColumn("_q", F.pmod(F.xxhash64("dst"), F.lit(SALTS)).cast("int"))
+    edges = (both.join(out_n, (F.col("kind") == F.col("k")) & (F.col("src") == F.col("h")) & (F.col("_q") == F.col("_t")))
              .select("kind", "src", "dst", (F.col("n") / F.col("t")).alias("w")))
     rank = propagate(edges, seeds, damping, iterations)
     hosts = rank.groupBy(F.col("host").alias("h")).agg(
         F.sum(F.when(F.col("kind") == "allow", F.col("rank")).otherwise(0.0)).alias("trust"),
         F.sum(F.when(F.col("kind") == "block", F.col("rank")).otherwise(0.0)).alias("distrust"))
-    hosts = stage(hosts, "host-ranks")
+    # What a host has from few blocked pages of its own is taken off (and what rounding leaves of it).
+    few = (counted.where((F.col("kind") == "block") & (F.col("n") < own_share)).join(F.broadcast(totals), F.col("kind") == F.col("k"))
+           .select(F.col("host").alias("o"), ((1 - damping) * F.col("n") / F.col("t")).alias("own")))
+    own = F.coalesce("own", F.lit(0.0))
+    theirs = F.when(F.col("distrust") > own * (1 + 1e-9), F.col("distrust") - own).otherwise(0.0)
+    hosts = stage(hosts.join(few, F.col("h") == F.col("o"), "left").select("h", "trust", "distrust", theirs.alias("theirs")), "host-ranks")
     # Pages take their host's ranks by a join on (host, salt): a hot host's
     # pages spread over the salts, its single row is repeated for each.
-    salts = 16
-    spread = hosts.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    left = judged.withColumn("_q", F.pmod(F.xxhash64("page_id", "path"), F.lit(salts)).cast("int"))
-    bad = F.col("distrust") > ratio * F.col("trust")
+    spread = hosts.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    left = judged.withColumn("_q", F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int"))
+    bad = F.col("theirs") > ratio * F.col("trust")
     return (left.join(spread, (F.col("host") == F.col("h")) & (F.col("_q") == F.col("_t")), "left")
             .select("page_id", "host", "path", F.col("_r.rule").alias("rule"),
                     F.coalesce(F.col("_r.verdict"), F.when(bad, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),

@@ -12,7 +12,8 @@ that it has, with the article around them and the headings and paragraphs
 beside them.
 
 Two passes over the pages, without a shuffle of page contents as long as the
-winning paths are few enough to broadcast (which is checked).
+winning paths are few enough to broadcast (which is checked); beyond, pages
+are read a third time for their templates and joined with the winners.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ WINNERS = 8         #: winning paths of a host or template that are kept, deepes
 OUTER = 4           #: containers down to this depth make up a page's template
 ALIKE = 3           #: pages from which a template's winners come before its host's
 SALTS = 16
+WINNER_ROWS = 20_000    #: hosts and templates whose winning paths travel to the tasks; more are joined
 DEPTH = 512         #: elements nested deeper are not told apart
 
 CONTAINERS = frozenset("html body main article section div td center form fieldset details".split())
@@ -64,7 +66,7 @@ ENDS_P = BLOCKS - {"body", "html", "head", "title", "option", "optgroup"}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/><]*)(?P<attrs>(?:[^>\"']++|\"[^\"]{0,8192}+\"|'[^']{0,8192}+')*+)>"
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/><]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/><]*)(?P<attrs2>[^>]*)>"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|<[a-zA-Z][^>]*\Z", re.S)
@@ -293,11 +295,11 @@ class Page:
         return "\n".join(blocks)
 
 
-def extract(source: str, winners: list[str]) -> str:
+def extract(source: str | Page, winners: list[str]) -> str:
     """The text of a page at the first of the paths at which it has text, else
     all its running text; what was dropped by its name counts again if the
     page would have no text without it."""
-    page = Page(source)
+    page = source if isinstance(source, Page) else Page(source)
     for path in winners:
         if text := page.article(path):
             return text
@@ -370,6 +372,33 @@ def _templated(pages: DataFrame) -> DataFrame:
             .mapInArrow(run, f"page_id {kind}, url string, html string, _host string, _template string"))
 
 
+def _extract_known(pages: DataFrame, winners: DataFrame) -> DataFrame:
+    """The texts of all pages, each read once: the winning paths (at most
+    WINNER_ROWS rows) travel to the tasks."""
+    spark = pages.sparkSession
+    known = {(r["host"], r["template"]): (r["paths"], r["alike"]) for r in winners.collect()}
+    sent = spark.sparkContext.broadcast(known)
+
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            texts = []
+            for h, s in zip(b.column(3).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if not s:
+                    texts.append("")
+                    continue
+                page = Page(s)
+                host, _ = sent.value.get((h, None), ([], False))
+                own, alike = sent.value.get((h, page.template()), ([], False))
+                texts.append(extract(page, [*own, *host] if alike else [*host, *own]))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+
+    importable(spark)
+    kind = pages.schema["page_id"].dataType.simpleString()
+    rows = pages.select("page_id", "url", "html", host_of(F.coalesce(F.col("url"), F.lit(""))).alias("_host"))
+    return rows.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
+
+
 def extract_pages(pages: DataFrame) -> DataFrame:
     """The main text of every row of ``pages`` (page_id, url, html).
 
@@ -377,6 +406,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     and pages without running text give empty text; pages without a host vote
     together; repeated rows are read alike; an empty table gives none."""
     winners = stage(winning_paths(stage(vote(pages), "votes")), "winning-paths")
+    if winners.count() <= WINNER_ROWS:
+        return _extract_known(pages, winners)
     of_host = winners.where("template is null").select(F.col("host").alias("_host"), F.col("paths").alias("_h_paths"))
     of_template = winners.where("template is not null").select(F.col("host").alias("_host"), F.col("template").alias("_template"), F.col("paths").alias("_t_paths"), "alike")
     rows = _with_paths(_templated(pages), of_host, ["_host"])

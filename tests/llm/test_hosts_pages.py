@@ -205,15 +205,62 @@ def test_pages_with_text_are_never_empty(page):
 
 
 def test_hosts_that_rules_fit_in_part(spark):
-    """A block rule fits one page of four of a host, an allow rule one of five of another."""
+    """A block rule fits one page of four of a host, an allow rule one of five of another: the
+    host's free pages are not blocked for it, but hosts that link there and that nothing trusts are."""
     rows = [(i, f"http://shop.example.com/{'de' if i == 0 else 'x'}/{i}", page("http://other.com/")) for i in range(4)]
     rows += [(10 + i, f"http://news.org/{'fr' if i == 0 else 'x'}/{i}", page("http://friend.com/")) for i in range(5)]
     rows += [(20, "http://fan.com/", page("http://shop.example.com/")), (21, "http://friend.com/", page("http://shop.example.com/")), (22, "http://quiet.com/", None)]
     got = {r.host: r for r in hostrank.judge_urls(spark.createDataFrame(rows, SCHEMA)).where("rule is null").collect()}
-    assert {h: r.verdict for h, r in got.items()} == {"shop.example.com": "block", "news.org": "allow", "fan.com": "block", "friend.com": "allow", "quiet.com": "allow"}
+    assert {h: r.verdict for h, r in got.items()} == {"shop.example.com": "allow", "news.org": "allow", "fan.com": "block", "friend.com": "allow", "quiet.com": "allow"}
     assert got["news.org"].trust == pytest.approx(0.15) and got["shop.example.com"].distrust == pytest.approx(0.15)
 
 
+@pytest.mark.parametrize("blocked,verdict", [(1, "allow"), (5, "allow"), (6, "block"), (10, "block")])
+def test_own_blocked_pages_speak_for_the_host_from_half_of_them_on(spark, blocked, verdict):
+    rows = [(i, f"http://h.example.com/{'de' if i < blocked else 'x'}/{i}", page("http://h.example.com/")) for i in range(11)]
+    rows += [(20 + i, f"http://spam.net/{i}", page("http://elsewhere.com/")) for i in range(3)]
+    got = hostrank.judge_urls(spark.createDataFrame(rows, SCHEMA))
+    assert {r.verdict for r in got.where("host = 'h.example.com' and rule is null").collect()} == {verdict}
+    assert {r.verdict for r in got.where("rule = 'example.com/de/'").collect()} == {"block"}
+
+
+def test_hub_cycle_and_chain_equal_the_walk(spark):
+    """A hub of 300 links, a cycle back to it and a chain, against a dictionary walk."""
+    links = [("hub", f"s{i}") for i in range(300)] + [("s0", "s1"), ("s1", "s2"), ("s2", "hub")] + [("s9", "c0")] + [(f"c{i}", f"c{i + 1}") for i in range(6)]
+    out = {}
+    for a, b in links:
+        out.setdefault(a, []).append(b)
+    want, step = {"hub": 0.15}, {"hub": 0.15}
+    for _ in range(200):
+        moved = {}
+        for a, x in step.items():
+            for b in out.get(a, ()):
+                moved[b] = moved.get(b, 0) + 0.85 * x / len(out[a])
+        for b, x in moved.items():
+            want[b] = want.get(b, 0) + x
+        step = moved
+    edges = spark.createDataFrame([("allow", a, b, 1 / len(out[a])) for a, b in links], "kind string, src string, dst string, w double")
+    seeds = spark.createDataFrame([("allow", "hub", 1.0)], "kind string, host string, s double")
+    got = {r.host: r["rank"] for r in hostrank.propagate(edges, seeds).collect()}
+    assert got.keys() == want.keys() and all(got[h] == pytest.approx(want[h], rel=1e-4) for h in want)
+
+
+def test_long_attributes_end_where_their_quotes_do():
+    import time
+    long = "x" * 9000 + ' > <p>not text</p> '
+    assert htmltext.extract(f"<article><p title=\"{long}\">{STORY}</p><p data-a='{long}'>End.</p></article>", []) == f"{STORY.strip()}\nEnd."
+    t0 = time.time()
+    assert STORY.strip() in htmltext.extract("<a href='x>" * 1 + f"<article><p>{STORY}</p></article>" + "<b title=\"q>" * 20_001, [])
+    assert time.time() - t0 < 20
+
+
+def test_winners_that_travel_and_winners_that_are_joined_give_the_same(spark, monkeypatch):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    a = sorted(tuple(r) for r in htmltext.extract_pages(pages).collect())
+    monkeypatch.setattr(htmltext, "WINNER_ROWS", 0)
+    assert a == sorted(tuple(r) for r in htmltext.extract_pages(pages).collect())
+
+
 def test_long_walks(spark):
     """Distrust fifteen links on, and of a loop."""
     seeds = spark.createDataFrame([("block", "s0", 0.5), ("block", "s1", 0.5)], "kind string, host string, s double").coalesce(1)
