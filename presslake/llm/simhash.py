@@ -34,6 +34,7 @@ from presslake.llm.common import blocks, importable, stage, utf8, worker_store
 SHINGLE = 3
 SEED = 42
 MAX_BITS = 2
+SALTS = 16
 GROUP = 48              #: largest candidate group that is paired
 BLOCK = 1 << 19         #: bytes of text that are fingerprinted at once
 BASE_PIVOT = 0x5DEECE66D1234567
@@ -241,8 +242,13 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", max_bits:
     rows = stage(add_fingerprint(docs, text, fp, shingle, seed), "with-fingerprints")
     all_fps = grouped(rows.select(F.col(f"`{key}`"), F.col(fp).alias("fp")), key, max_bits)
     some = stage(all_fps.where("linked or rows > 1").select(F.col("fp").alias(other), F.col("low").alias(low), F.when(F.col("fp") == F.col("best"), F.col("copies")).otherwise(F.lit(0)).alias(copies)), "crowded")
-    side = F.broadcast(some) if some.count() <= broadcast_rows else some
-    judged = rows.join(side, F.col(fp) == F.col(other), "left")
+    if some.count() <= broadcast_rows:
+        judged = rows.join(F.broadcast(some), F.col(fp) == F.col(other), "left")
+    else:      # copies of one text are dealt over salts
+        salt, salt_of = "_simhash_salt", "_simhash_salt_of"
+        side = some.withColumn(salt_of, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.withColumn(salt, F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(SALTS)).cast("int"))
+        judged = rows.join(side, (F.col(fp) == F.col(other)) & (F.col(salt) == F.col(salt_of)), "left")
     mine = judged.where(F.col(other).isNull() | ((F.col(copies) > 0) & F.col(f"`{key}`").eqNullSafe(F.col(low))))
     if some.where(F.col(copies) > 1).isEmpty():
         return mine.select(*[F.col(f"`{c}`") for c in kept])
