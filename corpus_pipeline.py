@@ -32,12 +32,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that pass the plain rules and are no outliers of their
-    language and source (operator 8)."""
-    counted = quality.add_statistics(docs.select("text", "lang", "source"))
-    estimates = quality.fit_groups(counted.drop("text"))
+    language and source (operator 8).  A null text has no words and fails; null
+    languages and sources are groups of their own; an empty table stays empty.
+    Statistics are counted once and staged with the rows."""
     # The row travels as one column: its own columns may have any names.
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "text", "lang", "source")
-    return quality.judge(quality.add_statistics(rows), estimates).where("kept").select("_doc.*")
+    counted = stage(quality.add_statistics(rows).drop("text"), "pipeline-statistics")
+    return quality.judge(counted, quality.fit_groups(counted.drop("_doc"))).where("kept").select("_doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +49,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokenize, cut and pack the documents (operator 6); one row per piece."""
+    """Tokenize, cut and pack the documents (operator 6); one row per piece.  A
+    null or empty text has its end token only; an empty table gives no rows."""
     return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
 
 
