@@ -183,11 +183,13 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int = S
     big = F.array_max(F.transform("v", F.abs))
     scaled = good.withColumn("_s", F.transform("v", lambda e: e.cast("double") / big.cast("double")))
     norm = F.sqrt(F.aggregate("_s", F.lit(0.0), lambda t, e: t + e * e))
-    named = scaled.withColumn("_n", norm).withColumn("way", F.transform("_s", lambda e: F.round(e / F.col("_n"), TIE - 1) + F.lit(0.0)))
+    grain = scaled.withColumn("_n", F.lit(10.0 ** (TIE - 1)) / norm).select("id", "v", F.transform("_s", lambda e: F.rint(e * F.col("_n")).cast("long")).alias("_w"))
+    # A direction goes by two 64-bit hashes of its rounded components.
+    named = grain.select("id", "v", F.struct(F.size("v").alias("dim"), F.xxhash64("_w").alias("a"), F.xxhash64(F.lit(1), "_w").alias("b")).alias("way"))
     first = Window.partitionBy("way").orderBy("id")
-    nodes = (named.select("id", "v", "way").distinct().withColumn("i", F.dense_rank().over(first)).where(F.col("i") <= k + 1)
-             .groupBy("way").agg(F.array_sort(F.collect_list(F.struct("id", "v"))).alias("of")))
-    nodes = stage(nodes.withColumn("dim", F.size("way")), "vectors")
+    nodes = (named.withColumn("i", F.dense_rank().over(first)).where(F.col("i") <= k + 1)
+             .groupBy("way").agg(F.array_sort(F.collect_set(F.struct("id", "v"))).alias("of")))
+    nodes = stage(nodes.select("way", "of", "way.dim"), "vectors")
     shards = max(1, -(-nodes.count() // shard_rows))
     asked = queries.where(_usable(F.col("v")) & F.col("id").isNotNull()).select("id", "v").distinct().withColumn("dim", F.size("v"))
     blocks = max(1, -(-asked.count() // block_rows))
