@@ -180,10 +180,12 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int = S
     each block, which costs about as much as searching half a block)."""
     good = rows.where(_usable(F.col("v")) & F.col("id").isNotNull()).select("id", "v")
     # Of each direction's members the k + 1 smallest ids: what any answer can need.
-    big = F.array_max(F.transform("v", F.abs))
-    scaled = good.withColumn("_s", F.transform("v", lambda e: e.cast("double") / big.cast("double")))
-    norm = F.sqrt(F.aggregate("_s", F.lit(0.0), lambda t, e: t + e * e))
-    grain = scaled.withColumn("_n", F.lit(10.0 ** (TIE - 1)) / norm).select("id", "v", F.transform("_s", lambda e: F.rint(e * F.col("_n")).cast("long")).alias("_w"))
+    once = lambda x, body: F.transform(F.array(x), body)[0]  # noqa: E731  x is computed once a row, not once an element
+    num = lambda e: e.cast("double")
+    length = lambda b: F.sqrt(F.aggregate("v", F.lit(0.0), lambda t, e: t + (num(e) / b) * (num(e) / b)))
+    rounded = once(F.aggregate("v", F.lit(0.0), lambda t, e: F.greatest(t, F.abs(num(e)))), lambda b: once(
+        F.lit(10.0 ** (TIE - 1)) / length(b), lambda g: F.transform("v", lambda e: F.rint(num(e) / b * g).cast("long"))))
+    grain = good.select("id", "v", rounded.alias("_w"))
     # A direction goes by two 64-bit hashes of its rounded components.
     named = grain.select("id", "v", F.struct(F.size("v").alias("dim"), F.xxhash64("_w").alias("a"), F.xxhash64(F.lit(1), "_w").alias("b")).alias("way"))
     first = Window.partitionBy("way").orderBy("id")
