@@ -207,15 +207,19 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int = S
         if len(vectors) and len(questions):
             members = [[(m["id"], np.asarray(m["v"], np.float64)) for m in of] for of in vectors["of"]]
             members.sort(key=lambda of: of[0][0])       # the same graph whatever the order of arrival; rows in the order of smallest ids
-            v = np.stack([of[0][1] for of in members])
+            every = unit(np.stack([vec for of in members for _, vec in of]))
+            ids = [i for of in members for i, _ in of]
+            count = np.array([len(of) for of in members])
+            start = np.cumsum(count) - count
             q = np.stack([np.asarray(e, np.float64) for e in questions["v"]])
-            uq = unit(q)
-            for qi, one, row in zip(questions["id"], uq, search_shard(v, q, k + 1).tolist(), strict=True):
-                for f in row:
-                    for i, vec in members[f] if f >= 0 else ():
-                        out["query_id"].append(qi)
-                        out["vec_id"].append(i)
-                        out["score"].append(float(one @ unit(vec[None])[0]))
+            found = search_shard(every[start], q, k + 1)
+            asker, node = np.nonzero(found >= 0)
+            node = found[asker, node]
+            # Every member of a node that was found, with its own cosine.
+            asker, size = np.repeat(asker, count[node]), count[node]
+            row = np.arange(len(asker)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start[node], size)
+            who = questions["id"].tolist()
+            out = {"query_id": [who[i] for i in asker], "vec_id": [ids[i] for i in row], "score": np.einsum("ij,ij->i", unit(q)[asker], every[row])}
         return pd.DataFrame(out)
 
     importable(rows.sparkSession)
