@@ -111,6 +111,8 @@ class _Nodes:
             k = self.end[k] + 1
 
     def own_text(self, i: int) -> str:
+        if self.last_kid[i] < 0:      # text is all that is in it
+            return self.text_of(i)
         return "".join(self.text_of(k) for k in self.children(i) if self.tag[k] is None)
 
 

@@ -11,6 +11,7 @@ from presslake.operators import quality as Q
 from presslake.operators import urls as U
 from presslake.plans import sqlfrag as S
 from presslake.plans.registry import query
+from presslake.session import stage
 from presslake.sources.tables import table
 
 UE = """ue AS (
@@ -172,7 +173,7 @@ UNION ALL
 SELECT l.host, l.href FROM links l JOIN first_page f ON l.page_id = f.page_id
 """, op="O-U1 Q1")
 def q_links_union_all(spark, sf):
-    links = _links(spark, sf)
+    links = stage(_links(spark, sf), "links")      # every page is read once
     first = links.groupBy("host").agg(F.min("page_id").alias("page_id"))
     again = links.join(first.select("page_id"), "page_id", "left_semi")
     return links.select("host", "href").unionByName(again.select("host", "href"))
