@@ -63,16 +63,16 @@ def number_slots(rows: DataFrame, shard: str, content: Sequence[str], out: str =
     all ``content`` columns get neighbouring numbers in any order.
     """
     names = [shard, *content]
-    rows = stage(rows.withColumn("_b", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in content]), F.lit(buckets))), "slots")
-    sizes = rows.groupBy(F.col(f"`{shard}`").alias("_s"), F.col("_b").alias("_c")).agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("_s").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_s", "_c", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy(shard, "_b").orderBy(*[F.col(f"`{c}`") for c in names[1:]])
+    rows = stage(rows.withColumn("_slots_b", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in content]), F.lit(buckets))), "slots")
+    sizes = rows.groupBy(F.col(f"`{shard}`").alias("_slots_s"), F.col("_slots_b").alias("_slots_c")).agg(F.count("*").alias("_slots_n"))
+    before = Window.partitionBy("_slots_s").orderBy("_slots_c").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_slots_s", "_slots_c", F.coalesce(F.sum("_slots_n").over(before), F.lit(0)).alias("_slots_start"))
+    inside = Window.partitionBy(shard, "_slots_b").orderBy(*[F.col(f"`{c}`") for c in names[1:]])
     # At most shards x buckets rows of three numbers: a proven bound.
-    return (rows.withColumn("_i", F.row_number().over(inside) - 1)
-            .join(F.broadcast(starts), (F.col(f"`{shard}`") == F.col("_s")) & (F.col("_b") == F.col("_c")))
-            .withColumn(out, (F.col("_i") + F.col("_start")).cast("long"))
-            .drop("_b", "_i", "_s", "_c", "_start"))
+    return (rows.withColumn("_slots_i", F.row_number().over(inside) - 1)
+            .join(F.broadcast(starts), (F.col(f"`{shard}`") == F.col("_slots_s")) & (F.col("_slots_b") == F.col("_slots_c")))
+            .withColumn(out, (F.col("_slots_i") + F.col("_slots_start")).cast("long"))
+            .drop("_slots_b", "_slots_i", "_slots_s", "_slots_c", "_slots_start"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
