@@ -6,6 +6,18 @@ the centre and scatter of the vectors' closest half, and texts whose
 Mahalanobis distance to it is beyond a cutoff are rejected.  Two plain rules
 (too few words, too many repeated words) come first.
 
+* Concentration steps start from three estimates (medians and their deviations
+  alone, with the correlations of tanh scores, with those of spatial signs);
+  after TRIALS steps each group goes on with that of the smallest determinant,
+  until no group's determinant falls any more.
+* A statistic of a text of n words has a sampling error of about GRAIN / n.
+  Estimates include that of SURE words (the regularised form of the
+  method, so that constant statistics have a scatter); a shorter text's
+  differences are scaled down by its larger error.  A longer text is not judged
+  more sharply, and length by itself is no fault.
+* The cutoff is the chi-square quantile for as many dimensions, at a chance of
+  one in a million; no labels and no data were used to set it.
+
 Counts are made in one pass over the texts, without a shuffle.  Vectors are
 whole numbers (fixed point), so the sums from which Spark makes centres and
 scatters are exact, whatever order tasks end in.  Each concentration step is
@@ -28,14 +40,26 @@ WINDOW = 8              #: words of a window
 SYMBOLS = b"#*$%&|<>"
 SCALE = 1024            #: fixed point of the vectors
 MIN_GROUP = 200         #: smaller groups share that of their language's small ones, else of all its texts, else of the whole table
-STEPS = 6               #: concentration steps
-FLOOR = 0.05            #: added to every standard deviation (squares add up), so that constant statistics can't reject
-CUTOFF = 12.0           #: Mahalanobis distance beyond which a text is rejected
+TRIALS = 2              #: concentration steps of every start
+STEPS = 30              #: further steps of the best one, at most
+SETTLED = 1e-3          #: or until no group's log determinant falls by more
+BINS = 64               #: of the histogram of distances, to each factor of two
+CUTOFF = 5.990675       #: root of the chi-square quantile at 1 - 1e-6, five dimensions
 SALTS = 16
 SEGMENT = 1 << 19       #: bytes that are hashed at once
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stutters")
-VECTOR = ("v_length", "v_word", "v_symbols", "v_lines", "v_repeat", "v_stutter")
+VECTOR = ("v_word", "v_symbols", "v_lines", "v_repeat", "v_stutter")
+#: Sampling variance of each statistic, times the words of the text: word
+#: lengths have a variance of about 6; the root of a share has 1/4 per event,
+#: and repeated windows come two at a time, 2 * WINDOW words an event.
+GRAIN = (6.0, 0.25, 0.25, 0.25 * 2 * WINDOW, 0.25)
+#: Words from which on a text's sampling error is taken as no smaller: 256, and
+#: for repeated windows 64 events.
+SURE = (256, 256, 256, 64 * 2 * WINDOW, 256)
+#: Scatter of a normal sample over that of its inner half, five dimensions:
+#: 0.5 / P(chi2_7 <= q), where P(chi2_5 <= q) = 0.5.
+HALF_FACTOR = 0.5 / 0.261478
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -186,16 +210,19 @@ def base_failed():
 def _vector() -> list:
     """The transformed statistics, fixed point."""
     words = F.greatest(F.col("n_words"), F.lit(1))
-    raw = (F.log1p("n_words"), F.col("word_chars") / words, F.sqrt(F.col("n_symbols") / words),
-           F.sqrt(F.col("n_dup_lines") / words), F.sqrt(F.col("n_repeat_words") / words), F.sqrt(F.col("n_stutters") / words))
+    raw = (F.col("word_chars") / words, *(F.sqrt(F.col(c) / words) for c in STATS[2:]))
     return [F.round(x * SCALE).cast("long").alias(name) for x, name in zip(raw, VECTOR, strict=True)]
 
 
-def _distance2():
+def _distance2(words=None):
     """Squared Mahalanobis distance of a row's vector, from the columns m0..
-    (centre) and i00.. (inverse scatter) of its group."""
+    (centre), s0.. (variances) and i00.. (inverse scatter) of its group.  Given
+    the text's ``words``, differences are scaled for its sampling error."""
     p = len(VECTOR)
     d = [F.col(v) / SCALE - F.col(f"m{k}") for k, v in enumerate(VECTOR)]
+    if words is not None:
+        error = [GRAIN[k] / F.least(F.greatest(words, F.lit(1)), F.lit(SURE[k])) for k in range(p)]
+        d = [x * F.sqrt((F.col(f"s{k}") + GRAIN[k] / SURE[k]) / (F.col(f"s{k}") + error[k])) for k, x in enumerate(d)]
     total = None
     for a in range(p):
         for b in range(a, p):
@@ -204,32 +231,50 @@ def _distance2():
     return total
 
 
-def _moments():
-    p = len(VECTOR)
-    return [F.count("*").alias("n"), *(F.sum(v).alias(f"s{k}") for k, v in enumerate(VECTOR)),
-            *(F.sum(F.col(VECTOR[a]) * F.col(VECTOR[b])).alias(f"q{a}{b}") for a in range(p) for b in range(a, p))]
+PAIRS = [(a, b) for a in range(len(VECTOR)) for b in range(a, len(VECTOR))]
+FIT = "g string, " + ", ".join(f"{c} double" for c in [*(f"m{k}" for k in range(len(VECTOR))), *(f"s{k}" for k in range(len(VECTOR))), *(f"i{a}{b}" for a, b in PAIRS), "det"])
+
+
+def _products(columns, name: str) -> list:
+    """Sums of the products of all pairs of whole-number columns."""
+    return [F.sum(F.col(columns[a]) * F.col(columns[b])).alias(f"{name}{a}{b}") for a, b in PAIRS]
+
+
+def _moments() -> list:
+    return [F.count("*").alias("n"), *(F.sum(v).alias(f"t{k}") for k, v in enumerate(VECTOR)), *_products(VECTOR, "q")]
+
+
+def _square(t, name: str) -> np.ndarray:
+    """The columns ``name``00.. of a pandas frame as symmetric matrices."""
+    out = np.zeros((len(t), len(VECTOR), len(VECTOR)))
+    for a, b in PAIRS:
+        out[:, a, b] = out[:, b, a] = t[f"{name}{a}{b}"].to_numpy(float)
+    return out
+
+
+def _estimate(g, mean: np.ndarray, cov: np.ndarray):
+    """A pandas frame of FIT: centre, variances and inverse scatter (with the
+    sampling error of SURE words) and its log determinant."""
+    import pandas as pd
+    scatter = cov + np.diag(np.divide(GRAIN, SURE))
+    inv = np.linalg.inv(scatter)
+    p = range(len(VECTOR))
+    return pd.DataFrame({"g": g, **{f"m{k}": mean[:, k] for k in p}, **{f"s{k}": np.maximum(cov[:, k, k], 0) for k in p},
+                         **{f"i{a}{b}": inv[:, a, b] for a, b in PAIRS}, "det": np.linalg.slogdet(scatter)[1]})
 
 
 def _fit(sums: DataFrame, factor: float = 1.0) -> DataFrame:
-    """Centre and inverse scatter (times ``factor``) of each group's sums: one
+    """The estimate of each group's sums, its scatter times ``factor``: one
     small row per group, inverted in tasks."""
-    p = len(VECTOR)
-    pairs = [(a, b) for a in range(p) for b in range(a, p)]
-    names = [*(f"m{k}" for k in range(p)), *(f"i{a}{b}" for a, b in pairs)]
-
     def run(batches):
-        import pandas as pd
         for t in batches:
             n = t["n"].to_numpy(float)
-            mean = np.stack([t[f"s{k}"].to_numpy(float) / n / SCALE for k in range(p)], axis=1)
-            cov = np.zeros((len(t), p, p))
-            for a, b in pairs:
-                cov[:, a, b] = cov[:, b, a] = t[f"q{a}{b}"].to_numpy(float) / n / SCALE**2 - mean[:, a] * mean[:, b]
-            inv = np.linalg.inv(cov * factor + np.eye(p) * FLOOR**2)
-            yield pd.DataFrame({"g": t["g"], **{f"m{k}": mean[:, k] for k in range(p)}, **{f"i{a}{b}": inv[:, a, b] for a, b in pairs}})
+            mean = np.stack([t[f"t{k}"].to_numpy(float) / n / SCALE for k in range(len(VECTOR))], axis=1)
+            cov = _square(t, "q") / n[:, None, None] / SCALE**2 - mean[:, :, None] * mean[:, None, :]
+            yield _estimate(t["g"], mean, cov * factor)
 
     importable(sums.sparkSession)
-    return sums.mapInPandas(run, "g string, " + ", ".join(f"{c} double" for c in names))
+    return sums.mapInPandas(run, FIT)
 
 
 def _with_groups(vectors: DataFrame, fits: DataFrame, groups: int, how: str = "inner") -> DataFrame:
@@ -282,46 +327,91 @@ def fit_groups(stats: DataFrame, lang: str = "lang", source: str = "source"):
         salted = members.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         vectors = rows.withColumn("_t", F.pmod(F.xxhash64(*VECTOR, *STATS), F.lit(SALTS)).cast("int")).join(salted, ["label", "_t"]).drop("_t")
     vectors = stage(vectors.select("g", *STATS, *VECTOR), "group-vectors")
-    # Start: all rows' medians (from exact histograms of the fixed-point values) and spreads.
-    fits = stage(_start(vectors), "fit")
+    return names, _concentrate(vectors), n_names
+
+
+def _step(vectors: DataFrame, fits: DataFrame, groups: int) -> DataFrame:
+    """One concentration step: the sums of each group's half that is closest to
+    its estimate (equal distances, to a bin, together)."""
+    d2 = _with_groups(vectors, fits, groups).select("g", *VECTOR, F.floor(F.log2(_distance2() + 1e-9) * BINS).cast("int").alias("bin"))
+    hist = d2.groupBy("g", "bin").agg(F.count("*").alias("c"))
+    upto = Window.partitionBy("g").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    half = (hist.withColumn("cum", F.sum("c").over(upto)).withColumn("all", F.sum("c").over(Window.partitionBy("g")))
+            .where(2 * F.col("cum") >= F.col("all")).groupBy("g").agg(F.min("bin").alias("top")))
+    inside = d2.join(F.broadcast(half) if groups <= BROADCAST_ROWS else half, "g").where("bin <= top")
+    return stage(inside.groupBy("g").agg(*_moments()), "sums")
+
+
+def _concentrate(vectors: DataFrame) -> DataFrame:
+    """The estimate of each group (``g``) of the staged vectors."""
+    fits = stage(_starts(vectors), "fit")
+    of_start = vectors.withColumn("g", F.explode(F.array(*[F.concat("g", F.lit(x)) for x in STARTS])))
     groups = fits.count()
-    keep = None
-    for step in range(STEPS):
-        d2 = _with_groups(vectors, fits, groups).withColumn("bin", F.floor(F.log2(_distance2() + 1e-9) * 16).cast("int"))
-        hist = d2.groupBy("g", "bin").agg(F.count("*").alias("c"))
-        upto = Window.partitionBy("g").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        half = (hist.withColumn("cum", F.sum("c").over(upto)).withColumn("all", F.sum("c").over(Window.partitionBy("g")))
-                .where(2 * F.col("cum") >= F.col("all")).groupBy("g").agg(F.min("bin").alias("top")))
-        inside = d2.drop(*[c for c in fits.columns if c != "g"]).join(F.broadcast(half) if groups <= BROADCAST_ROWS else half, "g").where("bin <= top")
-        # The closest half of a normal sample has a smaller scatter: consistency factor.
-        fits = stage(_fit(inside.groupBy("g").agg(*_moments()), HALF_FACTOR if step == STEPS - 1 else 1.0), "fit")
-    return names, fits, n_names
-
-
-#: Scatter of a normal sample over that of its inner half, six dimensions:
-#: 0.5 / P(chi2_8 <= q), where P(chi2_6 <= q) = 0.5.
-HALF_FACTOR = 0.5 / 0.28020
-
-
-def _start(vectors: DataFrame) -> DataFrame:
-    """Coordinate-wise medians and median absolute deviations as first estimate."""
-    p = len(VECTOR)
+    for _ in range(TRIALS):
+        sums = _step(of_start, fits, groups)
+        fits = stage(_fit(sums), "fit")
+    # Each group's start of the smallest determinant (of equal ones the first).
+    best = (sums.join(fits.select("g", "det"), "g").withColumn("start", F.expr("right(g, 1)")).withColumn("g", F.expr("left(g, length(g) - 1)"))
+            .groupBy("g").agg(F.min(F.struct("det", "start", *[c for c in sums.columns if c != "g"])).alias("b")).select("g", "b.*").drop("start"))
+    sums = stage(best, "sums")
+    fits = stage(_fit(sums.drop("det")), "fit")
+    groups = fits.count()
+    for _ in range(STEPS):
+        sums = _step(vectors, fits, groups)
+        after = stage(_fit(sums), "fit")
+        fallen = after.select("g", F.col("det").alias("now")).join(fits, "g").agg(F.max(F.col("det") - F.col("now"))).first()[0]  # one number
+        fits = after
+        if fallen is None or fallen <= SETTLED:
+            break
+    # The closest half of a normal sample has a smaller scatter: consistency factor.
+    return stage(_fit(sums.drop("det"), HALF_FACTOR), "fit")
+
+
+#: A letter for each start, added to the group's name during the trials.
+STARTS = "abc"
+
+
+def _starts(vectors: DataFrame) -> DataFrame:
+    """First estimates of each group (FIT; its name and a letter of STARTS):
+    medians and median absolute deviations without correlations, with those of
+    tanh scores, and with those of spatial signs."""
+    p = range(len(VECTOR))
     long = vectors.select("g", F.posexplode(F.array(*VECTOR)).alias("k", "v"))
     upto = Window.partitionBy("g", "k").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def middle(t: DataFrame, out: str) -> DataFrame:
         """Each group's and coordinate's median of ``v`` at a grain of SCALE / 64."""
         hist = t.groupBy("g", "k", F.floor(F.col("v") / (SCALE // 64)).alias("v")).agg(F.count("*").alias("c"))
-        return (hist.withColumn("cum", F.sum("c").over(upto)).withColumn("all", F.sum("c").over(Window.partitionBy("g", "k")))
+        hist = (hist.withColumn("cum", F.sum("c").over(upto)).withColumn("all", F.sum("c").over(Window.partitionBy("g", "k")))
                 .where(2 * F.col("cum") >= F.col("all")).groupBy("g", "k").agg((F.min("v") / 64.0).alias(out)))
+        return hist.groupBy("g").agg(*[F.max(F.when(F.col("k") == k, F.col(out))).alias(f"{out}{k}") for k in p])
+
+    med = stage(middle(long, "m"), "medians")
+    groups = med.count()
+    off = [F.abs(F.col(v) - F.col(f"m{k}") * SCALE) for k, v in enumerate(VECTOR)]
+    mad = middle(_with_groups(vectors, med, groups).select("g", F.posexplode(F.array(*off)).alias("k", "v")), "d")
+    spread = [F.sqrt(F.pow(1.4826 * F.col(f"d{k}"), 2) + GRAIN[k] / SURE[k]).alias(f"w{k}") for k in p]
+    scales = stage(med.join(mad, "g").select("g", *[f"m{k}" for k in p], *spread), "scales")
+    z = _with_groups(vectors, scales, groups).select("g", *[((F.col(v) / SCALE - F.col(f"m{k}")) / F.col(f"w{k}")).alias(f"z{k}") for k, v in enumerate(VECTOR)])
+    z = z.withColumn("norm", F.sqrt(sum((F.col(f"z{k}") * F.col(f"z{k}") for k in p), F.lit(1e-12))))
+    fixed = lambda x: F.round(x * SCALE).cast("long")
+    z = z.select("g", *[fixed(F.tanh(f"z{k}")).alias(f"x{k}") for k in p], *[fixed(F.col(f"z{k}") / F.col("norm")).alias(f"y{k}") for k in p])
+    sums = z.groupBy("g").agg(*_products([f"x{k}" for k in p], "x"), *_products([f"y{k}" for k in p], "y"))
+
+    def run(batches):
+        for t in batches:
+            m, w = (np.stack([t[f"{c}{k}"].to_numpy(float) for k in p], axis=1) for c in "mw")
+            for letter in STARTS:
+                r = np.zeros((len(t), len(VECTOR), len(VECTOR)))
+                if letter != STARTS[0]:
+                    r = _square(t, "xy"[STARTS.index(letter) - 1])
+                    v = np.sqrt(np.maximum(np.einsum("nkk->nk", r), 1))
+                    r = 0.95 * r / (v[:, :, None] * v[:, None, :])  # away from singular
+                np.einsum("nkk->nk", r)[:] = 1
+                yield _estimate(t["g"] + letter, m, r * w[:, :, None] * w[:, None, :] - np.diag(np.divide(GRAIN, SURE)))
 
-    med = stage(middle(long, "med"), "medians")
-    wide = med.groupBy("g").agg(*[F.max(F.when(F.col("k") == k, F.col("med"))).alias(f"m{k}") for k in range(p)])
-    groups = wide.count()
-    dev = _with_groups(vectors, wide, groups).select("g", F.posexplode(F.array(*[F.abs(F.col(v) - F.col(f"m{k}") * SCALE) for k, v in enumerate(VECTOR)])).alias("k", "v"))
-    mad = middle(dev, "mad").groupBy("g").agg(*[F.max(F.when(F.col("k") == k, F.col("mad"))).alias(f"d{k}") for k in range(p)])
-    spread = [1.0 / (F.pow(1.4826 * F.col(f"d{k}"), 2) + FLOOR**2) for k in range(p)]
-    return wide.join(mad, "g").select("g", *[f"m{k}" for k in range(p)], *[(spread[a] if a == b else F.lit(0.0)).alias(f"i{a}{b}") for a in range(p) for b in range(a, p)])
+    importable(vectors.sparkSession)
+    return scales.join(sums, "g").mapInPandas(run, FIT)
 
 
 def judge(stats: DataFrame, estimates, lang: str = "lang", source: str = "source", cutoff: float = CUTOFF) -> DataFrame:
@@ -331,7 +421,7 @@ def judge(stats: DataFrame, estimates, lang: str = "lang", source: str = "source
     own, _ = group_label(lang, source)
     by_label = names.join(fits, "g").drop("g").withColumnRenamed("label", "g")
     rows = _with_groups(stats.select("*", own.alias("g"), *_vector()), by_label, n_names, "left")
-    distance = F.sqrt(F.greatest(_distance2(), F.lit(0.0)))
+    distance = F.sqrt(F.greatest(_distance2(F.col("n_words")), F.lit(0.0)))
     out = rows.withColumn("base_failed", base_failed()).withColumn("distance", distance)
     out = out.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("distance") > cutoff, F.lit(False)))
     return out.select(*stats.columns, "base_failed", "distance", "kept")

@@ -45,14 +45,17 @@ def test_statistics(monkeypatch, segment):
 
 def vector(n):
     w = max(n[0], 1)
-    raw = (math.log1p(n[0]), n[1] / w, *(math.sqrt(n[k] / w) for k in (2, 3, 4, 5)))
+    raw = (n[1] / w, *(math.sqrt(n[k] / w) for k in (2, 3, 4, 5)))
     return [math.floor(x * 1024 + 0.5) for x in raw]
 
 
-def estimates(vectors):
-    """Centre and inverse scatter by the same steps, in numpy."""
-    v = np.array(vectors, float)
-    p, eye = v.shape[1], np.eye(v.shape[1]) * quality.FLOOR**2
+GRAIN = np.array(quality.GRAIN)
+SURE = np.diag(GRAIN / quality.SURE)
+
+
+def starts(v):
+    """(centre, scatter) of the three first estimates, in numpy."""
+    p = v.shape[1]
 
     def middle(x):
         x = np.sort(np.floor(x / 16))
@@ -60,15 +63,47 @@ def estimates(vectors):
 
     m = np.array([middle(v[:, k]) for k in range(p)])
     d = np.array([middle(np.abs(v[:, k] - m[k] * 1024)) for k in range(p)])
-    inv = np.diag(1 / ((1.4826 * d) ** 2 + quality.FLOOR**2))
-    for step in range(quality.STEPS):
-        x = v / 1024 - m
-        bins = np.floor(np.log2(np.einsum("ni,ij,nj->n", x, inv, x) + 1e-9) * 16)
-        half = v[bins <= np.sort(bins)[(len(bins) - 1) // 2]] / 1024
-        m = half.mean(axis=0)
-        cov = (half - m).T @ (half - m) / len(half)
-        inv = np.linalg.inv(cov * (quality.HALF_FACTOR if step == quality.STEPS - 1 else 1) + eye)
-    return m, inv
+    w = np.sqrt((1.4826 * d) ** 2 + np.diag(SURE))
+    z = (v / 1024 - m) / w
+    signs = z / np.sqrt((z * z).sum(1, keepdims=True) + 1e-12)
+    yield m, np.diag(w * w)
+    for x in (np.tanh(z), signs):
+        x = np.sign(x) * np.floor(np.abs(x) * 1024 + 0.5)
+        s = np.sqrt(np.maximum((x * x).sum(0), 1))
+        r = 0.95 * (x.T @ x) / np.outer(s, s)
+        np.fill_diagonal(r, 1)
+        yield m, r * np.outer(w, w)
+
+
+def concentrated(v, m, scatter):
+    """(centre, covariance, scatter) of the half that is closest."""
+    x = v / 1024 - m
+    bins = np.floor(np.log2(np.einsum("ni,ij,nj->n", x, np.linalg.inv(scatter), x) + 1e-9) * quality.BINS)
+    half = v[bins <= np.sort(bins)[(len(bins) - 1) // 2]] / 1024
+    m = half.mean(axis=0)
+    cov = (half - m).T @ (half - m) / len(half)
+    return m, cov, cov + SURE
+
+
+def estimates(groups):
+    """{group: (centre, covariance)} of {group: vectors} by the same steps."""
+    det = lambda f: np.linalg.slogdet(f[2])[1]
+    groups = {g: np.array(v, float) for g, v in groups.items()}
+    fits = {}
+    for g, v in groups.items():
+        tried = []
+        for m, scatter in starts(v):
+            for _ in range(quality.TRIALS):
+                m, cov, scatter = concentrated(v, m, scatter)
+            tried.append((m, cov, scatter))
+        fits[g] = min(tried, key=det)
+    for _ in range(quality.STEPS):
+        after = {g: concentrated(v, fits[g][0], fits[g][2]) for g, v in groups.items()}
+        fallen = max((det(fits[g]) - det(after[g]) for g in groups), default=0)
+        fits = after
+        if fallen <= quality.SETTLED:
+            break
+    return {g: (m, cov * quality.HALF_FACTOR) for g, (m, cov, _) in fits.items()}
 
 
 def judged(rows):
@@ -92,14 +127,15 @@ def judged(rows):
             rest += ids
     if len(rest) >= quality.MIN_GROUP:
         groups["*"] = rest
-    fits = {g: estimates([vector(n[i]) for i in ids]) for g, ids in groups.items()}
+    fits = estimates({g: [vector(n[i]) for i in ids] for g, ids in groups.items()})
     out = {}
     for i, _, lang, source in rows:
         g = (lang, source) if (lang, source) in groups else (lang, "*") if (lang, "*") in groups else "*" if (lang, source) in own else None
         dist = None
         if g in fits:
-            x = np.array(vector(n[i])) / 1024 - fits[g][0]
-            dist = math.sqrt(max(0.0, x @ fits[g][1] @ x))
+            m, cov = fits[g]
+            x = (np.array(vector(n[i])) / 1024 - m) * np.sqrt((np.diag(cov) + np.diag(SURE)) / (np.diag(cov) + GRAIN / np.minimum(max(n[i][0], 1), quality.SURE)))
+            dist = math.sqrt(max(0.0, x @ np.linalg.inv(cov + SURE) @ x))
         out[i] = failed[i], dist, not failed[i] and not (dist is not None and dist > quality.CUTOFF)
     return out
 
@@ -204,6 +240,45 @@ def test_stage_edge_cases(spark):
     assert {r.doc_id for r in corpus_pipeline.identify_language(spark, unlabelled, SF).collect()} == {None, 3, 4, 5, 8, 10}
 
 
+def test_cutoff_is_a_quantile():
+    """CUTOFF and HALF_FACTOR by the chi-square law of odd dimensions."""
+    def below(k, x):
+        p, t = math.erf(math.sqrt(x / 2)), math.sqrt(2 * x / math.pi) * math.exp(-x / 2)
+        for j in range(1, k - 1, 2):
+            p, t = p - t, t * x / (j + 2)
+        return p
+
+    k = len(quality.VECTOR)
+    assert 1 - below(k, quality.CUTOFF ** 2) == pytest.approx(1e-6, rel=1e-4)
+    lo, hi = 0.0, 50.0
+    for _ in range(100):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if below(k, mid) < 0.5 else (lo, mid)
+    assert quality.HALF_FACTOR == pytest.approx(0.5 / below(k + 2, lo), rel=1e-4)
+
+
+def test_each_statistic_rejects_alone(spark):
+    """One text for each statistic, ordinary but for it; very short and very
+    long ordinary texts, and ones with a little of everything, stay."""
+    rng = random.Random(9)
+    word = lambda: "abcdefgh"[rng.randrange(8)] * rng.randint(2, 7) + str(rng.randrange(1000))
+    line = lambda n: " ".join(word() for _ in range(n))
+    clean = lambda n: "\n".join(line(8) for _ in range(n))
+    rows = [(i, clean(rng.randint(3, 90))) for i in range(400)]
+    window = line(12)
+    bad = {1000: " ".join(word() + "x" * 9 for _ in range(300)),
+           1001: " ".join(word() + ("#" if i % 4 == 0 else "") for i in range(400)),
+           1002: "\n".join([*(line(7) for _ in range(40)), *[word()] * 20]),
+           1003: "\n".join(line(30) + " " + window for _ in range(20)),
+           1004: " ".join(w for _ in range(200) for w in [word()] * rng.choice([1, 1, 1, 2]))}
+    good = {2000: line(20), 2001: clean(5000), 2002: clean(40) + "\n" + window + "\n" + window + " A&B", 2003: line(24) + " $5 #1"}
+    rows += [*bad.items(), *good.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en")).withColumn("source", F.lit(None).cast("string"))
+    got = {r.doc_id: r for r in quality.judge_documents(docs.coalesce(2)).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {i for i, r in got.items() if not r.kept} == set(bad)
+
+
 def test_small_sources_are_judged(spark):
     """A source of 30 texts beside one of 300 of its language, one text of a
     language of its own, at the MIN_GROUP of production; one of the small
