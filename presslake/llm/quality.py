@@ -9,7 +9,7 @@ Mahalanobis distance to it is beyond a cutoff are rejected.  Two plain rules
 * Concentration steps start from three estimates (medians and their deviations
   alone, with the correlations of tanh scores, with those of spatial signs);
   after TRIALS steps each group goes on with that of the smallest determinant,
-  until no group's determinant falls any more.
+  until its determinant falls no more; groups that have settled leave the steps.
 * A statistic of a text of n words has a sampling error of about GRAIN / n.
   Estimates include that of SURE words (the regularised form of the
   method, so that constant statistics have a scatter); a shorter text's
@@ -42,7 +42,7 @@ SCALE = 1024            #: fixed point of the vectors
 MIN_GROUP = 200         #: smaller groups share that of their language's small ones, else of all its texts, else of the whole table
 TRIALS = 2              #: concentration steps of every start
 STEPS = 30              #: further steps of the best one, at most
-SETTLED = 1e-3          #: or until no group's log determinant falls by more
+SETTLED = 1e-3          #: a group has settled if its log determinant falls by no more
 BINS = 64               #: of the histogram of distances, to each factor of two
 CUTOFF = 5.990675       #: root of the chi-square quantile at 1 - 1e-6, five dimensions
 SALTS = 16
@@ -353,18 +353,22 @@ def _concentrate(vectors: DataFrame) -> DataFrame:
     # Each group's start of the smallest determinant (of equal ones the first).
     best = (sums.join(fits.select("g", "det"), "g").withColumn("start", F.expr("right(g, 1)")).withColumn("g", F.expr("left(g, length(g) - 1)"))
             .groupBy("g").agg(F.min(F.struct("det", "start", *[c for c in sums.columns if c != "g"])).alias("b")).select("g", "b.*").drop("start"))
-    sums = stage(best, "sums")
-    fits = stage(_fit(sums.drop("det")), "fit")
-    groups = fits.count()
+    left = stage(best, "sums").drop("det")  # the sums of groups that go on
+    fits = stage(_fit(left), "fit")
+    groups, settled = fits.count(), []
     for _ in range(STEPS):
-        sums = _step(vectors, fits, groups)
-        after = stage(_fit(sums), "fit")
-        fallen = after.select("g", F.col("det").alias("now")).join(fits, "g").agg(F.max(F.col("det") - F.col("now"))).first()[0]  # one number
-        fits = after
-        if fallen is None or fallen <= SETTLED:
+        if not groups:
             break
+        sums = _step(vectors, fits, groups)
+        after = stage(_fit(sums).join(fits.select("g", F.col("det").alias("before")), "g").withColumn("moved", F.col("before") - F.col("det") > SETTLED), "fit")
+        settled.append(sums.join(after.where("not moved").select("g"), "g", "left_semi"))
+        left = sums.join(after.where("moved").select("g"), "g", "left_semi")
+        fits = after.where("moved").drop("before", "moved")
+        groups = fits.count()
+    for t in settled:
+        left = left.unionByName(t)
     # The closest half of a normal sample has a smaller scatter: consistency factor.
-    return stage(_fit(sums.drop("det"), HALF_FACTOR), "fit")
+    return stage(_fit(left, HALF_FACTOR), "fit")
 
 
 #: A letter for each start, added to the group's name during the trials.

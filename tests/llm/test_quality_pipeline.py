@@ -97,12 +97,10 @@ def estimates(groups):
                 m, cov, scatter = concentrated(v, m, scatter)
             tried.append((m, cov, scatter))
         fits[g] = min(tried, key=det)
-    for _ in range(quality.STEPS):
-        after = {g: concentrated(v, fits[g][0], fits[g][2]) for g, v in groups.items()}
-        fallen = max((det(fits[g]) - det(after[g]) for g in groups), default=0)
-        fits = after
-        if fallen <= quality.SETTLED:
-            break
+        for _ in range(quality.STEPS):
+            before, fits[g] = det(fits[g]), concentrated(v, *fits[g][::2])
+            if before - det(fits[g]) <= quality.SETTLED:
+                break
     return {g: (m, cov * quality.HALF_FACTOR) for g, (m, cov, _) in fits.items()}
 
 
