@@ -16,7 +16,7 @@ Mahalanobis distance to it is beyond a cutoff are rejected.  Two plain rules
   differences are scaled down by its larger error.  A longer text is not judged
   more sharply, and length by itself is no fault.
 * The cutoff is the chi-square quantile for as many dimensions, at a chance of
-  one in a million; no labels and no data were used to set it.
+  one in a million; it is not fitted to a table (the README says what was looked at).
 
 Counts are made in one pass over the texts, without a shuffle.  Vectors are
 whole numbers (fixed point), so the sums from which Spark makes centres and
