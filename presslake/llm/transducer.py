@@ -1,8 +1,9 @@
 """Operator 9, SentencePiece encoding and decoding: a weighted transducer.
 
-A model file is compiled into three small machines: the normaliser (a word mark
-before the text and for every blank), the pieces, and byte fallback (a
-character that no piece spells becomes its UTF-8 bytes' pieces).  A text is
+A model file is compiled into three small machines: the normaliser (the model's
+character map, blanks joined where it says so, a word mark before the text and
+for every blank), the pieces, and byte fallback (a character that no piece
+spells becomes its UTF-8 bytes' pieces).  A text is
 composed with them: a lattice whose states are places in the text with the last
 piece, and whose arcs are the pieces that spell what follows.  Its shortest
 path in the tropical semiring is the encoding.
@@ -42,6 +43,89 @@ LONG = 64              #: longer stretches are not remembered
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE, _UNUSED = 1, 2, 3, 4, 6, 5
 
 
+def character_map(blob: bytes) -> dict[str, str]:
+    """The keys of a model's character map and what replaces each.
+
+    The file's form: the trie's length in bytes, the trie as a double array of
+    32-bit units, and the replacements, each ended by a zero byte.  A unit's
+    lowest byte is the byte that leads to it, bit 8 says that a key ends there,
+    and the bits from 10 on (times 256 if bit 9 is set), xor its own place, tell
+    where its children begin; a key's unit there holds the replacement's place."""
+    size = int.from_bytes(blob[:4], "little")
+    unit, values = np.frombuffer(blob, "<u4", size // 4, 4).astype(np.int64), blob[4 + size:]
+    label, offset = unit & 0x800000FF, (unit >> 10) << ((unit & 0x200) >> 6)
+    letters = np.arange(1, 256)
+    rules: dict[str, str] = {}
+    todo = [(int(offset[0]), b"")] if len(unit) else []
+    while todo:
+        base, key = todo.pop()
+        place = base ^ letters
+        there = place < len(unit)
+        for p in place[there][label[place[there]] == letters[there]].tolist():
+            below, longer = p ^ int(offset[p]), key + bytes([p ^ base])
+            if unit[p] & 0x100:
+                v = int(unit[below]) & 0x7FFFFFFF
+                rules[longer.decode()] = values[v:values.index(b"\0", v)].decode()
+            todo.append((below, longer))
+    return rules
+
+
+def _any_of(chars) -> str:
+    """A regular expression for one of the characters, written as ranges."""
+    codes = sorted({ord(c) for c in chars})
+    starts = [c for c, before in zip(codes, [-1, *codes], strict=False) if c != before + 1]
+    ends = [c for c, after in zip(codes, [*codes[1:], -1], strict=True) if after != c + 1]
+    return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends, strict=True)) + "]"
+
+
+class Normaliser:
+    """A model's character map: at each place the longest key is replaced, a
+    character that begins none stays.  With ``squeeze`` a blank goes if the
+    output before it ends in one, and blanks and marks go at the ends."""
+
+    def __init__(self, blob: bytes, squeeze: bool):
+        self.rules, self.squeeze = character_map(blob) if blob else {}, squeeze
+        self.longest = max(map(len, self.rules), default=0)
+        single, pairs = [k for k in self.rules if len(k) == 1], [k for k in self.rules if len(k) > 1]
+        found = [_any_of(single)] if single else []
+        if pairs:
+            found.append(f"{_any_of(k[0] for k in pairs)}(?={_any_of(k[1] for k in pairs)})")
+        #: Where a key may begin: nowhere else is a rule looked for.
+        self.suspect = re.compile("|".join(found) or r"(?!)")
+
+    def parts(self, text: str):
+        """The pieces of the output in order: untouched stretches (True) and replacements (False)."""
+        i = 0
+        while m := self.suspect.search(text, i):
+            k = m.start()
+            if k > i:
+                yield text[i:k], True
+            for j in range(min(k + self.longest, len(text)), k, -1):
+                if (new := self.rules.get(text[k:j])) is not None:
+                    yield new, False
+                    i = j
+                    break
+            else:
+                yield text[k], True
+                i = k + 1
+        if i < len(text):
+            yield text[i:], True
+
+    def __call__(self, text: str) -> str:
+        if not self.squeeze:
+            return "".join(x for x, _ in self.parts(text))
+        out, blank = [], True
+        for x, untouched in self.parts(text):
+            if untouched:
+                x = re.sub("  +", " ", x)
+            if blank:
+                x = x.lstrip(" ")
+            if x:
+                out.append(x)
+                blank = x.endswith(" ")
+        return "".join(out).rstrip(" " + MARK)
+
+
 class Transducer:
     """A compiled model."""
 
@@ -51,12 +135,14 @@ class Transducer:
         with open(path, "rb") as f:
             model.ParseFromString(f.read())
         norm = model.normalizer_spec
-        if norm.precompiled_charsmap or norm.remove_extra_whitespaces or not norm.escape_whitespaces or model.trainer_spec.treat_whitespace_as_suffix:
-            raise ValueError("only normalisers that mark blanks and change nothing else are compiled")
+        if not norm.escape_whitespaces or model.trainer_spec.treat_whitespace_as_suffix:
+            raise ValueError("only normalisers that mark blanks, in front of words, are compiled")
         if model.trainer_spec.model_type not in (1, 2) or any(p.type in (_USER, _UNUSED) for p in model.pieces):
             raise ValueError("only unigram and BPE models without user-defined pieces are compiled")
         self.bpe = model.trainer_spec.model_type == 2
-        self.prefix = norm.add_dummy_prefix
+        self.prefix, self.squeeze = norm.add_dummy_prefix, norm.remove_extra_whitespaces
+        #: None if the model changes nothing but blanks.
+        self.normal = Normaliser(norm.precompiled_charsmap, self.squeeze) if norm.precompiled_charsmap or self.squeeze else None
         self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type == _NORMAL}
         self.score = [p.score for p in model.pieces]
         self.piece = [p.piece for p in model.pieces]
@@ -159,6 +245,10 @@ class Transducer:
         """The ids of a text as little-endian signed 32-bit numbers."""
         if not text:
             return b""
+        if self.normal:
+            text = self.normal(text)
+            if not text and self.squeeze:
+                return b""
         text = text.replace(MARK, " ")
         paths, out = self.paths, []
         for s in self.stretch.findall(" " + text if self.prefix else text):
@@ -170,10 +260,20 @@ class Transducer:
                         paths.clear()
                     paths[s] = p
             out.append(p)
+        if self.byte is None:    # unknown characters in a row have one id, across stretches too
+            ids = np.frombuffer(b"".join(out), "<i4")
+            return ids[~((ids == self.unknown) & (np.append(-1, ids[:-1]) == self.unknown))].tobytes()
         return b"".join(out)
 
     def decode(self, ids: list[int]) -> str:
-        """The text that ids spell; bytes that aren't UTF-8 become U+FFFD."""
+        """The (normalised) text that ids spell; bytes that aren't UTF-8 become U+FFFD."""
+        if self.squeeze:         # each piece loses a mark while there is no text before it
+            for k, i in enumerate(ids):
+                x = self.spell[i]
+                if x and self.piece[i] != MARK:
+                    first = x[1:] if x.startswith(b" ") and self.piece[i].startswith(MARK) else x
+                    return b"".join([first, *map(self.spell.__getitem__, ids[k + 1:])]).decode("utf-8", "replace")
+            return ""
         text = b"".join(map(self.spell.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
@@ -188,8 +288,10 @@ def compiled(path: str) -> Transducer:
 
 def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` with ``ids``, n_ids, ids_crc32 (unsigned, of the ids
-    as little-endian 32-bit numbers) and round_trip (decoding gives the text)
-    of every whole text.  Null text is as empty: no ids.  No shuffle."""
+    as little-endian 32-bit numbers) and round_trip (decoding gives the text,
+    which it can't where the model's normaliser changes it) of every whole text,
+    however long.  Null text is as empty: no ids.  Repeated rows stay, each with
+    its ids; an empty table gives none.  No shuffle."""
     from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructType
     importable(docs.sparkSession)
     src = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text"))

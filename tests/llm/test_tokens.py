@@ -108,6 +108,73 @@ def test_unigram_weights():
     assert t.shortest("▁ab?!b") == [3, 6, 0, 5]
 
 
+def variant(tmp_path, rule: str | None, squeeze: bool, prefix: bool, unigram: bool = False, fallback: bool = True) -> str:
+    """The public model's pieces with another normaliser, weights or no bytes."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
+    model, other = pb.ModelProto(), pb.ModelProto()
+    with open(PIECES, "rb") as f:
+        model.ParseFromString(f.read())
+    if rule:
+        other.ParseFromString(sentencepiece.SentencePieceNormalizer(rule_name=rule).serialized_model_proto())
+        model.normalizer_spec.CopyFrom(other.normalizer_spec)
+    model.normalizer_spec.remove_extra_whitespaces, model.normalizer_spec.add_dummy_prefix = squeeze, prefix
+    if not fallback:
+        kept = [p for p in model.pieces if p.type != 6]
+        del model.pieces[:]
+        model.pieces.extend(kept)
+        model.trainer_spec.byte_fallback = False
+    if unigram:
+        model.trainer_spec.model_type = 1
+        rng = random.Random(11)
+        for p in model.pieces:
+            if p.type == 1:
+                p.score = -rng.randint(5 << 10, 15 << 10) / 1024
+    path = str(tmp_path / "variant.model")
+    with open(path, "wb") as f:
+        f.write(model.SerializeToString())
+    return path
+
+
+@pytest.mark.parametrize("rule,squeeze,prefix,unigram,fallback", [
+    ("nmt_nfkc", True, True, False, True), ("nmt_nfkc", True, True, True, False), ("nfkc", False, True, False, True),
+    ("nmt_nfkc_cf", True, False, False, False), ("nfkc_cf", False, False, True, True), (None, True, True, False, True)])
+def test_normalisers_equal_the_library(tmp_path, rule, squeeze, prefix, unigram, fallback):
+    import sentencepiece
+    path = variant(tmp_path, rule, squeeze, prefix, unigram, fallback)
+    sp, t = sentencepiece.SentencePieceProcessor(model_file=path), transducer.Transducer(path)
+    rng = random.Random(13)
+    bits = ["a", "B", " ", "  ", "the ", "ing", "▁", "\n", "\t", "\r", "é", "e\u0301", "\u0301", "ﬁ", "①", "Ａ", "\u3000", "\u00a0", "\u00a8", "\u00ad", "\u200b", "\ufdfa", "½", "ß", "İ",
+            "漢", "が", "か\u3099", "ﾊﾟ", "각", "\u1100\u1161", "🎉", "𝐀", "\x01", "\x00", "\x7f", "0", "!", ",", "...", "…", "<unk>", "ไทย", "\ufeff"]
+    texts = ["", " ", "  ", "▁", " ▁ ", "\x01", "\x01 ", "\u3000", "a▁", "a ▁ b", " a  b ", "e" + "\u0301" * 50, "ﬁ" * 3000, "漢\n字", "漢漢"]
+    texts += ["".join(rng.choice(bits) for _ in range(rng.randint(1, 40))) for _ in range(1500)]
+    for x in texts:
+        want = sp.encode(x)
+        assert np.frombuffer(t.encode(x), "<i4").tolist() == want, repr(x)
+        assert t.decode(want) == sp.decode(want), repr(x)
+
+
+def test_character_map_equals_the_library(tmp_path):
+    """Every key of the map, read from its trie, against the library's reading."""
+    import sentencepiece
+    t = transducer.Transducer(variant(tmp_path, "nmt_nfkc", False, False))
+    n = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc", escape_whitespaces=False, add_dummy_prefix=False, remove_extra_whitespaces=False)
+    assert len(t.normal.rules) > 10_000 and all(n.normalize(k) == v == t.normal(k) for k, v in t.normal.rules.items())
+    every = [chr(c) for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000]
+    assert [c for c in every if n.normalize(c) != t.normal(c)] == []
+
+
+def test_normalised_table(spark, tmp_path):
+    """Whole texts through Spark with a normaliser that changes them."""
+    import sentencepiece
+    path = variant(tmp_path, "nmt_nfkc", True, True, unigram=True, fallback=False)
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    docs = spark.createDataFrame([*EDGE, (9, "ﬁne  Ａ" * 9_000)], SCHEMA)
+    got = transducer.encode(docs, path).collect()
+    want = [(i, sp.encode(t or "")) for i, t in [*EDGE, (9, "ﬁne  Ａ" * 9_000)]]
+    assert sorted(((r.doc_id, r.ids) for r in got), key=repr) == sorted(want, key=repr)
+
+
 def test_encode_query(spark, sp):
     docs = spark.createDataFrame(EDGE, SCHEMA).withColumn("ids", F.lit("x")).withColumn("_text", F.lit(1))
     rows = transducer.encode(docs, PIECES)
