@@ -61,10 +61,15 @@ def dedup_urls(stream: DataFrame, key: str = "url", event_time: str | None = Non
 
 
 def progress(stream: DataFrame, group: str, event_time: str, every: str = "1 hour",
-             delay: str = "1 hour") -> DataFrame:
-    """O-T4: rows per group per tumbling window (append mode emits each
-    window once the watermark passes it)."""
-    return (stream.withWatermark(event_time, delay)
+             delay: str | None = "1 hour") -> DataFrame:
+    """O-T4: rows per group per tumbling window.
+
+    With a ``delay`` state is bounded: append mode emits each window once, when
+    the watermark passes it, and rows that come later are left out (the query's
+    progress reports them, and :class:`ProgressLog` keeps that).  With None
+    every row counts, however late: windows stay in the state, one counter
+    each, and update or complete mode corrects those already emitted."""
+    return ((stream.withWatermark(event_time, delay) if delay else stream)
             .groupBy(F.window(event_time, every).alias("w"), group)
             .agg(F.count(F.lit(1)).alias("n"))
             .select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), group, "n"))
@@ -154,8 +159,10 @@ def plateau_stream(heights: DataFrame, group: str, order: str, height: str) -> D
 
 
 class ProgressLog(StreamingQueryListener):
-    """O-Y5: completion callback — appends (query, batch id, input rows) of
-    every micro-batch as a row of the metrics table at ``path``."""
+    """O-Y5: completion callback — appends (query, batch id, input rows, late
+    rows) of every micro-batch as a row of the metrics table at ``path``.  Late
+    rows are those that stateful operators left out as behind the watermark; an
+    aggregation counts them after combining a batch's rows of equal keys."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -165,8 +172,9 @@ class ProgressLog(StreamingQueryListener):
 
     def onQueryProgress(self, event):
         p = event.progress
-        row = [(str(p.id), p.batchId, p.numInputRows)]
-        self.spark.createDataFrame(row, "query STRING, batch_id BIGINT, input_rows BIGINT").write.mode("append").json(self.path)
+        late = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+        row = [(str(p.id), p.batchId, p.numInputRows, late)]
+        self.spark.createDataFrame(row, "query STRING, batch_id BIGINT, input_rows BIGINT, late_rows BIGINT").write.mode("append").json(self.path)
 
     def onQueryIdle(self, event):
         pass

@@ -1,7 +1,9 @@
 """Streams give the batch result after availableNow."""
 
 import os
+import time
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -44,12 +46,53 @@ def test_progress_stream_counts(spark, scratch):
     p = J.progress(J.events_stream(spark, src), "event_type", "ts")
     q = p.writeStream.format("memory").queryName("prog_t").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination(300)
-    got = spark.table("prog_t").agg(F.sum("n")).first()[0] or 0
-    total = table(spark, SF_SMALL, "events").count()
+    got = {(r.window_start, r.event_type): r.n for r in spark.table("prog_t").collect()}
     # windows still open at the end of the input are not emitted in append mode
     newest = table(spark, SF_SMALL, "events").agg(F.max("ts")).first()[0]
-    closed = table(spark, SF_SMALL, "events").where(F.date_trunc("hour", "ts") + F.expr("INTERVAL 2 HOURS") <= F.lit(newest)).count()
-    assert 0 < got <= total and got >= closed
+    want = _buckets(table(spark, SF_SMALL, "events").where(F.date_trunc("hour", "ts") + F.expr("INTERVAL 2 HOURS") <= F.lit(newest)))
+    assert got == want and got  # all files in one batch: no row is late
+
+
+def _buckets(events):
+    rows = events.groupBy(F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd HH:mm:ss").alias("w"), "event_type").count()
+    return {(r.w, r.event_type): r["count"] for r in rows.collect()}
+
+
+def _land_newest_first(spark, scratch):
+    """Events in four files, the newest rows in the first: one micro-batch each."""
+    ev = table(spark, SF_SMALL, "events")
+    src = os.path.join(scratch, "backwards")
+    parts = ev.withColumn("_q", F.ntile(4).over(Window.partitionBy(F.lit(0)).orderBy(F.desc("ts"))))
+    for k in range(1, 5):
+        parts.where(F.col("_q") == k).drop("_q").repartition(1).write.mode("append").parquet(src)
+        time.sleep(1.1)  # files are read in the order of their times
+    return src
+
+
+def test_progress_without_watermark_counts_late_rows(spark, scratch):
+    p = J.progress(J.events_stream(spark, _land_newest_first(spark, scratch), max_files=1), "event_type", "ts", delay=None)
+    q = p.writeStream.format("memory").queryName("prog_all").outputMode("complete").trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    got = {(r.window_start, r.event_type): r.n for r in spark.table("prog_all").collect()}
+    assert got == _buckets(table(spark, SF_SMALL, "events"))
+
+
+def test_progress_log_counts_late_rows(spark, scratch):
+    metrics = os.path.join(scratch, "late")
+    listener = J.ProgressLog(spark, metrics)
+    spark.streams.addListener(listener)
+    p = J.progress(J.events_stream(spark, _land_newest_first(spark, scratch), max_files=1), "event_type", "ts")
+    q = p.writeStream.format("memory").queryName("prog_late").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    n = table(spark, SF_SMALL, "events").count()
+    for _ in range(60):
+        logged = spark.read.schema("input_rows BIGINT, late_rows BIGINT").json(metrics) if os.path.isdir(metrics) else None
+        rows, late = logged.agg(F.sum("input_rows"), F.sum("late_rows")).first() if logged is not None else (0, 0)
+        if rows == n:
+            break
+        time.sleep(0.5)
+    spark.streams.removeListener(listener)
+    assert rows == n and late > 0
 
 
 def test_status_state_equals_batch(spark, scratch):
@@ -103,7 +146,6 @@ def test_progress_log_is_a_table(spark, scratch):
     q = J.status_events(J.events_stream(spark, src, max_files=1)).writeStream.format("noop").trigger(availableNow=True).start()
     q.awaitTermination(300)
     want = table(spark, SF_SMALL, "events").count()
-    import time
     for _ in range(60):
         if os.path.isdir(metrics) and spark.read.schema("input_rows BIGINT").json(metrics).agg(F.sum("input_rows")).first()[0] == want:
             break
